@@ -17,6 +17,7 @@ from sigflow.functions.signals import flatten_signals
 from sigflow.functions.timeparse import parse_signal_date, parse_signal_ts
 from sigflow.operators import aggregate as agg
 from sigflow.operators import ml
+from sigflow.operators import text
 from sigflow.operators.mapping import mapping_join_long, signal_mapping
 from sigflow.operators.quality import dedup_latest, ingest_audit
 from sigflow.operators.shape import (
@@ -25,6 +26,7 @@ from sigflow.operators.shape import (
     pack_messages,
     parse_messages,
 )
+from sigflow.plans import venues
 from sigflow.plans.analysis import hourly_indicator, hourly_report
 from sigflow.schemas import LR_FEATURES, LR_LABEL, RAW_FIELDS
 from sigflow.sources.tables import (
@@ -184,6 +186,58 @@ def q_scatter_bins(spark, sf_dir):
     return ml.scatter_bins(_baseline_predictions(spark, sf_dir), BIN_WIDTH)
 
 
+# --- text jobs over conversations and documents -------------------------------
+
+# A keyword list that occurs in the given (multilingual) conversation texts.
+DATA_KEYWORDS = ["with", "und", "que"]
+
+
+def _turns(spark, sf_dir):
+    return load_table(spark, sf_dir, "conversations")
+
+
+def _joined(df: DataFrame) -> DataFrame:
+    """Array columns as '|'-joined text, for engine-neutral comparison."""
+    return df.withColumns({c: F.array_join(c, "|") for c in ("amenities", "features")})
+
+
+def q_drop_blank_turns(spark, sf_dir):
+    return text.drop_blank_turns(_turns(spark, sf_dir))
+
+
+def q_last_user_turn(spark, sf_dir):
+    return text.last_user_turn(_turns(spark, sf_dir))
+
+
+def q_route_intent(spark, sf_dir):
+    return text.route_intent(_turns(spark, sf_dir))
+
+
+def q_route_intent_keywords(spark, sf_dir):
+    return text.route_intent(_turns(spark, sf_dir), keywords=DATA_KEYWORDS)
+
+
+def q_extract_json_array(spark, sf_dir):
+    docs = text.extract_json_array(load_table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", F.size("venues").alias("venue_count"))
+
+
+def q_normalise_records(spark, sf_dir):
+    return _joined(venues.venue_records(_turns(spark, sf_dir)))
+
+
+def q_cap_items(spark, sf_dir):
+    return venues.articles(_turns(spark, sf_dir)).select("conv_id", "turn")
+
+
+def q_search_key(spark, sf_dir):
+    return venues.request_keys(_turns(spark, sf_dir))
+
+
+def q_fallback_record(spark, sf_dir):
+    return _joined(venues.venue_results(_turns(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "scan_readings": q_scan_readings,
     "parse_event_time": q_parse_event_time,
@@ -207,4 +261,13 @@ QUERIES: dict[str, Query] = {
     "regression_metrics": q_regression_metrics,
     "residual_histogram": q_residual_histogram,
     "scatter_bins": q_scatter_bins,
+    "drop_blank_turns": q_drop_blank_turns,
+    "last_user_turn": q_last_user_turn,
+    "route_intent": q_route_intent,
+    "route_intent_keywords": q_route_intent_keywords,
+    "extract_json_array": q_extract_json_array,
+    "normalise_records": q_normalise_records,
+    "cap_items": q_cap_items,
+    "search_key": q_search_key,
+    "fallback_record": q_fallback_record,
 }

@@ -202,3 +202,92 @@ SELECT CAST(floor(active_power_average / 100.0) AS BIGINT) AS actual_bin,
 FROM predictions WHERE active_power_average IS NOT NULL AND prediction IS NOT NULL
 GROUP BY 1, 2""",
 }
+
+# --- text jobs -----------------------------------------------------------------
+
+_WS = r"[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]"
+_NOT_BLANK = f"(text IS NOT NULL AND NOT regexp_matches(text, '^{_WS}*$'))"
+_ROUTER = ["find", "search", "look", "show", "venue", "hall", "location",
+           "budget", "guest", "capacity", "wedding", "reception", "ceremony",
+           "luxury", "cheap", "affordable", "outdoor", "indoor", "garden"]
+
+
+def _route(keywords: list[str]) -> str:
+    hits = " OR ".join(f"contains(lower(last_text), '{k}')" for k in keywords)
+    return f"""WITH last AS (
+  SELECT conv_id, arg_max(text, turn) AS last_text FROM conversations GROUP BY conv_id)
+SELECT conv_id, CASE WHEN coalesce({hits}, false) THEN 'search_venues_node'
+                     ELSE 'general_chat_node' END AS route
+FROM last"""
+
+
+_ARTICLES = f"""
+ranked AS (
+  SELECT conv_id, turn, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rk
+  FROM conversations WHERE role = 'assistant'),
+articles AS (
+  SELECT conv_id, turn, text FROM ranked WHERE rk <= 6 AND {_NOT_BLANK})"""
+
+_RECORDS = r"""
+records AS (
+  SELECT conv_id, turn, 0 AS pos,
+         'Venue ' || conv_id || '-' || turn AS name,
+         regexp_extract(text, '^(\S+)', 1) AS location,
+         CAST(length(text) AS VARCHAR) || ' guests' AS capacity,
+         CASE WHEN turn % 3 <> 0 THEN '₹' || CAST(turn * 1000 AS VARCHAR) END AS priceRange,
+         CAST(turn % 5 AS DOUBLE) + 0.5 AS rating,
+         text AS description,
+         CASE WHEN turn % 2 = 1 THEN 'https://img.example/' || conv_id || '/' || turn || '.jpg'
+              ELSE '' END AS image,
+         CASE WHEN turn % 2 = 1 THEN '+91 00000 00000' ELSE 'Contact for details' END AS phone,
+         CASE WHEN turn % 3 <> 1 THEN 'venue@example.com' ELSE 'Contact for details' END AS email,
+         array_to_string(string_split(regexp_extract(text, '^([^\n]*)', 1), ' '), '|') AS amenities,
+         CASE WHEN turn % 2 = 1 THEN 'Garden' ELSE 'Contact for details' END AS features
+  FROM articles)"""
+
+_REQUESTS = f"""
+requests AS (
+  SELECT conv_id,
+         arg_max(text, turn) FILTER (WHERE role = 'user' AND {_NOT_BLANK}) AS query,
+         CAST(count_if(role = 'user') AS VARCHAR) AS guest_count,
+         CAST(NULL AS VARCHAR) AS budget_range,
+         regexp_extract(arg_min(text, turn) FILTER (WHERE role = 'system'), '^(\\S+)', 1) AS location
+  FROM conversations GROUP BY conv_id)"""
+
+ORACLE_SQL.update({
+    "drop_blank_turns": f"SELECT * FROM conversations WHERE {_NOT_BLANK}",
+    "last_user_turn": f"""SELECT conv_id, max(turn) AS turn, arg_max(text, turn) AS text
+FROM conversations WHERE role = 'user' AND {_NOT_BLANK} GROUP BY conv_id""",
+    "route_intent": _route(_ROUTER),
+    "route_intent_keywords": _route(["with", "und", "que"]),
+    "extract_json_array": r"""WITH spans AS (
+  SELECT doc_id,
+         regexp_extract(text, '(?s)\[[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]*\{.*\}[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]*\]', 0) AS span
+  FROM documents)
+SELECT doc_id,
+       CAST(CASE WHEN span = '' OR NOT json_valid(span) THEN 0
+                 ELSE json_array_length(span) END AS INTEGER) AS venue_count
+FROM spans""",
+    "normalise_records": f"WITH {_ARTICLES}, {_RECORDS} SELECT * FROM records",
+    "cap_items": f"WITH {_ARTICLES} SELECT conv_id, turn FROM articles",
+    "search_key": f"""WITH {_REQUESTS}
+SELECT conv_id,
+       regexp_replace(coalesce(query, '') || ' ' || coalesce(guest_count, '') || ' '
+                      || coalesce(budget_range, ''), '^{_WS}+|{_WS}+$', '', 'g') AS search_key
+FROM requests""",
+    "fallback_record": f"""WITH {_ARTICLES}, {_RECORDS}, {_REQUESTS}
+SELECT conv_id, turn * 1000 + pos AS pos, name, location, capacity, priceRange, rating,
+       description, image, phone, email, amenities, features
+FROM records WHERE conv_id IN (SELECT conv_id FROM requests)
+UNION ALL
+SELECT conv_id, 0 AS pos, 'Grand Palace Wedding Hall' AS name,
+       CASE WHEN location IS NULL OR location = '' THEN 'Mumbai, Maharashtra' ELSE location END AS location,
+       '200-500 guests' AS capacity, '₹8,000 - ₹15,000' AS priceRange, 4.8 AS rating,
+       'Luxurious wedding hall with stunning architecture and world-class amenities' AS description,
+       'https://images.pexels.com/photos/169190/pexels-photo-169190.jpeg' AS image,
+       '+91 98765 43210' AS phone, 'events@grandpalace.com' AS email,
+       'Valet Parking|Catering Services|Bridal Suite|Audio/Visual Equipment' AS amenities,
+       'Grand Ballroom|Garden Ceremony Area|VIP Lounge|Dance Floor' AS features
+FROM requests WHERE conv_id NOT IN (SELECT conv_id FROM records)""",
+})
