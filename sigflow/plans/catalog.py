@@ -26,7 +26,7 @@ from sigflow.operators.shape import (
     pack_messages,
     parse_messages,
 )
-from sigflow.plans import venues
+from sigflow.plans import streams, venues
 from sigflow.plans.analysis import hourly_indicator, hourly_report
 from sigflow.schemas import LR_FEATURES, LR_LABEL, RAW_FIELDS
 from sigflow.sources.tables import (
@@ -270,4 +270,6 @@ QUERIES: dict[str, Query] = {
     "cap_items": q_cap_items,
     "search_key": q_search_key,
     "fallback_record": q_fallback_record,
+    "stream_ingest": streams.q_stream_ingest,
+    "stream_hourly": streams.q_stream_hourly,
 }

@@ -291,3 +291,21 @@ SELECT conv_id, 0 AS pos, 'Grand Palace Wedding Hall' AS name,
        'Grand Ballroom|Garden Ceremony Area|VIP Lounge|Dance Floor' AS features
 FROM requests WHERE conv_id NOT IN (SELECT conv_id FROM records)""",
 })
+
+# --- streaming jobs (compared after the stream has run to completion) ----------
+
+ORACLE_SQL.update({
+    "stream_ingest": f"""WITH {_RAW}
+SELECT {_parse_date('date_time')} AS signal_date, {_parse_ts('date_time')} AS signal_ts,
+       CAST(active_power AS VARCHAR) AS ActivePower_kW, CAST(wind_speed AS VARCHAR) AS WindSpeed_m_s,
+       CAST(power_curve AS VARCHAR) AS PowerCurve_kWh, CAST(wind_direction AS VARCHAR) AS WindDirection_deg
+FROM raw""",
+    "stream_hourly": f"""WITH {_READINGS}
+SELECT date_trunc('hour', signal_ts) AS window_start,
+       date_trunc('hour', signal_ts) + INTERVAL 1 HOUR AS window_end,
+       avg(TRY_CAST(ActivePower_kW AS DOUBLE)) AS avg_ActivePower_kW,
+       avg(TRY_CAST(WindSpeed_m_s AS DOUBLE)) AS avg_WindSpeed_m_s,
+       avg(TRY_CAST(PowerCurve_kWh AS DOUBLE)) AS avg_PowerCurve_kWh,
+       avg(TRY_CAST(WindDirection_deg AS DOUBLE)) AS avg_WindDirection_deg
+FROM readings GROUP BY 1, 2""",
+})

@@ -1,0 +1 @@
+"""Structured Streaming: ingest queries, sinks, event-time windows, control."""
