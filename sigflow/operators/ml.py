@@ -9,7 +9,7 @@ aggregates, so nothing row-sized travels to the driver.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,18 +18,25 @@ from pyspark.sql.types import DoubleType, FloatType
 from sigflow.schemas import LR_FEATURES, LR_LABEL, LR_SPLIT_SEED, LR_SPLIT_WEIGHTS
 
 
-def label_index(
+def fit_label_index(
     df: DataFrame,
     input_col: str = "generation_mapping",
     output_col: str = "generation_status_index",
-) -> DataFrame:
-    """Index a label column: most frequent label 0.0, ties alphabetical.
+) -> StringIndexerModel:
+    """Label indexer: most frequent label 0.0, ties alphabetical.
 
     Fitting counts labels with a distributed aggregate and keeps only the
     distinct labels on the driver (a handful of bands here).
     """
-    model = StringIndexer(inputCol=input_col, outputCol=output_col).fit(df)
-    return model.transform(df)
+    return StringIndexer(inputCol=input_col, outputCol=output_col).fit(df)
+
+
+def label_index(
+    df: DataFrame,
+    input_col: str = "generation_mapping",
+    output_col: str = "generation_status_index",
+) -> DataFrame:
+    return fit_label_index(df, input_col, output_col).transform(df)
 
 
 def drop_invalid_features(df: DataFrame, features: list[str] | None = None) -> DataFrame:

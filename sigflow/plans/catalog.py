@@ -26,7 +26,7 @@ from sigflow.operators.shape import (
     pack_messages,
     parse_messages,
 )
-from sigflow.plans import streams, venues
+from sigflow.plans import modeling, streams, venues
 from sigflow.plans.analysis import hourly_indicator, hourly_report
 from sigflow.schemas import LR_FEATURES, LR_LABEL, RAW_FIELDS
 from sigflow.sources.tables import (
@@ -34,6 +34,7 @@ from sigflow.sources.tables import (
     events_as_raw,
     events_as_readings,
     events_time_text,
+    lineitem_regression_frame,
     load_table,
     replayed_readings,
 )
@@ -186,6 +187,36 @@ def q_scatter_bins(spark, sf_dir):
     return ml.scatter_bins(_baseline_predictions(spark, sf_dir), BIN_WIDTH)
 
 
+# --- model fit and scoring (checked by tests: no SQL twin of a fit) -------------
+
+def _fitted(spark, sf_dir):
+    ml_df = modeling.ml_frame(_readings(spark, sf_dir))
+    model, test = modeling.fit_on_split(ml_df)
+    return ml_df, model, test
+
+
+def q_lr_fit(spark, sf_dir):
+    _, model, _ = _fitted(spark, sf_dir)
+    return modeling.model_coefficients(model)
+
+
+def q_lr_predict_day(spark, sf_dir):
+    ml_df, model, _ = _fitted(spark, sf_dir)
+    return modeling.predict_day(model, ml_df, EVENTS_DAY)
+
+
+def q_lr_evaluate(spark, sf_dir):
+    _, model, test = _fitted(spark, sf_dir)
+    return ml.regression_metrics(model.transform(test))
+
+
+def q_lr_fit_lineitem(spark, sf_dir):
+    frame = lineitem_regression_frame(load_table(spark, sf_dir, "lineitem"))
+    features = ["l_quantity", "l_discount", "l_tax"]
+    model = ml.fit_linear_regression(ml.assemble_features(frame, features), label="label")
+    return ml.coefficients_frame(spark, model, features)
+
+
 # --- text jobs over conversations and documents -------------------------------
 
 # A keyword list that occurs in the given (multilingual) conversation texts.
@@ -261,6 +292,10 @@ QUERIES: dict[str, Query] = {
     "regression_metrics": q_regression_metrics,
     "residual_histogram": q_residual_histogram,
     "scatter_bins": q_scatter_bins,
+    "lr_fit": q_lr_fit,
+    "lr_predict_day": q_lr_predict_day,
+    "lr_evaluate": q_lr_evaluate,
+    "lr_fit_lineitem": q_lr_fit_lineitem,
     "drop_blank_turns": q_drop_blank_turns,
     "last_user_turn": q_last_user_turn,
     "route_intent": q_route_intent,

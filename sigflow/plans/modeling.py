@@ -3,42 +3,72 @@ score one day, evaluate."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigflow.operators.ml import (
     assemble_features,
     coefficients_frame,
+    fit_label_index,
     fit_linear_regression,
-    label_index,
     random_split,
 )
 from sigflow.plans.analysis import hourly_report
 from sigflow.schemas import LR_FEATURES, LR_LABEL, LR_SCORE_DAY
 
 
-def ml_frame(readings: DataFrame, mapping: DataFrame | None = None) -> DataFrame:
-    """Renamed hourly report (double means) with the indexed band."""
-    return label_index(hourly_report(readings, cast="double", mapping=mapping))
+@dataclass
+class ModelFrame:
+    """The renamed hourly report and the band indexer fitted on all of it."""
+
+    report: DataFrame
+    indexer: StringIndexerModel
+
+    def indexed(self, rows: DataFrame | None = None) -> DataFrame:
+        return self.indexer.transform(self.report if rows is None else rows)
+
+
+def ml_frame(
+    readings: DataFrame, mapping: DataFrame | None = None, materialize: bool = True
+) -> ModelFrame:
+    """Renamed hourly report (double means) and its band indexer.
+
+    The report is one row per hour, tiny next to the readings, and the model
+    steps read it several times (index fit, model fit, scoring, metrics). With
+    ``materialize`` it is computed once and checkpointed to the shared
+    checkpoint folder, which also cuts the lineage back to the raw scan.
+    """
+    report = hourly_report(readings, cast="double", mapping=mapping)
+    if materialize:
+        report = report.checkpoint(eager=True)
+    return ModelFrame(report, fit_label_index(report))
 
 
-def fit_on_split(ml_df: DataFrame, features=None, label: str = LR_LABEL, **params):
+def fit_on_split(frame: ModelFrame | DataFrame, features=None, label: str = LR_LABEL, **params):
     """Assemble, split 80/20 (seed 42) and fit on the 80 part.
 
     Returns ``(model, test_frame)``; the test frame is assembled.
     """
     features = features or LR_FEATURES
-    assembled = assemble_features(ml_df, features)
-    train, test = random_split(assembled)
+    indexed = frame.indexed() if isinstance(frame, ModelFrame) else frame
+    train, test = random_split(assemble_features(indexed, features))
     return fit_linear_regression(train, label=label, **params), test
 
 
-def predict_day(model, ml_df: DataFrame, day: str = LR_SCORE_DAY, features=None,
+def predict_day(model, frame: ModelFrame | DataFrame, day: str = LR_SCORE_DAY, features=None,
                 label: str = LR_LABEL) -> DataFrame:
-    """Score one day. The day filter runs before the ML stages so it reaches
-    the scan; scoring is per row, so the rows and values are unchanged."""
+    """Score one day. The day filter runs before the ML stages (their UDF
+    projections stop filters from moving down), so it reaches the scan;
+    scoring is per row, so rows and values are unchanged."""
     features = features or LR_FEATURES
-    day_rows = ml_df.filter(F.col("signal_date") == F.lit(day).cast("date"))
+    on_day = F.col("signal_date") == F.lit(day).cast("date")
+    if isinstance(frame, ModelFrame):
+        day_rows = frame.indexed(frame.report.filter(on_day))
+    else:
+        day_rows = frame.filter(on_day)
     scored = model.transform(assemble_features(day_rows, features))
     return scored.select("signal_date", "hour", label, "prediction")
 

@@ -1,0 +1,62 @@
+"""Model steps: label index ties, coefficients vs least squares, metrics,
+and the day filter reaching the scan."""
+
+import numpy as np
+import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import functions as F
+
+from conftest import SF_ORACLE, SF_SMALL
+from sigflow.operators import ml
+from sigflow.plans import modeling
+from sigflow.sources.tables import events_as_readings, lineitem_regression_frame, load_table
+
+
+def test_label_ties_alphabetical(spark):
+    df = spark.createDataFrame([(x,) for x in ["High", "Low", "High", "Low", "Medium"]], "generation_mapping string")
+    idx = {r.generation_mapping: r.generation_status_index for r in ml.label_index(df).distinct().collect()}
+    assert idx == {"High": 0.0, "Low": 1.0, "Medium": 2.0}
+
+
+def test_coefficients_match_lstsq(spark):
+    frame = lineitem_regression_frame(load_table(spark, SF_ORACLE, "lineitem"))
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    model = ml.fit_linear_regression(ml.assemble_features(frame, feats), label="label")
+    pdf = frame.toPandas()
+    X = np.column_stack([np.ones(len(pdf))] + [pdf[c].to_numpy() for c in feats])
+    beta, *_ = np.linalg.lstsq(X, pdf["label"].to_numpy(), rcond=None)
+    got = np.array([model.intercept] + list(model.coefficients))
+    assert np.allclose(got, beta, rtol=1e-7, atol=1e-6)
+
+
+def test_metrics_match_evaluator(spark):
+    ml_df = modeling.ml_frame(events_as_readings(load_table(spark, SF_SMALL, "events")))
+    model, test = modeling.fit_on_split(ml_df)
+    preds = model.transform(test)
+    m = ml.regression_metrics(preds).first()
+    for name in ("rmse", "mae", "r2"):
+        ev = RegressionEvaluator(labelCol="active_power_average", predictionCol="prediction", metricName=name)
+        assert m[name] == pytest.approx(ev.evaluate(preds), rel=1e-9, abs=1e-9)
+
+
+def test_predict_day_filter_reaches_scan(spark, scratch):
+    readings = events_as_readings(load_table(spark, SF_SMALL, "events"))
+    path = f"{scratch}/report"
+    from sigflow.plans.analysis import hourly_report
+
+    hourly_report(readings, cast="double").write.parquet(path)
+    report = spark.read.parquet(path)
+    frame = modeling.ModelFrame(report, ml.fit_label_index(report))
+    model, _ = modeling.fit_on_split(frame)
+    out = modeling.predict_day(model, frame, "2024-01-19")
+    day_rows = report.filter(F.col("signal_date") == F.lit("2024-01-19").cast("date")).count()
+    assert out.count() == day_rows > 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(signal_date), EqualTo(signal_date" in plan
+
+
+def test_hash_split_stable(spark):
+    df = spark.range(10000).withColumnRenamed("id", "k")
+    a = ml.hash_split(df, ["k"]).filter("is_train").count()
+    b = ml.hash_split(df.repartition(7), ["k"]).filter("is_train").count()
+    assert a == b and 7500 < a < 8500
