@@ -17,6 +17,7 @@ from sigflow.operators.shape import messages_to_readings, pack_messages
 from sigflow.sources.files import read_csv_stream
 from sigflow.sources.messages import read_message_stream
 from sigflow.streaming.sinks import (
+    app_id_for,
     batch_folder_writer,
     fan_out,
     start_foreach_batch,
@@ -70,10 +71,23 @@ def start_consume(
     partition_by: list[str] | None = None,
     trigger: dict | None = None,
     strict: bool = False,
+    sink: str = "table",
     **source_options,
 ) -> StreamingQuery:
-    """Messages -> readings -> lake table (append, exactly once per batch)."""
+    """Messages -> readings -> lake table (append, exactly once per batch).
+
+    ``sink="table"`` uses the table format's streaming sink. ``sink="batches"``
+    writes one folder per (checkpoint, batch) with overwrite, so retries are
+    idempotent and a run from a new checkpoint is kept as a replay; read it
+    with :func:`sigflow.sources.lake.read_lake` (extra ``app_id``/``batch_id``
+    columns come from the folder names).
+    """
     readings = readings_stream(spark, source, fmt=fmt, strict=strict, **source_options)
+    if sink == "batches":
+        writer = batch_folder_writer(
+            lake_path, fmt=lake_format, partition_by=partition_by, app_id=app_id_for(checkpoint)
+        )
+        return start_foreach_batch(readings, writer, checkpoint, trigger=trigger)
     return start_lake_sink(
         readings, lake_path, checkpoint, fmt=lake_format,
         partition_by=partition_by, trigger=trigger,

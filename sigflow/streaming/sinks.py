@@ -3,7 +3,9 @@
 * lake sink: append to a path-based table (parquet by default, delta when
   installed). The file sink commits each micro-batch once, recording it in
   the table's metadata log, so a restart with the same checkpoint never
-  writes a batch twice.
+  writes a batch twice. That log is keyed on the batch number alone: a query
+  started from a *new* checkpoint has its first batches skipped as already
+  written. Delta keys commits on (query, version) instead and keeps them.
 * publish sink: messages (``value`` column) to Kafka or to message files.
 * console taps for inspection, bounded to a few rows per batch.
 * per-batch writers for ``foreachBatch``: each batch goes to its own
@@ -15,6 +17,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable
 
@@ -89,19 +92,32 @@ def start_console(
 
 
 def batch_folder_writer(
-    path: str, fmt: str = "parquet", partition_by: list[str] | None = None
+    path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
+    app_id: str | None = None,
 ) -> BatchWriter:
-    """Write each micro-batch to ``path/batch_id=N`` (overwrite: idempotent)."""
+    """Write each micro-batch to ``path/[app_id=A/]batch_id=N`` with overwrite.
+
+    A retried batch replaces its own folder (idempotent). With ``app_id``
+    (one per checkpoint, see :func:`app_id_for`) a run from a new checkpoint
+    writes beside the old one instead of over it: a replay is kept, as a
+    transactional table keyed on (application, version) would keep it.
+    """
+    base = os.path.join(path, f"app_id={app_id}") if app_id else path
 
     def write(batch: DataFrame, batch_id: int) -> None:
         w = batch.write.mode("overwrite").format(fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(os.path.join(path, f"batch_id={batch_id}"))
+        w.save(os.path.join(base, f"batch_id={batch_id}"))
 
     return write
 
 
+def app_id_for(checkpoint: str) -> str:
+    """Stable application id of a checkpoint location."""
+    return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
 def fan_out(writers: list[BatchWriter]) -> BatchWriter:
     """One micro-batch to several writers; the batch is computed once and
     kept (memory, spilling to disk) while the writers run."""
