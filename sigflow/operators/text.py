@@ -72,12 +72,12 @@ def extract_json_array(df: DataFrame, text_col: str = "text", out_col: str = "ve
 
     The span runs from the first ``[{`` to the last ``}]``; no span, or a span
     that is not a JSON array of objects, gives an empty array. (A span
-    holding two separate arrays is read as its first array.)
+    holding two separate arrays is read as its first array.) The span is
+    cut once per row; ``from_json`` of the empty span is null.
     """
     span = F.regexp_extract(F.col(text_col), JSON_ARRAY_SPAN, 0)
-    parsed = F.when(span != "", F.from_json(span, VENUE_ARRAY_SCHEMA))
     empty = F.array().cast(VENUE_ARRAY_SCHEMA)
-    return df.withColumn(out_col, F.coalesce(parsed, empty))
+    return df.withColumn(out_col, F.coalesce(F.from_json(span, VENUE_ARRAY_SCHEMA), empty))
 
 
 def normalise_records(
@@ -86,7 +86,12 @@ def normalise_records(
     """One row per record with defaults for the optional fields: image "",
     phone and email "Contact for details", amenities and features a
     one-element list of that text. Required fields stay as given."""
-    exploded = df.select(*id_cols, F.posexplode(venues_col).alias("pos", "v"))
+    # The outer form keeps Catalyst from inferring a "non-empty" filter and
+    # pushing it below the projection that builds the array, which would
+    # evaluate the extraction twice per row.
+    exploded = df.select(*id_cols, F.posexplode_outer(venues_col).alias("pos", "v")).filter(
+        F.col("pos").isNotNull()
+    )
     contact = F.lit(CONTACT_DEFAULT)
     contact_list = F.array(contact)
     return exploded.select(
