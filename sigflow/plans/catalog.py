@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigflow.functions.messages import row_to_json
-from sigflow.functions.signals import flatten_signals
+from sigflow.functions.signals import flatten_signals, signal_value
 from sigflow.functions.timeparse import parse_signal_date, parse_signal_ts
 from sigflow.operators import aggregate as agg
 from sigflow.operators import ml
@@ -28,7 +28,7 @@ from sigflow.operators.shape import (
 )
 from sigflow.plans import modeling, streams, venues
 from sigflow.plans.analysis import hourly_indicator, hourly_report
-from sigflow.schemas import LR_FEATURES, LR_LABEL, RAW_FIELDS
+from sigflow.schemas import LR_FEATURES, LR_LABEL, RAW_FIELDS, SIGNAL_KEYS
 from sigflow.sources.tables import (
     FIXED_CREATE_TS,
     events_as_raw,
@@ -73,6 +73,13 @@ def q_parse_event_time(spark, sf_dir):
     )
 
 
+def q_signal_lookup(spark, sf_dir):
+    readings = _readings(spark, sf_dir)
+    return readings.select(
+        "signal_ts", *[signal_value(k, "double").alias(f"{k}_value") for k in SIGNAL_KEYS]
+    )
+
+
 def q_row_to_json(spark, sf_dir):
     raw = events_as_raw(load_table(spark, sf_dir, "events"), keep=["event_id"])
     return raw.select("event_id", row_to_json(raw, RAW_FIELDS).alias("value"))
@@ -272,6 +279,7 @@ def q_fallback_record(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "scan_readings": q_scan_readings,
     "parse_event_time": q_parse_event_time,
+    "signal_lookup": q_signal_lookup,
     "row_to_json": q_row_to_json,
     "json_parse": q_json_parse,
     "shape_signals": q_shape_signals,

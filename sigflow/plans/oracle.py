@@ -110,6 +110,12 @@ def _parse_ts(col: str) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "scan_readings": f"WITH {_READINGS} SELECT * FROM readings",
+    "signal_lookup": f"""WITH {_READINGS}
+SELECT signal_ts, TRY_CAST(ActivePower_kW AS DOUBLE) AS ActivePower_kW_value,
+       TRY_CAST(WindSpeed_m_s AS DOUBLE) AS WindSpeed_m_s_value,
+       TRY_CAST(PowerCurve_kWh AS DOUBLE) AS PowerCurve_kWh_value,
+       TRY_CAST(WindDirection_deg AS DOUBLE) AS WindDirection_deg_value
+FROM readings""",
     "parse_event_time": f"""WITH {_TIME_TEXT}
 SELECT event_id, raw_time, {_parse_date('raw_time')} AS signal_date, {_parse_ts('raw_time')} AS signal_ts
 FROM time_text""",

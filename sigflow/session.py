@@ -21,11 +21,21 @@ BASE_CONF = {
 }
 
 
+# Table-format and message-bus connectors are optional: they need their jars
+# (``spark.jars.packages`` or the cluster's classpath).
+DELTA_CONF = {
+    "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
+    "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "sigflow",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    delta: bool = False,
+    packages: list[str] | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with sigflow's defaults.
 
@@ -40,6 +50,10 @@ def build_session(
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if delta:
+        conf.update(DELTA_CONF)
+    if packages:
+        conf["spark.jars.packages"] = ",".join(packages)
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -41,3 +41,16 @@ def run_for(query: StreamingQuery, seconds: float) -> StreamingQuery:
 def stop_all(spark) -> None:
     for q in spark.streams.active:
         q.stop()
+
+
+def run_until_stopped(spark, query: StreamingQuery | None = None) -> None:
+    """Block on one query (or on whichever active query ends first) and
+    re-raise its failure; used for unbounded ingest."""
+    if query is not None:
+        query.awaitTermination()
+        err = query.exception()
+    else:
+        spark.streams.awaitAnyTermination()
+        err = None
+    if err is not None:
+        raise err

@@ -201,3 +201,16 @@ def test_dedup_first_stream(spark, scratch):
     q = start_lake_sink(dedup_first_stream(stream, "1 hour"), f"{scratch}/lake", f"{scratch}/ck", trigger=NOW)
     run_to_completion(q)
     assert read_lake(spark, f"{scratch}/lake").count() == 20
+
+
+def test_save_processed_overwrites(spark, scratch):
+    from sigflow.plans.analysis import hourly_report
+    from sigflow.sources.lake import write_lake
+    from sigflow.sources.tables import events_as_readings, load_table
+
+    report = hourly_report(events_as_readings(load_table(spark, "/root/testdata/sf0.001", "events")))
+    write_lake(report, f"{scratch}/processed")
+    write_lake(report, f"{scratch}/processed")  # a rerun replaces, never appends
+    back = read_lake(spark, f"{scratch}/processed")
+    assert back.count() == report.count()
+    assert back.columns == report.columns
