@@ -29,6 +29,7 @@ from sigflow.operators.shape import (
 from sigflow.plans import modeling, streams, venues
 from sigflow.plans.analysis import hourly_indicator, hourly_report
 from sigflow.schemas import LR_FEATURES, LR_LABEL, RAW_FIELDS, SIGNAL_KEYS
+from sigflow.session import ensure_checkpoint_dir
 from sigflow.sources.tables import (
     FIXED_CREATE_TS,
     events_as_raw,
@@ -276,6 +277,20 @@ def q_fallback_record(spark, sf_dir):
     return _joined(venues.venue_results(_turns(spark, sf_dir)))
 
 
+def _prepared(fn: Query) -> Query:
+    """Run a query in the session settings its results depend on: hours and
+    dates are read in UTC, and lineage cuts need the shared checkpoint root."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ensure_checkpoint_dir(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "scan_readings": q_scan_readings,
     "parse_event_time": q_parse_event_time,
@@ -316,3 +331,4 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": streams.q_stream_ingest,
     "stream_hourly": streams.q_stream_hourly,
 }
+QUERIES = {k: _prepared(v) for k, v in QUERIES.items()}
