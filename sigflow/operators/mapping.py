@@ -9,10 +9,10 @@ from pyspark.sql.types import NumericType
 from sigflow.schemas import SIGNAL_MAPPING
 
 # A rename changes the schema, which lives on the driver, so the mapping rows
-# that apply are collected. Only rows naming an existing column (or the target
-# of another row, for chained renames) are fetched; a mapping with more
-# applicable rows than this is refused and should go through
-# ``mapping_join_long``, which is exact at any size.
+# that apply are collected. Only rows naming an existing column (or a name an
+# earlier rename creates) are fetched; a mapping with more applicable rows
+# than this is refused and should go through ``mapping_join_long``, which is
+# exact at any size.
 MAX_RENAME_ROWS = 10_000
 
 
@@ -36,18 +36,31 @@ def signal_mapping(
 
 
 def _applicable_rows(columns: list[str], mapping: DataFrame) -> list[tuple[str, str]]:
+    """Mapping rows that can rename something, in mapping order.
+
+    A row applies only if its ``sig_name`` is a column or becomes one through
+    an earlier rename, so rows are fetched by closure: those naming the
+    columns, then those naming the new names, until no new name appears.
+    Each step is a filter over the mapping; only matching rows reach the
+    driver.
+    """
     ordered = mapping.select("sig_name", "sig_mapping_name").withColumn(
         "_ord", F.monotonically_increasing_id()
     )
-    targets = ordered.select(F.col("sig_mapping_name").alias("_t")).distinct()
-    relevant = ordered.filter(F.col("sig_name").isin(columns)).unionByName(
-        ordered.join(targets, F.col("sig_name") == F.col("_t"), "left_semi")
-    ).distinct()
-    rows = relevant.orderBy("_ord").limit(MAX_RENAME_ROWS + 1).collect()
-    if len(rows) > MAX_RENAME_ROWS:
-        raise ValueError(
-            f"more than {MAX_RENAME_ROWS} mapping rows apply; use mapping_join_long instead"
-        )
+    seen: set[str] = set()
+    frontier = set(columns)
+    rows = []
+    while frontier:
+        seen |= frontier
+        step = ordered.filter(F.col("sig_name").isin(sorted(frontier)))
+        got = step.limit(MAX_RENAME_ROWS + 1 - len(rows)).collect()
+        rows += got
+        if len(rows) > MAX_RENAME_ROWS:
+            raise ValueError(
+                f"more than {MAX_RENAME_ROWS} mapping rows apply; use mapping_join_long instead"
+            )
+        frontier = {r["sig_mapping_name"] for r in got} - seen
+    rows.sort(key=lambda r: r["_ord"])
     return [(r["sig_name"], r["sig_mapping_name"]) for r in rows]
 
 

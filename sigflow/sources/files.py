@@ -39,8 +39,9 @@ def read_csv_stream(
     glob: str | None = "*.csv",
     header: bool = True,
     max_files_per_trigger: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
-    reader = _csv_options(spark.readStream, schema, glob, header)
+    reader = _csv_options(spark.readStream, schema, glob, header).options(**(options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(path)

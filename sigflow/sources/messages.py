@@ -39,17 +39,21 @@ def read_message_stream(
     timeout_ms: int | None = None,
     max_files_per_trigger: int | None = None,
     glob: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Unbounded frame with a ``value`` column.
 
     ``fmt="kafka"`` needs the Kafka connector on the classpath; ``fmt="text"``
-    reads message files under ``path``.
+    reads message files under ``path``. ``options`` go to the reader as given,
+    e.g. ``{"maxOffsetsPerTrigger": "5000000"}`` to size Kafka micro-batches
+    or ``{"maxBytesPerTrigger": "10g"}`` for files.
     """
     if fmt == "kafka":
-        return _kafka_reader(
+        reader = _kafka_reader(
             spark.readStream, bootstrap, topic, starting_offsets, fail_on_data_loss, timeout_ms
-        ).load()
-    reader = spark.readStream.format(fmt)
+        )
+        return reader.options(**(options or {})).load()
+    reader = spark.readStream.format(fmt).options(**(options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
