@@ -58,7 +58,10 @@ def build_session(
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # no SparkContext handle (e.g. a Connect session)
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -71,7 +74,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="sigflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -79,9 +85,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``DataFrame.checkpoint`` write under the shared root."""
     root = checkpoint_root(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # Connect sessions take the directory from the conf
+        pass
     return root
 
 
