@@ -66,11 +66,23 @@ def build_session(
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", None)
+    if master is None:
+        try:
+            master = spark.sparkContext.master
+        except Exception:
+            master = ""
+    return master.startswith("local")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Streaming checkpoints and lineage cuts go below it. Only when the
-    setting is absent (local tests) is a private scratch folder created.
+    Streaming checkpoints and lineage cuts go below it. Only a local session
+    (tests, a laptop) without the setting gets a private scratch folder; on a
+    cluster a machine-local folder would be lost with its executor, so the
+    setting is required there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -79,6 +91,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:
             root = None
     if not root:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         root = tempfile.mkdtemp(prefix="sigflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
