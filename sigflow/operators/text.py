@@ -62,8 +62,12 @@ def route_intent(
     """Route each conversation by its last message (any role):
     ``search_venues_node`` on a keyword hit, else ``general_chat_node``."""
     keywords = ROUTER_KEYWORDS if keywords is None else keywords
-    last = turns.groupBy(key).agg(F.max_by("text", "turn").alias("last_text"))
-    route = F.when(keyword_hit(F.col("last_text"), keywords), ROUTE_SEARCH).otherwise(ROUTE_GENERAL)
+    # Only the last message's keyword flag matters, so the flag is computed per
+    # row and the text never enters the aggregate: its buffers are fixed-width
+    # and the aggregate is hash-based, not a sort of every message.
+    flagged = turns.select(key, "turn", keyword_hit(F.col("text"), keywords).alias("hit"))
+    last = flagged.groupBy(key).agg(F.max_by("hit", "turn").alias("hit"))
+    route = F.when(F.col("hit"), ROUTE_SEARCH).otherwise(ROUTE_GENERAL)
     return last.select(key, route.alias("route"))
 
 
