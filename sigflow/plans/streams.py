@@ -12,7 +12,6 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sigflow.functions.signals import flatten_signals
 from sigflow.schemas import READINGS_SCHEMA

@@ -1,10 +1,7 @@
 """Generation bands (band_edge fixture) and band properties."""
 
-import math
-
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from sigflow.functions.banding import generation_band
 

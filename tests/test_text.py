@@ -1,6 +1,5 @@
 """Text jobs: blank_turns, json_text and requests fixtures."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from sigflow.operators import text

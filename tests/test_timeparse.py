@@ -2,9 +2,6 @@
 
 import datetime as dt
 
-import pytest
-from pyspark.sql import functions as F
-
 from sigflow.functions.timeparse import parse_signal_date, parse_signal_ts
 
 # (text, expected date, expected timestamp)
