@@ -6,7 +6,7 @@ in full through the no-op sink; the figure per query is the median.
 
 As in the original application, analytics read the readings table that
 ingest wrote: setup lands ``events`` as that table (and a three-ingest replay
-of it) once, as multi-file parquet. Ingest itself is timed separately
+of it, and a copy with typed signal columns) once, as multi-file parquet. Ingest itself is timed separately
 (``shape_signals`` batch, ``stream_ingest`` streaming).
 """
 
@@ -59,7 +59,11 @@ def main() -> None:
     events = load_table(spark, sf_dir, "events")
     events_as_readings(events).repartition(cpus).write.parquet(f"{base}/readings")
     replayed_readings(events).repartition(cpus).write.parquet(f"{base}/replayed")
+    from sigflow.operators.shape import with_typed_signals
+
+    with_typed_signals(events_as_readings(events)).repartition(cpus).write.parquet(f"{base}/typed")
     lake = read_lake(spark, f"{base}/readings")
+    typed_lake = read_lake(spark, f"{base}/typed")
     replayed = read_lake(spark, f"{base}/replayed")
     # message files as the publish leg writes them (one JSON object per line)
     from sigflow.operators.shape import messages_to_readings, pack_messages
@@ -79,6 +83,7 @@ def main() -> None:
     batch = {
         "hourly_means": lambda: run_noop(aggregate.avg_signals_hourly(lake, cast="float")),
         "hourly_means_double": lambda: run_noop(aggregate.avg_signals_hourly(lake, cast="double")),
+        "hourly_means_typed": lambda: run_noop(aggregate.avg_signals_hourly(typed_lake, cast="float")),
         "distinct_count": lambda: run_noop(aggregate.distinct_signals_daily(lake)),
         "band_rename": lambda: run_noop(hourly_report(lake)),
         "replay_removal": lambda: run_noop(dedup_latest(replayed)),

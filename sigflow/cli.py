@@ -57,7 +57,8 @@ def cmd_consume(spark, args) -> None:
     q = start_consume(
         spark, args.messages, args.lake, ck, fmt=fmt, lake_format=args.lake_format,
         partition_by=["signal_date"] if args.partition_by_date else None,
-        trigger=_trigger(args), sink=args.sink, **source_opts,
+        trigger=_trigger(args), sink=args.sink,
+        typed_casts=tuple(args.typed.split(",")) if args.typed else None, **source_opts,
     )
     _finish(spark, q, args)
 
@@ -114,6 +115,7 @@ def main(argv=None) -> None:
     sp.add_argument("--partition-by-date", action="store_true")
     sp.add_argument("--taps", action="store_true")
     sp.add_argument("--sink", default="table", choices=["table", "batches"])
+    sp.add_argument("--typed", default=None, help="also write typed signal copies, e.g. float,double")
     streaming(sp)
 
     sp = sub.add_parser("report")

@@ -29,3 +29,15 @@ def signal_value(key: str, cast: str | None = None, signals: str = "signals") ->
 def flatten_signals(keys: list[str] | None = None, signals: str = "signals") -> list[Column]:
     """One string column per signal key, named by the key."""
     return [F.col(signals).getItem(k).alias(k) for k in (keys or SIGNAL_KEYS)]
+
+
+def typed_column(key: str, cast: str) -> str:
+    """Name of the materialised typed copy of a signal, e.g. ``ActivePower_kW_float``."""
+    return f"{key}_{cast}"
+
+
+def signal_number(df_columns: list[str], key: str, cast: str, signals: str = "signals") -> Column:
+    """Numeric value of a signal: the typed copy when the table has one
+    (same ``try_cast``, applied at ingest), else parsed from the map."""
+    name = typed_column(key, cast)
+    return F.col(name) if name in df_columns else signal_value(key, cast, signals)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigflow.functions.banding import generation_band
-from sigflow.functions.signals import signal_value
+from sigflow.functions.signals import signal_number
 from sigflow.schemas import SIGNAL_KEYS
 
 
@@ -31,12 +31,15 @@ def avg_signals_hourly(
 
     Values are map text converted with ``try_cast`` to ``cast`` ("float" as in
     the analysis script, "double" as in the notebook), so the two variants
-    differ in low digits. Partial aggregation runs before the shuffle, so a
-    hot hour costs one row per task, not one row per reading.
+    differ in low digits. A table written with typed copies of the signals
+    (:func:`sigflow.operators.shape.with_typed_signals`) is read through them
+    instead of the map. Partial aggregation runs before the shuffle, so a hot
+    hour costs one row per task, not one row per reading.
     """
     keys = keys or SIGNAL_KEYS
+    cols = readings.columns
     return readings.groupBy("signal_date", F.hour("signal_ts").alias("hour")).agg(
-        *[F.avg(signal_value(k, cast)).alias(f"avg_{k}") for k in keys]
+        *[F.avg(signal_number(cols, k, cast)).alias(f"avg_{k}") for k in keys]
     )
 
 

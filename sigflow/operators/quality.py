@@ -6,20 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dedup_latest(readings: DataFrame) -> DataFrame:
+# Columns that describe an ingest rather than a reading.
+AUDIT_COLUMNS = ("create_date", "create_ts", "app_id", "batch_id")
+
+
+def dedup_latest(readings: DataFrame, audit_cols: tuple[str, ...] = AUDIT_COLUMNS) -> DataFrame:
     """Keep the latest ingest of every reading.
 
-    A reading is identified by ``(signal_date, signal_ts, signals)``; among
-    its copies the one with the greatest ``create_ts`` is kept. This is a
-    grouped aggregate, not a window: each task first reduces its own copies
-    to one row, so a key with a huge number of replays never lands whole in
-    one task. Rows without ``signal_ts`` have no identity and pass through
+    A reading is identified by all its non-audit columns (time, date, signals
+    and any typed copies); among its copies the one with the greatest
+    ``create_ts`` is kept, with that copy's audit columns. This is a grouped
+    aggregate, not a window: each task first reduces its own copies to one
+    row, so a key with a huge number of replays never lands whole in one
+    task. Rows without ``signal_ts`` have no identity and pass through
     unchanged (they are counted by :func:`ingest_audit`).
     """
+    audit = [c for c in readings.columns if c in audit_cols]
+    keys = [c for c in readings.columns if c not in audit]
     keyed = readings.filter(F.col("signal_ts").isNotNull())
-    latest = keyed.groupBy("signal_date", "signal_ts", "signals").agg(
-        F.max_by("create_date", "create_ts").alias("create_date"),
+    latest = keyed.groupBy(*keys).agg(
         F.max("create_ts").alias("create_ts"),
+        *[F.max_by(c, "create_ts").alias(c) for c in audit if c != "create_ts"],
     )
     untimed = readings.filter(F.col("signal_ts").isNull())
     return latest.select(*readings.columns).unionByName(untimed)

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sigflow.functions.messages import parse_message, row_to_json
-from sigflow.functions.signals import signals_map
+from sigflow.functions.signals import signal_value, signals_map, typed_column
 from sigflow.functions.timeparse import parse_signal_date, parse_signal_ts
 from sigflow.schemas import (
     GENERIC_MESSAGE_SCHEMA,
     MESSAGE_SCHEMA,
     RAW_TIME,
+    SIGNAL_KEYS,
     SIGNAL_SOURCES,
 )
 
@@ -67,6 +68,22 @@ def shape_readings(parsed: DataFrame, create_ts: _dt.datetime | None = None) ->
     )
 
 
+def with_typed_signals(
+    readings: DataFrame, casts: tuple[str, ...] = ("float", "double"), keys: list[str] | None = None
+) -> DataFrame:
+    """Add typed copies of the signal values (``ActivePower_kW_float`` ...).
+
+    Written once at ingest, they let aggregates scan narrow numeric columns
+    instead of reading and parsing the whole text map on every query. Each
+    copy is the same ``try_cast`` an aggregate would apply to the map text,
+    so results are identical either way; the map itself is kept.
+    """
+    keys = keys or SIGNAL_KEYS
+    return readings.withColumns(
+        {typed_column(k, c): signal_value(k, c) for c in casts for k in keys}
+    )
+
+
 def messages_to_readings(
     messages: DataFrame, create_ts: _dt.datetime | None = None, strict: bool = False
 ) -> DataFrame:

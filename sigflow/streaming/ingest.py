@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from sigflow.operators.shape import messages_to_readings, pack_messages
+from sigflow.operators.shape import messages_to_readings, pack_messages, with_typed_signals
 from sigflow.sources.files import read_csv_stream
 from sigflow.sources.messages import read_message_stream
 from sigflow.streaming.sinks import (
@@ -72,6 +72,7 @@ def start_consume(
     trigger: dict | None = None,
     strict: bool = False,
     sink: str = "table",
+    typed_casts: tuple[str, ...] | None = None,
     **source_options,
 ) -> StreamingQuery:
     """Messages -> readings -> lake table (append, exactly once per batch).
@@ -80,9 +81,12 @@ def start_consume(
     writes one folder per (checkpoint, batch) with overwrite, so retries are
     idempotent and a run from a new checkpoint is kept as a replay; read it
     with :func:`sigflow.sources.lake.read_lake` (extra ``app_id``/``batch_id``
-    columns come from the folder names).
+    columns come from the folder names). ``typed_casts`` (e.g.
+    ``("float", "double")``) also writes typed copies of the signals.
     """
     readings = readings_stream(spark, source, fmt=fmt, strict=strict, **source_options)
+    if typed_casts:
+        readings = with_typed_signals(readings, typed_casts)
     if sink == "batches":
         writer = batch_folder_writer(
             lake_path, fmt=lake_format, partition_by=partition_by, app_id=app_id_for(checkpoint)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigflow.functions.signals import signal_value
+from sigflow.functions.signals import signal_number
 from sigflow.schemas import SIGNAL_KEYS
 
 _AVG_COLS = [f"avg_{k}" for k in SIGNAL_KEYS]
@@ -27,11 +27,12 @@ def hourly_means_stream(
     keys: list[str] | None = None,
 ) -> DataFrame:
     keys = keys or SIGNAL_KEYS
+    cols = readings.columns
     w = F.window("signal_ts", "1 hour")
     return (
         readings.withWatermark("signal_ts", watermark)
         .groupBy(w.alias("window"))
-        .agg(*[F.avg(signal_value(k, cast)).alias(f"avg_{k}") for k in keys])
+        .agg(*[F.avg(signal_number(cols, k, cast)).alias(f"avg_{k}") for k in keys])
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),

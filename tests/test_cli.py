@@ -10,11 +10,14 @@ def test_cli_four_stages(spark, scratch):
     main(["publish", "--csv-dir", f"{scratch}/csv", "--out", f"{scratch}/msgs",
           "--checkpoint", f"{scratch}/ck1", "--available-now"])
     main(["consume", "--messages", f"{scratch}/msgs", "--lake", f"{scratch}/lake",
-          "--checkpoint", f"{scratch}/ck2", "--available-now", "--partition-by-date"])
+          "--checkpoint", f"{scratch}/ck2", "--available-now", "--partition-by-date",
+          "--typed", "float,double"])
     main(["report", "--lake", f"{scratch}/lake", "--out", f"{scratch}/report",
           "--daily-out", f"{scratch}/daily", "--cast", "double"])
     main(["model", "--report", f"{scratch}/report", "--out", f"{scratch}/model", "--day", "2024-01-19"])
-    assert spark.read.parquet(f"{scratch}/lake").count() == 1000
+    lake = spark.read.parquet(f"{scratch}/lake")
+    assert lake.count() == 1000
+    assert "ActivePower_kW_float" in lake.columns and "WindDirection_deg_double" in lake.columns
     assert spark.read.parquet(f"{scratch}/daily").count() == 30
     report = spark.read.parquet(f"{scratch}/report")
     assert "generation_mapping" in report.columns
