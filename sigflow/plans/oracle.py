@@ -172,6 +172,11 @@ GROUP BY signal_date, signal_ts, ActivePower_kW, WindSpeed_m_s, PowerCurve_kWh,
 SELECT create_date, create_ts, count(*) AS num_records,
        count_if(signal_ts IS NULL) AS null_signal_ts,
        count_if(signal_date IS NULL) AS null_signal_date,
+       count_if(false) AS null_signals,
+       count_if(ActivePower_kW IS NULL) AS null_ActivePower_kW,
+       count_if(WindSpeed_m_s IS NULL) AS null_WindSpeed_m_s,
+       count_if(PowerCurve_kWh IS NULL) AS null_PowerCurve_kWh,
+       count_if(WindDirection_deg IS NULL) AS null_WindDirection_deg,
        min(signal_ts) AS min_signal_ts, max(signal_ts) AS max_signal_ts,
        min(signal_date) AS min_signal_date, max(signal_date) AS max_signal_date
 FROM replayed GROUP BY 1, 2""",

@@ -55,3 +55,4 @@ def test_ingest_audit(spark):
     r = rows[T[0]]
     assert (r.num_records, r.null_signal_ts, r.null_signal_date) == (434, 2, 2)
     assert r.min_signal_ts == dt.datetime(2018, 1, 1) and r.max_signal_ts == dt.datetime(2018, 1, 3, 23, 50)
+    assert (r.null_signals, r.null_ActivePower_kW, r.null_WindSpeed_m_s, r.null_PowerCurve_kWh) == (0, 2, 2, 434)
