@@ -9,6 +9,11 @@ Output modes: ``update`` emits a window every time it changes, so its last
 emission is the final value (use :func:`latest_windows` on the written
 batches); ``append`` emits each window once, final, after the watermark
 passes it, so the newest window waits for later data.
+
+For a stream that runs indefinitely prefer ``append`` into a lake table:
+update-mode batch folders grow with every micro-batch, so they suit bounded
+runs (``availableNow``), or should be compacted now and then by writing
+:func:`latest_windows` of them as a table.
 """
 
 from __future__ import annotations

@@ -1,0 +1,46 @@
+"""Property tests: Python whitespace semantics and lenient time parsing."""
+
+import datetime as dt
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sigflow.functions.text import is_blank, strip_text
+from sigflow.functions.timeparse import parse_signal_date, parse_signal_ts
+
+# every character Python's str.isspace() accepts, plus ordinary text
+SPACES = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+ALPHABET = st.sampled_from(SPACES + list("ab é​"))  # ​ is not whitespace
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=8), min_size=200, max_size=200))
+def test_blank_and_strip_follow_python(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = df.select("i", is_blank("t").alias("b"), strip_text("t").alias("s")).collect()
+    for r in rows:
+        t = texts[r.i]
+        assert r.b == (not t.strip()), repr(t)
+        assert r.s == t.strip(), repr(t)
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(
+    st.tuples(
+        st.datetimes(min_value=dt.datetime(1900, 1, 1), max_value=dt.datetime(2099, 12, 31)),
+        st.booleans(), st.booleans(), st.sampled_from(["", " ", "  \t"]), st.sampled_from(["", ":00", " x"]),
+    ),
+    min_size=200, max_size=200,
+))
+def test_lenient_parse_matches_calendar(spark, cases):
+    texts, expected = [], []
+    for t, pad_date, pad_time, lead, trail in cases:
+        d = f"{t.day:02d} {t.month:02d}" if pad_date else f"{t.day} {t.month}"
+        hm = f"{t.hour:02d}:{t.minute:02d}" if pad_time else f"{t.hour}:{t.minute}"
+        texts.append(f"{lead}{d} {t.year} {hm}{trail}")
+        expected.append((t.date(), t.replace(second=0, microsecond=0)))
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, raw string")
+    got = df.select("i", parse_signal_date("raw").alias("d"), parse_signal_ts("raw").alias("ts")).collect()
+    for r in got:
+        assert (r.d, r.ts) == expected[r.i], texts[r.i]
