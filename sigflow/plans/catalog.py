@@ -330,5 +330,9 @@ QUERIES: dict[str, Query] = {
     "fallback_record": q_fallback_record,
     "stream_ingest": streams.q_stream_ingest,
     "stream_hourly": streams.q_stream_hourly,
+    "stream_replay": streams.q_stream_replay,
+    "stream_fanout": streams.q_stream_fanout,
+    "dedup_first": streams.q_dedup_first,
+    "save_processed": streams.q_save_processed,
 }
 QUERIES = {k: _prepared(v) for k, v in QUERIES.items()}

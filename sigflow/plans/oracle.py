@@ -320,3 +320,20 @@ SELECT date_trunc('hour', signal_ts) AS window_start,
        avg(TRY_CAST(WindDirection_deg AS DOUBLE)) AS avg_WindDirection_deg
 FROM readings GROUP BY 1, 2""",
 })
+
+_SHAPED = f"""
+shaped AS (
+  SELECT {_parse_date('date_time')} AS signal_date, {_parse_ts('date_time')} AS signal_ts,
+         CAST(active_power AS VARCHAR) AS ActivePower_kW, CAST(wind_speed AS VARCHAR) AS WindSpeed_m_s,
+         CAST(power_curve AS VARCHAR) AS PowerCurve_kWh, CAST(wind_direction AS VARCHAR) AS WindDirection_deg
+  FROM raw)"""
+
+ORACLE_SQL.update({
+    "stream_replay": f"WITH {_RAW}, {_SHAPED} SELECT DISTINCT * FROM shaped",
+    "stream_fanout": """SELECT 'raw' AS target, count(*) AS num_rows FROM events
+UNION ALL SELECT 'lake' AS target, count(*) AS num_rows FROM events""",
+    "dedup_first": f"""WITH {_READINGS}
+SELECT DISTINCT signal_date, signal_ts, ActivePower_kW, WindSpeed_m_s, PowerCurve_kWh, WindDirection_deg
+FROM readings""",
+    "save_processed": ORACLE_SQL["rename_mapped"],
+})

@@ -12,16 +12,20 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sigflow.functions.signals import flatten_signals
+from sigflow.operators.quality import dedup_latest
+from sigflow.operators.shape import pack_messages
+from sigflow.plans.analysis import hourly_report
 from sigflow.schemas import READINGS_SCHEMA
 from sigflow.session import checkpoint_root
-from sigflow.sources.lake import read_lake
-from sigflow.sources.tables import events_as_raw, events_as_readings, load_table
+from sigflow.sources.lake import read_lake, write_lake
+from sigflow.sources.tables import events_as_raw, events_as_readings, load_table, replayed_readings
 from sigflow.streaming.control import run_to_completion
-from sigflow.streaming.ingest import start_consume, start_publish_csv
-from sigflow.streaming.sinks import batch_folder_writer, start_foreach_batch
-from sigflow.streaming.windows import hourly_means_stream, latest_windows
+from sigflow.streaming.ingest import start_consume, start_consume_fanout, start_publish_csv
+from sigflow.streaming.sinks import batch_folder_writer, start_foreach_batch, start_lake_sink
+from sigflow.streaming.windows import dedup_first_stream, hourly_means_stream, latest_windows
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -78,3 +82,56 @@ def hourly_stream_job(spark: SparkSession, sf_dir: str, watermark: str = "1 hour
 
 def q_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly_stream_job(spark, sf_dir)
+
+
+def land_messages(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Message files as the publish leg writes them, from ``events``."""
+    pack_messages(events_as_raw(load_table(spark, sf_dir, "events"))).write.text(path)
+
+
+def q_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consume once, restart with the same checkpoint (adds nothing), then
+    replay from a new checkpoint (adds everything again); replay removal
+    leaves one row per reading."""
+    base = run_folder(spark, "replay")
+    land_messages(spark, sf_dir, f"{base}/messages")
+    for ck in ("ck_first", "ck_first", "ck_replay"):
+        run_to_completion(start_consume(
+            spark, f"{base}/messages", f"{base}/lake", f"{base}/{ck}",
+            trigger=AVAILABLE_NOW, sink="batches",
+        ))
+    lake = read_lake(spark, f"{base}/lake").select(*READINGS_SCHEMA.fieldNames())
+    return dedup_latest(lake).select("signal_date", "signal_ts", *flatten_signals())
+
+
+def q_stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One read of the messages feeding the raw archive and the shaped table."""
+    base = run_folder(spark, "fanout")
+    land_messages(spark, sf_dir, f"{base}/messages")
+    run_to_completion(start_consume_fanout(
+        spark, f"{base}/messages", f"{base}/lake", f"{base}/raw", f"{base}/ck", trigger=AVAILABLE_NOW,
+    ))
+    raw = spark.read.text(f"{base}/raw").agg(F.count(F.lit(1)).alias("num_rows"))
+    lake = spark.read.parquet(f"{base}/lake").agg(F.count(F.lit(1)).alias("num_rows"))
+    return raw.select(F.lit("raw").alias("target"), "num_rows").unionByName(
+        lake.select(F.lit("lake").alias("target"), "num_rows"))
+
+
+def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming replay removal: three ingests of the readings, first arrival kept."""
+    base = run_folder(spark, "dedup-first")
+    replayed_readings(load_table(spark, sf_dir, "events")).write.parquet(f"{base}/readings")
+    stream = spark.readStream.schema(READINGS_SCHEMA).parquet(f"{base}/readings")
+    run_to_completion(start_lake_sink(
+        dedup_first_stream(stream, "1 hour"), f"{base}/lake", f"{base}/ck", trigger=AVAILABLE_NOW,
+    ))
+    return read_lake(spark, f"{base}/lake").select("signal_date", "signal_ts", *flatten_signals())
+
+
+def q_save_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly report saved with overwrite (twice: a rerun replaces), read back."""
+    base = run_folder(spark, "processed")
+    report = hourly_report(events_as_readings(load_table(spark, sf_dir, "events")))
+    write_lake(report, f"{base}/report")
+    write_lake(report, f"{base}/report")
+    return read_lake(spark, f"{base}/report")
