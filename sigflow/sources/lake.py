@@ -20,7 +20,14 @@ def write_lake(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
+    sort_by: list[str] | None = None,
 ) -> None:
+    """Write a table. ``partition_by`` (e.g. ``signal_date``) lets filters on
+    it prune folders; ``sort_by`` (e.g. ``signal_ts``) sorts rows within each
+    task, without a shuffle, so per-file min/max statistics are tight and
+    range filters skip row groups."""
+    if sort_by:
+        df = df.sortWithinPartitions(*((partition_by or []) + sort_by))
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

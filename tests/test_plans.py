@@ -47,3 +47,12 @@ def test_route_intent_combines_before_shuffle(spark):
 def test_text_extraction_once_per_branch(spark):
     p = plan(catalog.q_fallback_record(spark, SF_SMALL))
     assert p.count("from_json(") == 2  # records branch and record-key branch, no inferred duplicate
+
+
+def test_sorted_lake_write_skips_row_groups(spark, scratch):
+    readings = events_as_readings(load_table(spark, "/root/testdata/sf0.01", "events"))
+    write_lake(readings, f"{scratch}/lake", sort_by=["signal_ts"])
+    lake = read_lake(spark, f"{scratch}/lake")
+    day = lake.filter(F.col("signal_ts") < F.lit("2024-01-02").cast("timestamp"))
+    assert "PushedFilters: [IsNotNull(signal_ts), LessThan(signal_ts" in plan(day)
+    assert day.count() == readings.filter(F.col("signal_ts") < F.lit("2024-01-02").cast("timestamp")).count()

@@ -214,3 +214,11 @@ def test_save_processed_overwrites(spark, scratch):
     back = read_lake(spark, f"{scratch}/processed")
     assert back.count() == report.count()
     assert back.columns == report.columns
+
+
+def test_kafka_source_needs_connector(spark):
+    from sigflow.sources.messages import read_message_stream
+
+    with pytest.raises(Exception) as err:
+        read_message_stream(spark, fmt="kafka", bootstrap="localhost:9092", topic="dataset")
+    assert "kafka" in str(err.value).lower()
