@@ -18,6 +18,9 @@ BASE_CONF = {
     # Let AQE split oversized shuffle partitions (hot keys) and merge tiny ones.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove DataFrame.checkpoint() files from the shared folder once the
+    # checkpointed data is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
