@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from sigflow.functions.signals import signal_value
-from sigflow.operators.aggregate import avg_signals_hourly
+from sigflow.operators.aggregate import avg_signals_hourly, distinct_signals_daily
 from sigflow.operators.mapping import mapping_join_long, rename_mapped, signal_mapping
 from sigflow.schemas import SIGNAL_MAPPING, SIGNAL_MAPPING_LEGACY_LABEL
 
@@ -37,7 +37,6 @@ def test_null_date_is_own_group(spark):
         "signal_date date, signal_ts timestamp, signals map<string,string>",
     )
     from sigflow.plans.analysis import hourly_indicator
-    from sigflow.operators.aggregate import distinct_signals_daily
 
     row = hourly_indicator(df).first()
     assert row.signal_date is None and row.hour is None and row.avg_ActivePower_kW is None
@@ -77,3 +76,21 @@ def test_mapping_join_long_broadcasts(spark):
                    ("avg_WindSpeed_m_s", "wind_speed_average", 2.0), ("other", "other", 3.0)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_mapping_join_long_first_row_wins_and_unmapped(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0)], "hour int, a double, b double")
+    mapping = spark.createDataFrame([("a", "first"), ("a", "second"), ("zzz", "unused")],
+                                    "sig_name string, sig_mapping_name string")
+    got = sorted((r.sig_name, r.sig_mapping_name) for r in mapping_join_long(df, mapping, ["hour"]).collect())
+    assert got == [("a", "first"), ("b", "b")]
+
+
+def test_approx_distinct_close_to_exact(spark):
+    from sigflow.sources.tables import events_as_readings, load_table
+
+    r = events_as_readings(load_table(spark, "/root/testdata/sf0.01", "events"))
+    exact = {x.signal_date: x.distinct_signal_count for x in distinct_signals_daily(r).collect()}
+    approx = {x.signal_date: x.distinct_signal_count for x in distinct_signals_daily(r, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[d] - exact[d]) <= 0.1 * exact[d] for d in exact)
