@@ -18,6 +18,11 @@ BASE_CONF = {
     # Let AQE split oversized shuffle partitions (hot keys) and merge tiny ones.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming state (windows, de-duplication) in RocksDB: off the JVM heap,
+    # spilling to local disk, checkpointed incrementally to the shared folder.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Remove DataFrame.checkpoint() files from the shared folder once the
     # checkpointed data is no longer referenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
