@@ -12,8 +12,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from sigflow.operators.shape import messages_to_readings, pack_messages, with_typed_signals
+from sigflow.operators.shape import (
+    flatten_messages,
+    messages_to_readings,
+    pack_messages,
+    with_typed_signals,
+)
+from sigflow.schemas import GENERIC_MESSAGE_SCHEMA
 from sigflow.sources.files import read_csv_stream
 from sigflow.sources.messages import read_message_stream
 from sigflow.streaming.sinks import (
@@ -98,6 +105,26 @@ def start_consume(
     )
 
 
+def start_consume_generic(
+    spark: SparkSession,
+    source: str | None,
+    lake_path: str,
+    checkpoint: str,
+    *,
+    schema: StructType = GENERIC_MESSAGE_SCHEMA,
+    fmt: str = "text",
+    lake_format: str = "parquet",
+    trigger: dict | None = None,
+    **source_options,
+) -> StreamingQuery:
+    """Simple messages (``{"id": ..., "value": ...}`` by default) flattened to
+    columns and appended to a lake table."""
+    messages = read_message_stream(spark, source, fmt=fmt, **source_options)
+    return start_lake_sink(
+        flatten_messages(messages, schema), lake_path, checkpoint, fmt=lake_format, trigger=trigger
+    )
+
+
 def start_consume_fanout(
     spark: SparkSession,
     source: str | None,

@@ -222,3 +222,14 @@ def test_kafka_source_needs_connector(spark):
     with pytest.raises(Exception) as err:
         read_message_stream(spark, fmt="kafka", bootstrap="localhost:9092", topic="dataset")
     assert "kafka" in str(err.value).lower()
+
+
+def test_generic_messages_stream(spark, scratch):
+    from sigflow.streaming.ingest import start_consume_generic
+
+    _write(f"{scratch}/msgs/a.json", ['{"id": "t1", "value": 1.5}', '{"id": "t2"}', "junk"])
+    run_to_completion(start_consume_generic(spark, f"{scratch}/msgs", f"{scratch}/lake", f"{scratch}/ck",
+                                            trigger=NOW))
+    rows = sorted(tuple(r) for r in read_lake(spark, f"{scratch}/lake").collect() if r.id)
+    assert rows == [("t1", 1.5), ("t2", None)]
+    assert read_lake(spark, f"{scratch}/lake").count() == 3  # junk kept as an all-null row
