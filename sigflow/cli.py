@@ -69,7 +69,7 @@ def cmd_report(spark, args) -> None:
     from sigflow.sources.lake import read_lake, write_lake
 
     readings = read_lake(spark, args.lake, args.lake_format)
-    write_lake(hourly_report(readings, cast=args.cast), args.out, fmt=args.lake_format)
+    write_lake(hourly_report(readings, cast=args.cast, zone=args.zone), args.out, fmt=args.lake_format)
     if args.daily_out:
         write_lake(distinct_signals_daily(readings), args.daily_out, fmt=args.lake_format)
 
@@ -123,6 +123,7 @@ def main(argv=None) -> None:
     sp.add_argument("--out", required=True)
     sp.add_argument("--daily-out", default=None)
     sp.add_argument("--cast", default="float", choices=["float", "double"])
+    sp.add_argument("--zone", default=None, help="time zone for hours, e.g. Asia/Kolkata (default: session)")
 
     sp = sub.add_parser("model")
     sp.add_argument("--report", required=True)

@@ -24,8 +24,17 @@ def distinct_signals_daily(readings: DataFrame, approx: bool = False) -> DataFra
     return readings.groupBy("signal_date").agg(distinct.alias("distinct_signal_count"))
 
 
+def hour_of(ts_col: str = "signal_ts", zone: str | None = None):
+    """Hour of a timestamp: in the session time zone, or in ``zone`` whatever
+    the session's zone is (e.g. the zone the feed was recorded in)."""
+    if zone is None:
+        return F.hour(ts_col)
+    wall = F.convert_timezone(None, F.lit(zone), F.col(ts_col).cast("timestamp_ntz"))
+    return F.hour(wall)
+
+
 def avg_signals_hourly(
-    readings: DataFrame, cast: str = "float", keys: list[str] | None = None
+    readings: DataFrame, cast: str = "float", keys: list[str] | None = None, zone: str | None = None
 ) -> DataFrame:
     """Mean of each signal per ``(signal_date, hour)``.
 
@@ -33,12 +42,13 @@ def avg_signals_hourly(
     the analysis script, "double" as in the notebook), so the two variants
     differ in low digits. A table written with typed copies of the signals
     (:func:`sigflow.operators.shape.with_typed_signals`) is read through them
-    instead of the map. Partial aggregation runs before the shuffle, so a hot
+    instead of the map. Hours are taken in the session time zone unless
+    ``zone`` is given. Partial aggregation runs before the shuffle, so a hot
     hour costs one row per task, not one row per reading.
     """
     keys = keys or SIGNAL_KEYS
     cols = readings.columns
-    return readings.groupBy("signal_date", F.hour("signal_ts").alias("hour")).agg(
+    return readings.groupBy("signal_date", hour_of("signal_ts", zone).alias("hour")).agg(
         *[F.avg(signal_number(cols, k, cast)).alias(f"avg_{k}") for k in keys]
     )
 

@@ -11,14 +11,15 @@ from sigflow.operators.aggregate import avg_signals_hourly, with_generation_indi
 from sigflow.operators.mapping import rename_mapped, signal_mapping
 
 
-def hourly_indicator(readings: DataFrame, cast: str = "float") -> DataFrame:
-    return with_generation_indicator(avg_signals_hourly(readings, cast=cast))
+def hourly_indicator(readings: DataFrame, cast: str = "float", zone: str | None = None) -> DataFrame:
+    return with_generation_indicator(avg_signals_hourly(readings, cast=cast, zone=zone))
 
 
 def hourly_report(
-    readings: DataFrame, cast: str = "float", mapping: DataFrame | None = None
+    readings: DataFrame, cast: str = "float", mapping: DataFrame | None = None,
+    zone: str | None = None,
 ) -> DataFrame:
     """Hourly means with their band, columns renamed through the mapping."""
     spark = readings.sparkSession
     mapping = mapping if mapping is not None else signal_mapping(spark)
-    return rename_mapped(hourly_indicator(readings, cast=cast), mapping)
+    return rename_mapped(hourly_indicator(readings, cast=cast, zone=zone), mapping)

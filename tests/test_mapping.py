@@ -94,3 +94,20 @@ def test_approx_distinct_close_to_exact(spark):
     approx = {x.signal_date: x.distinct_signal_count for x in distinct_signals_daily(r, approx=True).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[d] - exact[d]) <= 0.1 * exact[d] for d in exact)
+
+
+def test_hours_in_a_fixed_zone_ignore_session_zone(spark):
+    import datetime as dt2
+
+    df = spark.createDataFrame([(dt2.date(2018, 1, 1), dt2.datetime(2018, 1, 1, 23, 50), {"ActivePower_kW": "1"})],
+                               "signal_date date, signal_ts timestamp, signals map<string,string>")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        hours = set()
+        for session_zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session_zone)
+            hours.add(avg_signals_hourly(df, "double", ["ActivePower_kW"], zone="Asia/Kolkata").first().hour)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert len(hours) == 1
+    assert hours == {5}  # 23:50 UTC is 05:20 at +05:30
