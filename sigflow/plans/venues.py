@@ -106,10 +106,15 @@ def venue_records(turns: DataFrame) -> DataFrame:
     return normalise_records(extracted, ["conv_id", "turn"])
 
 
-def venue_results(turns: DataFrame) -> DataFrame:
+def venue_results(turns: DataFrame, materialize: bool = True) -> DataFrame:
     """Normalised records per request, with the fallback for empty searches.
 
     ``pos`` orders records within a request: ``turn * 1000 + position``.
+    The fallback step reads the records twice (the records themselves and
+    their keys); with ``materialize`` they are checkpointed once to the shared
+    checkpoint folder, so the text extraction runs once, not once per read.
     """
     records = venue_records(turns).withColumn("pos", F.col("turn") * 1000 + F.col("pos")).drop("turn")
+    if materialize:
+        records = records.checkpoint(eager=True)
     return with_fallback(venue_requests(turns), records, KEY)

@@ -44,9 +44,14 @@ def test_route_intent_combines_before_shuffle(spark):
     assert "partial_max_by" in p
 
 
-def test_text_extraction_once_per_branch(spark):
-    p = plan(catalog.q_fallback_record(spark, SF_SMALL))
-    assert p.count("from_json(") == 2  # records branch and record-key branch, no inferred duplicate
+def test_text_extraction_once(spark):
+    from sigflow.plans import venues
+
+    turns = load_table(spark, SF_SMALL, "conversations")
+    # without materialising: once per branch (records and their keys), no inferred duplicate
+    assert plan(venues.venue_results(turns, materialize=False)).count("from_json(") == 2
+    # materialised: the extraction ran once, in the checkpoint job
+    assert plan(venues.venue_results(turns)).count("from_json(") == 0
 
 
 def test_sorted_lake_write_skips_row_groups(spark, scratch):
