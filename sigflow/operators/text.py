@@ -71,17 +71,30 @@ def route_intent(
     return last.select(key, route.alias("route"))
 
 
+# Standard JSON only (the parser otherwise also takes single-quoted strings).
+STRICT_JSON = {"allowSingleQuotes": "false"}
+
+
 def extract_json_array(df: DataFrame, text_col: str = "text", out_col: str = "venues") -> DataFrame:
     """Records from the JSON array embedded in free text.
 
-    The span runs from the first ``[{`` to the last ``}]``; no span, or a span
-    that is not a JSON array of objects, gives an empty array. (A span
-    holding two separate arrays is read as its first array.) The span is
-    cut once per row; ``from_json`` of the empty span is null.
+    The span runs from the first ``[{`` to the last ``}]``. It counts only if
+    the whole span is one JSON value: parsed as ``[span,0]`` it must give
+    exactly two elements, the second the sentinel ``0``, so text after the
+    first array (a second array, stray brackets) makes the span invalid. No
+    span, or an invalid one, gives an empty array. The span is cut once per
+    row.
     """
     span = F.regexp_extract(F.col(text_col), JSON_ARRAY_SPAN, 0)
+    wrapped = F.from_json(F.concat(F.lit("["), F.col("_span"), F.lit(",0]")), "array<string>", STRICT_JSON)
+    single = (F.size(wrapped) == 2) & (F.element_at(wrapped, 2) == "0")
+    parsed = F.when(single, F.from_json(F.col("_span"), VENUE_ARRAY_SCHEMA, STRICT_JSON))
     empty = F.array().cast(VENUE_ARRAY_SCHEMA)
-    return df.withColumn(out_col, F.coalesce(F.from_json(span, VENUE_ARRAY_SCHEMA), empty))
+    return (
+        df.withColumn("_span", span)
+        .withColumn(out_col, F.coalesce(parsed, empty))
+        .drop("_span")
+    )
 
 
 def normalise_records(

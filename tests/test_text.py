@@ -38,6 +38,9 @@ JSON_TEXT = [
     (4, '[{"name": "A"}] and [{"name": "B"}]'),
     (5, '[\n {"name": "C", "phone": null}\n]'),
     (6, None),
+    (7, "[{'name': 'single quotes'}]"),
+    (8, 'x [{"name": "D"}], [{"name": "E"}] y'),
+    (9, '[{"name": "F", "note": "a ] b"}]'),
 ]
 
 
@@ -45,7 +48,8 @@ def test_extract_json_array(spark):
     df = spark.createDataFrame(JSON_TEXT, "id long, text string")
     out = {r.id: [v.name for v in r.venues] for r in text.extract_json_array(df).collect()}
     assert out[1] == ["A"] and out[2] == [] and out[3] == [] and out[5] == ["C"] and out[6] == []
-    assert out[4] == ["A"]  # documented: the first of two arrays
+    assert out[7] == [] and out[8] == [] and out[9] == ["F"]
+    assert out[4] == []  # two arrays: the span is not one JSON value
 
 
 def test_normalise_defaults(spark):
