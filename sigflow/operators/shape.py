@@ -57,9 +57,12 @@ def shape_readings(parsed: DataFrame, create_ts: _dt.datetime | None = None) ->
     else:
         create_date_col = F.lit(create_ts.date())
         create_ts_col = F.lit(create_ts).cast("timestamp")
-    return parsed.select(
-        parse_signal_date(raw_time).alias("signal_date"),
-        parse_signal_ts(raw_time).alias("signal_ts"),
+    # The time is parsed once; when it parses, its date is the text's date, so
+    # the date pattern is only tried on rows without a time (bare dates, junk).
+    staged = parsed.select("data", parse_signal_ts(raw_time).alias("signal_ts"))
+    return staged.select(
+        F.coalesce(F.to_date("signal_ts"), parse_signal_date(raw_time)).alias("signal_date"),
+        "signal_ts",
         create_date_col.alias("create_date"),
         create_ts_col.alias("create_ts"),
         signals_map({k: F.col(f"data.`{src}`") for k, src in SIGNAL_SOURCES.items()}).alias(

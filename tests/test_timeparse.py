@@ -38,3 +38,14 @@ def test_parse_never_raises_under_ansi(spark):
     df = spark.createDataFrame([("99 99 9999 99:99",), ("garbage",)], "raw string")
     rows = df.select(parse_signal_ts("raw").alias("ts")).collect()
     assert [r.ts for r in rows] == [None, None]
+
+
+def test_shaping_gives_the_same_dates(spark):
+    import json
+
+    from sigflow.operators.shape import messages_to_readings
+
+    msgs = spark.createDataFrame([(json.dumps({"Date/Time": t}),) for t, _, _ in DATES_EDGE], "value string")
+    got = sorted((r.signal_date, r.signal_ts) for r in messages_to_readings(msgs).collect())
+    want = sorted((d, ts) for _, d, ts in DATES_EDGE)
+    assert got == want
