@@ -46,6 +46,6 @@ def test_shaping_gives_the_same_dates(spark):
     from sigflow.operators.shape import messages_to_readings
 
     msgs = spark.createDataFrame([(json.dumps({"Date/Time": t}),) for t, _, _ in DATES_EDGE], "value string")
-    got = sorted((r.signal_date, r.signal_ts) for r in messages_to_readings(msgs).collect())
-    want = sorted((d, ts) for _, d, ts in DATES_EDGE)
+    got = sorted(((r.signal_date, r.signal_ts) for r in messages_to_readings(msgs).collect()), key=str)
+    want = sorted(((d, ts) for _, d, ts in DATES_EDGE), key=str)
     assert got == want
