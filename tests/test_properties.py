@@ -44,3 +44,69 @@ def test_lenient_parse_matches_calendar(spark, cases):
     got = df.select("i", parse_signal_date("raw").alias("d"), parse_signal_ts("raw").alias("ts")).collect()
     for r in got:
         assert (r.d, r.ts) == expected[r.i], texts[r.i]
+
+
+WORDS = ["find", "hall", "shall", "x", " ", "　", "", "Garden", "tea"]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(
+    st.tuples(st.integers(0, 15), st.sampled_from(["user", "assistant", "system"]),
+              st.one_of(st.none(), st.lists(st.sampled_from(WORDS), max_size=3).map(" ".join))),
+    min_size=50, max_size=150,
+))
+def test_text_picks_match_brute_force(spark, rows):
+    from sigflow.operators.text import cap_items, last_user_turn, route_intent
+    from sigflow.schemas import ROUTER_KEYWORDS
+
+    turns = [(c, i, role, text) for i, (c, role, text) in enumerate(rows)]  # unique turns
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    by_conv = {}
+    for c, t, role, text in turns:
+        by_conv.setdefault(c, []).append((t, role, text))
+
+    want_last = {}
+    want_route = {}
+    want_cap = set()
+    for c, items in by_conv.items():
+        items.sort()
+        users = [(t, x) for t, r, x in items if r == "user" and x is not None and x.strip()]
+        if users:
+            want_last[c] = users[-1]
+        last = items[-1][2]
+        hit = last is not None and any(k in last.lower() for k in ROUTER_KEYWORDS)
+        want_route[c] = "search_venues_node" if hit else "general_chat_node"
+        for t, r, x in items[:6]:
+            if x is not None and x.strip():
+                want_cap.add((c, t))
+
+    assert {r.conv_id: (r.turn, r.text) for r in last_user_turn(df).collect()} == want_last
+    assert {r.conv_id: r.route for r in route_intent(df).collect()} == want_route
+    assert {(r.conv_id, r.turn) for r in cap_items(df, ["conv_id"], ["turn"]).collect()} == want_cap
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 20), st.integers(0, 3), st.integers(0, 5)), min_size=30, max_size=120))
+def test_dedup_latest_matches_brute_force(spark, rows):
+    from sigflow.operators.quality import dedup_latest
+    from sigflow.schemas import READINGS_SCHEMA
+
+    base = dt.datetime(2018, 1, 1)
+    data = []
+    for minute, value, ingest in rows:
+        ts = None if minute == 0 else base + dt.timedelta(minutes=minute)
+        created = dt.datetime(2024, 1, 1) + dt.timedelta(days=ingest)
+        data.append((ts.date() if ts else None, ts, created.date(), created, {"ActivePower_kW": str(value)}))
+    out = dedup_latest(spark.createDataFrame(data, READINGS_SCHEMA)).collect()
+
+    latest = {}
+    untimed = []
+    for d, ts, cd, ct, sig in data:
+        if ts is None:
+            untimed.append(ct)
+            continue
+        key = (ts, sig["ActivePower_kW"])
+        latest[key] = max(latest.get(key, ct), ct)
+    got_timed = {(r.signal_ts, r.signals["ActivePower_kW"]): r.create_ts for r in out if r.signal_ts is not None}
+    assert got_timed == latest
+    assert sorted(r.create_ts for r in out if r.signal_ts is None) == sorted(untimed)
