@@ -110,3 +110,43 @@ def test_dedup_latest_matches_brute_force(spark, rows):
     got_timed = {(r.signal_ts, r.signals["ActivePower_kW"]): r.create_ts for r in out if r.signal_ts is not None}
     assert got_timed == latest
     assert sorted(r.create_ts for r in out if r.signal_ts is None) == sorted(untimed)
+
+
+def _json_fragment():
+    record = st.fixed_dictionaries(
+        {"name": st.text(alphabet="ab ]}[{\"'", max_size=4)},
+        optional={"rating": st.floats(allow_nan=False, allow_infinity=False, width=32)},
+    )
+    good = st.lists(record, min_size=1, max_size=3).map(lambda rs: __import__("json").dumps(rs))
+    broken = st.sampled_from(['[{"name": "a",}]', "[{'name': 'q'}]", '[{"name": "a"}', '[ {"name": "b"} ] ]'])
+    return st.one_of(good, broken)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(
+    st.tuples(st.sampled_from(["", "Here:", "x [ y", "a } b", "　"]), st.lists(_json_fragment(), max_size=2),
+              st.sampled_from(["", " done", "\n", "]"])),
+    min_size=30, max_size=60,
+))
+def test_json_array_extraction_matches_python(spark, cases):
+    import json
+    import re
+
+    from sigflow.operators.text import extract_json_array
+
+    texts = [pre + " ".join(frags) + post for pre, frags, post in cases]
+
+    def brute(text):
+        m = re.search(r"\[\s*\{.*\}\s*\]", text, re.DOTALL)
+        if not m:
+            return []
+        try:
+            v = json.loads(m.group(0))
+        except ValueError:
+            return []
+        return [r.get("name") for r in v] if isinstance(v, list) else []
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r.i: [v.name for v in r.venues] for r in extract_json_array(df).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == brute(text), repr(text)
