@@ -20,8 +20,8 @@ from sigflow.schemas import (
     ROUTE_GENERAL,
     ROUTE_SEARCH,
     ROUTER_KEYWORDS,
-    VENUE_ARRAY_SCHEMA,
     VENUE_SCHEMA,
+    VENUE_TEXT_ARRAY_SCHEMA,
 )
 
 # First '[', blanks, '{' ... last '}', blanks, ']' (dot matches newlines).
@@ -88,8 +88,8 @@ def extract_json_array(df: DataFrame, text_col: str = "text", out_col: str = "ve
     span = F.regexp_extract(F.col(text_col), JSON_ARRAY_SPAN, 0)
     wrapped = F.from_json(F.concat(F.lit("["), F.col("_span"), F.lit(",0]")), "array<string>", STRICT_JSON)
     single = (F.size(wrapped) == 2) & (F.element_at(wrapped, 2) == "0")
-    parsed = F.when(single, F.from_json(F.col("_span"), VENUE_ARRAY_SCHEMA, STRICT_JSON))
-    empty = F.array().cast(VENUE_ARRAY_SCHEMA)
+    parsed = F.when(single, F.from_json(F.col("_span"), VENUE_TEXT_ARRAY_SCHEMA, STRICT_JSON))
+    empty = F.array().cast(VENUE_TEXT_ARRAY_SCHEMA)
     return (
         df.withColumn("_span", span)
         .withColumn(out_col, F.coalesce(parsed, empty))
@@ -102,7 +102,8 @@ def normalise_records(
 ) -> DataFrame:
     """One row per record with defaults for the optional fields: image "",
     phone and email "Contact for details", amenities and features a
-    one-element list of that text. Required fields stay as given."""
+    one-element list of that text. Required fields stay as given; the rating,
+    written as a number or as quoted text, becomes a double."""
     # The outer form keeps Catalyst from inferring a "non-empty" filter and
     # pushing it below the projection that builds the array, which would
     # evaluate the extraction twice per row.
@@ -118,7 +119,7 @@ def normalise_records(
         F.col("v.location").alias("location"),
         F.col("v.capacity").alias("capacity"),
         F.col("v.priceRange").alias("priceRange"),
-        F.col("v.rating").alias("rating"),
+        F.col("v.rating").try_cast("double").alias("rating"),
         F.col("v.description").alias("description"),
         F.coalesce(F.col("v.image"), F.lit("")).alias("image"),
         F.coalesce(F.col("v.phone"), contact).alias("phone"),

@@ -153,3 +153,9 @@ VENUE_SCHEMA = StructType(
     ]
 )
 VENUE_ARRAY_SCHEMA = ArrayType(VENUE_SCHEMA, True)
+# As read from text: the rating as written (a JSON number or a quoted number),
+# converted to double when the records are normalised.
+VENUE_TEXT_SCHEMA = StructType(
+    [StructField(f.name, StringType(), True) if f.name == "rating" else f for f in VENUE_SCHEMA.fields]
+)
+VENUE_TEXT_ARRAY_SCHEMA = ArrayType(VENUE_TEXT_SCHEMA, True)

@@ -41,6 +41,7 @@ JSON_TEXT = [
     (7, "[{'name': 'single quotes'}]"),
     (8, 'x [{"name": "D"}], [{"name": "E"}] y'),
     (9, '[{"name": "F", "note": "a ] b"}]'),
+    (10, '[{"name": "G", "rating": "4.5", "capacity": 300}]'),
 ]
 
 
@@ -59,6 +60,7 @@ def test_normalise_defaults(spark):
     assert (r.image, r.phone, r.email) == ("", CONTACT_DEFAULT, CONTACT_DEFAULT)
     assert r.amenities == ["x"] and r.features == [CONTACT_DEFAULT] and r.rating == 4.5
     assert rows[5].phone == CONTACT_DEFAULT  # explicit null is defaulted too
+    assert rows[10].rating == 4.5 and rows[10].capacity == "300"  # quoted number, number as text
     assert 2 not in rows
 
 
