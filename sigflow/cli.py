@@ -14,8 +14,12 @@ folders under the session's ``spark.checkpoint.dir``. ``--kafka HOST:PORT
 from __future__ import annotations
 
 import argparse
+import logging
 
 from sigflow.session import build_session, stream_checkpoint
+from sigflow.streaming.control import stop_all
+
+log = logging.getLogger("sigflow")
 
 
 def _trigger(args) -> dict | None:
@@ -89,7 +93,9 @@ def cmd_model(spark, args) -> None:
     write_lake(predict_day(model, frame, args.day), f"{args.out}/day_predictions")
 
 
-def main(argv=None) -> None:
+def main(argv=None, stop: bool = False) -> None:
+    """Run one stage. A failure is logged and re-raised; with ``stop`` the
+    session is stopped afterwards either way (the command-line default)."""
     p = argparse.ArgumentParser(prog="sigflow")
     p.add_argument("--master", default=None)
     p.add_argument("--shuffle-partitions", type=int, default=None)
@@ -135,10 +141,17 @@ def main(argv=None) -> None:
     spark = build_session(args.master, app_name=f"sigflow-{args.cmd}",
                           shuffle_partitions=args.shuffle_partitions,
                           delta=args.lake_format == "delta")
-    {"publish": cmd_publish, "consume": cmd_consume, "report": cmd_report, "model": cmd_model}[args.cmd](
-        spark, args
-    )
+    command = {"publish": cmd_publish, "consume": cmd_consume, "report": cmd_report, "model": cmd_model}
+    try:
+        command[args.cmd](spark, args)
+    except Exception:
+        log.critical("sigflow %s failed", args.cmd, exc_info=True)
+        raise
+    finally:
+        if stop:
+            stop_all(spark)
+            spark.stop()
 
 
 if __name__ == "__main__":
-    main()
+    main(stop=True)
