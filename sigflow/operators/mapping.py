@@ -39,14 +39,18 @@ def _applicable_rows(columns: list[str], mapping: DataFrame) -> list[tuple[str,
     """Mapping rows that can rename something, in mapping order.
 
     A row applies only if its ``sig_name`` is a column or becomes one through
-    an earlier rename, so rows are fetched by closure: those naming the
-    columns, then those naming the new names, until no new name appears.
-    Each step is a filter over the mapping; only matching rows reach the
-    driver.
+    an earlier rename. For a large mapping, rows are fetched by closure: those
+    naming the columns, then those naming the new names, until no new name
+    appears. Each step is a filter over the mapping; only matching rows reach
+    the driver.
     """
-    ordered = mapping.select("sig_name", "sig_mapping_name").withColumn(
-        "_ord", F.monotonically_increasing_id()
-    )
+    pairs = mapping.select("sig_name", "sig_mapping_name")
+    # A mapping of at most MAX_RENAME_ROWS rows is simply fetched whole, in
+    # order, with one job; rows that do not apply are skipped by the caller.
+    head = pairs.limit(MAX_RENAME_ROWS + 1).coalesce(1).collect()
+    if len(head) <= MAX_RENAME_ROWS:
+        return [(r["sig_name"], r["sig_mapping_name"]) for r in head]
+    ordered = pairs.withColumn("_ord", F.monotonically_increasing_id())
     seen: set[str] = set()
     frontier = set(columns)
     rows = []
