@@ -111,3 +111,18 @@ def test_hours_in_a_fixed_zone_ignore_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert len(hours) == 1
     assert hours == {5}  # 23:50 UTC is 05:20 at +05:30
+
+
+def test_large_mapping_closure_and_refusal(spark, monkeypatch):
+    from sigflow.operators import mapping as mapping_mod
+
+    rows = [("a", "b"), ("zz1", "q"), ("b", "c"), ("zz2", "q"), ("zz3", "q"), ("c", "d")]
+    mp = spark.createDataFrame(rows, "sig_name string, sig_mapping_name string").coalesce(1)
+    df = spark.createDataFrame([(1, 2)], "a int, k int")
+    monkeypatch.setattr(mapping_mod, "MAX_RENAME_ROWS", 4)  # too many rows to fetch whole
+    assert rename_mapped(df, mp).columns == ["d", "k"]  # closure: a -> b -> c -> d
+    monkeypatch.setattr(mapping_mod, "MAX_RENAME_ROWS", 2)  # more applicable rows than allowed
+    import pytest
+
+    with pytest.raises(ValueError):
+        rename_mapped(df, mp)
