@@ -89,6 +89,8 @@ def mapping_join_long(
     The mapping side is first cut to rows naming one of ``value_cols`` and to
     one row per name (the first in mapping order), so its size is bounded by
     the column count and broadcasting it is safe whatever the mapping's size.
+    A small mapping is cut on the driver after one fetch; a large one by a
+    grouped aggregate.
     """
     if value_cols is None:
         value_cols = [
@@ -96,14 +98,21 @@ def mapping_join_long(
             if f.name not in id_cols and isinstance(f.dataType, NumericType)
         ]
     long = df.unpivot(id_cols, value_cols, "sig_name", "value")
-    first = (
-        mapping.select("sig_name", "sig_mapping_name")
-        .withColumn("_ord", F.monotonically_increasing_id())
-        .filter(F.col("sig_name").isin(value_cols))
-        .groupBy("sig_name")
-        .agg(F.min_by("sig_mapping_name", "_ord").alias("sig_mapping_name"))
-    )
-    joined = long.join(F.broadcast(first), "sig_name", "left")
+    named = mapping.select("sig_name", "sig_mapping_name").filter(F.col("sig_name").isin(value_cols))
+    head = named.limit(MAX_RENAME_ROWS + 1).coalesce(1).collect()
+    if len(head) <= MAX_RENAME_ROWS:
+        first: dict[str, str] = {}
+        for r in head:
+            first.setdefault(r["sig_name"], r["sig_mapping_name"])
+        spark = df.sparkSession
+        side = spark.createDataFrame(list(first.items()), "sig_name string, sig_mapping_name string")
+    else:
+        side = (
+            named.withColumn("_ord", F.monotonically_increasing_id())
+            .groupBy("sig_name")
+            .agg(F.min_by("sig_mapping_name", "_ord").alias("sig_mapping_name"))
+        )
+    joined = long.join(F.broadcast(side), "sig_name", "left")
     return joined.select(
         *id_cols,
         "sig_name",

@@ -126,3 +126,16 @@ def test_large_mapping_closure_and_refusal(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         rename_mapped(df, mp)
+
+
+def test_mapping_join_long_large_mapping_path(spark, monkeypatch):
+    from sigflow.operators import mapping as mapping_mod
+
+    monkeypatch.setattr(mapping_mod, "MAX_RENAME_ROWS", 1)
+    df = spark.createDataFrame([(1, 1.0, 2.0)], "hour int, a double, b double")
+    mapping = spark.createDataFrame([("a", "first"), ("a", "second"), ("b", "bee")],
+                                    "sig_name string, sig_mapping_name string").coalesce(1)
+    out = mapping_join_long(df, mapping, ["hour"])
+    assert sorted((r.sig_name, r.sig_mapping_name) for r in out.collect()) == [("a", "first"), ("b", "bee")]
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
