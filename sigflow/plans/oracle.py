@@ -121,9 +121,9 @@ SELECT event_id, raw_time, {_parse_date('raw_time')} AS signal_date, {_parse_ts(
 FROM time_text""",
     "row_to_json": f"""WITH {_RAW}
 SELECT event_id,
-       to_json({{'Date/Time': date_time, 'LV ActivePower (kW)': active_power,
+       CAST(to_json({{'Date/Time': date_time, 'LV ActivePower (kW)': active_power,
                 'Wind Speed (m/s)': wind_speed, 'Theoretical_Power_Curve (KWh)': power_curve,
-                'Wind Direction (°)': wind_direction}}) AS value
+                'Wind Direction (°)': wind_direction}}) AS VARCHAR) AS value
 FROM raw""",
     "json_parse": f"""WITH {_RAW}
 SELECT date_time, CAST(active_power AS VARCHAR) AS active_power,
@@ -170,13 +170,13 @@ FROM replayed
 GROUP BY signal_date, signal_ts, ActivePower_kW, WindSpeed_m_s, PowerCurve_kWh, WindDirection_deg""",
     "ingest_audit": f"""WITH {_READINGS}{_REPLAYED}
 SELECT create_date, create_ts, count(*) AS num_records,
-       count_if(signal_ts IS NULL) AS null_signal_ts,
-       count_if(signal_date IS NULL) AS null_signal_date,
-       count_if(false) AS null_signals,
-       count_if(ActivePower_kW IS NULL) AS null_ActivePower_kW,
-       count_if(WindSpeed_m_s IS NULL) AS null_WindSpeed_m_s,
-       count_if(PowerCurve_kWh IS NULL) AS null_PowerCurve_kWh,
-       count_if(WindDirection_deg IS NULL) AS null_WindDirection_deg,
+       CAST(count_if(signal_ts IS NULL) AS BIGINT) AS null_signal_ts,
+       CAST(count_if(signal_date IS NULL) AS BIGINT) AS null_signal_date,
+       CAST(count_if(false) AS BIGINT) AS null_signals,
+       CAST(count_if(ActivePower_kW IS NULL) AS BIGINT) AS null_ActivePower_kW,
+       CAST(count_if(WindSpeed_m_s IS NULL) AS BIGINT) AS null_WindSpeed_m_s,
+       CAST(count_if(PowerCurve_kWh IS NULL) AS BIGINT) AS null_PowerCurve_kWh,
+       CAST(count_if(WindDirection_deg IS NULL) AS BIGINT) AS null_WindDirection_deg,
        min(signal_ts) AS min_signal_ts, max(signal_ts) AS max_signal_ts,
        min(signal_date) AS min_signal_date, max(signal_date) AS max_signal_date
 FROM replayed GROUP BY 1, 2""",

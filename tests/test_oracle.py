@@ -14,6 +14,10 @@ from oracle_check import TABLES, digest  # noqa: E402
 
 KEYS = sorted(entry.oracle_sql())
 
+# Spark type -> DuckDB type of the same values.
+DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+             "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -33,6 +37,9 @@ def test_query_matches_oracle(spark, duck, key):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {entry.oracle_sql()[key]}").fetchall()}
+    spark_types = {f.name: DUCK_TYPE.get(f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == duck_types
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
 
