@@ -24,6 +24,10 @@ from sigflow.schemas import (
 )
 
 
+# Text that JSON parsing reads as no value at all.
+JSON_BLANK = r"^[ \t\n\r]*\z"
+
+
 def pack_messages(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One ``value`` column: each row as a JSON object (null fields left out)."""
     return raw.select(row_to_json(raw, columns).alias("value"))
@@ -37,11 +41,16 @@ def parse_messages(
     Malformed text still yields a struct (of nulls) and is kept, as in the
     original consumer; ``strict=True`` also requires a time field.
     """
-    parsed = messages.select(parse_message("value", schema).alias("data"))
-    cond = F.col("data").isNotNull()
+    # The struct is null exactly for a null message and for one holding only
+    # JSON whitespace. Testing the text says the same without parsing: a
+    # filter on the parsed struct would be pushed below the projection and
+    # parse every message a second time.
+    text = F.col("value").cast("string")
+    present = messages.filter(text.isNotNull() & ~text.rlike(JSON_BLANK))
+    parsed = present.select(parse_message("value", schema).alias("data"))
     if strict:
-        cond = cond & F.col(f"data.`{RAW_TIME}`").isNotNull()
-    return parsed.filter(cond)
+        parsed = parsed.filter(F.col(f"data.`{RAW_TIME}`").isNotNull())
+    return parsed
 
 
 def shape_readings(parsed: DataFrame, create_ts: _dt.datetime | None = None) -> DataFrame:

@@ -54,3 +54,15 @@ def test_flatten_generic(spark):
     msgs = spark.createDataFrame([('{"id": "a", "value": 2.5}',), ('{"id": "b"}',)], "value string")
     rows = sorted(flatten_messages(msgs, GENERIC_MESSAGE_SCHEMA).collect())
     assert [tuple(r) for r in rows] == [("a", 2.5), ("b", None)]
+
+
+def test_blank_message_test_agrees_with_parser(spark):
+    from sigflow.schemas import MESSAGE_SCHEMA
+
+    cases = [None, "", " ", "\n", "\t \r\n", "\x0b", "\x00", "\x1f", " ", "　", " \x0b ", "null",
+             "[]", "{}", "x", " {} ", "\r", " \u0085", "\u2028", "\r\u2029", "\n\u0085"]
+    df = spark.createDataFrame([(c,) for c in cases], "value string")
+    want = df.filter(F.from_json("value", MESSAGE_SCHEMA).isNotNull()).count()
+    assert parse_messages(df).count() == want
+    plan = parse_messages(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1  # parsed once per message
