@@ -106,13 +106,14 @@ def regression_metrics(
     prediction are ignored.
     """
     y, p = F.col(label), F.col(prediction)
-    valid = df.filter(y.isNotNull() & p.isNotNull())
+    # Aggregates skip nulls, so no filter is needed (a filter on the prediction
+    # would be pushed below the model's projection and score every row twice).
     err = y - p
-    agg = valid.agg(
-        F.count(F.lit(1)).alias("n"),
+    agg = df.agg(
+        F.count(err).alias("n"),
         F.sum(err * err).alias("_sse"),
         F.avg(F.abs(err)).alias("mae"),
-        F.var_pop(y).alias("_var"),
+        F.var_pop(F.when(err.isNotNull(), y)).alias("_var"),
     )
     return agg.select(
         "n",
