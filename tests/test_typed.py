@@ -31,3 +31,22 @@ def test_dedup_with_typed_and_batch_columns(spark):
     assert out.count() == 1000
     assert out.columns == replayed.columns
     assert out.select("create_ts").distinct().count() == 1
+
+
+def test_stream_hourly_reads_typed_copies(spark, scratch):
+    from sigflow.streaming.control import run_to_completion
+    from sigflow.streaming.sinks import batch_folder_writer, start_foreach_batch
+    from sigflow.streaming.windows import hourly_means_stream, latest_windows
+
+    readings = events_as_readings(load_table(spark, "/root/testdata/sf0.001", "events"))
+    typed = with_typed_signals(readings, ("double",))
+    typed.write.parquet(f"{scratch}/typed")
+    stream = spark.readStream.schema(typed.schema).parquet(f"{scratch}/typed")
+    hourly = hourly_means_stream(stream, watermark="1 hour", cast="double")
+    assert "ActivePower_kW_double" in hourly._jdf.queryExecution().analyzed().toString()
+    run_to_completion(start_foreach_batch(hourly, batch_folder_writer(f"{scratch}/out"), f"{scratch}/ck",
+                                          output_mode="update", trigger={"availableNow": True}))
+    got = {r.window_start: r.avg_ActivePower_kW for r in latest_windows(spark.read.parquet(f"{scratch}/out")).collect()}
+    want = {r.h: r.v for r in readings.groupBy(F.date_trunc("hour", "signal_ts").alias("h")).agg(
+        F.avg(F.col("signals")["ActivePower_kW"].try_cast("double")).alias("v")).collect()}
+    assert got == want
