@@ -19,7 +19,7 @@ from sigflow.operators.quality import dedup_latest
 from sigflow.operators.shape import pack_messages
 from sigflow.plans.analysis import hourly_report
 from sigflow.schemas import READINGS_SCHEMA
-from sigflow.session import checkpoint_root
+from sigflow.session import checkpoint_root, conf_override, state_partitions
 from sigflow.sources.lake import read_lake, write_lake
 from sigflow.sources.tables import events_as_raw, events_as_readings, load_table, replayed_readings
 from sigflow.streaming.control import run_to_completion
@@ -73,10 +73,12 @@ def hourly_stream_job(spark: SparkSession, sf_dir: str, watermark: str = "1 hour
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     hourly = hourly_means_stream(reader.parquet(f"{base}/readings"), watermark=watermark)
-    run_to_completion(start_foreach_batch(
-        hourly, batch_folder_writer(f"{base}/hourly"), f"{base}/ck_hourly",
-        output_mode="update", trigger=AVAILABLE_NOW,
-    ))
+    with conf_override(spark, state_partitions(spark)):
+        query = start_foreach_batch(
+            hourly, batch_folder_writer(f"{base}/hourly"), f"{base}/ck_hourly",
+            output_mode="update", trigger=AVAILABLE_NOW,
+        )
+    run_to_completion(query)
     return latest_windows(spark.read.parquet(f"{base}/hourly"))
 
 
@@ -122,9 +124,11 @@ def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_folder(spark, "dedup-first")
     replayed_readings(load_table(spark, sf_dir, "events")).write.parquet(f"{base}/readings")
     stream = spark.readStream.schema(READINGS_SCHEMA).parquet(f"{base}/readings")
-    run_to_completion(start_lake_sink(
-        dedup_first_stream(stream, "1 hour"), f"{base}/lake", f"{base}/ck", trigger=AVAILABLE_NOW,
-    ))
+    with conf_override(spark, state_partitions(spark)):
+        query = start_lake_sink(
+            dedup_first_stream(stream, "1 hour"), f"{base}/lake", f"{base}/ck", trigger=AVAILABLE_NOW,
+        )
+    run_to_completion(query)
     return read_lake(spark, f"{base}/lake").select("signal_date", "signal_ts", *flatten_signals())
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -120,3 +121,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location for a named streaming query under the shared root."""
     return os.path.join(checkpoint_root(spark), "streams", name)
+
+
+@contextmanager
+def conf_override(spark: SparkSession, settings: dict[str, str]):
+    """Set session settings for the duration of a block, then restore them."""
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield spark
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def state_partitions(spark: SparkSession) -> dict[str, str]:
+    """Shuffle width for a new stateful stream: one state partition per core of
+    the cluster. A stream keeps the width it started with (it is stored in
+    its checkpoint), so this only matters when a query first starts."""
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:
+        return {}
+    return {"spark.sql.shuffle.partitions": str(cores)}

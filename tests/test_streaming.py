@@ -233,3 +233,14 @@ def test_generic_messages_stream(spark, scratch):
     rows = sorted(tuple(r) for r in read_lake(spark, f"{scratch}/lake").collect() if r.id)
     assert rows == [("t1", 1.5), ("t2", None)]
     assert read_lake(spark, f"{scratch}/lake").count() == 3  # junk kept as an all-null row
+
+
+def test_state_width_override_is_restored(spark):
+    from sigflow.session import conf_override, state_partitions
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with conf_override(spark, {"spark.sql.shuffle.partitions": "3", "spark.sigflow.probe": "x"}):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sigflow.probe", None) is None
+    assert state_partitions(spark)["spark.sql.shuffle.partitions"] == str(spark.sparkContext.defaultParallelism)
