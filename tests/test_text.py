@@ -94,3 +94,14 @@ def test_fallback(spark):
     assert 9 not in by  # records of unknown requests are dropped
     assert by[2][0].location == DEFAULT_LOCATION and by[3][0].location == DEFAULT_LOCATION
     assert by[4][0].location == "Pune" and by[4][0].name == FALLBACK_VENUE["name"]
+
+
+def test_router_lowercasing_matches_python(spark):
+    from sigflow.schemas import ROUTER_KEYWORDS
+
+    texts = ["FİND a place", "ΑΣ hall", "KELVIN SHOW", "straße", "ﬁnd", "GARDEN", "Fİnd"]
+    df = spark.createDataFrame([(i, 0, "user", t) for i, t in enumerate(texts)], TURNS)
+    got = {r.conv_id: r.route for r in text.route_intent(df).collect()}
+    for i, t in enumerate(texts):
+        hit = any(k in t.lower() for k in ROUTER_KEYWORDS)
+        assert got[i] == ("search_venues_node" if hit else "general_chat_node"), t
