@@ -150,3 +150,16 @@ def test_json_array_extraction_matches_python(spark, cases):
     got = {r.i: [v.name for v in r.venues] for r in extract_json_array(df).collect()}
     for i, text in enumerate(texts):
         assert got[i] == brute(text), repr(text)
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(*[st.one_of(st.none(), st.text(alphabet=ALPHABET, max_size=5)) for _ in range(3)]),
+                min_size=50, max_size=100))
+def test_search_key_matches_python(spark, parts):
+    from sigflow.operators.text import search_key
+
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(parts)], "i int, q string, g string, b string")
+    got = {r.i: r.k for r in df.select("i", search_key(F.col("q"), F.col("g"), F.col("b")).alias("k")).collect()}
+    for i, (q, g, b) in enumerate(parts):
+        # a missing part reads as empty text, as a dict .get(key, "") would give
+        assert got[i] == f"{q or ''} {g or ''} {b or ''}".strip(), repr((q, g, b))
