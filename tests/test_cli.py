@@ -24,3 +24,21 @@ def test_cli_four_stages(spark, scratch):
     assert spark.read.parquet(f"{scratch}/model/coefficients").count() == 5
     assert spark.read.parquet(f"{scratch}/model/metrics").first().n > 0
     assert spark.read.parquet(f"{scratch}/model/day_predictions").count() > 0
+
+
+def test_module_entry_point(scratch):
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    env = dict(os.environ, PYTHONPATH=ROOT)
+    ok = subprocess.run([sys.executable, "-m", "sigflow", "--help"], cwd=ROOT, env=env,
+                        capture_output=True, text=True, timeout=120)
+    assert ok.returncode == 0 and "publish" in ok.stdout
+    bad = subprocess.run([sys.executable, "-m", "sigflow", "--master", "local[1]", "report",
+                          "--lake", f"{scratch}/missing", "--out", f"{scratch}/out"],
+                         cwd=ROOT, env=env, capture_output=True, text=True, timeout=300)
+    assert bad.returncode != 0
+    assert "sigflow report failed" in bad.stderr
