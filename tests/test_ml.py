@@ -73,3 +73,12 @@ def test_no_leak_features_and_bounded_export(spark):
     assert pdf["n"].sum() == test.count()
     with pytest.raises(ValueError):
         ml.to_pandas_bounded(test, ["hour"], max_rows=1)
+
+
+def test_drop_invalid_matches_assembler_skip(spark):
+    nan = float("nan")
+    rows = [(1.0, 2.0, 3.0, 0.0), (None, 2.0, 3.0, 0.0), (1.0, nan, 3.0, 0.0), (1.0, 2.0, 3.0, None),
+            (nan, nan, nan, nan), (4.0, 5.0, 6.0, 1.0)]
+    cols = ["wind_speed_average", "theo_power_curve_average", "wind_direction_average", "generation_status_index"]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    assert ml.drop_invalid_features(df).count() == ml.assemble_features(df).count() == 2
