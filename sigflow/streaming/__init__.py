@@ -16,10 +16,15 @@ from sigflow.streaming.sinks import (
     start_lake_sink,
     start_publish,
 )
-from sigflow.streaming.windows import dedup_first_stream, hourly_means_stream, latest_windows
+from sigflow.streaming.windows import (
+    compact_windows,
+    dedup_first_stream,
+    hourly_means_stream,
+    latest_windows,
+)
 
 __all__ = [
-    "batch_folder_writer", "dedup_first_stream", "fan_out", "hourly_means_stream", "latest_windows",
+    "batch_folder_writer", "compact_windows", "dedup_first_stream", "fan_out", "hourly_means_stream", "latest_windows",
     "readings_stream", "run_for", "run_to_completion", "run_until_stopped", "start_console",
     "start_consume", "start_consume_fanout", "start_consume_generic", "start_foreach_batch",
     "start_lake_sink", "start_publish", "start_publish_csv", "stop_all",

@@ -12,8 +12,8 @@ passes it, so the newest window waits for later data.
 
 For a stream that runs indefinitely prefer ``append`` into a lake table:
 update-mode batch folders grow with every micro-batch, so they suit bounded
-runs (``availableNow``), or should be compacted now and then by writing
-:func:`latest_windows` of them as a table.
+runs (``availableNow``), or should be compacted now and then with
+:func:`compact_windows`.
 """
 
 from __future__ import annotations
@@ -57,6 +57,14 @@ def latest_windows(batches: DataFrame, value_cols: list[str] | None = None) -> D
     )
 
 
+def compact_windows(spark, batches_path: str, out_path: str, fmt: str = "parquet") -> None:
+    """Write the final value of every window in update-mode batch folders as
+    one table (overwrite), so readers need not scan every micro-batch."""
+    from sigflow.sources.lake import write_lake
+
+    write_lake(latest_windows(spark.read.format(fmt).load(batches_path)), out_path, fmt=fmt)
+
+
 def dedup_first_stream(readings: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Streaming replay removal: the first arrival of each reading within the
     watermark is kept. (The batch :func:`sigflow.operators.quality.dedup_latest`

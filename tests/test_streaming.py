@@ -134,6 +134,11 @@ def test_late_data_needs_a_batch_in_between(spark, scratch):
         hourly, batch_folder_writer(f"{scratch}/out"), f"{scratch}/ck", output_mode="update", trigger=NOW))
     final = {r.window_start: r.avg_ActivePower_kW for r in latest_windows(spark.read.parquet(f"{scratch}/out")).collect()}
     assert final == {h(0, 0): 200.0, h(1, 0): 50.0, h(3, 0): 15.0}
+    from sigflow.streaming.windows import compact_windows
+
+    compact_windows(spark, f"{scratch}/out", f"{scratch}/final")
+    compacted = {r.window_start: r.avg_ActivePower_kW for r in spark.read.parquet(f"{scratch}/final").collect()}
+    assert compacted == final
 
 
 def test_append_mode_holds_back_open_window(spark, scratch):
