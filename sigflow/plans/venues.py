@@ -43,8 +43,10 @@ def venue_requests(turns: DataFrame) -> DataFrame:
         F.max_by(F.when(user_ok, F.col("text")), F.when(user_ok, F.col("turn"))).alias("query"),
         F.count_if(F.col("role") == "user").cast("string").alias("guest_count"),
         F.lit(None).cast("string").alias("budget_range"),
-        F.regexp_extract(
-            F.min_by(F.when(system, F.col("text")), F.when(system, F.col("turn"))), r"^(\S+)", 1
+        # the first word is cut per row, so only words (not whole system texts)
+        # travel through the aggregate
+        F.min_by(
+            F.when(system, F.regexp_extract(F.col("text"), r"^(\S+)", 1)), F.when(system, F.col("turn"))
         ).alias("location"),
     )
 
