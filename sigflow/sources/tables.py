@@ -65,12 +65,16 @@ def events_as_readings(
 
 
 def replayed_readings(events: DataFrame, create_times=REPLAY_CREATE_TS) -> DataFrame:
-    """The same feed ingested once per ``create_times`` entry (a replay log)."""
-    out = None
-    for ts in create_times:
-        part = events_as_readings(events, ts)
-        out = part if out is None else out.unionByName(part)
-    return out
+    """The same feed ingested once per ``create_times`` entry (a replay log).
+
+    One scan of ``events``: each row is emitted once per ingest time.
+    """
+    readings = events_as_readings(events).drop("create_date", "create_ts")
+    ingests = F.explode(F.array(*[F.lit(ts).cast("timestamp") for ts in create_times]))
+    replayed = readings.select("*", ingests.alias("create_ts"))
+    return replayed.select(
+        "signal_date", "signal_ts", F.to_date("create_ts").alias("create_date"), "create_ts", "signals"
+    )
 
 
 def events_as_raw(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
