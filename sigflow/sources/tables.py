@@ -55,11 +55,12 @@ def events_as_readings(
 ) -> DataFrame:
     """Shaped readings straight from ``events`` (full timestamp precision)."""
     ts = F.col("ts").cast("timestamp")
+    created = F.lit(create_ts).cast("timestamp")
     return events.select(
         F.to_date(ts).alias("signal_date"),
         ts.alias("signal_ts"),
-        F.lit(create_ts.date()).alias("create_date"),
-        F.lit(create_ts).cast("timestamp").alias("create_ts"),
+        F.to_date(created).alias("create_date"),
+        created.alias("create_ts"),
         signals_map(_event_signal_values()).alias("signals"),
     )
 
