@@ -109,5 +109,7 @@ QUERIES: dict[str, Query] = {
     "op10_mixture_packing": op10_mixture_packing,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op4_url_filter": oracle.URLS,
+    "op7_voronoi_knn": oracle.NEAREST,
     "op6_quality_rules": oracle.QUALITY,
 }

@@ -65,6 +65,7 @@ CLOSES = {
 }
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 SPACE = re.compile(r"\s+")
+TAG_START = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ/!?")
 SPREAD = 1.0  # of the smoothing over neighbouring nodes
 NEARLY_ALL = 0.9
 
@@ -194,11 +195,22 @@ def path_scores(blocks: list[tuple[Element, str, int]]) -> dict[int, float]:
     return {p: sum(v) / len(v) for p, v in fused.items()}
 
 
+def whole_markup(html: str) -> str:
+    """The page without a comment or tag that its end cuts off."""
+    comment = html.rfind("<!--")
+    if comment >= 0 and html.find("-->", comment) < 0:
+        html = html[:comment]
+    tag = html.rfind("<")
+    if tag >= 0 and html.find(">", tag) < 0 and (html[tag + 1 : tag + 2] or "/") in TAG_START:
+        html = html[:tag]
+    return html
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = Page()
-    page.feed(html)
+    page.feed(whole_markup(html))
     page.finish()
     blocks = page.blocks
     if not blocks:

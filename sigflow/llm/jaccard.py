@@ -426,7 +426,8 @@ def _across(placed, entries, sets, links, num: int, den: int, group: int) -> Dat
     blocks = visits.groupBy("gf", "gp", "gc").agg(F.ceil(F.count(F.lit(1)) / F.lit(group)).cast("int").alias("blocks"))
     where = ["gf", "gp", "gc", "block"]
     asked = visits.join(blocks, ["gf", "gp", "gc"]).join(sets.select("e", "tokens"), "e").select(
-        "e", "tokens", "gf", "gp", "gc", F.pmod(F.xxhash64("e"), F.col("blocks")).cast("int").alias("block")
+        *(F.col(c).alias(c) for c in ("e", "tokens", "gf", "gp", "gc")),  # columns apart from the members'
+        F.pmod(F.xxhash64("e"), F.col("blocks")).cast("int").alias("block")
     )
     members = large.select("e", F.col("family").alias("gf"), F.col("part").alias("gp"), F.col("c").alias("gc"))
     members = members.join(blocks, ["gf", "gp", "gc"]).join(sets.select("e", "tokens"), "e").select(

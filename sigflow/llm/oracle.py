@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sigflow.llm import urls
 from sigflow.llm.quality import BULLETS, ELLIPSES, STOP_WORDS
 
 _WS = r"[\x20\x09-\x0D]"
@@ -69,3 +70,99 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
          AND ellipses / lines <= 0.5 AS kept
 FROM m
 """
+
+
+def _rule_case(value) -> str:
+    whens = []
+    for r in sorted(urls.RULES, key=lambda r: (-len(r.pattern), r.pattern)):
+        cut = r.pattern.index("/")
+        h, p = r.pattern[:cut], r.pattern[cut:]
+        fits = f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+        whens.append(f"WHEN {fits} THEN '{value(r)}'")
+    return "CASE " + " ".join(whens) + " END"
+
+
+def _url_level(k: int) -> str:
+    g, before = f"g{k}", f"nodes{k - 1}"
+    z = repr(urls.Z * urls.Z)
+    return f"""
+parent{k} AS (
+  SELECT node, count(DISTINCT {g}) AS kids, sum(lab) AS p_lab, sum(bad) AS p_bad FROM {before} GROUP BY node
+),
+child{k} AS (
+  SELECT c.*, CASE WHEN c.{g} <> '' AND ((kids >= {urls.MANY_CHILDREN} AND c_n <= {urls.RARE})
+    OR CAST(c_bad * p_lab - p_bad * c_lab AS DOUBLE) * CAST(c_bad * p_lab - p_bad * c_lab AS DOUBLE)
+       <= CAST('{z}' AS DOUBLE) * CAST(p_bad AS DOUBLE) * CAST(p_lab - p_bad AS DOUBLE) * CAST(c_lab AS DOUBLE))
+    THEN '*' ELSE c.{g} END AS t
+  FROM (SELECT node, {g}, sum(n) AS c_n, sum(lab) AS c_lab, sum(bad) AS c_bad, any_value(rate) AS p_rate
+        FROM {before} GROUP BY node, {g}) c JOIN parent{k} USING (node)
+),
+merged{k} AS (
+  SELECT node, t, (sum(c_bad) + {urls.STRENGTH!r}::DOUBLE * any_value(p_rate)) / (sum(c_lab) + {urls.STRENGTH!r}::DOUBLE) AS new_rate
+  FROM child{k} GROUP BY node, t
+),
+nodes{k} AS (
+  SELECT n.* REPLACE (n.node || '/' || c.t AS node, m.new_rate AS rate)
+  FROM {before} n JOIN child{k} c ON n.node = c.node AND n.{g} = c.{g}
+  JOIN merged{k} m ON m.node = c.node AND m.t = c.t
+)"""
+
+
+_SHAPES = ", ".join(
+    f"regexp_replace(coalesce(list_filter(string_split(path, '/'), lambda x: x <> '')[{k + 1}], ''), '[0-9]+', '#', 'g') AS g{k + 1}"
+    for k in range(urls.DEPTH)
+)
+_GS = ", ".join(f"g{k + 1}" for k in range(urls.DEPTH))
+
+URLS = f"""
+WITH rest AS (
+  SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END, '') AS r
+  FROM pages
+),
+split AS (
+  SELECT page_id,
+         translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest
+),
+known AS (
+  SELECT doc_id AS id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality IS NOT NULL THEN 0 END) AS bad
+  FROM labels GROUP BY doc_id
+),
+cut AS (
+  SELECT page_id, host, path, {_rule_case(lambda r: r.pattern)} AS rule, {_rule_case(lambda r: r.verdict)} AS rule_verdict,
+         {_SHAPES}, CASE WHEN bad IS NOT NULL THEN 1 ELSE 0 END AS lab, coalesce(bad, 0) AS bad
+  FROM split LEFT JOIN known ON page_id = id
+),
+shapes AS (SELECT host, {_GS}, count(*) AS n, sum(lab) AS lab, sum(bad) AS bad FROM cut GROUP BY host, {_GS}),
+total AS (
+  SELECT (coalesce(sum(bad), 0) + {urls.STRENGTH * urls.PRIOR!r}::DOUBLE) / (coalesce(sum(lab), 0) + {urls.STRENGTH!r}::DOUBLE) AS rate
+  FROM shapes
+),
+hosts AS (
+  SELECT host, (sum(bad) + {urls.STRENGTH!r}::DOUBLE * (SELECT rate FROM total)) / (sum(lab) + {urls.STRENGTH!r}::DOUBLE) AS rate
+  FROM shapes GROUP BY host
+),
+nodes0 AS (SELECT shapes.*, hosts.rate, shapes.host AS node FROM shapes JOIN hosts USING (host)),
+{",".join(_url_level(k + 1) for k in range(urls.DEPTH))}
+SELECT page_id, host, path, rule,
+       coalesce(rule_verdict, CASE WHEN 1.0::DOUBLE - rate < {urls.PURITY!r}::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict,
+       node AS template
+FROM cut JOIN nodes{urls.DEPTH} USING (host, {_GS})
+"""
+
+NEAREST = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+         list_sum(list_transform(generate_series(1, len(q.x)), lambda i: q.x[i] * d.x[i])) AS score
+  FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.x) = len(d.x) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""

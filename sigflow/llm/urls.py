@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigflow.llm.common import column
+from sigflow.session import ensure_checkpoint_dir
 
 DEPTH = 3
 MANY_CHILDREN = 8  # a parent with so many distinct children ...
@@ -95,7 +96,8 @@ def _level(nodes: DataFrame, g: str) -> DataFrame:
     )
     named = child.select("node", g, "t").join(merged, ["node", "t"])
     joined = nodes.join(named, ["node", g])
-    return joined.withColumn("node", F.concat_ws("/", "node", "t")).withColumn("rate", F.col("new_rate")).drop("t", "new_rate")
+    down = joined.withColumn("node", F.concat_ws("/", "node", "t")).withColumn("rate", F.col("new_rate"))
+    return down.drop("t", "new_rate").checkpoint()  # read several times by the next level
 
 
 def url_templates(judged: DataFrame) -> DataFrame:
@@ -106,13 +108,13 @@ def url_templates(judged: DataFrame) -> DataFrame:
     gs = [f"g{k + 1}" for k in range(DEPTH)]
     shapes = judged.groupBy("host", *gs).agg(
         F.count(F.lit(1)).alias("n"), F.sum("lab").alias("lab"), F.sum("bad").alias("bad")
-    )
+    ).checkpoint()
     both = shapes.agg(F.sum("lab").alias("lab"), F.sum("bad").alias("bad")).first()
     everywhere = ((both.bad or 0) + STRENGTH * PRIOR) / ((both.lab or 0) + STRENGTH)
     hosts = shapes.groupBy("host").agg(
         ((F.sum("bad") + F.lit(STRENGTH * everywhere)) / (F.sum("lab") + F.lit(STRENGTH))).alias("rate")
     )
-    nodes = shapes.join(hosts, "host").withColumn("node", F.col("host"))
+    nodes = shapes.join(hosts, "host").withColumn("node", F.col("host")).checkpoint()
     for g in gs:
         nodes = _level(nodes, g)
     return nodes.select("host", *gs, F.col("node").alias("template"), (F.lit(1.0) - F.col("rate")).alias("purity"))
@@ -127,6 +129,7 @@ def judge_urls(
     ``labels``: columns id and bad (0/1, null: not labelled); several rows of
     an id count as bad if one is.
     """
+    ensure_checkpoint_dir(pages.sparkSession)
     host, path = host_and_path(F.col("url"))
     slim = pages.select(column(pages, id_col).alias("page_id"), column(pages, url_col).cast("string").alias("url"))
     cut = slim.select("page_id", host.alias("host"), path.alias("path"))
