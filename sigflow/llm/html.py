@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
@@ -71,11 +72,16 @@ NEARLY_ALL = 0.9
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "dropped", "text")
+    """``container``: the outermost article or main element around it, itself included."""
+
+    __slots__ = ("tag", "parent", "path", "dropped", "container", "text", "inside")
 
     def __init__(self, tag: str, parent, path: int, dropped: bool):
         self.tag, self.parent, self.path, self.dropped = tag, parent, path, dropped
-        self.text = 0  # selected characters below
+        above = parent.container if parent is not None else None
+        self.container = above or (self if tag in CONTAINERS else None)
+        self.text = 0  # selected characters in it and below
+        self.inside = False  # of the chosen element
 
 
 class Page(HTMLParser):
@@ -85,10 +91,11 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.paths: dict[tuple[int, str], int] = {}
         self.stack = [Element("", None, 0, False)]
+        self.elements = list(self.stack)  # parents before children
+        self.open: Counter[str] = Counter()
         self.blocks: list[tuple[Element, str, int]] = []  # element, text, characters in links
         self.parts: list[str] = []
         self.linked = self.links = 0
-        self.inline_drop: list[str] = []
 
     def _flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip()
@@ -99,7 +106,7 @@ class Page(HTMLParser):
     def _unwanted(self, tag: str, attrs: dict, top: Element) -> bool:
         if tag in NEVER:
             return True
-        inside = any(e.tag in CONTAINERS for e in self._up(top))
+        inside = top.container is not None
         if tag == "header":
             return not inside
         if tag in ("html", "body", *CONTAINERS):
@@ -109,14 +116,9 @@ class Page(HTMLParser):
         words = set(re.split(r"[^a-z0-9]+", f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()))
         return bool(words & MARKS) or (not inside and bool(words & HEADER_MARKS))
 
-    @staticmethod
-    def _up(e: Element | None) -> Iterator[Element]:
-        while e is not None:
-            yield e
-            e = e.parent
-
     def _pop_to(self, at: int) -> None:
         self._flush()
+        self.open.subtract(e.tag for e in self.stack[at:])
         del self.stack[at:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -142,10 +144,14 @@ class Page(HTMLParser):
         path = self.paths.setdefault((top.path, label), len(self.paths) + 1)
         dropped = top.dropped or self._unwanted(tag, named, top)
         self.stack.append(Element(tag, top, path, dropped))
+        self.elements.append(self.stack[-1])
+        self.open[tag] += 1
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "a":
             self.links = max(0, self.links - 1)
+        if not self.open[tag]:
+            return
         for at in range(len(self.stack) - 1, 0, -1):
             if self.stack[at].tag == tag:
                 self._pop_to(at)
@@ -221,33 +227,29 @@ def main_text(html: str | None) -> str:
     line = min(spread, max(scores.values()))
     chosen = [b for b in blocks if scores[b[0].path] >= line]
     # Containers of the chosen nodes: articles if there are any, else the smallest nearly full element.
-    homes = []
-    for e, _, _ in blocks:
-        outer = None
-        for up in page._up(e):
-            if up.tag in CONTAINERS:
-                outer = up
-        if outer is not None and outer not in homes:
-            homes.append(outer)
-    articles = [h for h in homes if h.tag == "article"] or homes
+    homes = {id(e.container): e.container for e, _, _ in blocks if e.container is not None}
+    articles = {k for k, h in homes.items() if h.tag == "article"} or set(homes)
     if articles:
-        inside = [h for h in articles if any(h in page._up(c[0]) for c in chosen)] or articles
-        return "\n".join(t for e, t, _ in blocks if any(u in inside for u in page._up(e)))
+        articles = {id(e.container) for e, _, _ in chosen} & articles or articles
+        return "\n".join(t for e, t, _ in blocks if id(e.container) in articles)
     total = 0
     for e, text, _ in chosen:
+        e.text += len(text)
         total += len(text)
-        for up in page._up(e):
-            up.text += len(text)
+    for e in reversed(page.elements):
+        if e.parent is not None:
+            e.parent.text += e.text
     home = max(chosen, key=lambda c: len(c[1]))[0]
     while home.parent is not None and home.text < NEARLY_ALL * total:
         home = home.parent
     if home.tag in ("p", "li", "td", "th", "dd", "dt", "pre") or home.tag[:1] == "h" and home.tag[1:].isdigit():
         home = home.parent or home
-    kept = []
-    for e, text, linked in blocks:
-        if any(u is home for u in page._up(e)) and (scores[e.path] >= line or 2 * linked < len(text)):
-            kept.append(text)
-    return "\n".join(kept)
+    home.inside = True
+    for e in page.elements:
+        e.inside = e.inside or (e.parent is not None and e.parent.inside)
+    return "\n".join(
+        text for e, text, linked in blocks if e.inside and (scores[e.path] >= line or 2 * linked < len(text))
+    )
 
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -51,7 +51,7 @@ from sigflow.session import ensure_checkpoint_dir
 SHINGLE = 5
 NUM, DEN = 80, 100
 SKETCH_BITS = 16
-GROUP = 512  # entities in a group
+GROUP = 48  # entities in a group: small, so that groups spread evenly over tasks
 HUBS = 4
 REMEMBERED = 500_000  # fingerprints a task keeps to skip copies
 SLICE_BYTES = 1 << 20

@@ -24,6 +24,7 @@ further columns are left alone.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,8 +39,10 @@ RATE = 0.1
 SEED = 17
 VARIANTS = 4
 CACHE_WORDS = 400_000
-# Words up to this many symbols share one array; longer ones run one by one with an agenda.
+# Words up to this many symbols share arrays by length in steps of eight; longer ones run one by one over a heap.
 WIDE = 64
+BLOCK_WORDS = 1 << 13  # words encoded side by side
+ONES = (1 << 64) - 1
 
 
 class Model:
@@ -72,6 +75,13 @@ class Model:
         order = np.argsort(keys, kind="stable")
         self.pair = np.array(keys, dtype=np.int64)[order]
         self.made = np.array(made, dtype=np.int64)[order]
+        self._pairs: dict[int, int] = {}
+
+    def pairs(self) -> dict[int, int]:
+        """The same table as a dictionary, made when first needed."""
+        if not self._pairs:
+            self._pairs = dict(zip(self.pair.tolist(), self.made.tolist()))
+        return self._pairs
 
     def join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Piece made of two neighbours, -1 where there is none."""
@@ -105,15 +115,69 @@ def encode_words(m: Model, words: list[str], variant: np.ndarray, seed: int, rat
     out: list = [None] * len(words)
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(words):
-        groups.setdefault((len(w) + 7) // 8 * 8 if len(w) <= WIDE else len(w), []).append(i)
+        if len(w) > WIDE:
+            out[i] = _encode_long(m, w, int(variant[i]), seed, rate)
+        else:
+            groups.setdefault((len(w) + 7) // 8 * 8, []).append(i)
     for width, items in groups.items():
-        for at in range(0, len(items), 1 << 15):
-            part = items[at : at + (1 << 15)]
+        for at in range(0, len(items), BLOCK_WORDS):
+            part = items[at : at + BLOCK_WORDS]
             for i, ids in zip(part, _encode_block(m, [words[i] for i in part], variant[part], width, seed, rate)):
                 out[i] = ids
     return out
 
 
+def _mix(x: int) -> int:
+    """:func:`kernels.mix` of one value."""
+    for shift, factor in ((32, int(K._M1)), (29, int(K._M2))):
+        x = (x ^ (x >> shift)) * factor & ONES
+    return x ^ (x >> 32)
+
+
+def _encode_long(m: Model, word: str, variant: int, seed: int, rate: float) -> np.ndarray:
+    """The same agenda over a heap, for one long word."""
+    made_of = m.pairs()
+    sym = [m.id_of.get(c, -1) for c in word]
+    after, before = [*range(1, len(word)), -1], list(range(-1, len(word) - 1))
+    keyed = _mix((variant * 0x165667B19E3779F9 + (seed & ONES)) & ONES)
+    heap: list[tuple[int, int, int, int, int]] = []
+
+    def offer(i: int) -> None:
+        j = after[i]
+        if j < 0 or sym[i] < 0 or sym[j] < 0:
+            return
+        pair = sym[i] * m.size + sym[j]
+        made = made_of.get(pair)
+        if made is None:
+            return
+        if rate > 0:
+            key = _mix((pair * 0x9E3779B97F4A7C15 + i * 0xC2B2AE3D27D4EB4F) & ONES)
+            if _mix(key ^ keyed) >> 11 < rate * float(1 << 53):
+                return
+        heapq.heappush(heap, (int(m.rank[made]), i, made, sym[i], sym[j]))
+
+    for i in range(len(word) - 1):
+        offer(i)
+    while heap:
+        _, i, made, left, right = heapq.heappop(heap)
+        j = after[i]
+        if sym[i] != left or j < 0 or sym[j] != right:
+            continue  # a neighbour has changed meanwhile
+        sym[i], sym[j], after[i] = made, -2, after[j]
+        if after[j] >= 0:
+            before[after[j]] = i
+        if before[i] >= 0:
+            offer(before[i])
+        offer(i)
+    out: list[int] = []
+    for i, x in enumerate(sym):
+        if x >= 0:
+            out.append(x)
+        elif x == -1:
+            out += m.byte_id[list(word[i].encode())].tolist()
+    return np.array(out, dtype=np.int32)
+
+
 def _encode_block(m: Model, words: list[str], variant: np.ndarray, width: int, seed: int, rate: float) -> list[np.ndarray]:
     foreign: dict[str, int] = {}
     names: list[str] = []

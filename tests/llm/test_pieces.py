@@ -66,6 +66,18 @@ def test_dropout_equals_a_plain_agenda(path):
             assert encode_one(path, text, rate, 5, variant) == want, repr(text)
 
 
+def test_long_words_follow_the_same_agenda(path):
+    m = pieces.model(path)
+    rng = random.Random(3)
+    for rate, variant in ((0.0, 0), (0.2, 2)):
+        for n in (65, 200, 3000):
+            word = "▁" + "".join(rng.choices("abcdeinrst中😀", k=n))
+            want = pieces._encode_block(m, [word], np.array([variant]), len(word), 5, rate)[0]
+            assert pieces._encode_long(m, word, variant, 5, rate).tolist() == want.tolist()
+    text = "".join(rng.choices("abcdefghij", k=300_000))
+    assert encode_one(path, text, 0.0) == m.sp.encode(text)
+
+
 def test_dropout_varies_by_key_and_decodes(path):
     m = pieces.model(path)
     text = "segmentation of international organisations and their responsibilities"
