@@ -11,8 +11,8 @@ The job finds, for every window, whether the same window also starts earlier:
    already known to be shared, and only one of them travels by its hash.
 3. ``cut``: per document, the shared anchors give *spans*: the run of windows
    that select the anchor. Equal spans met in one task are resolved there:
-   all but the earliest are repeats whole. Only the others travel on, by
-   anchor. An anchor with very many occurrences (a line that a third of the
+   all but the earliest are repeats whole. Only the others travel on, packed
+   by a hash of their anchor. An anchor with very many occurrences (a line that a third of the
    rows hold) would put all its contexts into one task, so its windows travel
    one by one, each by its own content.
 4. ``resolve``: an operator-specific step decides the windows of the spans
@@ -26,14 +26,13 @@ sends anything but the bounded list of very frequent anchors to the driver.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +42,9 @@ from sigflow.session import ensure_checkpoint_dir
 
 # Rows are hashed in slices of about this many bytes; it bounds the arrays, not the texts.
 SLICE_BYTES = 1 << 18
+# Anchors of about so many bytes of text are sorted together, spans of about so many bytes compared together.
+SCAN_BYTES = 1 << 23
+COMPARE_BYTES = 1 << 21
 # Anchors are handled window by window from this many occurrences on ...
 HOT_LEAST = 4096
 # ... or from this share of all anchors, so at most this many are named to all tasks.
@@ -188,13 +190,19 @@ def _prime(n: int) -> int:
     return n
 
 
-def _scan(s: Scheme, bins: int):
+def _scan(s: Scheme, bins: int, doc_bins: int):
     """Anchors of every document, packed by anchor bin; those shared within the batch by document bin."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         for batch in batches:
             doc = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            runs = _all_runs(s, *K.text_buffer(batch.column(1)))
+            buf, offs = K.text_buffer(batch.column(1))
+            for i, j in K.slices(offs, SCAN_BYTES):
+                yield doc[i:j], buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, buf, offs in pieces(batches):
+            runs = _all_runs(s, buf, offs)
             order = np.argsort(runs.h, kind="stable")
             h, d, pos = runs.h[order], doc[runs.row[order]], runs.anchor[order].astype(np.int32)
             if len(h) == 0:
@@ -209,7 +217,7 @@ def _scan(s: Scheme, bins: int):
             lead[edges] = True
             known = np.repeat(shared, size) & ~lead
             count = np.where(np.repeat(shared, size) & lead, np.repeat(size, size), 1).astype("<u4")
-            rows = list(_positions(d[known], pos[known], bins))
+            rows = list(_positions(d[known], pos[known], doc_bins))
             h, d, pos, count = h[~known], d[~known], pos[~known], count[~known]
             of = (h % K.U(bins)).astype(np.int64)
             order = np.lexsort((pos, d, of))
@@ -226,7 +234,7 @@ def _scan(s: Scheme, bins: int):
     return run
 
 
-def _match(s: Scheme, bins: int):
+def _match(s: Scheme, doc_bins: int):
     """Anchors of a hash bin that occur more than once, as positions by document bin."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +265,7 @@ def _match(s: Scheme, bins: int):
         else:
             shared = total > 1
         keep = np.repeat(shared, size)
-        rows = list(_positions(d[keep], pos[keep].astype(np.int64), bins))
+        rows = list(_positions(d[keep], pos[keep].astype(np.int64), doc_bins))
         much = shared & (total >= HOT_LEAST)
         for x, y, n in zip(h[edges][much], b[edges][much], total[much].tolist()):
             rows.append((int(y), FREQUENT, n, x.tobytes()))
@@ -268,11 +276,6 @@ def _match(s: Scheme, bins: int):
 
 # --- spans ----------------------------------------------------------------------------
 
-SPANS = "key long, kind int, d long, tie long, off int, starts binary, data binary"
-_SPANS = pa.schema([
-    ("key", pa.int64()), ("kind", pa.int32()), ("d", pa.int64()), ("tie", pa.int64()), ("off", pa.int32()),
-    ("starts", pa.binary()), ("data", pa.binary()),
-])
 SPAN, DONE = 0, 1
 
 
@@ -280,11 +283,7 @@ def _canonical(s: Scheme, raw: bytes) -> bytes:
     return b" ".join(raw.split()) if s.unit == "words" else raw
 
 
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >= 1 << 63 else h
-
-
-def _spans_of_row(s: Scheme, raw: bytes, first: int, last: int, hot: bool) -> Iterator[tuple[bytes, int, int]]:
+def _spans_of_run(s: Scheme, raw: bytes, first: int, last: int, hot: bool) -> Iterator[tuple[bytes, int, int]]:
     """(content, first window, last window) of a run: whole, or window by window for a frequent anchor."""
     if not hot:
         yield _canonical(s, raw), first, last
@@ -297,60 +296,117 @@ def _spans_of_row(s: Scheme, raw: bytes, first: int, last: int, hot: bool) -> It
             yield raw[t : t + s.length], first + t, first + t
 
 
-def _cut(s: Scheme, frequent: set[tuple[int, int]], bins: int):
-    """Spans of one document bin; see the module text, step 3."""
+def _row_order(ids: np.ndarray, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the rows by id, and each row's number among those of its id (by content, so it is the same in every step)."""
+    order = np.argsort(ids, kind="stable")
+    rank = np.zeros(len(ids), dtype=np.int32)
+    same = ids[order][1:] == ids[order][:-1]
+    if same.any():
+        repeated = np.unique(ids[order][1:][same])
+        content = np.zeros(len(ids), dtype=K.U)
+        for i in np.flatnonzero(np.isin(ids, repeated)).tolist():
+            content[i] = xxhash.xxh64_intdigest(buf[offs[i] : offs[i + 1]].tobytes())
+        order = np.lexsort((content, ids))
+        new = np.concatenate(([True], ids[order][1:] != ids[order][:-1]))
+        at = np.arange(len(ids))
+        rank[order] = at - np.maximum.accumulate(np.where(new, at, 0))
+    return order, rank
+
+
+def _pack_cuts(d: np.ndarray, rank: np.ndarray, a: np.ndarray, b: np.ndarray) -> bytes:
+    return _pack(d.astype("<i8"), rank.astype("<i4"), a.astype("<i4"), b.astype("<i4"))
+
+
+def _unpack_cuts(data: bytes) -> list[np.ndarray]:
+    return _unpack(data, "<i8", "<i4", "<i4", "<i4")
+
+
+def _pack_spans(key, d, rank, off, places: list[list[int]], content: list[bytes]) -> bytes:
+    """Spans packed and compressed: their text repeats words a lot."""
+    body = _pack(
+        key.astype("<u8"), _delta(d.astype("<i8")), rank.astype("<i4"), off.astype("<i4"),
+        np.array([len(p) for p in places], dtype="<i4"), np.array([len(c) for c in content], dtype="<i4"),
+    )
+    flat = np.array([x for p in places for x in p], dtype="<i4").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(body + flat + b"".join(content))
+
+
+def _unpack_spans(data: bytes) -> tuple[np.ndarray, ...]:
+    """key, d, rank, off, number of places, lengths, places, content."""
+    data = zstandard.ZstdDecompressor().decompress(data)
+    key, d, rank, off, n_places, length = _unpack(data, "<u8", "<i8", "<i4", "<i4", "<i4", "<i4")
+    at = 8 + len(key) * 32
+    places = np.frombuffer(data, dtype="<i4", count=int(n_places.sum()), offset=at)
+    content = np.frombuffer(data, dtype=np.uint8, offset=at + places.nbytes)
+    return key, np.cumsum(d), rank, off, n_places, length, places, content
+
+
+def _cut(s: Scheme, frequent: set[tuple[int, int]], anchor_bins: int, bins: int):
+    """Spans of one document bin, packed by span bin; see the module text, step 3."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = left.column("d").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        buf, offs = K.text_buffer(left.column("t").take(pa.array(order)))
-        at = [(np.cumsum(d), p) for d, p in (_unpack(x, "<i8", "<i4") for x in right.column("data").to_pylist())]
         out: list[tuple] = []
-        if at and len(ids):
-            known, rank = np.unique(ids, return_inverse=True)
+        at = [(np.cumsum(d), p) for d, p in (_unpack(x, "<i8", "<i4") for x in right.column("data").to_pylist())]
+        if at and left.num_rows:
+            buf, offs = K.text_buffer(left.column("t"))
+            ids = left.column("d").to_numpy()
+            order, rank = _row_order(ids, buf, offs)
+            ids, rank = ids[order], rank[order]
+            buf, offs = K.text_buffer(left.column("t").take(pa.array(order)))
+            known, number = np.unique(ids, return_inverse=True)
             doc, pos = np.concatenate([x[0] for x in at]), np.concatenate([x[1] for x in at])
             shared = np.unique((np.searchsorted(known, doc).astype(np.int64) << 32) | pos)
-            seen: dict[tuple[int, bytes], list] = {}
-            done: dict[int, list[int]] = {}
-            entries: list[list] = []
+            seen: dict[tuple[int, bytes], int] = {}
+            rows, keys, offsets, places, content = [], [], [], [], []
+            done: list[tuple[int, int, int]] = []
             for runs in runs_of(s, buf, offs):
-                mine = (rank[runs.row].astype(np.int64) << 32) | runs.anchor
+                mine = (number[runs.row].astype(np.int64) << 32) | runs.anchor
                 hit = np.searchsorted(shared, mine)
                 runs = runs.take(shared[np.minimum(hit, len(shared) - 1)] == mine)
                 columns = (runs.row, runs.first, runs.last, runs.anchor, runs.h, runs.b0, runs.b1)
                 for row, first, last, anchor, h, b0, b1 in zip(*(c.tolist() for c in columns)):
-                    hot = bool(frequent) and (h >> 16 & 0xFFFFFFFFFFFF, h % bins) in frequent
-                    for data, f, l in _spans_of_row(s, buf[b0:b1].tobytes(), first, last, hot):
+                    hot = bool(frequent) and (h >> 16, h % anchor_bins) in frequent
+                    for data, f, l in _spans_of_run(s, buf[b0:b1].tobytes(), first, last, hot):
                         key = (0 if hot else h, data)
-                        e = seen.get(key)
-                        if e is not None:
-                            d0, d = ids[e[0]], ids[row]
-                            if d0 < d or (not s.cross_document and d0 == d and e[1][0] < f):
-                                done.setdefault(row, []).extend((f, l + s.length))
+                        i = seen.get(key)
+                        if i is not None:
+                            d0, d = ids[rows[i]], ids[row]
+                            if d0 < d or (not s.cross_document and d0 == d and places[i][0] < f):
+                                done.append((row, f, l + s.length))
                                 continue
-                            if e[0] == row:
-                                e[1].append(f)
+                            if rows[i] == row:
+                                places[i].append(f)
                                 continue
-                        e = [row, [f], xxhash.xxh64_intdigest(data) if hot else h, 0 if hot else anchor - f, data]
-                        seen[key] = e
-                        entries.append(e)
-            ties: dict[int, int] = {}
-            for row in {e[0] for e in entries} | done.keys():
-                ties[row] = zlib.crc32(buf[offs[row] : offs[row + 1]])
-            for row, starts, h, off, data in entries:
-                out.append((_signed(h), SPAN, ids[row], ties[row], off, np.array(starts, dtype="<i4").tobytes(), data))
-            for row, pairs in done.items():
-                spread = _signed(xxhash.xxh64_intdigest(ids[row].tobytes()))
-                out.append((spread, DONE, ids[row], ties[row], 0, np.array(pairs, dtype="<i4").tobytes(), None))
-        cols = list(zip(*out)) if out else [[]] * len(_SPANS)
-        return pa.table([pa.array(c, t.type) for c, t in zip(cols, _SPANS)], schema=_SPANS)
+                        seen[key] = len(rows)
+                        rows.append(row)
+                        keys.append(xxhash.xxh64_intdigest(data) if hot else h)
+                        offsets.append(0 if hot else anchor - f)
+                        places.append([f])
+                        content.append(data)
+            if rows:
+                row, key, off = np.array(rows), np.array(keys, dtype=K.U), np.array(offsets)
+                of = (key >> K.U(20)) % K.U(bins)
+                order = np.argsort(of, kind="stable")
+                edges = np.flatnonzero(np.diff(of[order].astype(np.int64), prepend=-1))
+                for a, b in zip(edges, [*edges[1:], len(of)]):
+                    i = order[a:b]
+                    part = i.tolist()
+                    packed = _pack_spans(
+                        key[i], ids[row[i]], rank[row[i]], off[i], [places[x] for x in part], [content[x] for x in part]
+                    )
+                    out.append((int(of[i[0]]), SPAN, len(part), packed))
+            if done:
+                row, a, b = (np.array(x) for x in zip(*done))
+                doc_bin = left.column("bin")[0].as_py()
+                out.append((doc_bin % bins, DONE, doc_bin, _pack_cuts(ids[row], rank[row], a, b)))
+        cols = list(zip(*out)) if out else [[]] * len(_PACKED)
+        return pa.table([pa.array(c, t.type) for c, t in zip(cols, _PACKED)], schema=_PACKED)
 
     return run
 
 
-CUTS = "bin int, d long, tie long, pairs binary"
-_CUTS = pa.schema([("bin", pa.int32()), ("d", pa.int64()), ("tie", pa.int64()), ("pairs", pa.binary())])
+CUTS = "bin int, data binary"
+_CUTS = pa.schema([("bin", pa.int32()), ("data", pa.binary())])
 
 
 @dataclass
@@ -373,7 +429,7 @@ class Spans:
 Resolver = Callable[[Scheme, Spans], tuple[np.ndarray, np.ndarray]]
 
 
-def _equal_spans(s: Scheme, x: Spans, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _equal_spans(s: Scheme, x: Spans) -> tuple[np.ndarray, np.ndarray]:
     """Rows whose whole content also starts earlier, and the rows left to compare.
 
     Equal hashes are verified byte by byte against the earliest row of that hash.
@@ -411,73 +467,82 @@ def _open_groups(s: Scheme, group: np.ndarray, d: np.ndarray) -> np.ndarray:
     return np.repeat(several, size)
 
 
-def _resolve(s: Scheme, resolver: Resolver, bins: int):
-    def pairs_of(out: dict, x: Spans, starts: list, ties: np.ndarray, row, a, b) -> None:
-        """Windows a..b of each row, at every place the row's span starts in its document."""
-        for r, i, j in zip(row.tolist(), a.tolist(), b.tolist()):
-            place = starts[r]
-            pair = np.stack((place + i, place + (j + s.length)), axis=1)
-            out.setdefault((int(x.d[r]), int(ties[r])), []).append(pair.astype("<i4"))
+def _later_windows(s: Scheme, resolver: Resolver, x: Spans) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first and last window of the runs of windows that also start earlier."""
+    size = np.diff(x.offs)
+    if s.unit == "words":
+        spaces = np.concatenate(([0], np.cumsum(x.buf == 32)))
+        windows = spaces[x.offs[1:]] - spaces[x.offs[:-1]] + 2 - s.length
+    else:
+        windows = size - s.length + 1
+    whole, rest = _equal_spans(s, x)
+    found = [(whole, np.zeros(len(whole), dtype=np.int64), windows[whole] - 1)]
+    rest = rest[_open_groups(s, x.group[rest], x.d[rest])]
+    if len(rest):
+        part = Spans(
+            x.group[rest], x.d[rest], x.off[rest], x.first[rest], x.buf[K.ranges(x.offs[rest], size[rest])],
+            np.concatenate(([0], np.cumsum(size[rest]))),
+        )
+        row, window = resolver(s, part)
+        if len(row):
+            order = np.lexsort((window, row))
+            row, window = row[order], window[order]
+            new = np.concatenate(([True], (row[1:] != row[:-1]) | (window[1:] != window[:-1] + 1)))
+            a = np.flatnonzero(new)
+            b = np.append(a[1:], len(row)) - 1
+            found.append((rest[row[a]], window[a], window[b]))
+    row, a, b = (np.concatenate(x) for x in zip(*found))
+    return row, a, b
+
+
+def _resolve(s: Scheme, resolver: Resolver, doc_bins: int):
+    """Spans of one shuffle partition to cuts by document bin; see the module text, step 4."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
-            done = batch.filter(pc.equal(batch.column("kind"), DONE))
-            if done.num_rows:
-                d = done.column("d").to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((d % bins).astype(np.int32)), done.column("d"), done.column("tie"), done.column("starts")],
-                    schema=_CUTS,
-                )
-            parts.append(batch.filter(pc.equal(batch.column("kind"), SPAN)))
-        table = pa.Table.from_batches(parts, _SPANS)
-        if table.num_rows < 2:
+            for _, kind, n, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == SPAN:
+                    parts.append(_unpack_spans(data))
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([data], pa.binary())], schema=_CUTS)
+        if not parts:
             return
-        key, d = table.column("key").to_numpy(), table.column("d").to_numpy()
+        key, d, rank, off, n_places, length, places, content = (np.concatenate(x) for x in zip(*parts))
+        del parts
         order = np.lexsort((d, key))
         order = order[_open_groups(s, key[order], d[order])]
         if len(order) == 0:
             return
-        rows = table.take(pa.array(order))
-        buf, offs = K.text_buffer(rows.column("data"))
-        starts = [np.frombuffer(x, dtype="<i4") for x in rows.column("starts").to_pylist()]
-        ties = rows.column("tie").to_numpy()
-        x = Spans(
-            np.unique(key[order], return_inverse=True)[1], d[order], rows.column("off").to_numpy(),
-            np.array([p[0] for p in starts], dtype=np.int64), buf, offs,
-        )
-        if s.unit == "words":
-            spaces = np.concatenate(([0], np.cumsum(buf == 32)))
-            units = spaces[offs[1:]] - spaces[offs[:-1]] + 1
-        else:
-            units = np.diff(offs)
-        windows = units - s.length + 1
-        out: dict = {}
-        whole, rest = _equal_spans(s, x, windows)
-        pairs_of(out, x, starts, ties, whole, np.zeros(len(whole), dtype=np.int64), windows[whole] - 1)
-        rest = rest[_open_groups(s, x.group[rest], x.d[rest])]
-        if len(rest):
-            sizes = np.diff(offs)[rest]
-            part = Spans(
-                x.group[rest], x.d[rest], x.off[rest], x.first[rest], buf[K.ranges(offs[rest], sizes)],
-                np.concatenate(([0], np.cumsum(sizes))),
+        at_place = np.concatenate(([0], np.cumsum(n_places)))[:-1]
+        at_content = np.concatenate(([0], np.cumsum(length, dtype=np.int64)))[:-1]
+        # whole groups at a time, so that the arrays stay small
+        volume = np.cumsum(length[order], dtype=np.int64)
+        start = np.concatenate(([True], key[order][1:] != key[order][:-1]))
+        edges = np.flatnonzero(start)
+        part_of = np.concatenate(([0], volume))[edges] // COMPARE_BYTES
+        firsts = edges[np.concatenate(([True], part_of[1:] != part_of[:-1]))].tolist()
+        found = []
+        for i, j in zip(firsts, [*firsts[1:], len(order)]):
+            mine = order[i:j]
+            size = length[mine].astype(np.int64)
+            spans = Spans(
+                np.cumsum(start[i:j]) - 1, d[mine], off[mine].astype(np.int64), places[at_place[mine]].astype(np.int64),
+                content[K.ranges(at_content[mine], size)], np.concatenate(([0], np.cumsum(size))),
             )
-            row, window = resolver(s, part)
-            if len(row):
-                order = np.lexsort((window, row))
-                row, window = row[order], window[order]
-                new = np.concatenate(([True], (row[1:] != row[:-1]) | (window[1:] != window[:-1] + 1)))
-                a = np.flatnonzero(new)
-                b = np.append(a[1:], len(row)) - 1
-                pairs_of(out, x, starts, ties, rest[row[a]], window[a], window[b])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[0] % bins for k in out], pa.int32()), pa.array([k[0] for k in out], pa.int64()),
-                pa.array([k[1] for k in out], pa.int64()),
-                pa.array([np.concatenate(v).tobytes() for v in out.values()], pa.binary()),
-            ],
-            schema=_CUTS,
-        )
+            row, a, b = _later_windows(s, resolver, spans)
+            row = mine[row]
+            # at every place the span starts in its document
+            place = places[K.ranges(at_place[row], n_places[row])]
+            row, a, b = (np.repeat(x, n_places[row]) for x in (row, a, b))
+            found.append((d[row], rank[row], place + a, place + b + s.length))
+        doc, number, a, b = (np.concatenate(x) for x in zip(*found))
+        of = doc % doc_bins
+        order = np.argsort(of, kind="stable")
+        doc, number, a, b, of = doc[order], number[order], a[order], b[order], of[order]
+        edges = np.flatnonzero(np.diff(of, prepend=-1))
+        data = [_pack_cuts(doc[i:j], number[i:j], a[i:j], b[i:j]) for i, j in zip(edges, [*edges[1:], len(of)])]
+        yield pa.RecordBatch.from_arrays([pa.array(of[edges].astype(np.int32)), pa.array(data, pa.binary())], schema=_CUTS)
 
     return run
 
@@ -507,17 +572,25 @@ def _remove(s: Scheme, data: bytes, cuts: np.ndarray) -> tuple[int, int, int, by
 
 def _finish(s: Scheme, schema: pa.Schema, as_is: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        cuts: dict[tuple[int, int], list[np.ndarray]] = {}
-        for d, tie, pairs in zip(*(right.column(c).to_pylist() for c in ("d", "tie", "pairs"))):
-            cuts.setdefault((d, tie), []).append(np.frombuffer(pairs, dtype="<i4").reshape(-1, 2))
-        has = {k[0] for k in cuts}
         buf, offs = K.text_buffer(left.column("t"))
-        none, out = np.zeros((0, 2), dtype=np.int64), []
-        for i, d in enumerate(left.column("d").to_pylist()):
+        ids = left.column("d").to_numpy()
+        order, rank = _row_order(ids, buf, offs)
+        parts = [_unpack_cuts(x) for x in right.column("data").to_pylist()]
+        none = np.zeros((0, 2), dtype=np.int64)
+        mine = [none] * len(ids)
+        if parts and len(ids):
+            d, r, a, b = (np.concatenate(x) for x in zip(*parts))
+            by = np.lexsort((r, d))
+            d, r, pairs = d[by], r[by], np.stack((a[by], b[by]), axis=1).astype(np.int64)
+            edges = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (r[1:] != r[:-1]))))
+            row_of = {k: i for i, k in enumerate(zip(ids.tolist(), rank.tolist()))}
+            for i, j in zip(edges.tolist(), [*edges[1:].tolist(), len(d)]):
+                mine[row_of[(int(d[i]), int(r[i]))]] = merged(pairs[i:j])
+        out = []
+        for i, cuts in enumerate(mine):
             data = buf[offs[i] : offs[i + 1]].tobytes()
-            mine = cuts.get((d, zlib.crc32(data))) if d in has else None
-            *counts, kept = _remove(s, data, merged(np.concatenate(mine).astype(np.int64)) if mine else none)
-            out.append((*counts, kept if mine or not as_is else data))
+            *counts, kept = _remove(s, data, cuts)
+            out.append((*counts, kept if len(cuts) or not as_is else data))
         cols = list(zip(*out)) if out else [[]] * 4
         arrays = [left.column("row").combine_chunks()]
         arrays += [pa.array(c, schema.field(k + 1).type) for k, c in enumerate(cols)]
@@ -545,7 +618,8 @@ def remove_repeats(
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     width = shuffle_width(spark)
-    bins = _prime(max(2 * width, 3))
+    bins = _prime(width + 1)  # of anchors and spans
+    doc_bins = _prime(4 * width)  # small enough to hold one, and its spans, in a task
     named = docs.select(
         F.struct(
             column(docs, id_col).alias("c0"),
@@ -553,18 +627,18 @@ def remove_repeats(
         ).alias("row"),
         F.coalesce(column(docs, id_col).cast("long"), F.lit(NO_ID)).alias("d"),
         column(docs, text_col).cast("string").alias("t"),
-    ).withColumn("bin", F.pmod("d", F.lit(bins)).cast("int"))
+    ).withColumn("bin", F.pmod("d", F.lit(doc_bins)).cast("int"))
 
-    anchors = named.select("d", "t").mapInArrow(_scan(s, bins), PACKED)
-    shared = anchors.repartition(width, "bin").mapInArrow(_match(s, bins), PACKED).checkpoint()
+    anchors = named.select("d", "t").mapInArrow(_scan(s, bins, doc_bins), PACKED)
+    shared = anchors.repartition(width, "bin").mapInArrow(_match(s, doc_bins), PACKED).checkpoint()
     # Which anchors count as frequent only routes work; the most frequent ones are named to all tasks.
     top = shared.filter(f"kind = {FREQUENT}").orderBy(F.desc("n")).limit(HOT_MOST).select("bin", "data").collect()
     frequent = {(int.from_bytes(r.data, "little"), r.bin) for r in top}
 
     places = shared.filter(f"kind = {SHARED}").select("bin", "data")
     texts = named.select("bin", "d", "t", "row")
-    spans = texts.groupBy("bin").cogroup(places.groupBy("bin")).applyInArrow(_cut(s, frequent, bins), SPANS)
-    cuts = spans.repartition(width, "key").mapInArrow(_resolve(s, resolver, bins), CUTS)
+    spans = texts.groupBy("bin").cogroup(places.groupBy("bin")).applyInArrow(_cut(s, frequent, bins, bins), PACKED)
+    cuts = spans.repartition(width, "bin").mapInArrow(_resolve(s, resolver, doc_bins), CUTS)
     result = StructType([
         named.schema["row"], StructField("n_units", LongType()), StructField("n_removed", LongType()),
         StructField("n_spans", LongType()), StructField("kept", BinaryType()),

@@ -8,7 +8,6 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from sigflow.llm import kernels as K
 from sigflow.llm import repeats, substring, suffixes
@@ -77,8 +76,8 @@ def test_frequent_anchors_window_by_window(docs, monkeypatch, hot):
     # workers import the module afresh: the floor has to reach them through the closure
     match = repeats._match
 
-    def patched(s, bins):
-        run = match(s, bins)
+    def patched(s, doc_bins):
+        run = match(s, doc_bins)
 
         def with_floor(batches):
             repeats.HOT_LEAST = hot
@@ -171,4 +170,3 @@ def test_query_digests(spark, tmp_path):
     assert (r[2].n_words, r[2].n_removed, r[2].kept_sha256) == (31, 30, hashlib.sha256(b"head").hexdigest())
     r = {x.doc_id: x for x in catalog.QUERIES["op9_suffix_dedup"](spark, str(tmp_path)).collect()}
     assert r[2].kept_sha256 == hashlib.sha256(b"head ").hexdigest() and r[2].n_spans == 1
-    assert F is not None
