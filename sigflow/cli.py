@@ -7,8 +7,11 @@
 
 Streaming stages run until stopped, or for ``--seconds``, or with
 ``--available-now`` (all current input, then stop). Checkpoints default to
-folders under the session's ``spark.checkpoint.dir``. ``--kafka HOST:PORT
---topic T`` swaps message files for a Kafka topic (connector jar required).
+folders under the session's ``spark.checkpoint.dir`` (``--checkpoint-root``
+where the cluster names none), one per stage, source and target. ``--kafka
+HOST:PORT --topic T`` swaps message files for a Kafka topic (connector jar
+required). Micro-batches are sized with ``--max-files-per-trigger`` or
+``--max-offsets-per-trigger`` and paced with ``--every``.
 """
 
 from __future__ import annotations
@@ -23,7 +26,9 @@ log = logging.getLogger("sigflow")
 
 
 def _trigger(args) -> dict | None:
-    return {"availableNow": True} if args.available_now else None
+    if args.available_now:
+        return {"availableNow": True}
+    return {"processingTime": args.every} if args.every else None
 
 
 def _finish(spark, query, args) -> None:
@@ -41,8 +46,10 @@ def cmd_publish(spark, args) -> None:
     from sigflow.streaming.ingest import start_publish_csv
 
     fmt = "kafka" if args.kafka else "text"
+    target = args.out or f"{args.kafka}/{args.topic}"
     q = start_publish_csv(
-        spark, args.csv_dir, args.checkpoint or stream_checkpoint(spark, "publish"),
+        spark, args.csv_dir, args.checkpoint or stream_checkpoint(spark, "publish", args.csv_dir, target),
+        max_files_per_trigger=args.max_files_per_trigger,
         out_path=args.out, fmt=fmt, bootstrap=args.kafka, topic=args.topic,
         glob=None if args.all_files else "*.csv", trigger=_trigger(args),
     )
@@ -50,12 +57,18 @@ def cmd_publish(spark, args) -> None:
 
 
 def cmd_consume(spark, args) -> None:
-    from sigflow.streaming.ingest import readings_stream, start_consume
+    from sigflow.streaming.ingest import readings_stream, start_consume, start_raw_tap
     from sigflow.streaming.sinks import start_console
 
     fmt = "kafka" if args.kafka else "text"
     source_opts = {"bootstrap": args.kafka, "topic": args.topic} if args.kafka else {}
-    ck = args.checkpoint or stream_checkpoint(spark, "consume")
+    if args.max_offsets_per_trigger:
+        source_opts["options"] = {"maxOffsetsPerTrigger": str(args.max_offsets_per_trigger)}
+    source_opts["max_files_per_trigger"] = args.max_files_per_trigger
+    source = args.messages or f"{args.kafka}/{args.topic}"
+    ck = args.checkpoint or stream_checkpoint(spark, "consume", source, args.lake)
+    if args.raw_tap:
+        start_raw_tap(spark, args.messages, fmt=fmt, trigger=_trigger(args), **source_opts)
     if args.taps:
         start_console(readings_stream(spark, args.messages, fmt=fmt, **source_opts), trigger=_trigger(args))
     q = start_consume(
@@ -100,12 +113,15 @@ def main(argv=None, stop: bool = False) -> None:
     p.add_argument("--master", default=None)
     p.add_argument("--shuffle-partitions", type=int, default=None)
     p.add_argument("--lake-format", default="parquet")
+    p.add_argument("--checkpoint-root", default=None, help="shared folder, where spark.checkpoint.dir is not set")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     def streaming(sp):
         sp.add_argument("--checkpoint", default=None)
         sp.add_argument("--available-now", action="store_true")
         sp.add_argument("--seconds", type=float, default=None)
+        sp.add_argument("--every", default=None, help='micro-batch interval, e.g. "10 seconds"')
+        sp.add_argument("--max-files-per-trigger", type=int, default=None)
         sp.add_argument("--kafka", default=None)
         sp.add_argument("--topic", default=None)
 
@@ -119,8 +135,10 @@ def main(argv=None, stop: bool = False) -> None:
     sp.add_argument("--messages", default=None)
     sp.add_argument("--lake", required=True)
     sp.add_argument("--partition-by-date", action="store_true")
-    sp.add_argument("--taps", action="store_true")
-    sp.add_argument("--sink", default="table", choices=["table", "batches"])
+    sp.add_argument("--max-offsets-per-trigger", type=int, default=None)
+    sp.add_argument("--taps", action="store_true", help="print shaped readings")
+    sp.add_argument("--raw-tap", action="store_true", help="print messages as they arrive")
+    sp.add_argument("--sink", default="batches", choices=["batches", "table"])
     sp.add_argument("--typed", default=None, help="also write typed signal copies, e.g. float,double")
     streaming(sp)
 
@@ -140,7 +158,7 @@ def main(argv=None, stop: bool = False) -> None:
     args = p.parse_args(argv)
     spark = build_session(args.master, app_name=f"sigflow-{args.cmd}",
                           shuffle_partitions=args.shuffle_partitions,
-                          delta=args.lake_format == "delta")
+                          delta=args.lake_format == "delta", checkpoint_dir=args.checkpoint_root)
     command = {"publish": cmd_publish, "consume": cmd_consume, "report": cmd_report, "model": cmd_model}
     try:
         command[args.cmd](spark, args)

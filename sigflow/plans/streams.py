@@ -1,9 +1,11 @@
 """Streaming jobs run end to end on the given tables.
 
 Each job lands its input under a fresh folder of the shared checkpoint root
-(``spark.checkpoint.dir``), runs the streaming queries with an
-``availableNow`` trigger (all input, then stop) and returns the sink's
-table, so the result can be compared with a batch computation.
+(``spark.checkpoint.dir``) or of a folder the caller names, runs the
+streaming queries with an ``availableNow`` trigger (all input, then stop),
+removes the legs nobody reads any more and returns the sink's table, so the
+result can be compared with a batch computation. Micro-batches are sized by
+the number of files a batch takes (``files_per_batch``).
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from sigflow.operators.quality import dedup_latest
 from sigflow.operators.shape import pack_messages
 from sigflow.plans.analysis import hourly_report
 from sigflow.schemas import READINGS_SCHEMA
-from sigflow.session import checkpoint_root, conf_override, state_partitions
+from sigflow.session import checkpoint_root, conf_override, drop_folder, state_partitions
 from sigflow.sources.lake import read_lake, write_lake
 from sigflow.sources.tables import events_as_raw, events_as_readings, load_table, replayed_readings
 from sigflow.streaming.control import run_to_completion
@@ -30,8 +32,20 @@ from sigflow.streaming.windows import dedup_first_stream, hourly_means_stream, l
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def run_folder(spark: SparkSession, name: str) -> str:
-    return os.path.join(checkpoint_root(spark), "sigflow-runs", f"{name}-{uuid.uuid4().hex}")
+# Files a micro-batch takes in the registered jobs.
+FILES_PER_BATCH = 64
+# The hourly stream lands its readings in time order, so many days at a time.
+DAYS_PER_LANDING = 5
+
+
+def run_folder(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A fresh folder for one run, below ``root`` or the shared checkpoint root."""
+    return os.path.join(root or checkpoint_root(spark), "sigflow-runs", f"{name}-{uuid.uuid4().hex}")
+
+
+def drop_legs(spark: SparkSession, base: str, *legs: str) -> None:
+    for leg in legs:
+        drop_folder(spark, f"{base}/{leg}")
 
 
 def land_csv(df: DataFrame, path: str) -> None:
@@ -39,13 +53,13 @@ def land_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def ingest_events(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> str:
+def ingest_events(spark: SparkSession, sf_dir: str, files_per_batch: int = FILES_PER_BATCH, root: str | None = None) -> str:
     """CSV files -> publish stream -> message files -> consume stream -> lake.
 
-    Returns the lake path. Both streams are exactly-once file sinks, so
+    Returns the lake path. Both streams write every batch exactly once, so
     running either again with its checkpoint adds nothing.
     """
-    base = run_folder(spark, "ingest")
+    base = run_folder(spark, "ingest", root)
     land_csv(events_as_raw(load_table(spark, sf_dir, "events")), f"{base}/csv")
     run_to_completion(start_publish_csv(
         spark, f"{base}/csv", f"{base}/ck_publish", out_path=f"{base}/messages",
@@ -55,6 +69,7 @@ def ingest_events(spark: SparkSession, sf_dir: str, files_per_batch: int | None
         spark, f"{base}/messages", f"{base}/lake", f"{base}/ck_consume",
         max_files_per_trigger=files_per_batch, trigger=AVAILABLE_NOW,
     ))
+    drop_legs(spark, base, "csv", "messages", "ck_publish", "ck_consume")
     return f"{base}/lake"
 
 
@@ -63,15 +78,31 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.select("signal_date", "signal_ts", *flatten_signals())
 
 
-def hourly_stream_job(spark: SparkSession, sf_dir: str, watermark: str = "1 hour",
-                      files_per_batch: int | None = None) -> DataFrame:
-    """Readings files -> windowed hourly means (update mode) -> final values."""
-    base = run_folder(spark, "hourly")
+def land_in_time_order(readings: DataFrame, path: str, days: int = DAYS_PER_LANDING) -> None:
+    """Land readings as a feed would: a few days after the other, in any order
+    within them. Files then reach a stream at most ``days`` days out of order."""
+    day = F.datediff("signal_date", F.lit("1970-01-01").cast("date"))
+    slot = F.floor(day / days)
+    bounds = readings.agg(F.min(slot).alias("a"), F.max(slot).alias("b")).first()
+    if bounds.a is None:
+        readings.limit(0).write.parquet(path)
+        return
+    for k in range(bounds.a, bounds.b + 1):
+        readings.filter(slot == k).write.mode("append").parquet(path)
+
+
+def hourly_stream_job(spark: SparkSession, sf_dir: str, watermark: str = f"{DAYS_PER_LANDING} days",
+                      files_per_batch: int = 1, root: str | None = None) -> DataFrame:
+    """Readings files -> windowed hourly means (update mode) -> final values.
+
+    The watermark covers the disorder of the landed files, so the means are
+    complete however the input is cut into micro-batches, and the state holds
+    the windows of about two landings.
+    """
+    base = run_folder(spark, "hourly", root)
     readings = events_as_readings(load_table(spark, sf_dir, "events"))
-    readings.write.mode("overwrite").parquet(f"{base}/readings")
-    reader = spark.readStream.schema(READINGS_SCHEMA)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    land_in_time_order(readings, f"{base}/readings")
+    reader = spark.readStream.schema(READINGS_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
     hourly = hourly_means_stream(reader.parquet(f"{base}/readings"), watermark=watermark)
     with conf_override(spark, state_partitions(spark)):
         query = start_foreach_batch(
@@ -79,6 +110,7 @@ def hourly_stream_job(spark: SparkSession, sf_dir: str, watermark: str = "1 hour
             output_mode="update", trigger=AVAILABLE_NOW,
         )
     run_to_completion(query)
+    drop_legs(spark, base, "readings", "ck_hourly")
     return latest_windows(spark.read.parquet(f"{base}/hourly"))
 
 
@@ -100,35 +132,39 @@ def q_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     for ck in ("ck_first", "ck_first", "ck_replay"):
         run_to_completion(start_consume(
             spark, f"{base}/messages", f"{base}/lake", f"{base}/{ck}",
-            trigger=AVAILABLE_NOW, sink="batches",
+            trigger=AVAILABLE_NOW, max_files_per_trigger=FILES_PER_BATCH,
         ))
+    drop_legs(spark, base, "messages", "ck_first", "ck_replay")
     lake = read_lake(spark, f"{base}/lake").select(*READINGS_SCHEMA.fieldNames())
     return dedup_latest(lake).select("signal_date", "signal_ts", *flatten_signals())
 
 
 def q_stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One read of the messages feeding the raw archive and the shaped table."""
+    """One read of the messages feeding the raw archive and the shaped table: the rows of both."""
     base = run_folder(spark, "fanout")
     land_messages(spark, sf_dir, f"{base}/messages")
     run_to_completion(start_consume_fanout(
         spark, f"{base}/messages", f"{base}/lake", f"{base}/raw", f"{base}/ck", trigger=AVAILABLE_NOW,
+        max_files_per_trigger=FILES_PER_BATCH,
     ))
-    raw = spark.read.text(f"{base}/raw").agg(F.count(F.lit(1)).alias("num_rows"))
-    lake = spark.read.parquet(f"{base}/lake").agg(F.count(F.lit(1)).alias("num_rows"))
-    return raw.select(F.lit("raw").alias("target"), "num_rows").unionByName(
-        lake.select(F.lit("lake").alias("target"), "num_rows"))
+    drop_legs(spark, base, "messages", "ck")
+    raw = spark.read.text(f"{base}/raw").select(F.lit("raw").alias("target"), "value")
+    lake = spark.read.parquet(f"{base}/lake").select(
+        F.lit("lake").alias("target"), "signal_date", "signal_ts", *flatten_signals())
+    return lake.unionByName(raw, allowMissingColumns=True)
 
 
 def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming replay removal: three ingests of the readings, first arrival kept."""
     base = run_folder(spark, "dedup-first")
     replayed_readings(load_table(spark, sf_dir, "events")).write.parquet(f"{base}/readings")
-    stream = spark.readStream.schema(READINGS_SCHEMA).parquet(f"{base}/readings")
+    stream = spark.readStream.schema(READINGS_SCHEMA).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(f"{base}/readings")
     with conf_override(spark, state_partitions(spark)):
         query = start_lake_sink(
             dedup_first_stream(stream, "1 hour"), f"{base}/lake", f"{base}/ck", trigger=AVAILABLE_NOW,
         )
     run_to_completion(query)
+    drop_legs(spark, base, "readings", "ck")
     return read_lake(spark, f"{base}/lake").select("signal_date", "signal_ts", *flatten_signals())
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
-import tempfile
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -45,13 +45,15 @@ def build_session(
     extra_conf: dict[str, str] | None = None,
     delta: bool = False,
     packages: list[str] | None = None,
+    checkpoint_dir: str | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with sigflow's defaults.
 
     ``master`` is only set when given, so ``spark-submit`` on a cluster keeps
     its own master. ``shuffle_partitions`` is the *initial* width; AQE
     coalesces it at run time, so on a cluster set it generously
-    (e.g. 2-3x total cores) and let AQE shrink it.
+    (e.g. 2-3x total cores) and let AQE shrink it. ``checkpoint_dir`` is used
+    only where the cluster names none.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -71,42 +73,34 @@ def build_session(
         spark.sparkContext.setLogLevel("ERROR")
     except Exception:  # no SparkContext handle (e.g. a Connect session)
         pass
-    ensure_checkpoint_dir(spark)
+    if checkpoint_dir and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", checkpoint_dir)
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    master = spark.conf.get("spark.master", None)
-    if master is None:
-        try:
-            master = spark.sparkContext.master
-        except Exception:
-            master = ""
-    return master.startswith("local")
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Streaming checkpoints and lineage cuts go below it. Only a local session
-    (tests, a laptop) without the setting gets a private scratch folder; on a
-    cluster a machine-local folder would be lost with its executor, so the
-    setting is required there.
+    Streaming checkpoints, run folders and lineage cuts go below it. There is
+    no fallback: a machine-local folder would be lost with its machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         try:
             root = spark.sparkContext.getCheckpointDir()
-        except Exception:
+        except Exception:  # Connect sessions only know the setting
             root = None
     if not root:
-        if not _is_local(spark):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
-        root = tempfile.mkdtemp(prefix="sigflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
     return root
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of one's own from whatever store it lies in."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint`` write under the shared root."""
     root = checkpoint_root(spark)
@@ -118,9 +112,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
-def stream_checkpoint(spark: SparkSession, name: str) -> str:
-    """Checkpoint location for a named streaming query under the shared root."""
-    return os.path.join(checkpoint_root(spark), "streams", name)
+def stream_checkpoint(spark: SparkSession, name: str, *ends: str | None) -> str:
+    """Checkpoint location for a named streaming query under the shared root.
+
+    ``ends`` are what the query reads and writes: the same stage between other
+    ends is another query and has its own checkpoint.
+    """
+    key = hashlib.sha1("\n".join(str(e) for e in ends).encode()).hexdigest()[:12]
+    return os.path.join(checkpoint_root(spark), "streams", f"{name}-{key}" if ends else name)
 
 
 @contextmanager

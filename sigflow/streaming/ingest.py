@@ -24,9 +24,9 @@ from sigflow.schemas import GENERIC_MESSAGE_SCHEMA
 from sigflow.sources.files import read_csv_stream
 from sigflow.sources.messages import read_message_stream
 from sigflow.streaming.sinks import (
-    app_id_for,
     batch_folder_writer,
     fan_out,
+    start_console,
     start_foreach_batch,
     start_lake_sink,
     start_publish,
@@ -78,26 +78,25 @@ def start_consume(
     partition_by: list[str] | None = None,
     trigger: dict | None = None,
     strict: bool = False,
-    sink: str = "table",
+    sink: str = "batches",
     typed_casts: tuple[str, ...] | None = None,
     **source_options,
 ) -> StreamingQuery:
     """Messages -> readings -> lake table (append, exactly once per batch).
 
-    ``sink="table"`` uses the table format's streaming sink. ``sink="batches"``
-    writes one folder per (checkpoint, batch) with overwrite, so retries are
-    idempotent and a run from a new checkpoint is kept as a replay; read it
-    with :func:`sigflow.sources.lake.read_lake` (extra ``app_id``/``batch_id``
-    columns come from the folder names). ``typed_casts`` (e.g.
+    ``sink="batches"`` writes one folder per (query id, batch) with overwrite,
+    so retries are idempotent and a run from a new or emptied checkpoint is
+    kept as a replay; read it with :func:`sigflow.sources.lake.read_lake`
+    (extra ``app_id``/``batch_id`` columns come from the folder names).
+    ``sink="table"`` uses the table format's streaming sink, which takes one
+    checkpoint per table. ``typed_casts`` (e.g.
     ``("float", "double")``) also writes typed copies of the signals.
     """
     readings = readings_stream(spark, source, fmt=fmt, strict=strict, **source_options)
     if typed_casts:
         readings = with_typed_signals(readings, typed_casts)
     if sink == "batches":
-        writer = batch_folder_writer(
-            lake_path, fmt=lake_format, partition_by=partition_by, app_id=app_id_for(checkpoint)
-        )
+        writer = batch_folder_writer(lake_path, fmt=lake_format, partition_by=partition_by)
         return start_foreach_batch(readings, writer, checkpoint, trigger=trigger)
     return start_lake_sink(
         readings, lake_path, checkpoint, fmt=lake_format,
@@ -105,6 +104,15 @@ def start_consume(
     )
 
 
+def start_raw_tap(
+    spark: SparkSession, source: str | None = None, *, fmt: str = "text", num_rows: int = 20,
+    trigger: dict | None = None, **source_options,
+) -> StreamingQuery:
+    """Console tap on the messages as they arrive, before any shaping."""
+    messages = read_message_stream(spark, source, fmt=fmt, **source_options)
+    return start_console(messages.selectExpr("CAST(value AS STRING) AS value"), num_rows=num_rows, trigger=trigger)
+
+
 def start_consume_generic(
     spark: SparkSession,
     source: str | None,
@@ -118,11 +126,10 @@ def start_consume_generic(
     **source_options,
 ) -> StreamingQuery:
     """Simple messages (``{"id": ..., "value": ...}`` by default) flattened to
-    columns and appended to a lake table."""
+    columns and added to a lake table, one folder per (query id, batch)."""
     messages = read_message_stream(spark, source, fmt=fmt, **source_options)
-    return start_lake_sink(
-        flatten_messages(messages, schema), lake_path, checkpoint, fmt=lake_format, trigger=trigger
-    )
+    writer = batch_folder_writer(lake_path, fmt=lake_format)
+    return start_foreach_batch(flatten_messages(messages, schema), writer, checkpoint, trigger=trigger)
 
 
 def start_consume_fanout(
@@ -137,7 +144,7 @@ def start_consume_fanout(
     **source_options,
 ) -> StreamingQuery:
     """One read of the source feeding both the raw-message archive and the
-    shaped lake table, each batch written once per target."""
+    shaped lake table, each batch written once per (query id, target)."""
     messages = read_message_stream(spark, source, fmt=fmt, **source_options)
 
     def shaped(batch, batch_id):

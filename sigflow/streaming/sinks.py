@@ -1,28 +1,30 @@
 """Streaming sinks.
 
+* per-batch writers for ``foreachBatch``: each batch goes to its own
+  ``app_id=Q/batch_id=N`` folder with overwrite, Q being the streaming
+  query's id, which lives in its checkpoint. Re-running a batch after a
+  failure replaces its output; a run from a new or emptied checkpoint has a
+  new id and writes beside the old one, so nothing is lost or overwritten.
 * lake sink: append to a path-based table (parquet by default, delta when
   installed). The file sink commits each micro-batch once, recording it in
   the table's metadata log, so a restart with the same checkpoint never
-  writes a batch twice. That log is keyed on the batch number alone: a query
-  started from a *new* checkpoint has its first batches skipped as already
-  written. Delta keys commits on (query, version) instead and keeps them.
+  writes a batch twice. That log is keyed on the batch number alone, so a
+  new checkpoint's first batches would be skipped as already written;
+  starting one into an existing table is refused. Delta keys commits on
+  (query, version) and needs no such care.
 * publish sink: messages (``value`` column) to Kafka or to message files.
 * console taps for inspection, bounded to a few rows per batch.
-* per-batch writers for ``foreachBatch``: each batch goes to its own
-  ``batch_id=N`` folder with overwrite, so re-running a batch after a
-  failure replaces its output instead of duplicating it.
 * fan-out: one source read, several writers, via ``foreachBatch`` with the
   batch persisted once.
 """
 
 from __future__ import annotations
 
-import hashlib
 import os
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sigflow.streaming.control import with_trigger
@@ -30,6 +32,12 @@ from sigflow.streaming.control import with_trigger
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def start_lake_sink(
     df: DataFrame,
     path: str,
@@ -39,6 +47,14 @@ def start_lake_sink(
     trigger: dict | None = None,
     query_name: str | None = None,
 ) -> StreamingQuery:
+    """Append to the table at ``path``. Raises ``ValueError`` if a new
+    checkpoint meets a table that another query has written: the file sink
+    would drop its first batches without a word."""
+    spark = df.sparkSession
+    if fmt != "delta" and path_exists(spark, f"{path}/_spark_metadata") and not path_exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(
+            f"{path} was written from another checkpoint; a new one needs a new table, or the per-batch sink"
+        )
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")
@@ -91,20 +107,29 @@ def start_console(
     return with_trigger(writer, trigger).start()
 
 
+def query_id(batch: DataFrame) -> str | None:
+    """Id of the streaming query a micro-batch belongs to; None outside of one.
+
+    The id is stored in the query's checkpoint: a restart keeps it, a new or
+    emptied checkpoint gets another one.
+    """
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def batch_folder_writer(
-    path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
-    app_id: str | None = None,
+    path: str, fmt: str = "parquet", partition_by: list[str] | None = None
 ) -> BatchWriter:
-    """Write each micro-batch to ``path/[app_id=A/]batch_id=N`` with overwrite.
+    """Write each micro-batch to ``path/app_id=Q/batch_id=N`` with overwrite,
+    Q being the streaming query's id (left out when called outside of one).
 
-    A retried batch replaces its own folder (idempotent). With ``app_id``
-    (one per checkpoint, see :func:`app_id_for`) a run from a new checkpoint
-    writes beside the old one instead of over it: a replay is kept, as a
-    transactional table keyed on (application, version) would keep it.
+    A retried batch replaces its own folder (idempotent). A run from another
+    checkpoint writes beside it: a replay is kept, as a transactional table
+    keyed on (application, version) would keep it.
     """
-    base = os.path.join(path, f"app_id={app_id}") if app_id else path
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        app = query_id(batch)
+        base = os.path.join(path, f"app_id={app}") if app else path
         w = batch.write.mode("overwrite").format(fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -113,11 +138,6 @@ def batch_folder_writer(
     return write
 
 
-def app_id_for(checkpoint: str) -> str:
-    """Stable application id of a checkpoint location."""
-    return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
-
-
 def fan_out(writers: list[BatchWriter]) -> BatchWriter:
     """One micro-batch to several writers; the batch is computed once and
     kept (memory, spilling to disk) while the writers run."""

@@ -27,10 +27,18 @@ from sigflow.schemas import SIGNAL_KEYS
 _AVG_COLS = [f"avg_{k}" for k in SIGNAL_KEYS]
 
 
+def untimed(readings: DataFrame) -> DataFrame:
+    """Readings without an event time: they belong to no window, so a stream
+    that must account for every row writes or counts them beside the means."""
+    return readings.filter(F.col("signal_ts").isNull())
+
+
 def hourly_means_stream(
     readings: DataFrame, watermark: str = "1 hour", cast: str = "double",
     keys: list[str] | None = None,
 ) -> DataFrame:
+    """Means per hour of event time. The batch report has a group for readings
+    without a time; here they are in no window (see :func:`untimed`)."""
     keys = keys or SIGNAL_KEYS
     cols = readings.columns
     w = F.window("signal_ts", "1 hour")
@@ -69,10 +77,12 @@ def dedup_first_stream(readings: DataFrame, watermark: str = "1 hour") -> DataFr
     """Streaming replay removal: the first arrival of each reading within the
     watermark is kept. (The batch :func:`sigflow.operators.quality.dedup_latest`
     keeps the latest ingest instead.) Maps cannot be keys, so the signals
-    are keyed by their JSON text."""
-    keyed = readings.withColumn("_signals_key", F.to_json("signals"))
-    return (
-        keyed.withWatermark("signal_ts", watermark)
+    are keyed by their JSON text. Readings without a time have no identity and
+    pass through, as in the batch form."""
+    timed = readings.filter(F.col("signal_ts").isNotNull()).withColumn("_signals_key", F.to_json("signals"))
+    first = (
+        timed.withWatermark("signal_ts", watermark)
         .dropDuplicatesWithinWatermark(["signal_ts", "_signals_key"])
         .drop("_signals_key")
     )
+    return first.unionByName(untimed(readings))

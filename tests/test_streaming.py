@@ -15,14 +15,15 @@ from sigflow.sources.files import read_csv
 from sigflow.sources.lake import read_lake
 from sigflow.sources.messages import read_messages
 from sigflow.streaming.control import run_for, run_to_completion
-from sigflow.streaming.ingest import start_consume, start_consume_fanout, start_publish_csv
+from sigflow.session import drop_folder, stream_checkpoint
+from sigflow.streaming.ingest import start_consume, start_consume_fanout, start_publish_csv, start_raw_tap
 from sigflow.streaming.sinks import (
     batch_folder_writer,
     start_console,
     start_foreach_batch,
     start_lake_sink,
 )
-from sigflow.streaming.windows import dedup_first_stream, hourly_means_stream, latest_windows
+from sigflow.streaming.windows import dedup_first_stream, hourly_means_stream, latest_windows, untimed
 
 NOW = {"availableNow": True}
 HEADER = "Date/Time,LV ActivePower (kW),Wind Speed (m/s),Theoretical_Power_Curve (KWh),Wind Direction (°)"
@@ -70,7 +71,7 @@ def test_csv_junk_glob_and_no_glob(spark, csv_junk):
 
 
 def _publish_and_consume(spark, base, feed, glob="*.csv", consume_ck="ck_consume", lake="lake",
-                         sink="table"):
+                         sink="batches"):
     run_to_completion(start_publish_csv(
         spark, feed, f"{base}/ck_publish", out_path=f"{base}/messages", glob=glob, trigger=NOW))
     run_to_completion(start_consume(
@@ -94,26 +95,51 @@ def test_stream_equals_batch_shaping(spark, csv_junk, scratch):
     assert sorted(lake.select(*cols).collect()) == sorted(batch.select(*cols).collect())
 
 
-def test_restart_same_checkpoint_adds_nothing(spark, csv_junk, scratch):
-    first = _publish_and_consume(spark, scratch, csv_junk).count()
-    again = _publish_and_consume(spark, scratch, csv_junk).count()
+@pytest.mark.parametrize("sink", ["batches", "table"])
+def test_restart_same_checkpoint_adds_nothing(spark, csv_junk, scratch, sink):
+    first = _publish_and_consume(spark, scratch, csv_junk, sink=sink).count()
+    again = _publish_and_consume(spark, scratch, csv_junk, sink=sink).count()
     assert first == again == 432
-    # the file sink's log is keyed on batch number: a new checkpoint's batch 0
-    # counts as written already
-    assert _publish_and_consume(spark, scratch, csv_junk, consume_ck="ck_new").count() == 432
 
 
-def test_new_checkpoint_replays_batches_sink(spark, csv_junk, scratch):
-    first = _publish_and_consume(spark, scratch, csv_junk, sink="batches").count()
-    again = _publish_and_consume(spark, scratch, csv_junk, sink="batches").count()
-    assert first == again == 432
+def test_new_checkpoint_keeps_every_row(spark, csv_junk, scratch):
+    first = _publish_and_consume(spark, scratch, csv_junk).count()
+    assert first == 432
     # a new consumer checkpoint re-reads everything from the start: a replay
-    replayed = _publish_and_consume(spark, scratch, csv_junk, consume_ck="ck_new", sink="batches")
+    replayed = _publish_and_consume(spark, scratch, csv_junk, consume_ck="ck_new")
     assert replayed.count() == 2 * 432
     assert replayed.select("create_ts").distinct().count() == 2
     assert dedup_latest(replayed).count() == 432
 
 
+def test_emptied_checkpoint_keeps_every_row(spark, csv_junk, scratch):
+    """The usual way to backfill: same checkpoint path, emptied; the query gets a new id."""
+    _publish_and_consume(spark, scratch, csv_junk)
+    drop_folder(spark, f"{scratch}/ck_consume")
+    assert _publish_and_consume(spark, scratch, csv_junk).count() == 2 * 432
+
+
+def test_table_sink_refuses_a_new_checkpoint(spark, csv_junk, scratch):
+    assert _publish_and_consume(spark, scratch, csv_junk, sink="table").count() == 432
+    with pytest.raises(ValueError, match="another checkpoint"):
+        _publish_and_consume(spark, scratch, csv_junk, consume_ck="ck_new", sink="table")
+    assert read_lake(spark, f"{scratch}/lake").count() == 432
+
+
+def test_two_lakes_from_one_source(spark, csv_junk, scratch):
+    """Default checkpoints of the command line differ by target: both lakes are whole."""
+    from sigflow.cli import main
+
+    run_to_completion(start_publish_csv(
+        spark, csv_junk, f"{scratch}/ck_publish", out_path=f"{scratch}/messages", trigger=NOW))
+    for lake in ("a", "b", "a"):
+        main(["consume", "--messages", f"{scratch}/messages", "--lake", f"{scratch}/{lake}", "--available-now",
+              "--max-files-per-trigger", "3"])
+    for lake in ("a", "b"):
+        assert read_lake(spark, f"{scratch}/{lake}").count() == 432
+    assert stream_checkpoint(spark, "consume", "m", "a") != stream_checkpoint(spark, "consume", "m", "b")
+
+
 def _readings_file(path, rows, mtime):
     lines = [json.dumps({"Date/Time": f"{t:%d %m %Y %H:%M}", "LV ActivePower (kW)": p}) for t, p in rows]
     _write(path, lines, mtime)
@@ -163,6 +189,12 @@ def test_fanout_reads_once_writes_both(spark, csv_junk, scratch):
     run_to_completion(q)
     assert spark.read.parquet(f"{scratch}/lake").count() == 432
     assert spark.read.text(f"{scratch}/raw").count() == 432
+    # a second checkpoint's batches stand beside the first one's
+    _write(f"{scratch}/more/m.json", ['{"Date/Time": "01 02 2018 00:10"}'])
+    run_to_completion(start_consume_fanout(
+        spark, f"{scratch}/more", f"{scratch}/lake", f"{scratch}/raw", f"{scratch}/ck_other", trigger=NOW))
+    assert spark.read.parquet(f"{scratch}/lake").count() == 433
+    assert spark.read.text(f"{scratch}/raw").count() == 433
 
 
 def test_batch_folder_writer_is_idempotent(spark, scratch):
@@ -181,6 +213,8 @@ def test_time_boxed_run_and_console_tap(spark, csv_junk, scratch):
     t0 = time.time()
     run_for(tap, 3)
     assert not tap.isActive and time.time() - t0 < 30
+    raw = start_raw_tap(spark, f"{scratch}/messages", num_rows=2, trigger=NOW)
+    run_to_completion(raw, timeout_s=60)
 
 
 def test_failure_propagates(spark, scratch):
@@ -208,6 +242,29 @@ def test_dedup_first_stream(spark, scratch):
     assert read_lake(spark, f"{scratch}/lake").count() == 20
 
 
+def test_dedup_first_stream_passes_untimed_rows(spark, scratch):
+    t = dt.datetime(2018, 1, 1)
+    timed = [(t.date(), t, t.date(), t, {"ActivePower_kW": "1"})] * 3
+    none = [(None, None, t.date(), t, {"ActivePower_kW": str(k % 2)}) for k in range(4)]
+    spark.createDataFrame(timed + none, READINGS_SCHEMA).write.parquet(f"{scratch}/in")
+    stream = spark.readStream.schema(READINGS_SCHEMA).parquet(f"{scratch}/in")
+    q = start_lake_sink(dedup_first_stream(stream, "1 hour"), f"{scratch}/lake", f"{scratch}/ck", trigger=NOW)
+    run_to_completion(q)
+    rows = read_lake(spark, f"{scratch}/lake")
+    assert rows.filter("signal_ts is null").count() == 4 and rows.filter("signal_ts is not null").count() == 1
+    assert untimed(rows).count() == 4
+
+
+def test_hourly_stream_in_several_batches(spark):
+    """Landed a few days at a time, one file a batch: every window is complete."""
+    from sigflow.plans.streams import hourly_stream_job
+    from sigflow.sources.tables import load_table
+
+    out = hourly_stream_job(spark, "/root/testdata/sf0.001")
+    want = load_table(spark, "/root/testdata/sf0.001", "events").select(F.date_trunc("hour", "ts")).distinct().count()
+    assert out.count() == want
+
+
 def test_save_processed_overwrites(spark, scratch):
     from sigflow.plans.analysis import hourly_report
     from sigflow.sources.lake import write_lake
@@ -235,9 +292,10 @@ def test_generic_messages_stream(spark, scratch):
     _write(f"{scratch}/msgs/a.json", ['{"id": "t1", "value": 1.5}', '{"id": "t2"}', "junk"])
     run_to_completion(start_consume_generic(spark, f"{scratch}/msgs", f"{scratch}/lake", f"{scratch}/ck",
                                             trigger=NOW))
-    rows = sorted(tuple(r) for r in read_lake(spark, f"{scratch}/lake").collect() if r.id)
+    lake = read_lake(spark, f"{scratch}/lake")
+    rows = sorted((r.id, r.value) for r in lake.collect() if r.id)
     assert rows == [("t1", 1.5), ("t2", None)]
-    assert read_lake(spark, f"{scratch}/lake").count() == 3  # junk kept as an all-null row
+    assert lake.count() == 3  # junk kept as an all-null row
 
 
 def test_state_width_override_is_restored(spark):
