@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigflow.functions.banding import generation_band
@@ -24,13 +24,14 @@ def distinct_signals_daily(readings: DataFrame, approx: bool = False) -> DataFra
     return readings.groupBy("signal_date").agg(distinct.alias("distinct_signal_count"))
 
 
-def hour_of(ts_col: str = "signal_ts", zone: str | None = None):
-    """Hour of a timestamp: in the session time zone, or in ``zone`` whatever
-    the session's zone is (e.g. the zone the feed was recorded in)."""
+def date_and_hour(zone: str | None = None) -> tuple[Column, Column]:
+    """Date and hour of a reading: as recorded, with the hour in the session
+    time zone, or both taken from the time in ``zone`` whatever the session's
+    zone is. A reading without a time keeps its recorded date."""
     if zone is None:
-        return F.hour(ts_col)
-    wall = F.convert_timezone(None, F.lit(zone), F.col(ts_col).cast("timestamp_ntz"))
-    return F.hour(wall)
+        return F.col("signal_date"), F.hour("signal_ts")
+    wall = F.convert_timezone(None, F.lit(zone), F.col("signal_ts").cast("timestamp_ntz"))
+    return F.coalesce(F.to_date(wall), "signal_date"), F.hour(wall)
 
 
 def avg_signals_hourly(
@@ -43,12 +44,13 @@ def avg_signals_hourly(
     differ in low digits. A table written with typed copies of the signals
     (:func:`sigflow.operators.shape.with_typed_signals`) is read through them
     instead of the map. Hours are taken in the session time zone unless
-    ``zone`` is given. Partial aggregation runs before the shuffle, so a hot
+    ``zone`` is given, which moves dates and hours together. Partial aggregation runs before the shuffle, so a hot
     hour costs one row per task, not one row per reading.
     """
     keys = keys or SIGNAL_KEYS
     cols = readings.columns
-    return readings.groupBy("signal_date", hour_of("signal_ts", zone).alias("hour")).agg(
+    date, hour = date_and_hour(zone)
+    return readings.groupBy(date.alias("signal_date"), hour.alias("hour")).agg(
         *[F.avg(signal_number(cols, k, cast)).alias(f"avg_{k}") for k in keys]
     )
 

@@ -8,14 +8,6 @@ from pyspark.sql.types import NumericType
 
 from sigflow.schemas import SIGNAL_MAPPING
 
-# A rename changes the schema, which lives on the driver, so the mapping rows
-# that apply are collected. Only rows naming an existing column (or a name an
-# earlier rename creates) are fetched; a mapping with more applicable rows
-# than this is refused and should go through ``mapping_join_long``, which is
-# exact at any size.
-MAX_RENAME_ROWS = 10_000
-
-
 def signal_mapping(
     spark: SparkSession, rows: list[tuple[str, str]] | None = None, view: str | None = "mapping_table"
 ) -> DataFrame:
@@ -35,62 +27,55 @@ def signal_mapping(
     return spark.sql(sql)
 
 
-def _applicable_rows(columns: list[str], mapping: DataFrame) -> list[tuple[str, str]]:
-    """Mapping rows that can rename something, in mapping order.
-
-    A row applies only if its ``sig_name`` is a column or becomes one through
-    an earlier rename. For a large mapping, rows are fetched by closure: those
-    naming the columns, then those naming the new names, until no new name
-    appears. Each step is a filter over the mapping; only matching rows reach
-    the driver.
-    """
-    pairs = mapping.select("sig_name", "sig_mapping_name")
-    # A mapping of at most MAX_RENAME_ROWS rows is simply fetched whole, in
-    # order, with one job; rows that do not apply are skipped by the caller.
-    head = pairs.limit(MAX_RENAME_ROWS + 1).coalesce(1).collect()
-    if len(head) <= MAX_RENAME_ROWS:
-        return [(r["sig_name"], r["sig_mapping_name"]) for r in head]
-    ordered = pairs.withColumn("_ord", F.monotonically_increasing_id())
-    seen: set[str] = set()
-    frontier = set(columns)
-    rows = []
-    while frontier:
-        seen |= frontier
-        step = ordered.filter(F.col("sig_name").isin(sorted(frontier)))
-        got = step.limit(MAX_RENAME_ROWS + 1 - len(rows)).collect()
-        rows += got
-        if len(rows) > MAX_RENAME_ROWS:
-            raise ValueError(
-                f"more than {MAX_RENAME_ROWS} mapping rows apply; use mapping_join_long instead"
-            )
-        frontier = {r["sig_mapping_name"] for r in got} - seen
-    rows.sort(key=lambda r: r["_ord"])
-    return [(r["sig_name"], r["sig_mapping_name"]) for r in rows]
+def _ordered(mapping: DataFrame, order_col: str | None) -> DataFrame:
+    """Mapping rows with their place ``ord``: the given column, else the rows' order in the plan."""
+    place = F.col(order_col) if order_col else F.monotonically_increasing_id()
+    return mapping.select("sig_name", "sig_mapping_name", place.alias("ord"))
 
 
-def rename_mapped(df: DataFrame, mapping: DataFrame) -> DataFrame:
+def rename_mapped(df: DataFrame, mapping: DataFrame, order_col: str | None = None) -> DataFrame:
     """Rename columns by the mapping, row by row in mapping order; a row whose
-    ``sig_name`` is not (or no longer) a column is skipped."""
-    current = list(df.columns)
-    for src, dst in _applicable_rows(current, mapping):
-        if src in current:
-            current = [dst if c == src else c for c in current]
-    renames = {old: new for old, new in zip(df.columns, current) if old != new}
+    ``sig_name`` is not (or no longer) a column is skipped.
+
+    A column's next rename is the first row after its last one that names it.
+    All columns take their next step together: one aggregate over the mapping
+    that returns at most a row per distinct current name and place, so the
+    driver sees no more rows than there are columns, whatever the mapping's
+    size. ``order_col`` fixes the row order; a mapping spread over files has
+    no order of its own.
+    """
+    rows = _ordered(mapping, order_col)
+    current = {c: (c, None) for c in df.columns}  # column -> its name now, the place of its last rename
+    live = set(df.columns)
+    while live:
+        steps = sorted({current[c] for c in live}, key=str)
+        hits = []
+        for k, (name, last) in enumerate(steps):
+            fits = F.col("sig_name") == name
+            hits.append(fits if last is None else fits & (F.col("ord") > last))
+        picks = [
+            F.min(F.when(h, F.struct("ord", "sig_mapping_name"))).alias(f"step{k}") for k, h in enumerate(hits)
+        ]
+        named = rows.filter(F.col("sig_name").isin([n for n, _ in steps]))
+        found = dict(zip(steps, named.agg(*picks).first()))
+        live = {c for c in live if found[current[c]] is not None}
+        current.update({c: (found[current[c]].sig_mapping_name, found[current[c]].ord) for c in live})
+    renames = {c: name for c, (name, _) in current.items() if c != name}
     return df.withColumnsRenamed(renames) if renames else df
 
 
 def mapping_join_long(
-    df: DataFrame, mapping: DataFrame, id_cols: list[str], value_cols: list[str] | None = None
+    df: DataFrame, mapping: DataFrame, id_cols: list[str], value_cols: list[str] | None = None,
+    order_col: str | None = None,
 ) -> DataFrame:
     """Long form ``(*id_cols, sig_name, sig_mapping_name, value)``: one row per
     id and numeric signal column, named through the mapping (unmapped names
     keep their own name).
 
-    The mapping side is first cut to rows naming one of ``value_cols`` and to
-    one row per name (the first in mapping order), so its size is bounded by
-    the column count and broadcasting it is safe whatever the mapping's size.
-    A small mapping is cut on the driver after one fetch; a large one by a
-    grouped aggregate.
+    The mapping side is cut to rows naming one of ``value_cols`` and, by a
+    grouped aggregate, to one row per name (the first in mapping order), so
+    its size is bounded by the column count and broadcasting it is safe
+    whatever the mapping's size.
     """
     if value_cols is None:
         value_cols = [
@@ -98,20 +83,8 @@ def mapping_join_long(
             if f.name not in id_cols and isinstance(f.dataType, NumericType)
         ]
     long = df.unpivot(id_cols, value_cols, "sig_name", "value")
-    named = mapping.select("sig_name", "sig_mapping_name").filter(F.col("sig_name").isin(value_cols))
-    head = named.limit(MAX_RENAME_ROWS + 1).coalesce(1).collect()
-    if len(head) <= MAX_RENAME_ROWS:
-        first: dict[str, str] = {}
-        for r in head:
-            first.setdefault(r["sig_name"], r["sig_mapping_name"])
-        spark = df.sparkSession
-        side = spark.createDataFrame(list(first.items()), "sig_name string, sig_mapping_name string")
-    else:
-        side = (
-            named.withColumn("_ord", F.monotonically_increasing_id())
-            .groupBy("sig_name")
-            .agg(F.min_by("sig_mapping_name", "_ord").alias("sig_mapping_name"))
-        )
+    named = _ordered(mapping, order_col).filter(F.col("sig_name").isin(value_cols))
+    side = named.groupBy("sig_name").agg(F.min_by("sig_mapping_name", "ord").alias("sig_mapping_name"))
     joined = long.join(F.broadcast(side), "sig_name", "left")
     return joined.select(
         *id_cols,

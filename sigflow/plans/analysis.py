@@ -21,5 +21,5 @@ def hourly_report(
 ) -> DataFrame:
     """Hourly means with their band, columns renamed through the mapping."""
     spark = readings.sparkSession
-    mapping = mapping if mapping is not None else signal_mapping(spark)
+    mapping = mapping if mapping is not None else signal_mapping(spark, view=None)
     return rename_mapped(hourly_indicator(readings, cast=cast, zone=zone), mapping)

@@ -113,29 +113,43 @@ def test_hours_in_a_fixed_zone_ignore_session_zone(spark):
     assert hours == {5}  # 23:50 UTC is 05:20 at +05:30
 
 
-def test_large_mapping_closure_and_refusal(spark, monkeypatch):
-    from sigflow.operators import mapping as mapping_mod
-
-    rows = [("a", "b"), ("zz1", "q"), ("b", "c"), ("zz2", "q"), ("zz3", "q"), ("c", "d")]
-    mp = spark.createDataFrame(rows, "sig_name string, sig_mapping_name string").coalesce(1)
-    df = spark.createDataFrame([(1, 2)], "a int, k int")
-    monkeypatch.setattr(mapping_mod, "MAX_RENAME_ROWS", 4)  # too many rows to fetch whole
-    assert rename_mapped(df, mp).columns == ["d", "k"]  # closure: a -> b -> c -> d
-    monkeypatch.setattr(mapping_mod, "MAX_RENAME_ROWS", 2)  # more applicable rows than allowed
-    import pytest
-
-    with pytest.raises(ValueError):
-        rename_mapped(df, mp)
-
-
-def test_mapping_join_long_large_mapping_path(spark, monkeypatch):
-    from sigflow.operators import mapping as mapping_mod
+def test_dates_move_with_hours_in_a_zone(spark):
+    """00:10 and 23:40 of one UTC day lie on two days at +05:30."""
+    day = dt.date(2018, 1, 1)
+    df = spark.createDataFrame(
+        [(day, dt.datetime(2018, 1, 1, 0, 10), {"ActivePower_kW": "100"}),
+         (day, dt.datetime(2018, 1, 1, 23, 40), {"ActivePower_kW": "900"}),
+         (day, None, {"ActivePower_kW": "7"})],
+        "signal_date date, signal_ts timestamp, signals map<string,string>")
+    rows = avg_signals_hourly(df, "double", ["ActivePower_kW"], zone="Asia/Kolkata").collect()
+    assert {(r.signal_date, r.hour, r.avg_ActivePower_kW) for r in rows} == {
+        (day, 5, 100.0), (dt.date(2018, 1, 2), 5, 900.0), (day, None, 7.0)}
+
+
+def test_mapping_of_any_size(spark):
+    """Twelve thousand rows that apply, and as many that do not: no row is refused or fetched."""
+    n = 12_000
+    rows = spark.range(n).selectExpr("concat('c', id) as sig_name", "concat('d', id) as sig_mapping_name", "id as place")
+    chain = spark.createDataFrame([("a", "b", n + 1), ("b", "c", n + 2), ("a", "never", n + 3), ("c", "d", n + 4)],
+                                  "sig_name string, sig_mapping_name string, place long")
+    mapping = rows.unionByName(chain).repartition(5)
+    df = spark.createDataFrame([(1, 2, 3)], "a int, c7 int, k int")
+    assert rename_mapped(df, mapping, order_col="place").columns == ["d", "d7", "k"]
+    long = mapping_join_long(df.select("k", "a", "c7"), mapping, ["k"], order_col="place")
+    assert sorted((r.sig_name, r.sig_mapping_name) for r in long.collect()) == [("a", "b"), ("c7", "d7")]
+
+
+def test_rename_follows_the_order_column(spark):
+    mapping = spark.createDataFrame([("b", "c", 1), ("a", "b", 2), ("b", "z", 3), ("z", "a", 4)],
+                                    "sig_name string, sig_mapping_name string, place int").repartition(3)
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert rename_mapped(df, mapping, order_col="place").columns == ["a", "c"]
+
+
+def test_report_leaves_the_users_view_alone(spark):
+    from sigflow.plans.analysis import hourly_report
+    from sigflow.sources.tables import events_as_readings, load_table
 
-    monkeypatch.setattr(mapping_mod, "MAX_RENAME_ROWS", 1)
-    df = spark.createDataFrame([(1, 1.0, 2.0)], "hour int, a double, b double")
-    mapping = spark.createDataFrame([("a", "first"), ("a", "second"), ("b", "bee")],
-                                    "sig_name string, sig_mapping_name string").coalesce(1)
-    out = mapping_join_long(df, mapping, ["hour"])
-    assert sorted((r.sig_name, r.sig_mapping_name) for r in out.collect()) == [("a", "first"), ("b", "bee")]
-    p = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
+    spark.range(3).createOrReplaceTempView("mapping_table")
+    hourly_report(events_as_readings(load_table(spark, "/root/testdata/sf0.001", "events")))
+    assert spark.table("mapping_table").columns == ["id"]
