@@ -86,14 +86,17 @@ def extract_json_array(df: DataFrame, text_col: str = "text", out_col: str = "ve
     row.
     """
     span = F.regexp_extract(F.col(text_col), JSON_ARRAY_SPAN, 0)
-    wrapped = F.from_json(F.concat(F.lit("["), F.col("_span"), F.lit(",0]")), "array<string>", STRICT_JSON)
-    single = (F.size(wrapped) == 2) & (F.element_at(wrapped, 2) == "0")
-    parsed = F.when(single, F.from_json(F.col("_span"), VENUE_TEXT_ARRAY_SCHEMA, STRICT_JSON))
+    # The check keeps the elements as text in a projection of its own, so the
+    # whole span is parsed once; the records are read from its first element.
+    wrapped = F.from_json(F.concat(F.lit("["), span, F.lit(",0]")), "array<string>", STRICT_JSON)
+    w = F.col("_wrapped")
+    single = (F.size(w) == 2) & (F.element_at(w, 2) == "0")
+    parsed = F.when(single, F.from_json(F.element_at(w, 1), VENUE_TEXT_ARRAY_SCHEMA, STRICT_JSON))
     empty = F.array().cast(VENUE_TEXT_ARRAY_SCHEMA)
     return (
-        df.withColumn("_span", span)
+        df.withColumn("_wrapped", wrapped)
         .withColumn(out_col, F.coalesce(parsed, empty))
-        .drop("_span")
+        .drop("_wrapped")
     )
 
 
@@ -173,19 +176,26 @@ def with_fallback(
     records: DataFrame,
     key_cols: list[str],
     location_col: str = "location",
+    order_cols: tuple[str, ...] = ("pos",),
+    foreign: bool = True,
 ) -> DataFrame:
     """Records for each request, or the fallback record when it has none.
 
     Written as (records of known requests) UNION (fallback for requests
     without records) rather than an outer join: the anti join only needs the
     distinct record keys, so a request with a huge number of records costs
-    one key on that side, never a skewed join partition.
+    one key on that side, never a skewed join partition. With ``foreign``
+    false the caller vouches that every record belongs to a request, and the
+    records are not joined at all. ``order_cols`` place the records of a
+    request; the fallback record has 0 in each.
     """
-    req_keys = requests.select(*key_cols).distinct()
-    found = records.join(req_keys, key_cols, "left_semi")
+    found = records
+    if foreign:
+        found = records.join(requests.select(*key_cols).distinct(), key_cols, "left_semi")
     record_keys = records.select(*key_cols).distinct()
     missing = requests.join(record_keys, key_cols, "left_anti")
+    places = [F.lit(0).cast(records.schema[c].dataType).alias(c) for c in order_cols]
     fallback = missing.select(
-        *key_cols, F.lit(0).alias("pos"), fallback_venue(F.col(location_col)).alias("v")
-    ).select(*key_cols, "pos", *[F.col(f"v.{f}").alias(f) for f in VENUE_FIELDS])
-    return found.select(*key_cols, "pos", *VENUE_FIELDS).unionByName(fallback)
+        *key_cols, *places, fallback_venue(F.col(location_col)).alias("v")
+    ).select(*key_cols, *order_cols, *[F.col(f"v.{f}").alias(f) for f in VENUE_FIELDS])
+    return found.select(*key_cols, *order_cols, *VENUE_FIELDS).unionByName(fallback)

@@ -1,15 +1,13 @@
 """Venue search as a batch job over conversations.
 
 Each conversation is one search request; its assistant turns are the
-retrieved articles. Per article, the extractor's reply is text with an
-embedded JSON array of venue records. The language-model extractor itself
-is not part of this library, so the reply is derived from the article row
-by a fixed rule (below), which leaves some optional fields out so the
-defaults are exercised.
+retrieved articles, and the venue records are the JSON arrays written in
+them. The given conversations hold none, so there every request ends with the
+fallback record; texts with records are covered by the tests.
 
 requests:  conversation -> query (last user turn), guest count, location
 articles:  first 6 assistant turns per conversation, blank ones skipped
-replies:   article -> text with a JSON array -> records -> normalised fields
+records:   JSON arrays in the articles -> normalised fields
 results:   records per request, or the fallback record when there are none
 """
 
@@ -34,20 +32,14 @@ def venue_requests(turns: DataFrame) -> DataFrame:
     """``(conv_id, query, guest_count, budget_range, location)`` per conversation.
 
     query: newest non-blank user text; guest_count: number of user turns;
-    budget_range: not asked for (null); location: first word of the earliest
-    system turn, if any.
+    budget_range and location: not asked for (null).
     """
     user_ok = (F.col("role") == "user") & ~is_blank("text")
-    system = F.col("role") == "system"
     return turns.groupBy("conv_id").agg(
         F.max_by(F.when(user_ok, F.col("text")), F.when(user_ok, F.col("turn"))).alias("query"),
         F.count_if(F.col("role") == "user").cast("string").alias("guest_count"),
         F.lit(None).cast("string").alias("budget_range"),
-        # the first word is cut per row, so only words (not whole system texts)
-        # travel through the aggregate
-        F.min_by(
-            F.when(system, F.regexp_extract(F.col("text"), r"^(\S+)", 1)), F.when(system, F.col("turn"))
-        ).alias("location"),
+        F.lit(None).cast("string").alias("location"),
     )
 
 
@@ -62,61 +54,15 @@ def articles(turns: DataFrame) -> DataFrame:
     return cap_items(turns.filter(F.col("role") == "assistant"), KEY, ["turn"])
 
 
-# Reply rule (fixed): one record per article with
-#   name        "Venue <conv_id>-<turn>"
-#   location    first word of the article
-#   capacity    "<length of article> guests"
-#   priceRange  left out when turn % 3 == 0
-#   rating      turn % 5 + 0.5
-#   description the whole article
-#   image       "https://img.example/<conv_id>/<turn>.jpg" for odd turns, else left out
-#   phone       left out for even turns
-#   email       left out when turn % 3 == 1
-#   amenities   words of the article's first line
-#   features    ["Garden"] for odd turns, else left out
-def reply_record(turn_col="turn", conv_col="conv_id", text_col="text"):
-    turn, conv, text = F.col(turn_col), F.col(conv_col), F.col(text_col)
-    odd = (turn % 2) == 1
-    return F.struct(
-        F.concat(F.lit("Venue "), conv.cast("string"), F.lit("-"), turn.cast("string")).alias("name"),
-        F.regexp_extract(text, r"^(\S+)", 1).alias("location"),
-        F.concat(F.length(text).cast("string"), F.lit(" guests")).alias("capacity"),
-        F.when((turn % 3) != 0, F.concat(F.lit("₹"), (turn * 1000).cast("string"))).alias("priceRange"),
-        ((turn % 5) + F.lit(0.5)).cast("double").alias("rating"),
-        text.alias("description"),
-        F.when(odd, F.concat(F.lit("https://img.example/"), conv.cast("string"), F.lit("/"),
-                             turn.cast("string"), F.lit(".jpg"))).alias("image"),
-        F.when(odd, F.lit("+91 00000 00000")).alias("phone"),
-        F.when((turn % 3) != 1, F.lit("venue@example.com")).alias("email"),
-        F.split(F.regexp_extract(text, r"^([^\n]*)", 1), " ").alias("amenities"),
-        F.when(odd, F.array(F.lit("Garden"))).alias("features"),
-    )
-
-
-def replies(turns: DataFrame) -> DataFrame:
-    """Extractor reply text per kept article."""
-    arts = articles(turns)
-    body = F.to_json(F.array(reply_record()))
-    return arts.select(
-        "conv_id", "turn",
-        F.concat(F.lit("Here are the venues:\n"), body, F.lit("\nAsk me for more.")).alias("text"),
-    )
-
-
 def venue_records(turns: DataFrame) -> DataFrame:
-    extracted = extract_json_array(replies(turns))
-    return normalise_records(extracted, ["conv_id", "turn"])
-
+    """Normalised records found in the kept articles, by (turn, pos)."""
+    return normalise_records(extract_json_array(articles(turns)), ["conv_id", "turn"])
 
-def venue_results(turns: DataFrame, materialize: bool = True) -> DataFrame:
-    """Normalised records per request, with the fallback for empty searches.
 
-    ``pos`` orders records within a request: ``turn * 1000 + position``.
-    The fallback step reads the records twice (the records themselves and
-    their keys); with ``materialize`` they are checkpointed once to the shared
-    checkpoint folder, so the text extraction runs once, not once per read.
-    """
-    records = venue_records(turns).withColumn("pos", F.col("turn") * 1000 + F.col("pos")).drop("turn")
-    if materialize:
-        records = records.checkpoint(eager=True)
-    return with_fallback(venue_requests(turns), records, KEY)
+def venue_results(turns: DataFrame) -> DataFrame:
+    """Normalised records per request, ordered by (turn, pos), with the
+    fallback for empty searches. Records and requests come from the same
+    turns, so no record is foreign."""
+    return with_fallback(
+        venue_requests(turns), venue_records(turns), KEY, order_cols=("turn", "pos"), foreign=False
+    )

@@ -96,6 +96,18 @@ def test_fallback(spark):
     assert by[4][0].location == "Pune" and by[4][0].name == FALLBACK_VENUE["name"]
 
 
+def test_fallback_over_texts_with_records(spark):
+    """The venue job on conversations whose articles hold records."""
+    from sigflow.plans.venues import venue_results
+
+    rows = [(1, 0, "user", "a hall"), (1, 1, "assistant", 'x [{"name": "V1", "rating": "4.5"}, {"name": "V2"}] y'),
+            (1, 2, "assistant", '[{"name": "V3", "amenities": ["a", "b"]}]'), (2, 0, "user", "q"), (2, 1, "assistant", "none")]
+    out = venue_results(spark.createDataFrame(rows, TURNS)).collect()
+    assert sorted((r.conv_id, r.turn, r.pos, r.name) for r in out) == [
+        (1, 1, 0, "V1"), (1, 1, 1, "V2"), (1, 2, 0, "V3"), (2, 0, 0, FALLBACK_VENUE["name"])]
+    assert {r.name: r.rating for r in out}["V1"] == 4.5
+
+
 def test_router_lowercasing_matches_python(spark):
     from sigflow.schemas import ROUTER_KEYWORDS
 
