@@ -125,6 +125,11 @@ def q_avg_signals_hourly_double(spark, sf_dir):
     return agg.avg_signals_hourly(_readings(spark, sf_dir), cast="double")
 
 
+def q_avg_signals_hourly_zone(spark, sf_dir):
+    """Hourly means by the wall clock of a zone half an hour off the full hours."""
+    return agg.avg_signals_hourly(_readings(spark, sf_dir), cast="double", zone="Asia/Kolkata")
+
+
 def q_generation_indicator(spark, sf_dir):
     return hourly_indicator(_readings(spark, sf_dir), cast="float")
 
@@ -135,7 +140,7 @@ def q_rename_mapped(spark, sf_dir):
 
 def q_mapping_join_long(spark, sf_dir):
     hourly = agg.avg_signals_hourly(_readings(spark, sf_dir), cast="float")
-    return mapping_join_long(hourly, signal_mapping(spark), ["signal_date", "hour"])
+    return mapping_join_long(hourly, signal_mapping(spark, view=None), ["signal_date", "hour"])
 
 
 def q_day_filter(spark, sf_dir):
@@ -164,12 +169,12 @@ def _ml_report(spark, sf_dir):
 
 
 def q_label_index(spark, sf_dir):
-    indexed = ml.label_index(_ml_report(spark, sf_dir))
+    indexed = modeling.ml_frame(_readings(spark, sf_dir)).indexed()
     return indexed.select("signal_date", "hour", "generation_mapping", "generation_status_index")
 
 
 def q_drop_invalid_features(spark, sf_dir):
-    indexed = ml.label_index(_ml_report(spark, sf_dir))
+    indexed = modeling.ml_frame(_readings(spark, sf_dir)).indexed()
     return ml.drop_invalid_features(indexed).select("signal_date", "hour", LR_LABEL, *LR_FEATURES)
 
 
@@ -178,51 +183,62 @@ def q_hash_split(spark, sf_dir):
     return ml.hash_split(report, ["signal_date", "hour"]).select("signal_date", "hour", "is_train")
 
 
-def _baseline_predictions(spark, sf_dir):
-    # The theoretical power curve is the physical predictor of active power.
-    return _ml_report(spark, sf_dir).withColumn("prediction", F.col("theo_power_curve_average"))
-
-
 def q_regression_metrics(spark, sf_dir):
-    return ml.regression_metrics(_baseline_predictions(spark, sf_dir))
+    # The theoretical power curve is the physical predictor of active power.
+    predicted = _ml_report(spark, sf_dir).withColumn("prediction", F.col("theo_power_curve_average"))
+    return ml.regression_metrics(predicted)
 
 
-def q_residual_histogram(spark, sf_dir):
-    return ml.residual_histogram(_baseline_predictions(spark, sf_dir), BIN_WIDTH)
+# --- model fit and scoring -------------------------------------------------------
+# The split follows the row key's hash, so SQL can solve the same normal
+# equations; figures are rounded past the digits in which two solvers agree.
 
+DIGITS = 4
 
-def q_scatter_bins(spark, sf_dir):
-    return ml.scatter_bins(_baseline_predictions(spark, sf_dir), BIN_WIDTH)
 
+def _rounded(df: DataFrame) -> DataFrame:
+    doubles = [f.name for f in df.schema.fields if f.dataType.simpleString() == "double"]
+    return df.withColumns({c: F.round(c, DIGITS) for c in doubles})
 
-# --- model fit and scoring (checked by tests: no SQL twin of a fit) -------------
 
 def _fitted(spark, sf_dir):
     ml_df = modeling.ml_frame(_readings(spark, sf_dir))
-    model, test = modeling.fit_on_split(ml_df)
+    model, test = modeling.fit_on_split(ml_df, key_cols=["signal_date", "hour"])
     return ml_df, model, test
 
 
+def _scored_test(spark, sf_dir):
+    _, model, test = _fitted(spark, sf_dir)
+    return model.transform(test)
+
+
 def q_lr_fit(spark, sf_dir):
     _, model, _ = _fitted(spark, sf_dir)
-    return modeling.model_coefficients(model)
+    return _rounded(modeling.model_coefficients(model))
 
 
 def q_lr_predict_day(spark, sf_dir):
     ml_df, model, _ = _fitted(spark, sf_dir)
-    return modeling.predict_day(model, ml_df, EVENTS_DAY)
+    return _rounded(modeling.predict_day(model, ml_df, EVENTS_DAY))
 
 
 def q_lr_evaluate(spark, sf_dir):
-    _, model, test = _fitted(spark, sf_dir)
-    return ml.regression_metrics(model.transform(test))
+    return _rounded(ml.regression_metrics(_scored_test(spark, sf_dir)))
+
+
+def q_residual_histogram(spark, sf_dir):
+    return ml.residual_histogram(_scored_test(spark, sf_dir), BIN_WIDTH)
+
+
+def q_scatter_bins(spark, sf_dir):
+    return ml.scatter_bins(_scored_test(spark, sf_dir), BIN_WIDTH)
 
 
 def q_lr_fit_lineitem(spark, sf_dir):
     frame = lineitem_regression_frame(load_table(spark, sf_dir, "lineitem"))
     features = ["l_quantity", "l_discount", "l_tax"]
     model = ml.fit_linear_regression(ml.assemble_features(frame, features), label="label")
-    return ml.coefficients_frame(spark, model, features)
+    return _rounded(ml.coefficients_frame(spark, model, features))
 
 
 # --- text jobs over conversations and documents -------------------------------
@@ -302,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "distinct_signals_daily": q_distinct_signals_daily,
     "avg_signals_hourly": q_avg_signals_hourly,
     "avg_signals_hourly_double": q_avg_signals_hourly_double,
+    "avg_signals_hourly_zone": q_avg_signals_hourly_zone,
     "generation_indicator": q_generation_indicator,
     "rename_mapped": q_rename_mapped,
     "mapping_join_long": q_mapping_join_long,

@@ -14,6 +14,7 @@ from sigflow.operators.ml import (
     coefficients_frame,
     fit_label_index,
     fit_linear_regression,
+    hash_split,
     random_split,
 )
 from sigflow.plans.analysis import hourly_report
@@ -47,14 +48,23 @@ def ml_frame(
     return ModelFrame(report, fit_label_index(report))
 
 
-def fit_on_split(frame: ModelFrame | DataFrame, features=None, label: str = LR_LABEL, **params):
-    """Assemble, split 80/20 (seed 42) and fit on the 80 part.
+def fit_on_split(
+    frame: ModelFrame | DataFrame, features=None, label: str = LR_LABEL, key_cols: list[str] | None = None, **params
+):
+    """Assemble, split 80/20 and fit on the 80 part.
 
-    Returns ``(model, test_frame)``; the test frame is assembled.
+    The split is random with seed 42; with ``key_cols`` it follows the hash of
+    the row key, which other engines can reproduce. Returns ``(model,
+    test_frame)``; the test frame is assembled.
     """
     features = features or LR_FEATURES
     indexed = frame.indexed() if isinstance(frame, ModelFrame) else frame
-    train, test = random_split(assemble_features(indexed, features))
+    assembled = assemble_features(indexed, features)
+    if key_cols:
+        marked = hash_split(assembled, key_cols)
+        train, test = (marked.filter(m).drop("is_train") for m in ("is_train", "not is_train"))
+    else:
+        train, test = random_split(assembled)
     return fit_linear_regression(train, label=label, **params), test
 
 

@@ -5,6 +5,19 @@ DuckDB's ``hour()`` is BIGINT where Spark's is INT, so hours are cast.
 
 from __future__ import annotations
 
+from sigflow.schemas import (
+    BAND_ABOVE,
+    BANDS,
+    CONTACT_DEFAULT,
+    DEFAULT_LOCATION,
+    FALLBACK_VENUE,
+    LR_FEATURES,
+    LR_LABEL,
+    ROUTER_KEYWORDS,
+    SIGNAL_MAPPING,
+    VENUE_SCHEMA,
+)
+
 # Shaped readings from events (same fixed mapping rule as the Spark adapter).
 _READINGS = """
 readings AS (
@@ -40,10 +53,10 @@ hourly AS (
   FROM readings GROUP BY 1, 2)"""
 
 
-_BAND = """CASE WHEN avg_ActivePower_kW < 200 THEN 'Low'
-            WHEN avg_ActivePower_kW >= 200 AND avg_ActivePower_kW < 600 THEN 'Medium'
-            WHEN avg_ActivePower_kW >= 600 AND avg_ActivePower_kW < 1000 THEN 'High'
-            ELSE 'Exceptional' END"""
+_BAND = (
+    "CASE " + " ".join(f"WHEN avg_ActivePower_kW < {below} THEN '{name}'" for below, name in BANDS)
+    + f" ELSE '{BAND_ABOVE}' END"
+)
 
 
 def _report(cast: str) -> str:
@@ -146,11 +159,7 @@ SELECT *, {_BAND} AS generation_indicator FROM hourly""",
     "rename_mapped": f"WITH {_READINGS}, {_report('FLOAT')} SELECT * FROM report",
     "mapping_join_long": f"""WITH {_READINGS}, {_hourly('FLOAT')},
 mapping AS (
-  SELECT * FROM (VALUES ('avg_ActivePower_kW', 'active_power_average'),
-                        ('avg_WindSpeed_m_s', 'wind_speed_average'),
-                        ('avg_PowerCurve_kWh', 'theo_power_curve_average'),
-                        ('avg_WindDirection_deg', 'wind_direction_average'),
-                        ('generation_indicator', 'generation_mapping')) m(sig_name, sig_mapping_name)),
+  SELECT * FROM (VALUES {", ".join(f"('{a}', '{b}')" for a, b in SIGNAL_MAPPING)}) m(sig_name, sig_mapping_name)),
 long AS (
   SELECT * FROM hourly UNPIVOT INCLUDE NULLS (
     value FOR sig_name IN (avg_ActivePower_kW, avg_WindSpeed_m_s, avg_PowerCurve_kWh,
@@ -203,24 +212,80 @@ SELECT count(*) AS n,
        1 - sum((active_power_average - prediction) ^ 2)
            / (var_pop(active_power_average) * count(*)) AS r2
 FROM valid""",
-    "residual_histogram": f"""WITH {_READINGS}, {_report('DOUBLE')}{_BASELINE},
-b AS (SELECT CAST(floor((active_power_average - prediction) / 100.0) AS BIGINT) AS bin
-      FROM predictions WHERE active_power_average - prediction IS NOT NULL)
-SELECT bin, CAST(bin AS DOUBLE) * 100.0 AS bin_lo, CAST(bin + 1 AS DOUBLE) * 100.0 AS bin_hi, count(*) AS n FROM b GROUP BY bin""",
-    "scatter_bins": f"""WITH {_READINGS}, {_report('DOUBLE')}{_BASELINE}
-SELECT CAST(floor(active_power_average / 100.0) AS BIGINT) AS actual_bin,
-       CAST(floor(prediction / 100.0) AS BIGINT) AS predicted_bin, count(*) AS n
-FROM predictions WHERE active_power_average IS NOT NULL AND prediction IS NOT NULL
-GROUP BY 1, 2""",
 }
 
+# --- model fit: ordinary least squares by the normal equations ---------------------
+
+
+def _solve(rows: str, features: list[str], label: str) -> str:
+    """CTE ``fit`` (intercept, b0, b1, ...): Gauss-Jordan elimination on the centred Gram matrix."""
+    k = range(len(features))
+    mean = ", ".join([*(f"avg({f}) AS a{i}" for i, f in enumerate(features)), f"avg({label}) AS ay"])
+    dev = [f"({f} - a{i})" for i, f in enumerate(features)]
+    sums = [f"sum({dev[i]} * {dev[j]}) AS m{i}_{j}" for i in k for j in k]
+    sums += [f"sum({dev[i]} * ({label} - ay)) AS y{i}" for i in k]
+    ctes = [f"means AS (SELECT {mean} FROM {rows})", f"step0 AS (SELECT {', '.join(sums)} FROM {rows}, means)"]
+    for p in k:
+        out = []
+        for i in k:
+            factor = "1 / m{0}_{0}".format(p) if i == p else f"m{i}_{p} / m{p}_{p}"
+            for j in k:
+                out.append((f"m{p}_{j} * ({factor})" if i == p else f"m{i}_{j} - m{p}_{j} * ({factor})") + f" AS m{i}_{j}")
+            out.append((f"y{p} * ({factor})" if i == p else f"y{i} - y{p} * ({factor})") + f" AS y{i}")
+        ctes.append(f"step{p + 1} AS (SELECT {', '.join(out)} FROM step{p})")
+    shift = " - ".join(["ay", *(f"y{i} * a{i}" for i in k)])
+    ctes.append(f"fit AS (SELECT {shift} AS intercept, {', '.join(f'y{i} AS b{i}' for i in k)} FROM step{len(features)}, means)")
+    return ",\n".join(ctes)
+
+
+def _terms(features: list[str]) -> str:
+    rows = ["SELECT 'intercept' AS term, round(intercept, 4) AS coefficient FROM fit"]
+    rows += [f"SELECT '{f}', round(b{i}, 4) FROM fit" for i, f in enumerate(features)]
+    return " UNION ALL ".join(rows)
+
+
+_MODEL = f"""WITH {_READINGS}, {_report('DOUBLE')}{_INDEXED},
+split AS (
+  SELECT *, (('0x' || substr(md5(concat_ws(' ', CAST(signal_date AS VARCHAR), CAST(hour AS VARCHAR))), 1, 7))::BIGINT
+             % 100) < 80 AS is_train
+  FROM indexed WHERE {" AND ".join(f"{f} IS NOT NULL AND NOT isnan({f})" for f in LR_FEATURES)}),
+train AS (SELECT * FROM split WHERE is_train),
+{_solve("train", LR_FEATURES, LR_LABEL)},
+scored AS (
+  SELECT split.*, intercept + {" + ".join(f"b{i} * {f}" for i, f in enumerate(LR_FEATURES))} AS prediction FROM split, fit),
+test AS (SELECT * FROM scored WHERE NOT is_train)
+"""
+_LINEITEM = ["l_quantity", "l_discount", "l_tax"]
+
+ORACLE_SQL.update({
+    "avg_signals_hourly_zone": f"""WITH {_READINGS},
+moved AS (
+  SELECT * REPLACE (CAST(signal_ts + INTERVAL 330 MINUTE AS DATE) AS signal_date, signal_ts + INTERVAL 330 MINUTE AS signal_ts)
+  FROM readings),
+{_hourly('DOUBLE').replace('FROM readings', 'FROM moved')} SELECT * FROM hourly""",
+    "lr_fit": f"{_MODEL} {_terms(LR_FEATURES)}",
+    "lr_predict_day": f"""{_MODEL}
+SELECT signal_date, hour, round({LR_LABEL}, 4) AS {LR_LABEL}, round(prediction, 4) AS prediction
+FROM scored WHERE signal_date = DATE '2024-01-19'""",
+    "lr_evaluate": f"""{_MODEL}
+SELECT count(*) AS n, round(sqrt(avg(({LR_LABEL} - prediction) ^ 2)), 4) AS rmse,
+       round(avg(abs({LR_LABEL} - prediction)), 4) AS mae,
+       round(1 - sum(({LR_LABEL} - prediction) ^ 2) / (var_pop({LR_LABEL}) * count(*)), 4) AS r2
+FROM test""",
+    "residual_histogram": f"""{_MODEL}
+SELECT bin, CAST(bin AS DOUBLE) * 100.0 AS bin_lo, CAST(bin + 1 AS DOUBLE) * 100.0 AS bin_hi, count(*) AS n
+FROM (SELECT CAST(floor(({LR_LABEL} - prediction) / 100.0) AS BIGINT) AS bin FROM test) GROUP BY bin""",
+    "scatter_bins": f"""{_MODEL}
+SELECT CAST(floor({LR_LABEL} / 100.0) AS BIGINT) AS actual_bin,
+       CAST(floor(prediction / 100.0) AS BIGINT) AS predicted_bin, count(*) AS n
+FROM test GROUP BY 1, 2""",
+    "lr_fit_lineitem": f"""WITH {_solve("lineitem", _LINEITEM, "l_extendedprice")} {_terms(_LINEITEM)}""",
+})
+
 # --- text jobs -----------------------------------------------------------------
 
 _WS = r"[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]"
 _NOT_BLANK = f"(text IS NOT NULL AND NOT regexp_matches(text, '^{_WS}*$'))"
-_ROUTER = ["find", "search", "look", "show", "venue", "hall", "location",
-           "budget", "guest", "capacity", "wedding", "reception", "ceremony",
-           "luxury", "cheap", "affordable", "outdoor", "indoor", "garden"]
 
 
 def _route(keywords: list[str]) -> str:
@@ -240,37 +305,48 @@ ranked AS (
 articles AS (
   SELECT conv_id, turn, text FROM ranked WHERE rk <= 6 AND {_NOT_BLANK})"""
 
-_RECORDS = r"""
-records AS (
-  SELECT conv_id, turn, 0 AS pos,
-         'Venue ' || conv_id || '-' || turn AS name,
-         regexp_extract(text, '^(\S+)', 1) AS location,
-         CAST(length(text) AS VARCHAR) || ' guests' AS capacity,
-         CASE WHEN turn % 3 <> 0 THEN '₹' || CAST(turn * 1000 AS VARCHAR) END AS priceRange,
-         CAST(turn % 5 AS DOUBLE) + 0.5 AS rating,
-         text AS description,
-         CASE WHEN turn % 2 = 1 THEN 'https://img.example/' || conv_id || '/' || turn || '.jpg'
-              ELSE '' END AS image,
-         CASE WHEN turn % 2 = 1 THEN '+91 00000 00000' ELSE 'Contact for details' END AS phone,
-         CASE WHEN turn % 3 <> 1 THEN 'venue@example.com' ELSE 'Contact for details' END AS email,
-         array_to_string(string_split(regexp_extract(text, '^([^\n]*)', 1), ' '), '|') AS amenities,
-         CASE WHEN turn % 2 = 1 THEN 'Garden' ELSE 'Contact for details' END AS features
-  FROM articles)"""
+# Venue records: elements of the JSON arrays in the articles, with defaults.
+_SPAN = r"(?s)\[[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]*\{.*\}[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]*\]"
+_VENUES = f"""
+spans AS (SELECT conv_id, turn, regexp_extract(text, '{_SPAN}', 0) AS span FROM articles),
+elements AS (
+  SELECT conv_id, turn, CAST(i AS INTEGER) AS pos, json_extract(span, '$[' || i || ']') AS v
+  FROM (SELECT conv_id, turn, span, unnest(range(CAST(json_array_length(span) AS BIGINT))) AS i
+        FROM spans WHERE span <> '' AND json_valid(span))),
+venues AS (
+  SELECT conv_id, turn, pos, v ->> '$.name' AS name, v ->> '$.location' AS location, v ->> '$.capacity' AS capacity,
+         v ->> '$.priceRange' AS priceRange, TRY_CAST(v ->> '$.rating' AS DOUBLE) AS rating,
+         v ->> '$.description' AS description, coalesce(v ->> '$.image', '') AS image,
+         coalesce(v ->> '$.phone', '{CONTACT_DEFAULT}') AS phone, coalesce(v ->> '$.email', '{CONTACT_DEFAULT}') AS email,
+         coalesce(array_to_string(v ->> '$.amenities[*]', '|'), '{CONTACT_DEFAULT}') AS amenities,
+         coalesce(array_to_string(v ->> '$.features[*]', '|'), '{CONTACT_DEFAULT}') AS features
+  FROM elements)"""
+_VENUE_COLUMNS = ", ".join(f.name for f in VENUE_SCHEMA.fields)
+
+
+def _literal(value) -> str:
+    if isinstance(value, float):
+        return f"CAST({value} AS DOUBLE)"
+    return "'" + ("|".join(value) if isinstance(value, list) else value) + "'"
+
+
+_FALLBACK = ", ".join(
+    f"{_literal({**FALLBACK_VENUE, 'location': DEFAULT_LOCATION}[f.name])} AS {f.name}" for f in VENUE_SCHEMA.fields
+)
 
 _REQUESTS = f"""
 requests AS (
   SELECT conv_id,
          arg_max(text, turn) FILTER (WHERE role = 'user' AND {_NOT_BLANK}) AS query,
          CAST(count_if(role = 'user') AS VARCHAR) AS guest_count,
-         CAST(NULL AS VARCHAR) AS budget_range,
-         regexp_extract(arg_min(text, turn) FILTER (WHERE role = 'system'), '^(\\S+)', 1) AS location
+         CAST(NULL AS VARCHAR) AS budget_range
   FROM conversations GROUP BY conv_id)"""
 
 ORACLE_SQL.update({
     "drop_blank_turns": f"SELECT * FROM conversations WHERE {_NOT_BLANK}",
     "last_user_turn": f"""SELECT conv_id, max(turn) AS turn, arg_max(text, turn) AS text
 FROM conversations WHERE role = 'user' AND {_NOT_BLANK} GROUP BY conv_id""",
-    "route_intent": _route(_ROUTER),
+    "route_intent": _route(ROUTER_KEYWORDS),
     "route_intent_keywords": _route(["with", "und", "que"]),
     "extract_json_array": r"""WITH spans AS (
   SELECT doc_id,
@@ -280,27 +356,18 @@ SELECT doc_id,
        CAST(CASE WHEN span = '' OR NOT json_valid(span) THEN 0
                  ELSE json_array_length(span) END AS INTEGER) AS venue_count
 FROM spans""",
-    "normalise_records": f"WITH {_ARTICLES}, {_RECORDS} SELECT * FROM records",
+    "normalise_records": f"""WITH {_ARTICLES}, {_VENUES}
+SELECT conv_id, turn, pos, {_VENUE_COLUMNS} FROM venues""",
     "cap_items": f"WITH {_ARTICLES} SELECT conv_id, turn FROM articles",
     "search_key": f"""WITH {_REQUESTS}
 SELECT conv_id,
        regexp_replace(coalesce(query, '') || ' ' || coalesce(guest_count, '') || ' '
                       || coalesce(budget_range, ''), '^{_WS}+|{_WS}+$', '', 'g') AS search_key
 FROM requests""",
-    "fallback_record": f"""WITH {_ARTICLES}, {_RECORDS}, {_REQUESTS}
-SELECT conv_id, turn * 1000 + pos AS pos, name, location, capacity, priceRange, rating,
-       description, image, phone, email, amenities, features
-FROM records WHERE conv_id IN (SELECT conv_id FROM requests)
+    "fallback_record": f"""WITH {_ARTICLES}, {_VENUES}
+SELECT conv_id, turn, pos, {_VENUE_COLUMNS} FROM venues
 UNION ALL
-SELECT conv_id, 0 AS pos, 'Grand Palace Wedding Hall' AS name,
-       CASE WHEN location IS NULL OR location = '' THEN 'Mumbai, Maharashtra' ELSE location END AS location,
-       '200-500 guests' AS capacity, '₹8,000 - ₹15,000' AS priceRange, 4.8 AS rating,
-       'Luxurious wedding hall with stunning architecture and world-class amenities' AS description,
-       'https://images.pexels.com/photos/169190/pexels-photo-169190.jpeg' AS image,
-       '+91 98765 43210' AS phone, 'events@grandpalace.com' AS email,
-       'Valet Parking|Catering Services|Bridal Suite|Audio/Visual Equipment' AS amenities,
-       'Grand Ballroom|Garden Ceremony Area|VIP Lounge|Dance Floor' AS features
-FROM requests WHERE conv_id NOT IN (SELECT conv_id FROM records)""",
+SELECT DISTINCT conv_id, 0, 0, {_FALLBACK} FROM conversations WHERE conv_id NOT IN (SELECT conv_id FROM venues)""",
 })
 
 # --- streaming jobs (compared after the stream has run to completion) ----------
@@ -330,8 +397,13 @@ shaped AS (
 
 ORACLE_SQL.update({
     "stream_replay": f"WITH {_RAW}, {_SHAPED} SELECT DISTINCT * FROM shaped",
-    "stream_fanout": """SELECT 'raw' AS target, count(*) AS num_rows FROM events
-UNION ALL SELECT 'lake' AS target, count(*) AS num_rows FROM events""",
+    "stream_fanout": f"""WITH {_RAW}, {_SHAPED}
+SELECT 'lake' AS target, NULL AS value, * FROM shaped
+UNION ALL
+SELECT 'raw', CAST(to_json({{'Date/Time': date_time, 'LV ActivePower (kW)': active_power,
+         'Wind Speed (m/s)': wind_speed, 'Theoretical_Power_Curve (KWh)': power_curve,
+         'Wind Direction (°)': wind_direction}}) AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL
+FROM raw""",
     "dedup_first": f"""WITH {_READINGS}
 SELECT DISTINCT signal_date, signal_ts, ActivePower_kW, WindSpeed_m_s, PowerCurve_kWh, WindDirection_deg
 FROM readings""",
