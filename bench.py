@@ -18,6 +18,7 @@ import os
 import re
 import statistics
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -42,7 +43,8 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     shuffle = cpus
     spark = build_session(f"local[{cpus}]", app_name="sigflow-bench", shuffle_partitions=shuffle,
-                          extra_conf={"spark.driver.memory": "8g"})
+                          extra_conf={"spark.driver.memory": "8g"},
+                          checkpoint_dir=tempfile.mkdtemp(prefix="sigflow-bench-"))
 
     from sigflow.operators import aggregate, ml
     from sigflow.operators.mapping import mapping_join_long, signal_mapping

@@ -5,24 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sigflow.schemas import (
-    BAND_EXCEPTIONAL,
-    BAND_HIGH,
-    BAND_HIGH_BELOW,
-    BAND_LOW,
-    BAND_LOW_BELOW,
-    BAND_MEDIUM,
-    BAND_MEDIUM_BELOW,
-)
+from sigflow.schemas import BAND_ABOVE, BANDS
 
 
 def generation_band(power: Column | str) -> Column:
-    """Low / Medium / High by half-open ranges; anything else (null, NaN,
-    1000 and above) is Exceptional."""
+    """The first band whose upper bound lies above the power; null, NaN (which
+    sorts above every number) and powers past the last bound are in none."""
     p = F.col(power) if isinstance(power, str) else power
-    return (
-        F.when(p < BAND_LOW_BELOW, BAND_LOW)
-        .when((p >= BAND_LOW_BELOW) & (p < BAND_MEDIUM_BELOW), BAND_MEDIUM)
-        .when((p >= BAND_MEDIUM_BELOW) & (p < BAND_HIGH_BELOW), BAND_HIGH)
-        .otherwise(BAND_EXCEPTIONAL)
-    )
+    label = F.when(F.lit(False), "")
+    for below, name in BANDS:
+        label = label.when(p < below, name)
+    return label.otherwise(BAND_ABOVE)

@@ -18,7 +18,6 @@ from sigflow.operators.ml import (
     regression_metrics,
     residual_histogram,
     scatter_bins,
-    to_pandas_bounded,
 )
 from sigflow.operators.quality import dedup_latest, ingest_audit
 from sigflow.operators.shape import (
@@ -47,5 +46,5 @@ __all__ = [
     "last_user_turn", "mapping_join_long", "messages_to_readings", "normalise_records", "pack_messages",
     "parse_messages", "random_split", "regression_metrics", "rename_mapped", "residual_histogram",
     "route_intent", "row_count", "scatter_bins", "search_key", "shape_readings", "signal_mapping",
-    "to_pandas_bounded", "with_fallback", "with_generation_indicator", "with_typed_signals",
+    "with_fallback", "with_generation_indicator", "with_typed_signals",
 ]

@@ -151,14 +151,3 @@ def scatter_bins(
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
-
-def to_pandas_bounded(df: DataFrame, columns: list[str], max_rows: int = 100_000):
-    """Bring a *small* result (metrics, bins, one day's scores) to pandas.
-
-    Refuses frames above ``max_rows`` instead of truncating them: summarise
-    on Spark first (:func:`residual_histogram`, :func:`scatter_bins`).
-    """
-    pdf = df.select(*columns).limit(max_rows + 1).toPandas()
-    if len(pdf) > max_rows:
-        raise ValueError(f"more than {max_rows} rows; aggregate on Spark before exporting")
-    return pdf

@@ -18,7 +18,8 @@ def dedup_latest(readings: DataFrame, audit_cols: tuple[str, ...] = AUDIT_COLUMN
 
     A reading is identified by all its non-audit columns (time, date, signals
     and any typed copies); among its copies the one with the greatest
-    ``create_ts`` is kept, with that copy's audit columns. This is a grouped
+    ``create_ts`` is kept, with that copy's audit columns (on ties the copy
+    whose other audit columns sort last). This is a grouped
     aggregate, not a window: each task first reduces its own copies to one
     row, so a key with a huge number of replays never lands whole in one
     task. Rows without ``signal_ts`` have no identity and pass through
@@ -27,12 +28,12 @@ def dedup_latest(readings: DataFrame, audit_cols: tuple[str, ...] = AUDIT_COLUMN
     audit = [c for c in readings.columns if c in audit_cols]
     keys = [c for c in readings.columns if c not in audit]
     keyed = readings.filter(F.col("signal_ts").isNotNull())
-    latest = keyed.groupBy(*keys).agg(
-        F.max("create_ts").alias("create_ts"),
-        *[F.max_by(c, "create_ts").alias(c) for c in audit if c != "create_ts"],
-    )
+    # one struct per copy, the ingest time first: all audit columns come from the same copy
+    copy = F.struct("create_ts", *[c for c in audit if c != "create_ts"])
+    latest = keyed.groupBy(*keys).agg(F.max(copy).alias("_latest"))
+    columns = [F.col(f"_latest.{c}").alias(c) if c in audit else F.col(c) for c in readings.columns]
     untimed = readings.filter(F.col("signal_ts").isNull())
-    return latest.select(*readings.columns).unionByName(untimed)
+    return latest.select(*columns).unionByName(untimed)
 
 
 def ingest_audit(readings: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -51,10 +52,3 @@ def ingest_audit(readings: DataFrame, keys: list[str] | None = None) -> DataFram
         F.max("signal_date").alias("max_signal_date"),
     )
 
-
-def drop_invalid(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows where every listed column is non-null (and not NaN)."""
-    cond = F.lit(True)
-    for c in columns:
-        cond = cond & F.col(c).isNotNull() & ~F.isnan(F.col(c))
-    return df.filter(cond)

@@ -38,19 +38,11 @@ SIGNAL_SOURCES = {
     "WindDirection_deg": RAW_WIND_DIRECTION,
 }
 
-# Date-time text format of the raw feed (day month year hour:minute).
-RAW_TIME_FORMAT = "dd MM yyyy HH:mm"
-
 # Generation bands on the hourly mean active power (kW):
 # below 200 Low; 200 up to 600 Medium; 600 up to 1000 High; otherwise Exceptional
 # (the otherwise branch also takes null and NaN means).
-BAND_LOW_BELOW = 200.0
-BAND_MEDIUM_BELOW = 600.0
-BAND_HIGH_BELOW = 1000.0
-BAND_LOW = "Low"
-BAND_MEDIUM = "Medium"
-BAND_HIGH = "High"
-BAND_EXCEPTIONAL = "Exceptional"
+BANDS = [(200.0, "Low"), (600.0, "Medium"), (1000.0, "High")]
+BAND_ABOVE = "Exceptional"
 
 # Signal-name mapping rows (sig_name -> sig_mapping_name), in table order.
 SIGNAL_MAPPING = [
@@ -152,7 +144,6 @@ VENUE_SCHEMA = StructType(
         StructField("features", ArrayType(StringType(), True), True),
     ]
 )
-VENUE_ARRAY_SCHEMA = ArrayType(VENUE_SCHEMA, True)
 # As read from text: the rating as written (a JSON number or a quoted number),
 # converted to double when the records are normalised.
 VENUE_TEXT_SCHEMA = StructType(

@@ -50,6 +50,24 @@ def test_every_query_registered_runs(spark):
             assert fn(spark, "/root/testdata/sf0.001").count() > 0, key
 
 
+def test_without_the_corpus_operators():
+    """The rest works, and registers its own queries, when that subpackage is gone."""
+    import subprocess
+
+    code = (
+        "import sys\n"
+        "class Gone:\n"
+        "    def find_spec(self, name, path=None, target=None):\n"
+        "        if name == 'corpus_pipeline' or name.startswith('sigflow.llm'):\n"
+        "            raise ModuleNotFoundError(name, name=name)\n"
+        "sys.meta_path.insert(0, Gone())\n"
+        "import __spark_entry__ as e\n"
+        "assert e.queries() and not any(k.startswith('op') or k == 'pipeline' for k in e.queries())\n"
+        "assert set(e.oracle_sql()) <= set(e.queries())\n"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
