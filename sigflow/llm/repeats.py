@@ -50,6 +50,8 @@ HOT_LEAST = 4096
 # ... or from this share of all anchors, so at most this many are named to all tasks.
 HOT_MOST = 100_000
 NO_ID = (1 << 63) - 1
+# Within a bin, 40 bits of the hash tell anchors apart; a false match only adds a candidate.
+SHIFT = 24
 
 
 @dataclass(frozen=True)
@@ -224,11 +226,10 @@ def _scan(s: Scheme, bins: int, doc_bins: int):
             of, h, d, pos, count = of[order], h[order], d[order], pos[order], count[order]
             edges = np.flatnonzero(np.diff(of, prepend=-1))
             for a, b in zip(edges, [*edges[1:], len(of)]):
-                # 48 hash bits besides the bin tell anchors apart; a false match only adds a candidate
-                top = h[a:b] >> K.U(16)
+                top = h[a:b] >> K.U(SHIFT)
                 rows.append((int(of[a]), ANCHORS, int(b - a), _pack(
-                    (top >> K.U(16)).astype("<u4"), (top & K.U(0xFFFF)).astype("<u2"), _delta(d[a:b]),
-                    _delta(pos[a:b]), count[a:b])))
+                    (top >> K.U(8)).astype("<u4"), (top & K.U(0xFF)).astype("u1"), _delta(d[a:b]), _delta(pos[a:b]),
+                    count[a:b])))
             yield _packed_batch(rows)
 
     return run
@@ -243,8 +244,8 @@ def _match(s: Scheme, doc_bins: int):
             passed = []
             for b, kind, n, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if kind == ANCHORS:
-                    hi, lo, d, pos, count = _unpack(data, "<u4", "<u2", "<i8", "<i4", "<u4")
-                    h = (hi.astype(K.U) << K.U(16)) | lo
+                    hi, lo, d, pos, count = _unpack(data, "<u4", "u1", "<i8", "<i4", "<u4")
+                    h = (hi.astype(K.U) << K.U(8)) | lo
                     parts.append((np.full(len(h), b, dtype=np.int32), h, np.cumsum(d), np.cumsum(pos, dtype=np.int32), count))
                 else:
                     passed.append((b, kind, n, data))
@@ -365,7 +366,7 @@ def _cut(s: Scheme, frequent: set[tuple[int, int]], anchor_bins: int, bins: int)
                 runs = runs.take(shared[np.minimum(hit, len(shared) - 1)] == mine)
                 columns = (runs.row, runs.first, runs.last, runs.anchor, runs.h, runs.b0, runs.b1)
                 for row, first, last, anchor, h, b0, b1 in zip(*(c.tolist() for c in columns)):
-                    hot = bool(frequent) and (h >> 16, h % anchor_bins) in frequent
+                    hot = bool(frequent) and (h >> SHIFT, h % anchor_bins) in frequent
                     for data, f, l in _spans_of_run(s, buf[b0:b1].tobytes(), first, last, hot):
                         key = (0 if hot else h, data)
                         i = seen.get(key)

@@ -25,7 +25,7 @@ from sigflow.llm import kernels as K
 from sigflow.llm.repeats import Scheme, Spans, remove_repeats
 
 BYTES = 50
-GRAM = 20
+GRAM = 16
 
 
 def scheme(length: int = BYTES, gram: int = GRAM) -> Scheme:
