@@ -19,6 +19,7 @@ from sigflow.operators.ml import (
 )
 from sigflow.plans.analysis import hourly_report
 from sigflow.schemas import LR_FEATURES, LR_LABEL, LR_SCORE_DAY
+from sigflow.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -44,6 +45,7 @@ def ml_frame(
     """
     report = hourly_report(readings, cast="double", mapping=mapping)
     if materialize:
+        ensure_checkpoint_dir(report.sparkSession)
         report = report.checkpoint(eager=True)
     return ModelFrame(report, fit_label_index(report))
 
