@@ -59,7 +59,11 @@ class Model:
         self.id_of = {pieces[i]: i for i in ordinary}
         self.byte_id = np.array([sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)], dtype=np.int32)
         self.size = n
-        # Symbols outside the vocabulary (kept until bytes replace them) are numbered from n.
+        # Symbols outside the vocabulary (kept until bytes replace them) are n + their code point.
+        self.char_id = np.arange(n, n + 0x110000, dtype=np.int64)
+        for piece, i in self.id_of.items():
+            if len(piece) == 1:
+                self.char_id[ord(piece)] = i
         score = np.array([sp.get_score(i) for i in range(n)])
         self.rank = np.full(n, np.iinfo(np.int32).max, dtype=np.int64)
         # equal scores rank alike: then the leftmost pair wins
@@ -76,6 +80,15 @@ class Model:
         self.pair = np.array(keys, dtype=np.int64)[order]
         self.made = np.array(made, dtype=np.int64)[order]
         self._pairs: dict[int, int] = {}
+        # the pairs in a hash table of arrays
+        self.slots = (1 << max(4, 2 * len(self.pair) - 1).bit_length()) - 1
+        self.slot_key = np.full(self.slots + 1, -1, dtype=np.int64)
+        self.slot_made = np.zeros(self.slots + 1, dtype=np.int64)
+        for key, piece in zip(self.pair.tolist(), self.made.tolist()):
+            at = (key * 0x9E3779B1) >> 7 & self.slots
+            while self.slot_key[at] >= 0:
+                at = (at + 1) & self.slots
+            self.slot_key[at], self.slot_made[at] = key, piece
 
     def pairs(self) -> dict[int, int]:
         """The same table as a dictionary, made when first needed."""
@@ -85,9 +98,20 @@ class Model:
 
     def join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Piece made of two neighbours, -1 where there is none."""
-        key = np.where((left >= 0) & (left < self.size) & (right >= 0) & (right < self.size), left * self.size + right, -1)
-        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-        return np.where(self.pair[at] == key, self.made[at], -1)
+        out = np.full(left.shape, -1, dtype=np.int64)
+        both = np.nonzero((left >= 0) & (left < self.size) & (right >= 0) & (right < self.size))
+        key = left[both] * self.size + right[both]
+        slot = (key * 0x9E3779B1) >> 7 & self.slots
+        found = np.full(len(key), -1, dtype=np.int64)
+        open_ = np.arange(len(key))
+        while len(open_):  # linear probing
+            there = self.slot_key[slot[open_]]
+            hit = there == key[open_]
+            found[open_[hit]] = self.slot_made[slot[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+            slot[open_] = (slot[open_] + 1) & self.slots
+        out[both] = found
+        return out
 
 
 _models: dict[str, Model] = {}
@@ -110,21 +134,32 @@ def _dropped(m: Model, left, right, place, variant, seed: int, rate: float) -> n
     return (key >> u(11)).astype(np.float64) < rate * float(1 << 53)
 
 
-def encode_words(m: Model, words: list[str], variant: np.ndarray, seed: int, rate: float) -> list[np.ndarray]:
-    """Ids of each word under its variant."""
-    out: list = [None] * len(words)
-    groups: dict[int, list[int]] = {}
-    for i, w in enumerate(words):
-        if len(w) > WIDE:
-            out[i] = _encode_long(m, w, int(variant[i]), seed, rate)
-        else:
-            groups.setdefault((len(w) + 7) // 8 * 8, []).append(i)
-    for width, items in groups.items():
+def encode_words(
+    m: Model, words: list[str], variant: np.ndarray, seed: int, rate: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words under their variants, one word after another, and the number of each."""
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    step = np.where(sizes <= WIDE, (sizes + 3) // 4, -1)
+    order, flat, counts = [], [], []
+    for k in np.unique(step).tolist():
+        items = np.flatnonzero(step == k)
+        order.append(items)
+        if k < 0:
+            found = [_encode_long(m, words[i], int(variant[i]), seed, rate) for i in items.tolist()]
+            flat += found
+            counts.append(np.array([len(x) for x in found], dtype=np.int64))
+            continue
         for at in range(0, len(items), BLOCK_WORDS):
             part = items[at : at + BLOCK_WORDS]
-            for i, ids in zip(part, _encode_block(m, [words[i] for i in part], variant[part], width, seed, rate)):
-                out[i] = ids
-    return out
+            ids, n = _encode_block(m, [words[i] for i in part.tolist()], variant[part], 4 * k, seed, rate)
+            flat.append(ids)
+            counts.append(n)
+    if not order:
+        return np.zeros(0, dtype=np.int32), sizes
+    order, flat, counts = np.concatenate(order), np.concatenate(flat), np.concatenate(counts)
+    start = np.cumsum(counts) - counts
+    back = np.argsort(order)
+    return flat[K.ranges(start[back], counts[back])], counts[back]
 
 
 def _mix(x: int) -> int:
@@ -178,68 +213,70 @@ def _encode_long(m: Model, word: str, variant: int, seed: int, rate: float) -> n
     return np.array(out, dtype=np.int32)
 
 
-def _encode_block(m: Model, words: list[str], variant: np.ndarray, width: int, seed: int, rate: float) -> list[np.ndarray]:
-    foreign: dict[str, int] = {}
-    names: list[str] = []
-
-    def number(c: str) -> int:
-        i = m.id_of.get(c)
-        if i is None:
-            i = foreign.get(c)
-            if i is None:
-                i = foreign[c] = m.size + len(names)
-                names.append(c)
-        return i
-
-    n = len(words)
+def _encode_block(
+    m: Model, words: list[str], variant: np.ndarray, width: int, seed: int, rate: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Words of at most ``width`` symbols, one merge each a round."""
+    n, far = len(words), np.iinfo(np.int32).max
+    length = np.fromiter(map(len, words), dtype=np.int64, count=n)
+    symbols = m.char_id[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+    col = np.arange(width + 1)
     sym = np.full((n, width + 1), -1, dtype=np.int64)
-    length = np.array([len(w) for w in words])
-    flat = [number(c) for w in words for c in w]
-    row = np.repeat(np.arange(n), length)
-    sym[row, K.ranges(np.zeros(n, dtype=np.int64), length)] = flat
-    place = np.tile(np.arange(width + 1), (n, 1))  # where each symbol starts in its word
-    live = np.arange(n)
-    far = np.iinfo(np.int64).max
-    joined = m.join(sym[:, :-1], sym[:, 1:])
-    drop = _dropped(m, sym[:, :-1], sym[:, 1:], place[:, :-1], variant[:, None], seed, rate)
-    cost = np.where((joined >= 0) & ~drop, m.rank[joined], far)
-    while len(live):
-        best = np.argmin(cost[live], axis=1)
-        some = cost[live, best] < far
-        live, best = live[some], best[some]
-        if not len(live):
-            break
-        new = joined[live, best]
-        # close the gap after the merged pair
-        col = np.arange(width + 1)
+    sym[col[None, :] < length[:, None]] = symbols
+    place = np.tile(col, (n, 1))  # where each symbol starts in its word
+    made, cost = _candidates(m, sym[:, :-1], sym[:, 1:], place[:, :-1], variant[:, None], seed, rate)
+    done_sym, done_row = [], []
+    row = np.arange(n)
+    while len(row):
+        best = np.argmin(cost, axis=1)
+        at = np.arange(len(row))
+        live = cost[at, best] < far
+        if not live.all():
+            done_sym.append(sym[~live])
+            done_row.append(row[~live])
+            row, best, sym, place, made, cost, variant = (x[live] for x in (row, best, sym, place, made, cost, variant))
+            at = at[: len(row)]
+            if not len(row):
+                break
+        # the merged symbol replaces the pair and all behind it move up
+        new = made[at, best]
         take = np.minimum(col[None, :] + (col[None, :] > best[:, None]), width)
-        s, p = sym[live[:, None], take], place[live[:, None], take]
-        s[np.arange(len(live)), best] = new
-        s[:, width] = -1
-        sym[live], place[live] = s, p
-        pair = take[:, :-1]
-        j, c = joined[live[:, None], np.minimum(pair, width - 1)], cost[live[:, None], np.minimum(pair, width - 1)]
-        at_end = pair >= width
-        j[at_end], c[at_end] = -1, far
-        k = np.arange(len(live))
-        for side in (best - 1, best):  # the two pairs that hold the new symbol
-            ok = (side >= 0) & (side < width)
-            r, x = k[ok], side[ok]
-            a, b = s[r, x], s[r, x + 1]
-            made = m.join(a, b)
-            gone = _dropped(m, a, b, p[r, x], variant[live[r]], seed, rate)
-            j[r, x] = made
-            c[r, x] = np.where((made >= 0) & ~gone, m.rank[made], far)
-        joined[live], cost[live] = j, c
-    out = []
-    for r in range(n):
-        ids = sym[r]
-        ids = ids[ids >= 0]
-        if names and (ids >= m.size).any():
-            parts = [m.byte_id[list(names[i - m.size].encode())] if i >= m.size else [i] for i in ids.tolist()]
-            ids = np.concatenate(parts)
-        out.append(ids.astype(np.int32))
-    return out
+        sym, place = np.take_along_axis(sym, take, 1), np.take_along_axis(place, take, 1)
+        sym[at, best] = new
+        pair = np.minimum(take[:, :-1], width - 1)
+        made, cost = np.take_along_axis(made, pair, 1), np.take_along_axis(cost, pair, 1)
+        cost[:, -1] = far
+        sym[:, width] = -1
+        for side, ok in ((best, best < width), (best - 1, best > 0)):  # the two pairs that hold the new symbol
+            r, x = at[ok], side[ok]
+            made[r, x], cost[r, x] = _candidates(m, sym[r, x], sym[r, x + 1], place[r, x], variant[r], seed, rate)
+    sym, row = np.concatenate(done_sym), np.concatenate(done_row)
+    sym = sym[np.argsort(row)]
+    there = sym >= 0
+    flat, count = sym[there], there.sum(axis=1)
+    foreign = flat >= m.size
+    if foreign.any():  # bytes for symbols the model does not know
+        parts = [chr(c - m.size).encode("utf-8", "surrogatepass") for c in flat[foreign].tolist()]
+        size = np.ones(len(flat), dtype=np.int64)
+        size[foreign] = [len(x) for x in parts]
+        owner = np.repeat(np.arange(n), count)
+        count = np.bincount(owner, weights=size, minlength=n).astype(np.int64)
+        out = np.repeat(flat, size)
+        out[np.repeat(foreign, size)] = m.byte_id[np.frombuffer(b"".join(parts), dtype=np.uint8)]
+        flat = out
+    return flat.astype(np.int32), count
+
+
+def _candidates(m: Model, left, right, place, variant, seed: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Piece and cost of merging neighbours; the largest cost where there is none or it is skipped."""
+    made = m.join(left, right)
+    cost = np.where(made >= 0, m.rank[made], np.iinfo(np.int32).max)
+    some = np.nonzero(made >= 0)
+    if rate > 0 and len(some[0]):
+        keys = np.broadcast_to(variant, made.shape)[some]
+        gone = _dropped(m, left[some], right[some], place[some], keys, seed, rate)
+        cost[tuple(i[gone] for i in some)] = np.iinfo(np.int32).max
+    return made, cost
 
 
 class WordCache(dict):
@@ -263,19 +300,17 @@ class WordCache(dict):
         return n
 
     def learn(self) -> None:
-        found = encode_words(
-            self.m, [w for w, _ in self.new], np.array([v for _, v in self.new]), self.seed, self.rate
+        flat, lengths = encode_words(
+            self.m, [w for w, _ in self.new], np.array([v for _, v in self.new], dtype=np.int64), self.seed, self.rate
         )
-        lengths = np.array([len(x) for x in found], dtype=np.int64)
-        end, at = self.known + len(found), int(self.offsets[self.known])
+        end, at = self.known + len(lengths), int(self.offsets[self.known])
         if end + 1 > len(self.offsets):
             self.offsets = np.concatenate((self.offsets, np.zeros(max(end, len(self.offsets)), dtype=np.int64)))
         self.offsets[self.known + 1 : end + 1] = at + np.cumsum(lengths)
         total = int(self.offsets[end])
         if total > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros(max(total, len(self.ids)), dtype=np.int32)))
-        if found:
-            self.ids[at:total] = np.concatenate(found)
+        self.ids[at:total] = flat
         self.known, self.new = end, []
 
 

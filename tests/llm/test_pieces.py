@@ -26,8 +26,7 @@ def odd_texts():
 def encode_one(path, text, rate, seed=1, variant=0):
     m = pieces.model(path)
     words = pieces.stretches(m.sp.normalize(text)) if text else []
-    found = pieces.encode_words(m, words, np.full(len(words), variant), seed, rate)
-    return [i for x in found for i in x.tolist()]
+    return pieces.encode_words(m, words, np.full(len(words), variant), seed, rate)[0].tolist()
 
 
 def test_without_dropout_equals_the_library(path):
