@@ -217,4 +217,8 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass every rule, with their own columns."""
     judged, q = with_quality(docs, text_col)
-    return judged.filter(F.col(q)["kept"]).drop(q)
+    # A filter moves below deterministic projections and would repeat the whole
+    # computation for every field it needs; a row number keeps it above them.
+    number = free_name(judged, "number")
+    judged = judged.withColumn(number, F.monotonically_increasing_id())
+    return judged.filter(F.col(q)["kept"] & (F.col(number) >= 0)).select(*(column(docs, c) for c in docs.columns))
