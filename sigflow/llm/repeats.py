@@ -322,21 +322,28 @@ def _unpack_cuts(data: bytes) -> list[np.ndarray]:
     return _unpack(data, "<i8", "<i4", "<i4", "<i4")
 
 
-def _pack_spans(key, d, rank, off, places: list[list[int]], content: list[bytes]) -> bytes:
+def _key_type(s: Scheme) -> str:
+    """Bytes are compared whole, anchor included, so there a short key will do: a false match only costs time."""
+    return "<u8" if s.unit == "words" else "<u4"
+
+
+def _pack_spans(s: Scheme, key, d, rank, off, places: list[list[int]], content: list[bytes]) -> bytes:
     """Spans packed and compressed: their text repeats words a lot."""
     body = _pack(
-        key.astype("<u8"), _delta(d.astype("<i8")), rank.astype("<i4"), off.astype("<i4"),
+        key.astype(_key_type(s)), _delta(d.astype("<i8")), rank.astype("<i4"), off.astype("<i4"),
         np.array([len(p) for p in places], dtype="<i4"), np.array([len(c) for c in content], dtype="<i4"),
     )
     flat = np.array([x for p in places for x in p], dtype="<i4").tobytes()
     return zstandard.ZstdCompressor(level=3).compress(body + flat + b"".join(content))
 
 
-def _unpack_spans(data: bytes) -> tuple[np.ndarray, ...]:
+def _unpack_spans(s: Scheme, span_bin: int, data: bytes) -> tuple[np.ndarray, ...]:
     """key, d, rank, off, number of places, lengths, places, content."""
     data = zstandard.ZstdDecompressor().decompress(data)
-    key, d, rank, off, n_places, length = _unpack(data, "<u8", "<i8", "<i4", "<i4", "<i4", "<i4")
-    at = 8 + len(key) * 32
+    key, d, rank, off, n_places, length = _unpack(data, _key_type(s), "<i8", "<i4", "<i4", "<i4", "<i4")
+    at = 8 + key.nbytes + len(key) * 24
+    if key.itemsize < 8:  # such keys only differ within their bin
+        key = key.astype(K.U) | K.U(span_bin << 32)
     places = np.frombuffer(data, dtype="<i4", count=int(n_places.sum()), offset=at)
     content = np.frombuffer(data, dtype=np.uint8, offset=at + places.nbytes)
     return key, np.cumsum(d), rank, off, n_places, length, places, content
@@ -386,14 +393,14 @@ def _cut(s: Scheme, frequent: set[tuple[int, int]], anchor_bins: int, bins: int)
                         content.append(data)
             if rows:
                 row, key, off = np.array(rows), np.array(keys, dtype=K.U), np.array(offsets)
-                of = (key >> K.U(20)) % K.U(bins)
+                of = (key >> K.U(32)) % K.U(bins)
                 order = np.argsort(of, kind="stable")
                 edges = np.flatnonzero(np.diff(of[order].astype(np.int64), prepend=-1))
                 for a, b in zip(edges, [*edges[1:], len(of)]):
                     i = order[a:b]
                     part = i.tolist()
                     packed = _pack_spans(
-                        key[i], ids[row[i]], rank[row[i]], off[i], [places[x] for x in part], [content[x] for x in part]
+                        s, key[i], ids[row[i]], rank[row[i]], off[i], [places[x] for x in part], [content[x] for x in part]
                     )
                     out.append((int(of[i[0]]), SPAN, len(part), packed))
             if done:
@@ -502,9 +509,9 @@ def _resolve(s: Scheme, resolver: Resolver, doc_bins: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
-            for _, kind, n, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for span_bin, kind, n, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if kind == SPAN:
-                    parts.append(_unpack_spans(data))
+                    parts.append(_unpack_spans(s, span_bin, data))
                 else:
                     yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([data], pa.binary())], schema=_CUTS)
         if not parts:
