@@ -8,10 +8,12 @@ connected component.
    token frequencies (fixed size). Equal sets are one entity from here on, so
    groups of copies cost one row per task.
 2. ``prefix``: tokens are ordered by (frequency level, hash). Sets that link
-   share a token within their first ``n - ceil(t n) + 1`` tokens. Only these
-   prefixes travel, packed by token bin, and only tokens held by several
-   entities of fitting sizes remain. These are the entries of the matrix.
-3. Groups: entities that share entries, directly or over others, form a
+   share at least l tokens within their first ``n - ceil(t n) + l`` tokens.
+   Only these prefixes travel, packed by token bin, and only tokens held by
+   several entities of fitting sizes remain: the entries of the matrix. An
+   entity with fewer than l of them cannot link and leaves; l is a twentieth
+   of the size, which chance sharing does not reach.
+3. Groups: entities that share l entries, directly or over others, form a
    family; entities of different families cannot link. A family is cut into
    groups of bounded size. A few hubs, the entities with the most shared
    entries, join every group of a large family, which ties the groups together.
@@ -39,7 +41,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -53,6 +55,7 @@ NUM, DEN = 80, 100
 SKETCH_BITS = 16
 GROUP = 48  # entities in a group: small, so that groups spread evenly over tasks
 HUBS = 4
+FEW = 16  # holders up to which a token's holders are counted pair by pair
 REMEMBERED = 500_000  # fingerprints a task keeps to skip copies
 SLICE_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1  # stands for a null id: after all others
@@ -154,7 +157,14 @@ def _ordered_sets(buf, offsets, k: int, levels: np.ndarray) -> tuple[np.ndarray,
 PREFIXES = "bin int, data binary"
 
 
+def shared_least(n):
+    """Prefix tokens that linked sets share, by the smaller size of the two."""
+    return np.maximum(1, n // 20)
+
+
 def _prefix(k: int, num: int, den: int, levels: np.ndarray, bins: int):
+    """Prefixes by token bin: per entity its fingerprint, size and number of tokens there, then the tokens."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
@@ -167,16 +177,22 @@ def _prefix(k: int, num: int, den: int, levels: np.ndarray, bins: int):
                 if key[1] and key not in seen:
                     seen.add(key)
                     fresh[i] = True
-            size = np.where(fresh, n - (num * n + den - 1) // den + 1, 0)
-            token = t[K.ranges(at[:-1], size)]
-            entity, count = np.repeat(e, size), np.repeat(n, size)
+            size = np.where(fresh, np.minimum(n, n - (num * n + den - 1) // den + shared_least(n)), 0)
+            token = K.mix(t[K.ranges(at[:-1], size)])
+            row = np.repeat(np.arange(len(n)), size)
             of = (token % K.U(bins)).astype(np.int64)
             order = np.argsort(of, kind="stable")
-            of, token, entity, count = of[order], token[order], entity[order], count[order]
+            of, token, row = of[order], token[order], row[order]
             edges = np.flatnonzero(np.diff(of, prepend=-1))
             data = []
             for a, b in zip(edges, [*edges[1:], len(of)]):
-                data.append(token[a:b].tobytes() + entity[a:b].tobytes() + count[a:b].astype("<i4").tobytes())
+                first = np.flatnonzero(np.diff(row[a:b], prepend=-1))
+                mine = row[a:b][first]
+                top = token[a:b] >> K.U(16)  # 48 bits tell the tokens of a bin apart
+                data.append(b"".join(x.tobytes() for x in (
+                    np.array([len(mine), b - a], dtype="<i8"), e[mine], n[mine].astype("<i4"),
+                    np.diff(np.append(first, b - a)).astype("<i4"), (top >> K.U(16)).astype("<u4"), top.astype("<u2"),
+                )))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(of[edges].astype(np.int32)), pa.array(data, pa.binary())], names=["bin", "data"]
             )
@@ -184,44 +200,98 @@ def _prefix(k: int, num: int, den: int, levels: np.ndarray, bins: int):
     return run
 
 
-ENTRIES = "token long, e long, n int, leader long"
+def _unpack_prefixes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    m, total = np.frombuffer(data, "<i8", 2)
+    at = 16
+    out = []
+    for kind, count in (("<i8", m), ("<i4", m), ("<i4", m), ("<u4", total), ("<u2", total)):
+        out.append(np.frombuffer(data, kind, count, at))
+        at += out[-1].nbytes
+    e, n, held, high, low = out
+    return (high.astype(np.int64) << 16) | low, np.repeat(e, held), np.repeat(n, held).astype(np.int64)
+
 
+ENTRIES = "token long, e long, n int"
 
-def _entries(num: int, den: int):
-    """Tokens of a bin held by several entities of fitting sizes, each with a leader to group by."""
+
+def _entries(num: int, den: int, bins: int):
+    """Tokens of a bin held by several entities of fitting sizes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
-            for data in batch.column(1).to_pylist():
-                m = len(data) // 20
-                parts.append((
-                    np.frombuffer(data, "<u8", m), np.frombuffer(data, "<i8", m, 8 * m), np.frombuffer(data, "<i4", m, 16 * m)
-                ))
+            for b, data in zip(*(c.to_pylist() for c in batch.columns)):
+                token, e, n = _unpack_prefixes(data)
+                parts.append((np.full(len(token), b, dtype=np.int64), token, e, n))
         if not parts:
             return
-        token, e, n = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((e, n, token))
-        token, e, n = token[order], e[order], n[order].astype(np.int64)
-        once = np.concatenate(([True], (token[1:] != token[:-1]) | (e[1:] != e[:-1]) | (n[1:] != n[:-1])))
-        token, e, n = token[once], e[once], n[once]
+        b, token, e, n = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((e, n, token, b))
+        b, token, e, n = b[order], token[order], e[order], n[order]
+        same = (token[1:] == token[:-1]) & (b[1:] == b[:-1])
+        once = np.concatenate(([True], ~(same & (e[1:] == e[:-1]) & (n[1:] == n[:-1]))))
+        b, token, e, n = b[once], token[once], e[once], n[once]
         # sizes are sorted within a token: a gap that no link can cross starts a new range
-        new = np.concatenate(([True], (token[1:] != token[:-1]) | (den * n[:-1] < num * n[1:])))
-        edges = np.flatnonzero(new)
+        same = (token[1:] == token[:-1]) & (b[1:] == b[:-1]) & (den * n[:-1] >= num * n[1:])
+        edges = np.flatnonzero(np.concatenate(([True], ~same)))
         size = np.diff(np.append(edges, len(token)))
-        leader = np.repeat(np.minimum.reduceat(e, edges), size)
         keep = np.repeat(size > 1, size)
+        name = K.mix(token.astype(K.U) * K.U(bins) + b.astype(K.U)).view(np.int64)  # one number for bin and token
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(token[keep].view(np.int64)), pa.array(e[keep]), pa.array(n[keep].astype(np.int32)),
-                pa.array(leader[keep]),
-            ],
-            names=["token", "e", "n", "leader"],
-        )
+            [pa.array(name[keep]), pa.array(e[keep]), pa.array(n[keep].astype(np.int32))], names=["token", "e", "n"]
+        )
 
     return run
 
 
+def _least(n: Column) -> Column:
+    """:func:`shared_least` as a column expression."""
+    return F.greatest(F.lit(1), F.floor(n / F.lit(20)))
+
+
+def _least_any(num: int, den: int) -> Column:
+    """Tokens an entity of size ``n`` shares with any it links with."""
+    return _least(F.ceil(F.lit(num) * F.col("n") / F.lit(den)))
+
+
+def _able(entries: DataFrame, num: int, den: int) -> DataFrame:
+    """Entries of entities that hold enough of them to link, on tokens that several such entities hold."""
+    able = entries.groupBy("e", "n").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") >= _least_any(num, den))
+    left = entries.join(able.select("e", "n"), ["e", "n"])
+    several = left.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    return left.join(several, "token")
+
+
+def _family_edges(entries: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (u, v) over which every two entities that link are connected.
+
+    On tokens of few holders (``FEW``) common tokens are counted pair by pair
+    and a pair with enough of them is an edge. A linked pair with fewer must
+    share the rest on tokens of many holders. There, entities that hold enough
+    of those to make up for the most they share otherwise are tied to the
+    token's smallest such entity.
+    """
+    few = entries.filter(F.col("c") <= FEW).groupBy("token").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("a"))
+    a = F.col("a")
+    fits = lambda x, y: F.lit(den) * x["n"] >= F.lit(num) * y["n"]
+    later = lambda x, i: F.filter(F.slice(a, i + 2, F.lit(FEW)), lambda y: fits(x, y))
+    pair = lambda x, y: F.struct(x["e"].alias("u"), y["e"].alias("v"), x["n"].alias("n"), y["n"].alias("m"))
+    pairs = few.select(F.explode(F.flatten(F.transform(a, lambda x, i: F.transform(later(x, i), lambda y: pair(x, y))))).alias("p"))
+    common = pairs.groupBy("p.u", "p.v", "p.n", "p.m").agg(F.count(F.lit(1)).alias("common")).checkpoint()
+    enough = F.col("common") >= _least(F.col("n"))
+    rest = common.filter(~enough)
+    most = rest.select(F.col("u").alias("e"), "n", "common").unionByName(
+        rest.select(F.col("v").alias("e"), F.col("m").alias("n"), "common")
+    ).groupBy("e", "n").agg(F.max("common").alias("most"))
+    many = entries.filter(F.col("c") > FEW)
+    held = many.groupBy("e", "n").agg(F.count(F.lit(1)).alias("held")).join(most, ["e", "n"], "left")
+    held = held.filter(F.col("held") >= _least_any(num, den) - F.coalesce("most", F.lit(0)))
+    many = many.join(held.select("e", "n"), ["e", "n"])
+    leaders = many.groupBy("token").agg(F.min("e").alias("v"))
+    tied = many.join(leaders, "token").select(F.col("e").alias("u"), "v")
+    return common.filter(enough).select("u", "v").unionByName(tied).distinct()
+
+
 def _sets(k: int, levels: np.ndarray, columns: list[str]):
     """mapInArrow body: replaces the last column (text) by its ordered tokens.
 
@@ -357,10 +427,12 @@ def near_duplicates(
     rows = described.filter("counts is null").select("doc_id", "n", "e", "f")
     reps = rows.filter("n > 0").groupBy("n", "e", "f").agg(F.min("doc_id").alias("rep"))
 
-    prefixes = slim.select("text").mapInArrow(_prefix(shingle, num, den, levels, 2 * width + 1), PREFIXES)
-    entries = prefixes.repartition(width, "bin").mapInArrow(_entries(num, den), ENTRIES).checkpoint()
+    bins = width + 1
+    prefixes = slim.select("text").mapInArrow(_prefix(shingle, num, den, levels, bins), PREFIXES)
+    entries = prefixes.repartition(width, "bin").mapInArrow(_entries(num, den, bins), ENTRIES).checkpoint()
+    entries = _able(entries, num, den).checkpoint()
 
-    families = components(entries.select(F.col("e").alias("u"), F.col("leader").alias("v")))
+    families = components(_family_edges(entries, num, den))
     held = entries.groupBy("e").agg(F.count(F.lit(1)).alias("held"))
     sizes = families.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / F.lit(group)).cast("int").alias("groups"))
     placed = (
@@ -420,7 +492,9 @@ def _across(placed, entries, sets, links, num: int, den: int, group: int) -> Dat
     fits = (F.lit(den) * F.col("n1") >= F.lit(num) * F.col("n")) & (F.lit(den) * F.col("n") >= F.lit(num) * F.col("n0"))
     visits = (
         held.join(g, "token").filter((F.col("c") != F.col("gc")) & (F.col("part") != F.col("gp")) & smaller & fits)
-        .select("e", "gf", "gp", "gc").distinct().checkpoint()
+        .groupBy("e", "n", "gf", "gp", "gc").agg(F.count(F.lit(1)).alias("common"))
+        .filter(F.col("common") >= _least_any(num, den))
+        .select("e", "gf", "gp", "gc").checkpoint()
     )
     # queries of a group in blocks; its members once per block
     blocks = visits.groupBy("gf", "gp", "gc").agg(F.ceil(F.count(F.lit(1)) / F.lit(group)).cast("int").alias("blocks"))
