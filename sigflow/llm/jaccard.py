@@ -12,7 +12,8 @@ connected component.
    Only these prefixes travel, packed by token bin, and only tokens held by
    several entities of fitting sizes remain: the entries of the matrix. An
    entity with fewer than l of them cannot link and leaves; l is a twentieth
-   of the size, which chance sharing does not reach.
+   of the size, or ten, or half of a very small set, which chance sharing
+   does not reach.
 3. Groups: entities that share l entries, directly or over others, form a
    family; entities of different families cannot link. A family is cut into
    groups of bounded size. A few hubs, the entities with the most shared
@@ -55,6 +56,7 @@ NUM, DEN = 80, 100
 SKETCH_BITS = 16
 GROUP = 48  # entities in a group: small, so that groups spread evenly over tasks
 HUBS = 4
+LEAST = 10  # prefix tokens to share, beyond very small sets; see shared_least
 FEW = 16  # holders up to which a token's holders are counted pair by pair
 REMEMBERED = 500_000  # fingerprints a task keeps to skip copies
 SLICE_BYTES = 1 << 20
@@ -159,7 +161,7 @@ PREFIXES = "bin int, data binary"
 
 def shared_least(n):
     """Prefix tokens that linked sets share, by the smaller size of the two."""
-    return np.maximum(1, n // 20)
+    return np.maximum(n // 20, np.minimum((n + 1) // 2, LEAST))
 
 
 def _prefix(k: int, num: int, den: int, levels: np.ndarray, bins: int):
@@ -246,7 +248,7 @@ def _entries(num: int, den: int, bins: int):
 
 def _least(n: Column) -> Column:
     """:func:`shared_least` as a column expression."""
-    return F.greatest(F.lit(1), F.floor(n / F.lit(20)))
+    return F.greatest(F.floor(n / F.lit(20)), F.least(F.floor((n + F.lit(1)) / F.lit(2)), F.lit(LEAST)))
 
 
 def _least_any(num: int, den: int) -> Column:
@@ -409,6 +411,8 @@ def near_duplicates(
     """doc_id, n_shingles (long), component_id (smallest id reachable by links, itself included)."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
+    if 2 * num < den:
+        raise ValueError("the prefix rule takes a similarity of one half or more")
     width = shuffle_width(spark)
     slim = docs.select(
         F.coalesce(column(docs, id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
