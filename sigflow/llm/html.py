@@ -6,8 +6,8 @@ node are aggregated, discounted by the share of link text, smoothed over
 neighbouring nodes in page order, fused into one score and thresholded: paths
 above select content nodes. The selected nodes name their container (the
 article or main element, else the smallest element with nearly all selected
-text); within it, short paragraphs and headings that a ratio alone would lose
-belong to the text as well. Elements whose tag, role, class or id says menu,
+text); within it, headings and short paragraphs that a ratio alone would lose
+are joined by the selected nodes next to them, blocks of links excepted. Elements whose tag, role, class or id says menu,
 header, footer, sidebar, notice, advert, form or reader comment never do.
 
 Pages are parsed one by one inside Arrow tasks; nothing is shuffled.
@@ -69,6 +69,7 @@ SPACE = re.compile(r"\s+")
 TAG_START = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ/!?")
 SPREAD = 1.0  # of the smoothing over neighbouring nodes
 NEARLY_ALL = 0.9
+IN_CONTAINER = 2.0  # factor of paths in an article or main element
 
 
 class Element:
@@ -170,6 +171,18 @@ class Page(HTMLParser):
         self._flush()
 
 
+def add_up(elements: list[Element], blocks: list[tuple[Element, str, int]]) -> int:
+    """Sets every element's ``text`` to the characters of ``blocks`` in it and below; returns all of them."""
+    for e in elements:
+        e.text = 0
+    for e, text, _ in blocks:
+        e.text += len(text)
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.text += e.text
+    return elements[0].text
+
+
 def path_scores(blocks: list[tuple[Element, str, int]]) -> dict[int, float]:
     """Fused score per path: smoothed text and punctuation per node, less link text."""
     sums: dict[int, list[float]] = {}
@@ -197,7 +210,7 @@ def path_scores(blocks: list[tuple[Element, str, int]]) -> dict[int, float]:
 
     fused: dict[int, list[float]] = {}
     for (e, _, _), a, b in zip(blocks, smooth(raw), smooth(marks)):
-        fused.setdefault(e.path, []).append(a * b)
+        fused.setdefault(e.path, []).append(a * b * (IN_CONTAINER if e.container is not None else 1.0))
     return {p: sum(v) / len(v) for p, v in fused.items()}
 
 
@@ -231,25 +244,25 @@ def main_text(html: str | None) -> str:
     articles = {k for k, h in homes.items() if h.tag == "article"} or set(homes)
     if articles:
         articles = {id(e.container) for e, _, _ in chosen} & articles or articles
-        return "\n".join(t for e, t, _ in blocks if id(e.container) in articles)
-    total = 0
-    for e, text, _ in chosen:
-        e.text += len(text)
-        total += len(text)
-    for e in reversed(page.elements):
-        if e.parent is not None:
-            e.parent.text += e.text
-    home = max(chosen, key=lambda c: len(c[1]))[0]
-    while home.parent is not None and home.text < NEARLY_ALL * total:
-        home = home.parent
-    if home.tag in ("p", "li", "td", "th", "dd", "dt", "pre") or home.tag[:1] == "h" and home.tag[1:].isdigit():
-        home = home.parent or home
-    home.inside = True
-    for e in page.elements:
-        e.inside = e.inside or (e.parent is not None and e.parent.inside)
-    return "\n".join(
-        text for e, text, linked in blocks if e.inside and (scores[e.path] >= line or 2 * linked < len(text))
-    )
+        found = [b for b in blocks if id(b[0].container) in articles]
+    else:
+        total = add_up(page.elements, chosen)
+        home = max(chosen, key=lambda c: len(c[1]))[0]
+        while home.parent is not None and home.text < NEARLY_ALL * total:
+            home = home.parent
+        if home.tag in ("p", "li", "td", "th", "dd", "dt", "pre") or home.tag[:1] == "h" and home.tag[1:].isdigit():
+            home = home.parent or home
+        home.inside = True
+        for e in page.elements:
+            e.inside = e.inside or (e.parent is not None and e.parent.inside)
+        found = [b for b in blocks if b[0].inside]
+    taken = [scores[e.path] >= line for e, _, _ in found]
+    plain = [2 * linked < len(text) for _, text, linked in found]
+    for order in (range(1, len(found)), range(len(found) - 2, -1, -1)):
+        step = -1 if order.step > 0 else 1
+        for i in order:
+            taken[i] = taken[i] or (plain[i] and taken[i + step])
+    return "\n".join(text for (_, text, _), t in zip(found, taken) if t)
 
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

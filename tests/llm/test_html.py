@@ -100,3 +100,14 @@ def test_given_pages(spark):
         body = re.search(r"<article>(.*?)(</article>|<footer>|$)", r.html, re.S)[1]
         blocks = [html.unescape(re.sub(r"<[^>]*>", " ", b)) for b in re.split(r"</?(?:p|h1)\b[^>]*>", body)]
         assert got[r.page_id] == norm(blocks)
+
+
+BODY = [f"The main text goes on, and on, in part {i}; it has commas, stops and words enough to be read." for i in range(6)]
+PARAGRAPHS = "".join(f"<p>{b}</p>" for b in BODY)
+
+
+def test_paths_select_within_an_article_too():
+    """The tag alone does not make a block content: lists of links in an article go, short paragraphs stay."""
+    links = "".join(f"<li><a href='/{i}'>Another page {i}</a></li>" for i in range(5))
+    page = f"<body><article><h1>Title</h1>{PARAGRAPHS}<h2>Part</h2><div><span>note</span></div><ul>{links}</ul></article></body>"
+    assert main_text(page) == "\n".join(["Title", *BODY, "Part", "note"])
