@@ -4,9 +4,8 @@ A page's text nodes are grouped by their root-to-leaf path of block tags
 (inline markup does not count). Per path, text length and punctuation per
 node are aggregated, discounted by the share of link text, smoothed over
 neighbouring nodes in page order, fused into one score and thresholded: paths
-above select content nodes. The selected nodes name their container (the
-article or main element, else the smallest element with nearly all selected
-text); within it, headings and short paragraphs that a ratio alone would lose
+above select content nodes. The smallest element with nearly all selected
+text is the home of the text (the article or main element around it, if there is one); within it, headings and short paragraphs that a ratio alone would lose
 are joined by the selected nodes next to them, blocks of links excepted. Elements whose tag, role, class or id says menu,
 header, footer, sidebar, notice, advert, form or reader comment never do.
 
@@ -239,23 +238,17 @@ def main_text(html: str | None) -> str:
     spread = math.sqrt(sum((v - mean) ** 2 for v in scores.values()) / len(scores))
     line = min(spread, max(scores.values()))
     chosen = [b for b in blocks if scores[b[0].path] >= line]
-    # Containers of the chosen nodes: articles if there are any, else the smallest nearly full element.
-    homes = {id(e.container): e.container for e, _, _ in blocks if e.container is not None}
-    articles = {k for k, h in homes.items() if h.tag == "article"} or set(homes)
-    if articles:
-        articles = {id(e.container) for e, _, _ in chosen} & articles or articles
-        found = [b for b in blocks if id(b[0].container) in articles]
-    else:
-        total = add_up(page.elements, chosen)
-        home = max(chosen, key=lambda c: len(c[1]))[0]
-        while home.parent is not None and home.text < NEARLY_ALL * total:
-            home = home.parent
-        if home.tag in ("p", "li", "td", "th", "dd", "dt", "pre") or home.tag[:1] == "h" and home.tag[1:].isdigit():
-            home = home.parent or home
-        home.inside = True
-        for e in page.elements:
-            e.inside = e.inside or (e.parent is not None and e.parent.inside)
-        found = [b for b in blocks if b[0].inside]
+    total = add_up(page.elements, chosen)
+    home = max(chosen, key=lambda c: len(c[1]))[0]
+    while home.parent is not None and home.text < NEARLY_ALL * total:
+        home = home.parent
+    if home.tag in ("p", "li", "td", "th", "dd", "dt", "pre") or home.tag[:1] == "h" and home.tag[1:].isdigit():
+        home = home.parent or home
+    home = home.container or home
+    home.inside = True
+    for e in page.elements:
+        e.inside = e.inside or (e.parent is not None and e.parent.inside)
+    found = [b for b in blocks if b[0].inside]
     taken = [scores[e.path] >= line for e, _, _ in found]
     plain = [2 * linked < len(text) for _, text, linked in found]
     for order in (range(1, len(found)), range(len(found) - 2, -1, -1)):

@@ -106,6 +106,12 @@ BODY = [f"The main text goes on, and on, in part {i}; it has commas, stops and w
 PARAGRAPHS = "".join(f"<p>{b}</p>" for b in BODY)
 
 
+def test_body_outside_of_article_cards():
+    cards = "".join(f"<article class='card'><p>Teaser {i}, short.</p></article>" for i in range(3))
+    page = f"<body><div class='content'>{PARAGRAPHS}<p>Short end</p></div><div class='more'>{cards}</div></body>"
+    assert main_text(page) == "\n".join([*BODY, "Short end"])
+
+
 def test_paths_select_within_an_article_too():
     """The tag alone does not make a block content: lists of links in an article go, short paragraphs stay."""
     links = "".join(f"<li><a href='/{i}'>Another page {i}</a></li>" for i in range(5))
