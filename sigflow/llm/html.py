@@ -4,10 +4,18 @@ A page's text nodes are grouped by their root-to-leaf path of block tags
 (inline markup does not count). Per path, text length and punctuation per
 node are aggregated, discounted by the share of link text, smoothed over
 neighbouring nodes in page order, fused into one score and thresholded: paths
-above select content nodes. The smallest element with nearly all selected
-text is the home of the text (the article or main element around it, if there is one); within it, headings and short paragraphs that a ratio alone would lose
-are joined by the selected nodes next to them, blocks of links excepted. Elements whose tag, role, class or id says menu,
-header, footer, sidebar, notice, advert, form or reader comment never do.
+above select content nodes. That a path lies in an article or main element,
+or below an element whose class or id says menu, sidebar, notice, advert or
+reader comment, is one factor of the score each. The smallest element with
+nearly all selected text is the home of the text (the article or main element
+around it, if there is one); within it, headings and short paragraphs that a
+ratio alone would lose are joined by the selected nodes next to them, blocks of
+links excepted.
+
+Elements whose tag or role says menu, header, footer, form and the like are
+never content. Those with such a class or id go only if they hold neither an
+article nor a main element and a minor share of the page's text, which counts
+less where the name says nothing else: wrappers may carry any name.
 
 Pages are parsed one by one inside Arrow tasks; nothing is shuffled.
 
@@ -69,17 +77,22 @@ TAG_START = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ/!?")
 SPREAD = 1.0  # of the smoothing over neighbouring nodes
 NEARLY_ALL = 0.9
 IN_CONTAINER = 2.0  # factor of paths in an article or main element
+MARKED = 0.1  # factor of paths below a marked element, and of text below one whose name holds marks alone
 
 
 class Element:
-    """``container``: the outermost article or main element around it, itself included."""
+    """``container``: the outermost article or main element around it, itself included.
+    ``mark``: what its class or id says, 0 nothing, 1 among others not content, 2 that alone.
+    """
 
-    __slots__ = ("tag", "parent", "path", "dropped", "container", "text", "inside")
+    __slots__ = ("tag", "parent", "path", "dropped", "mark", "marked", "holds", "container", "text", "inside")
 
-    def __init__(self, tag: str, parent, path: int, dropped: bool):
-        self.tag, self.parent, self.path, self.dropped = tag, parent, path, dropped
+    def __init__(self, tag: str, parent, path: int, dropped: bool, mark: int = 0):
+        self.tag, self.parent, self.path, self.dropped, self.mark = tag, parent, path, dropped, mark
+        self.marked = mark > 0 or (parent is not None and parent.marked)
         above = parent.container if parent is not None else None
         self.container = above or (self if tag in CONTAINERS else None)
+        self.holds = False  # an article or main element below
         self.text = 0  # selected characters in it and below
         self.inside = False  # of the chosen element
 
@@ -111,10 +124,14 @@ class Page(HTMLParser):
             return not inside
         if tag in ("html", "body", *CONTAINERS):
             return False
-        if "hidden" in attrs or (attrs.get("role") or "").lower() in ROLES:
-            return True
-        words = set(re.split(r"[^a-z0-9]+", f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()))
-        return bool(words & MARKS) or (not inside and bool(words & HEADER_MARKS))
+        return "hidden" in attrs or (attrs.get("role") or "").lower() in ROLES
+
+    def _mark(self, tag: str, attrs: dict, top: Element) -> int:
+        if tag in ("html", "body", "header", *CONTAINERS):
+            return 0
+        words = set(re.split(r"[^a-z0-9]+", f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower())) - {""}
+        marks = words & (MARKS if top.container is not None else MARKS | HEADER_MARKS)
+        return 2 if marks and marks == words else int(bool(marks))
 
     def _pop_to(self, at: int) -> None:
         self._flush()
@@ -131,7 +148,8 @@ class Page(HTMLParser):
             return
         block = tag in BLOCK or tag in NEVER
         named = dict(attrs) if attrs else {}
-        if not block and not (named and self._unwanted(tag, named, self.stack[-1])):
+        top = self.stack[-1]
+        if not block and not (named and (self._unwanted(tag, named, top) or self._mark(tag, named, top))):
             return
         if tag == "hr":
             self._flush()
@@ -143,7 +161,7 @@ class Page(HTMLParser):
         label = f"{tag}.{named['class']}" if named.get("class") else tag
         path = self.paths.setdefault((top.path, label), len(self.paths) + 1)
         dropped = top.dropped or self._unwanted(tag, named, top)
-        self.stack.append(Element(tag, top, path, dropped))
+        self.stack.append(Element(tag, top, path, dropped, self._mark(tag, named, top) if named else 0))
         self.elements.append(self.stack[-1])
         self.open[tag] += 1
 
@@ -182,6 +200,24 @@ def add_up(elements: list[Element], blocks: list[tuple[Element, str, int]]) -> i
     return elements[0].text
 
 
+def without_marked(page: Page) -> list[tuple[Element, str, int]]:
+    """The page's blocks but those below marked elements of minor share."""
+    if not any(e.mark for e in page.elements):
+        return page.blocks
+    for e in reversed(page.elements):
+        if e.parent is not None and (e.holds or e.tag in CONTAINERS):
+            e.parent.holds = True
+    blocks = page.blocks
+    for mark, weight in ((2, MARKED), (1, 1.0)):  # the clear names first
+        total = add_up(page.elements, blocks)
+        for e in page.elements:
+            minor = e.mark == mark and not e.holds and weight * e.text < total - e.text
+            e.dropped = minor or (e.parent is not None and e.parent.dropped)
+        left = [b for b in blocks if not b[0].dropped]
+        blocks = left or blocks
+    return blocks
+
+
 def path_scores(blocks: list[tuple[Element, str, int]]) -> dict[int, float]:
     """Fused score per path: smoothed text and punctuation per node, less link text."""
     sums: dict[int, list[float]] = {}
@@ -209,7 +245,8 @@ def path_scores(blocks: list[tuple[Element, str, int]]) -> dict[int, float]:
 
     fused: dict[int, list[float]] = {}
     for (e, _, _), a, b in zip(blocks, smooth(raw), smooth(marks)):
-        fused.setdefault(e.path, []).append(a * b * (IN_CONTAINER if e.container is not None else 1.0))
+        feature = (IN_CONTAINER if e.container is not None else 1.0) * (MARKED if e.marked else 1.0)
+        fused.setdefault(e.path, []).append(a * b * feature)
     return {p: sum(v) / len(v) for p, v in fused.items()}
 
 
@@ -230,7 +267,7 @@ def main_text(html: str | None) -> str:
     page = Page()
     page.feed(whole_markup(html))
     page.finish()
-    blocks = page.blocks
+    blocks = without_marked(page)
     if not blocks:
         return ""
     scores = path_scores(blocks)

@@ -117,3 +117,22 @@ def test_paths_select_within_an_article_too():
     links = "".join(f"<li><a href='/{i}'>Another page {i}</a></li>" for i in range(5))
     page = f"<body><article><h1>Title</h1>{PARAGRAPHS}<h2>Part</h2><div><span>note</span></div><ul>{links}</ul></article></body>"
     assert main_text(page) == "\n".join(["Title", *BODY, "Part", "note"])
+
+
+@pytest.mark.parametrize(
+    "name", ["site right-sidebar", "has-sidebar", "no-sidebar", "with-nav", "social-science", "sidebar", "header", "widget"]
+)
+@pytest.mark.parametrize("shape", ["article", "div", "div-outside"])
+def test_names_of_wrappers(name, shape):
+    inner = f"<article>{PARAGRAPHS}</article>" if shape == "article" else PARAGRAPHS
+    aside = "<div class='sidebar'><p>Not this, ever.</p></div><p class='credit'>By us</p>"
+    page = {"div-outside": f"<div class='{name}'>{inner}</div>{aside}"}.get(shape, f"<div class='{name}'>{inner}{aside}</div>")
+    text = main_text(f"<html><body>{page}{BOILER[8]}</body></html>")
+    assert all(b in text.split("\n") for b in BODY) and "Not this" not in text
+
+
+def test_minor_marked_elements_go():
+    extra = "<div class='box right-sidebar'><p>Elsewhere, too, there is text. It is long, it is not content.</p></div>"
+    assert main_text(f"<body><div class='content'>{PARAGRAPHS}</div>{extra}</body>") == "\n".join(BODY)
+    related = f"<div class='related'><article><p>{BODY[0]}</p></article></div>"
+    assert main_text(f"<body><article>{PARAGRAPHS}</article>{related}</body>") == "\n".join(BODY)
