@@ -91,3 +91,23 @@ def test_empty_and_repeated(spark):
     assert urls.judge_urls(none, labels).count() == 0
     twice = spark.createDataFrame([(1, "http://a.net/x"), (1, "http://a.net/x"), (None, None)], "page_id long, url string")
     assert urls.judge_urls(twice, labels).count() == 3
+
+
+def test_sections_below_dates_are_told_apart(spark):
+    """Branches at the fourth level and below, paths that end on the way, and a very long one."""
+    rows, labels = [], []
+    for i in range(40):
+        day = f"http://h.net/2024/{i % 12 + 1:02}/{i % 28 + 1:02}"
+        for url, bad in ((f"{day}/casino/{i}/play", 1), (f"{day}/news/world/europe/{i}.html", 0), (f"{day}/news/world/{i}", 0), (day, 0)):
+            labels.append((len(rows), bad))
+            rows.append((len(rows), url))
+    more = ["http://h.net/2023/01/01/casino/7/play", "http://h.net/2023/01/01/news/world/europe/7.html", "http://h.net/2023/01/01",
+            "http://h.net/2023/01/01/news/world/7", "http://h.net/2023/01/01/news/" + "x/" * 300]
+    rows += [(1000 + i, u) for i, u in enumerate(more)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    out = {r.page_id: r for r in urls.judge_urls(pages, spark.createDataFrame(labels, "id long, bad int")).collect()}
+    assert len(out) == len(rows)
+    assert all(out[d].verdict == ("block" if bad else "allow") for d, bad in labels)
+    assert [out[1000 + i].verdict for i in range(5)] == ["block", *["allow"] * 4]
+    assert len({out[1000 + i].template for i in range(5)}) == 5
+    assert out[1000].template == out[0].template and "/casino" in out[0].template
