@@ -6,16 +6,17 @@ merged, the leftmost on ties, until none is left. With dropout each candidate
 merge is skipped when a keyed hash of (seed, variant, left piece, right
 piece, place in the word) falls below the rate: the same key always gives the
 same segmentation, another variant another one, and every one decodes to the
-same text.
+same text. The variant is a hash of (seed, document id, place of the word), so
+every occurrence of a word draws for each of its merges anew.
 
 No piece joins a blank to a symbol before it, so the stretches between blanks
 are encoded by themselves, runs of blanks included. Within a batch all
 distinct stretches run their agendas side by side as array operations, one
 merge each a round; a skipped candidate stays skipped as its key stays.
 
-The variant of a word is drawn from (seed, document id, place of the word)
-among ``variants`` many, so that repeated words are segmented differently
-without encoding each occurrence.
+Each distinct stretch is encoded once without dropout, and the merges it makes
+are kept. An occurrence that skips none of them has the same pieces, as merges
+left out that were not made change nothing; the others are encoded one by one.
 
 Defined results: null text encodes to null, empty text to no ids; repeated
 rows of one id get the same ids; an empty table gives an empty result;
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,6 @@ from sigflow.llm.common import column
 MARK = "▁"
 RATE = 0.1
 SEED = 17
-VARIANTS = 4
 CACHE_WORDS = 400_000
 # Words up to this many symbols share arrays by length in steps of eight; longer ones run one by one over a heap.
 WIDE = 64
@@ -127,17 +128,29 @@ def _dropped(m: Model, left, right, place, variant, seed: int, rate: float) -> n
     """Keyed decision for candidate merges."""
     if rate <= 0:
         return np.zeros(np.broadcast(left, right).shape, dtype=bool)
+    return _skipped(_merge_keys(m, left, right, place), variant, seed, rate)
+
+
+def _merge_keys(m: Model, left, right, place) -> np.ndarray:
+    """The part of a merge's key that its variant does not change."""
     u = K.U
     key = (np.asarray(left).astype(u) * u(m.size) + np.asarray(right).astype(u)) * u(0x9E3779B97F4A7C15)
-    key = K.mix(key + np.asarray(place).astype(u) * u(0xC2B2AE3D27D4EB4F))
-    key = K.mix(key ^ K.mix(np.asarray(variant).astype(u) * u(0x165667B19E3779F9) + u(seed & (1 << 64) - 1)))
+    return K.mix(key + np.asarray(place).astype(u) * u(0xC2B2AE3D27D4EB4F))
+
+
+def _skipped(keys: np.ndarray, variant, seed: int, rate: float) -> np.ndarray:
+    u = K.U
+    key = K.mix(keys ^ K.mix(np.asarray(variant).astype(u) * u(0x165667B19E3779F9) + u(seed & ONES)))
     return (key >> u(11)).astype(np.float64) < rate * float(1 << 53)
 
 
 def encode_words(
-    m: Model, words: list[str], variant: np.ndarray, seed: int, rate: float
+    m: Model, words: list[str], variant: np.ndarray, seed: int, rate: float, merges: list | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words under their variants, one word after another, and the number of each."""
+    """Ids of all words under their variants, one word after another, and the number of each.
+
+    ``merges`` gets arrays (number of the word, key) of the merges made.
+    """
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     step = np.where(sizes <= WIDE, (sizes + 3) // 4, -1)
     order, flat, counts = [], [], []
@@ -145,13 +158,21 @@ def encode_words(
         items = np.flatnonzero(step == k)
         order.append(items)
         if k < 0:
-            found = [_encode_long(m, words[i], int(variant[i]), seed, rate) for i in items.tolist()]
+            found = []
+            for i in items.tolist():
+                made = None if merges is None else []
+                found.append(_encode_long(m, words[i], int(variant[i]), seed, rate, made))
+                if made:
+                    merges.append((np.full(len(made), i), _merge_keys(m, *np.array(made, dtype=np.int64).T)))
             flat += found
             counts.append(np.array([len(x) for x in found], dtype=np.int64))
             continue
         for at in range(0, len(items), BLOCK_WORDS):
             part = items[at : at + BLOCK_WORDS]
-            ids, n = _encode_block(m, [words[i] for i in part.tolist()], variant[part], 4 * k, seed, rate)
+            made = None if merges is None else []
+            ids, n = _encode_block(m, [words[i] for i in part.tolist()], variant[part], 4 * k, seed, rate, made)
+            for rows, keys in made or ():
+                merges.append((part[rows], keys))
             flat.append(ids)
             counts.append(n)
     if not order:
@@ -169,8 +190,8 @@ def _mix(x: int) -> int:
     return x ^ (x >> 32)
 
 
-def _encode_long(m: Model, word: str, variant: int, seed: int, rate: float) -> np.ndarray:
-    """The same agenda over a heap, for one long word."""
+def _encode_long(m: Model, word: str, variant: int, seed: int, rate: float, merges: list | None = None) -> np.ndarray:
+    """The same agenda over a heap, for one long word; ``merges`` gets (left, right, place) of those made."""
     made_of = m.pairs()
     sym = [m.id_of.get(c, -1) for c in word]
     after, before = [*range(1, len(word)), -1], list(range(-1, len(word) - 1))
@@ -198,6 +219,8 @@ def _encode_long(m: Model, word: str, variant: int, seed: int, rate: float) -> n
         j = after[i]
         if sym[i] != left or j < 0 or sym[j] != right:
             continue  # a neighbour has changed meanwhile
+        if merges is not None:
+            merges.append((left, right, i))
         sym[i], sym[j], after[i] = made, -2, after[j]
         if after[j] >= 0:
             before[after[j]] = i
@@ -214,9 +237,9 @@ def _encode_long(m: Model, word: str, variant: int, seed: int, rate: float) -> n
 
 
 def _encode_block(
-    m: Model, words: list[str], variant: np.ndarray, width: int, seed: int, rate: float
+    m: Model, words: list[str], variant: np.ndarray, width: int, seed: int, rate: float, merges: list | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Words of at most ``width`` symbols, one merge each a round."""
+    """Words of at most ``width`` symbols, one merge each a round; ``merges`` gets (rows, keys) of those made."""
     n, far = len(words), np.iinfo(np.int32).max
     length = np.fromiter(map(len, words), dtype=np.int64, count=n)
     symbols = m.char_id[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")]
@@ -238,6 +261,8 @@ def _encode_block(
             at = at[: len(row)]
             if not len(row):
                 break
+        if merges is not None:
+            merges.append((row, _merge_keys(m, sym[at, best], sym[at, best + 1], place[at, best])))
         # the merged symbol replaces the pair and all behind it move up
         new = made[at, best]
         take = np.minimum(col[None, :] + (col[None, :] > best[:, None]), width)
@@ -279,8 +304,34 @@ def _candidates(m: Model, left, right, place, variant, seed: int, rate: float) -
     return made, cost
 
 
+class Rows:
+    """Arrays one after another in one that grows."""
+
+    def __init__(self, dtype):
+        self.flat = np.zeros(1 << 16, dtype=dtype)
+        self.offsets = np.zeros(1 << 16, dtype=np.int64)
+        self.known = 0
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        end, at = self.known + len(lengths), int(self.offsets[self.known])
+        if end + 1 > len(self.offsets):
+            self.offsets = np.concatenate((self.offsets, np.zeros(max(end, len(self.offsets)), dtype=np.int64)))
+        self.offsets[self.known + 1 : end + 1] = at + np.cumsum(lengths)
+        total = int(self.offsets[end])
+        if total > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros(max(total, len(self.flat)), dtype=self.flat.dtype)))
+        self.flat[at:total] = flat
+        self.known = end
+
+    def take(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows ``n`` one after another, and their lengths."""
+        start = self.offsets[n]
+        lengths = self.offsets[n + 1] - start
+        return self.flat[K.ranges(start, lengths)], lengths
+
+
 class WordCache(dict):
-    """Ids of (word, variant), encoded when first met, many at a time."""
+    """Ids of (word, variant) and the keys of the merges made, encoded when first met, many at a time."""
 
     def __init__(self, m: Model, seed: int, rate: float):
         super().__init__()
@@ -290,9 +341,15 @@ class WordCache(dict):
     def forget(self) -> None:
         self.clear()
         self.new: list[tuple[str, int]] = []
-        self.ids = np.zeros(1 << 16, dtype=np.int32)
-        self.offsets = np.zeros(1 << 16, dtype=np.int64)
-        self.known = 0
+        self.rows, self.merges = Rows(np.int32), Rows(K.U)
+
+    @property
+    def ids(self) -> np.ndarray:
+        return self.rows.flat
+
+    @property
+    def offsets(self) -> np.ndarray:
+        return self.rows.offsets
 
     def __missing__(self, key: tuple[str, int]) -> int:
         n = self[key] = len(self)
@@ -300,18 +357,45 @@ class WordCache(dict):
         return n
 
     def learn(self) -> None:
-        flat, lengths = encode_words(
-            self.m, [w for w, _ in self.new], np.array([v for _, v in self.new], dtype=np.int64), self.seed, self.rate
-        )
-        end, at = self.known + len(lengths), int(self.offsets[self.known])
-        if end + 1 > len(self.offsets):
-            self.offsets = np.concatenate((self.offsets, np.zeros(max(end, len(self.offsets)), dtype=np.int64)))
-        self.offsets[self.known + 1 : end + 1] = at + np.cumsum(lengths)
-        total = int(self.offsets[end])
-        if total > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros(max(total, len(self.ids)), dtype=np.int32)))
-        self.ids[at:total] = flat
-        self.known, self.new = end, []
+        made: list[tuple[np.ndarray, np.ndarray]] = []
+        variants = np.array([v for _, v in self.new], dtype=np.int64)
+        self.rows.add(*encode_words(self.m, [w for w, _ in self.new], variants, self.seed, self.rate, made))
+        word = np.concatenate([w for w, _ in made] or [np.zeros(0, dtype=np.int64)])
+        keys = np.concatenate([k for _, k in made] or [np.zeros(0, dtype=K.U)])
+        self.merges.add(keys[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(self.new)))
+        self.new = []
+
+
+def occurrences(doc_id: int | None, n: int, seed: int) -> np.ndarray:
+    """The variant of each of a document's ``n`` words."""
+    base = _mix(((doc_id or 0) * 0x9E3779B97F4A7C15 + seed) & ONES)
+    return K.mix(np.arange(n, dtype=K.U) * K.U(0xD6E8FEB86659FD93) + K.U(base))
+
+
+def encode_occurrences(
+    cache: WordCache, words: list[str], variant: np.ndarray, seed: int, rate: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`encode_words`, with the words' merges without dropout in ``cache``."""
+    numbers = np.fromiter((cache[w, 0] for w in words), dtype=np.int64, count=len(words))
+    if cache.new:
+        cache.learn()
+    flat, lengths = cache.rows.take(numbers)
+    if rate <= 0 or not len(words):
+        return flat, lengths
+    keys, made = cache.merges.take(numbers)
+    owner = np.repeat(np.arange(len(words)), made)
+    hit = np.zeros(len(words), dtype=bool)
+    hit[owner[_skipped(keys, variant[owner], seed, rate)]] = True
+    again = np.flatnonzero(hit)
+    if not len(again):
+        return flat, lengths
+    more, counts = encode_words(cache.m, [words[i] for i in again.tolist()], variant[again], seed, rate)
+    flat = flat[~np.repeat(hit, lengths)]
+    lengths[again] = counts
+    out = np.empty(int(lengths.sum()), dtype=np.int32)
+    anew = np.repeat(hit, lengths)
+    out[anew], out[~anew] = more, flat
+    return out, lengths
 
 
 def stretches(normal: str) -> list[str]:
@@ -354,13 +438,13 @@ class Decoder:
         return text[1:] if text.startswith(" ") else text
 
 
-def _encode_texts(path: str, seed: int, rate: float, variants: int, check: bool):
+def _encode_texts(path: str, seed: int, rate: float, check: bool):
     """mapInArrow body: (key long, ..., text) to the other columns, ``ids`` and with ``check`` ``lossless``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         decoder = Decoder(m)
-        cache = _caches.setdefault((path, seed, rate), WordCache(m, seed, rate))
+        cache = _caches.setdefault((path,), WordCache(m, 0, 0.0))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -368,27 +452,11 @@ def _encode_texts(path: str, seed: int, rate: float, variants: int, check: bool)
                 keys = part.column(0).to_pylist()
                 if len(cache) > CACHE_WORDS:
                     cache.forget()
-                numbers = []
-                for key, text in zip(keys, texts):
-                    if text is None:
-                        numbers.append(None)
-                        continue
-                    words = stretches(m.sp.normalize(text)) if text else []
-                    if variants > 1 and rate > 0:
-                        base = K.U(((key or 0) * 0x9E3779B97F4A7C15 + seed) & ((1 << 64) - 1))
-                        v = (K.mix(np.arange(len(words), dtype=K.U) + base) % K.U(variants)).tolist()
-                    else:
-                        v = [0] * len(words)
-                    numbers.append(np.fromiter(map(cache.__getitem__, zip(words, v)), dtype=np.int64, count=len(words)))
-                if cache.new:
-                    cache.learn()
-                out = []
-                for n in numbers:
-                    if n is None:
-                        out.append(None)
-                        continue
-                    start = cache.offsets[n]
-                    out.append(cache.ids[K.ranges(start, cache.offsets[n + 1] - start)])
+                parts = [stretches(m.sp.normalize(text)) if text else [] for text in texts]
+                variant = [occurrences(key, len(words), seed) for key, words in zip(keys, parts)]
+                flat, lengths = encode_occurrences(cache, list(chain.from_iterable(parts)), np.concatenate(variant), seed, rate)
+                ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum([len(words) for words in parts])]
+                out = [None if t is None else ids for t, ids in zip(texts, np.split(flat, ends[:-1]))]
                 columns, names = [*part.columns[:-1], pa.array(out, pa.list_(pa.int32()))], [*part.schema.names[:-1], "ids"]
                 if check:
                     same = [None if x is None else decoder.text(x.tolist()) == t for x, t in zip(out, texts)]
@@ -401,14 +469,14 @@ def _encode_texts(path: str, seed: int, rate: float, variants: int, check: bool)
 
 def encode(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", rate: float = RATE, seed: int = SEED,
-    variants: int = VARIANTS, check: bool = False,
+    check: bool = False,
 ) -> DataFrame:
     """Columns doc_id (long), ids (array<int>) and, with ``check``, whether the ids decode to the text."""
     slim = docs.select(
         column(docs, id_col).cast("long").alias("doc_id"), column(docs, text_col).cast("string").alias("text")
     )
     schema = "doc_id long, ids array<int>" + ", lossless boolean" * check
-    return slim.mapInArrow(_encode_texts(path, seed, rate, variants, check), schema)
+    return slim.mapInArrow(_encode_texts(path, seed, rate, check), schema)
 
 
 def _decode_ids(path: str):

@@ -123,3 +123,31 @@ def test_empty_table_null_ids_and_repeats(spark, empty, path):
     rows = pieces.encode(df, path, check=True).collect()
     assert sorted((str(r.doc_id), str(r.lossless)) for r in rows) == [("3", "True"), ("3", "True"), ("4", "None"), ("None", "True")]
     assert len({tuple(r.ids) for r in rows if r.doc_id == 3}) == 1
+
+
+def test_every_occurrence_draws_its_merges_anew(path):
+    """Over many occurrences each merge is skipped at the rate, and results are those of the plain encoding."""
+    m = pieces.model(path)
+    text, rate, n = "▁responsibilities", 0.1, 4000
+    cache = pieces.WordCache(m, 0, 0.0)
+    words = [text, "▁of", "▁" + "ab" * 50] * n
+    variant = np.concatenate([pieces.occurrences(d, 30, 5) for d in range(len(words) // 30)])
+    flat, lengths = pieces.encode_occurrences(cache, words, variant, 5, rate)
+    some = slice(0, 600)
+    want, counts = pieces.encode_words(m, words[some], variant[some], 5, rate)
+    assert lengths[some].tolist() == counts.tolist() and flat[: len(want)].tolist() == want.tolist()
+    ids = np.split(flat, np.cumsum(lengths)[:-1])
+    assert len({tuple(x.tolist()) for x in ids[::3]}) > 20
+    keys = cache.merges.take(np.array([cache[text, 0]]))[0]
+    assert len(keys) > 3
+    for key in keys:
+        share = pieces._skipped(np.full(n, key), variant[::3], 5, rate).mean()
+        assert abs(share - rate) < 0.03
+    short = np.mean([len(x) > 1 for x in ids[1::3]])  # a skipped merge may be made up for by others
+    merges = len(cache.merges.take(np.array([cache["▁of", 0]]))[0])
+    assert 0 < short < 1 - (1 - rate) ** merges + 0.03
+
+
+def test_documents_draw_apart(spark, path):
+    df = spark.createDataFrame([(i, "international responsibilities of organisations") for i in range(300)], "doc_id long, text string")
+    assert len({tuple(r.ids) for r in pieces.encode(df, path).collect()}) > 60
