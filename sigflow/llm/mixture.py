@@ -7,7 +7,8 @@ window as credit; the source with the largest credit is served, at least
 or has drawn ahead stays as its deficit for the next windows. A partition
 starts with the deficits the partitions before it leave behind: those follow
 from the token counts per partition and source, so all partitions can run at
-once.
+once. Every source of a partition has a queue there; its share and first
+deficit come as rows sorted before the partition's documents.
 
 Every token lies in exactly one piece, and windows are full. The last tokens
 of a partition fill windows whose lengths are powers of two, so nothing is
@@ -28,6 +29,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sigflow.llm.common import column, shuffle_width
@@ -37,8 +39,6 @@ from sigflow.session import ensure_checkpoint_dir
 LENGTH = 2048
 PIECE = 128
 END_ID = 1
-# Sources with a queue of their own: the largest ones; all further sources share one queue.
-QUEUES = 256
 # Tokens queued in a task before windows are made, and at which it stops making them.
 FULL, LOW = 4_000_000, 2_000_000
 # Sequence numbers: partition above, number in the partition below.
@@ -107,12 +107,14 @@ def _powers_of_two(n: int) -> Iterator[int]:
         n -= 1 << (n.bit_length() - 1)
 
 
-def _pack(shares: np.ndarray, owed: dict[int, np.ndarray], length: int, piece: int, dtype: str, with_ids: bool):
-    """mapInArrow body over (part, doc_id, queue, n, ids) rows of one partition."""
+def _pack(length: int, piece: int, dtype: str, with_ids: bool):
+    """mapInArrow body over (part, doc_id, source, share, owed, ids) rows of one or more
+    partitions; the rows without ids, the sources of a partition, come before its documents."""
     columns = ["sequence_id", "length", "pieces"] + ["ids"] * with_ids
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        robin, part_id, made = None, 0, 0
+        robin, part_id, made = None, None, 0
+        sources: dict[str | None, tuple[int, float, float]] = {}  # queue number, share, deficit
 
         def emit(lengths: Iterable[int]) -> Iterator[pa.RecordBatch]:
             nonlocal made
@@ -137,19 +139,26 @@ def _pack(shares: np.ndarray, owed: dict[int, np.ndarray], length: int, piece: i
             types = [pa.int64(), pa.int64(), _PIECES, pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=columns)
 
+        def rest() -> Iterator[pa.RecordBatch]:
+            if robin is not None:
+                left = robin.tokens
+                yield from emit(length for _ in range(left // length))
+                yield from emit(_powers_of_two(left % length))
+
         for batch in batches:
-            parts, docs, queues, _, ids = (c.to_pylist() for c in batch.columns)
-            for p, d, q, data in zip(parts, docs, queues, ids):
+            for p, d, source, share, owed, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if p != part_id:
+                    yield from rest()
+                    robin, part_id, made, sources = None, p, 0, {}
+                if data is None:
+                    sources[source] = (len(sources), share, owed)
+                    continue
                 if robin is None:
-                    part_id = p
-                    robin = RoundRobin(shares, owed.get(p, np.zeros(len(shares))), length, piece)
-                robin.queues[q].add(d, np.frombuffer(data, dtype=dtype))
+                    robin = RoundRobin(*np.array([x[1:] for x in sources.values()]).T, length, piece)
+                robin.queues[sources[source][0]].add(d, np.frombuffer(data, dtype=dtype))
             if robin is not None and robin.tokens > FULL:
                 yield from emit(length for _ in range((robin.tokens - LOW) // length))
-        if robin is not None:
-            left = robin.tokens
-            yield from emit(length for _ in range(left // length))
-            yield from emit(_powers_of_two(left % length))
+        yield from rest()
 
     return run
 
@@ -183,31 +192,52 @@ def pack_mixture(
     )
     tokens = slim.mapInArrow(tokenize(tokenizer, end_id), "doc_id long, source string, n long, ids binary")
     # by content as well as id: rows without an id, or sharing one, spread too
-    spread = tokens.repartition(width, F.xxhash64("doc_id", "ids")).withColumn("part", F.spark_partition_id())
-    spread = spread.select("part", "doc_id", "source", "n", "ids").checkpoint()
-
-    # The largest sources have a queue each, so this table holds at most QUEUES + 1 columns per partition.
-    known = spread.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "source").limit(QUEUES).collect()
-    names = [r.source for r in known]
-    queue = F.when(F.lit(False), -1)
-    for k, name in enumerate(names):
-        queue = queue.when(F.col("source").eqNullSafe(F.lit(name)), k)
-    queued = spread.withColumn("queue", queue.otherwise(len(names)).cast("int"))
-    counts = queued.groupBy("part", "queue").agg(F.sum("n").alias("n")).collect()
-    table = np.zeros((max((r.part for r in counts), default=0) + 1, len(names) + 1))
-    for r in counts:
-        table[r.part, r.queue] = r.n
-    total = table.sum()
-    shares = table.sum(axis=0) / total if total else np.zeros(len(names) + 1)
-    if mixture is not None:
-        weights = np.array([*(mixture.get(n, 0.0) for n in names), 0.0])
-        shares = weights / weights.sum() if weights.sum() else shares
-    owed_before = np.cumsum(table.sum(axis=1, keepdims=True) * shares - table, axis=0)
-    owed = {p + 1: owed_before[p] for p in range(len(table))}
-
+    key = F.xxhash64("doc_id", "ids")
+    spread = tokens.withColumns({"key": key, "part": F.pmod(key, F.lit(width)).cast("int")}).checkpoint()
+    stats = source_deficits(spread, width, mixture)
+
+    # shares and deficits first, then the documents in the order of their hash
+    names = ["part", "doc_id", "source", "share", "owed", "ids"]
+    none = F.lit(None)
+    heads = stats.select(
+        "part", none.cast("long").alias("doc_id"), "source", "share", "owed", none.cast("binary").alias("ids"),
+        F.lit(0).alias("kind"), F.lit(0).cast("long").alias("key"),
+    )
+    rows = spread.select(
+        "part", "doc_id", "source", none.cast("double").alias("share"), none.cast("double").alias("owed"), "ids",
+        F.lit(1).alias("kind"), "key",
+    )
+    placed = heads.unionByName(rows).repartitionById(width, "part").sortWithinPartitions("part", "kind", "key", "doc_id")
     schema = f"sequence_id long, length long, pieces {PIECES}" + ", ids binary" * with_ids
-    return queued.select("part", "doc_id", "queue", "n", "ids").mapInArrow(
-        _pack(shares, owed, length, piece, dtype, with_ids), schema
+    return placed.select(*names).mapInArrow(_pack(length, piece, dtype, with_ids), schema)
+
+
+def source_deficits(spread: DataFrame, width: int, mixture: dict[str, float] | None) -> DataFrame:
+    """(part, source, share, owed) of every source in every partition: its share of a
+    window, and what the partitions before leave it owing. ``spread`` has part, source and n."""
+    spark = spread.sparkSession
+    counts = spread.groupBy("part", "source").agg(F.sum("n").alias("n")).checkpoint()
+    before, total = [], 0  # tokens of the partitions before: ``width`` numbers
+    by_part = {r.part: r.n for r in counts.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    for p in range(width):
+        before.append(total)
+        total += by_part.get(p, 0)
+    shares = counts.groupBy("source").agg((F.sum("n") / F.lit(float(max(total, 1)))).alias("share"))
+    if mixture:
+        given = spark.createDataFrame(
+            [(k, float(v)) for k, v in mixture.items()], "name string, weight double"
+        )
+        weighed = shares.join(given, F.col("source").eqNullSafe(F.col("name")), "left")
+        weights = weighed.agg(F.sum("weight").alias("w")).first().w
+        if weights:
+            shares = weighed.select("source", (F.coalesce("weight", F.lit(0.0)) / F.lit(weights)).alias("share"))
+    # at most ``width`` rows of a source
+    earlier = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    served = counts.withColumn("served", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    shares = shares.withColumnRenamed("source", "of")
+    tokens = F.get(F.array(*(F.lit(float(x)) for x in before)), F.col("part"))
+    return served.join(shares, F.col("source").eqNullSafe(F.col("of"))).select(
+        "part", "source", "share", (tokens * F.col("share") - F.col("served")).alias("owed")
     )
 
 

@@ -174,3 +174,49 @@ def test_empty_and_null(spark, empty, path):
     assert sorted((str(p.doc_id), p.doc_tokens) for p in pieces) == [("1", 1), ("1", 1), ("None", 1), ("None", 2)]
     rows = bestfit.pack_best_fit(df, path).collect()
     assert sorted(str(d) for r in rows for d in r.doc_ids) == ["1", "1", "None", "None"]
+
+
+def test_every_source_has_its_queue(spark, path):
+    """300 sources: a given mixture that names a small one leads, and without one all are mixed in."""
+    rng = random.Random(6)
+    rows = [(0, "alpha beta " * 400, "big")]
+    rows += [(i, " ".join(rng.choices(["alpha", "beta", "gamma"], k=100)), f"s{i % 300:03}") for i in range(1, 3001)]
+    rows += [(5000 + i, "delta " * 60, "tiny") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    source = {i: s for i, _, s in rows}
+    with conf_override(spark, {"spark.sql.shuffle.partitions": "1"}):
+        given = mixture.pack_mixture(df, path, mixture={"tiny": 0.5, "big": 0.5, "absent": 9.0}, length=1024).collect()
+        plain = mixture.pack_mixture(df, path, length=4096, piece=8).collect()
+    # nothing but what the mixture names until one of the two is used up
+    for r in sorted(given, key=lambda r: r.sequence_id)[:1]:
+        mine = {}
+        for p in r.pieces:
+            mine[source[p.doc_id]] = mine.get(source[p.doc_id], 0) + p.length
+        assert set(mine) == {"tiny", "big"} and abs(mine["tiny"] - mine["big"]) <= mixture.PIECE
+    tokens = {}
+    for r in plain:
+        for p in r.pieces:
+            tokens[source[p.doc_id]] = tokens.get(source[p.doc_id], 0) + p.length
+    assert len(tokens) == 302
+    # each source lies in its windows evenly: what it has had so far never strays far from its share
+    total = sum(tokens.values())
+    full = [r for r in sorted(plain, key=lambda r: r.sequence_id) if r.length == 4096]
+    had, seen = dict.fromkeys(tokens, 0), 0
+    for r in full[: len(full) * 3 // 4]:
+        seen += r.length
+        for p in r.pieces:
+            had[source[p.doc_id]] += p.length
+        assert max(abs(had[s] - seen * tokens[s] / total) for s in tokens) < 400
+
+
+def test_deficits_of_a_partition(spark):
+    rows = [(p, s, n) for p, s, n in [(0, "a", 30), (0, "b", 10), (1, "b", 20), (3, "a", 5), (3, None, 35), (3, "b", 0)]]
+    spread = spark.createDataFrame(rows, "part int, source string, n long")
+    got = {(r.part, r.source): (r.share, r.owed) for r in mixture.source_deficits(spread, 4, None).collect()}
+    total, part = 100, {0: 0, 1: 40, 3: 60}
+    of = {"a": 35, "b": 30, None: 35}
+    for p, s, _ in rows:
+        served = sum(n for q, x, n in rows if x == s and q < p)
+        assert got[p, s] == pytest.approx((of[s] / total, part[p] * of[s] / total - served))
+    got = {(r.part, r.source): r.share for r in mixture.source_deficits(spread, 4, {None: 3.0, "b": 1.0, "z": 7.0}).collect()}
+    assert got[3, None] == 0.75 and got[0, "b"] == 0.25 and got[0, "a"] == 0
