@@ -4,8 +4,8 @@ Every stage works on all documents that the one before it kept. All but the
 last return the columns of ``documents``; ``n_chars`` follows the text.
 
 Defined results for awkward rows are those of the operators: null and blank
-texts fail the quality rules; of repeated rows one stays; rows without an id
-stay as they are; an empty table gives no sequences; further columns pass
+texts fail the quality rules; of repeated rows one stays, rows without an id
+included; an empty table gives no sequences; further columns pass
 through all stages but the last.
 """
 

@@ -43,11 +43,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sigflow.llm import kernels as K
-from sigflow.llm.common import column, free_name, quoted, shuffle_width
+from sigflow.llm.common import column, free_name, shuffle_width
 from sigflow.llm.graph import components
 from sigflow.session import ensure_checkpoint_dir
 
@@ -515,12 +514,21 @@ def _across(placed, entries, sets, links, num: int, den: int, group: int) -> Dat
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of ``docs`` for every component, the one with its smallest id; rows without an id all stay."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    keep = free_name(docs, "keep")
-    ids = found.filter("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
-    mine = column(docs, id_col)
-    best = W.partitionBy(quoted(id_col)).orderBy(quoted(text_col))  # the join has partitioned by id already
-    kept = docs.filter(mine.isNotNull()).join(ids, mine == ids[keep], "left_semi")
-    kept = kept.withColumn(keep, F.row_number().over(best)).filter(F.col(keep) == 1).drop(keep)
-    return kept.unionByName(docs.filter(mine.isNull()))
+    """One row of ``docs`` for every component, the one with its smallest id.
+
+    Rows are judged by their own text, whatever id they share or lack; a row without an id stays only if its
+    component has no id. Blank texts are alone, of equal ones with the same id one stays.
+    """
+    row = free_name(docs, "row")
+    ensure_checkpoint_dir(docs.sparkSession)
+    rows = docs.withColumn(row, F.monotonically_increasing_id()).checkpoint()  # the numbers stay as they are
+    found = near_duplicates(rows, row, text_col, **options)
+    mine = rows.select(column(rows, row).alias("doc_id"), column(rows, id_col).alias("id"), F.xxhash64(column(rows, text_col)).alias("h"))
+    blank = F.col("n_shingles") == 0
+    judged = found.join(mine, "doc_id").select(
+        "id", "h", F.col("doc_id").alias("at"), F.when(~blank, F.col("component_id")).alias("c"),
+        F.when(blank, F.struct("id", "h")).alias("b"),
+    )
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "at"))["at"]
+    keep = judged.groupBy("c", "b").agg(first.alias("at")).select("at")
+    return rows.join(keep, column(rows, row) == keep["at"], "left_semi").drop(row)

@@ -106,6 +106,19 @@ def test_one_of_each(docs):
     assert sorted(r.doc_id for r in out.collect()) == want
 
 
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    b, c, d = ("z" + a.replace("a", x) for x in "bcd")
+    near = lambda t: t + " more"
+    rows = [(1, a), (2, near(a)), (2, b), (3, near(b)), (3, c), (3, c), (None, near(c)), (None, d), (None, near(d)), (None, d),
+            (4, " "), (4, " "), (5, None), (2, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(df).collect()), key=str)
+    of_d = [t for i, t in got if i is None]
+    assert len(of_d) == 1 and of_d[0] in (d, near(d))
+    assert got == sorted([(1, a), (2, b), (3, c), (None, of_d[0]), (4, " "), (5, None), (2, " ")], key=str)
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     n = 300
     order = list(range(1, n))
