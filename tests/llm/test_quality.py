@@ -80,3 +80,9 @@ def test_given_documents_keep_prose(spark):
         junk = out[r.doc_id].n_symbols > 0.1 * out[r.doc_id].n_words
         if not out[r.doc_id].base_failed:
             assert out[r.doc_id].kept == (not junk)
+
+
+def test_a_very_long_clean_text_is_kept(spark):
+    text = " ".join(f"the w{i}" for i in range(500_100))
+    df = spark.createDataFrame([(1, text), (2, "* # " * 100)], "doc_id long, text string")
+    assert [r.doc_id for r in keep_good(df).select("doc_id").collect()] == [1]
