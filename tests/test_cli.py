@@ -1,6 +1,6 @@
 """The four stages end to end through the command line."""
 
-from conftest import SF_SMALL
+from locations import SF_SMALL
 from sigflow.cli import main
 from sigflow.sources.tables import events_as_raw, load_table
 
@@ -31,7 +31,7 @@ def test_module_entry_point(scratch):
     import subprocess
     import sys
 
-    from conftest import ROOT
+    from locations import ROOT
 
     env = dict(os.environ, PYTHONPATH=ROOT)
     ok = subprocess.run([sys.executable, "-m", "sigflow", "--help"], cwd=ROOT, env=env,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from conftest import SF_ORACLE, SF_SMALL
+from locations import SF_ORACLE, SF_SMALL
 from sigflow.operators import ml
 from sigflow.plans import modeling
 from sigflow.sources.tables import events_as_readings, lineitem_regression_frame, load_table

@@ -6,7 +6,7 @@ import sys
 
 import pytest
 
-from conftest import ROOT, SF_ORACLE
+from locations import ROOT, SF_ORACLE
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as entry  # noqa: E402

@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from locations import SF_SMALL
 from sigflow.operators.text import route_intent
 from sigflow.plans import catalog
 from sigflow.plans.analysis import hourly_report

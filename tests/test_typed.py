@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_ORACLE
+from locations import SF_ORACLE
 from sigflow.operators.aggregate import avg_signals_hourly
 from sigflow.operators.quality import dedup_latest
 from sigflow.operators.shape import with_typed_signals
