@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 from test_jaccard import brute as brute_components
-from test_quality import measures
+from test_quality_rules import measures
 from test_repeats import brute_words
 
 import corpus_pipeline
