@@ -16,6 +16,7 @@ from sigflow.llm.knn import exact_top_k
 from sigflow.llm.mixture import pack_mixture, piece_rows
 from sigflow.llm.pieces import decode, encode
 from sigflow.llm.quality import quality_report
+from sigflow.llm.runs import periodic_runs
 from sigflow.llm.substring import repeated_words
 from sigflow.llm.suffixes import repeated_bytes
 from sigflow.llm.urls import judge_urls
@@ -96,6 +97,22 @@ def op10_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_rows(pack_mixture(docs, tokenizer_path(WORD_MODEL), with_ids=False))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document: their number, the longest, digests of all of them and of the words left."""
+    found = periodic_runs(load(spark, sf_dir, "documents"), planted=True)
+    # the longest run, then the smallest start, then the smallest period
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r.start, r.length, r.period))
+    out = found.withColumns({"longest": longest, "lines": F.array_join(lines, "")})
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.floor(F.lit(1000) * F.col("longest.length") / -F.col("longest.period")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -107,6 +124,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixture_packing": op10_mixture_packing,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_url_filter": oracle.URLS,
