@@ -19,6 +19,7 @@ from sigflow.llm.quality import quality_report
 from sigflow.llm.runs import periodic_runs
 from sigflow.llm.substring import repeated_words
 from sigflow.llm.suffixes import repeated_bytes
+from sigflow.llm.trie import conversation_paths, prefix_trie, share_openings
 from sigflow.llm.urls import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +98,12 @@ def op10_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_rows(pack_mixture(docs, tokenizer_path(WORD_MODEL), with_ids=False))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, their openings shared within each hundred."""
+    paths = conversation_paths(load(spark, sf_dir, "conversations"))
+    return prefix_trie(share_openings(paths, every=100, most=6))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document: their number, the longest, digests of all of them and of the words left."""
     found = periodic_runs(load(spark, sf_dir, "documents"), planted=True)
@@ -124,10 +131,12 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixture_packing": op10_mixture_packing,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_url_filter": oracle.URLS,
     "op7_voronoi_knn": oracle.NEAREST,
     "op6_quality_rules": oracle.QUALITY,
+    "op12_prefix_trie": oracle.TRIE,
 }

