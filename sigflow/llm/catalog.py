@@ -19,6 +19,7 @@ from sigflow.llm.quality import quality_report
 from sigflow.llm.runs import periodic_runs
 from sigflow.llm.substring import repeated_words
 from sigflow.llm.suffixes import repeated_bytes
+from sigflow.llm.toxicity import fit_lexicon, score_toxicity
 from sigflow.llm.trie import conversation_paths, prefix_trie, share_openings
 from sigflow.llm.urls import judge_urls
 
@@ -98,6 +99,15 @@ def op10_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_rows(pack_mixture(docs, tokenizer_path(WORD_MODEL), with_ids=False))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a lexicon learned from the labels of four fifths of the ids."""
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    scored = score_toxicity(docs, fit_lexicon(docs, labels.filter(~held_out)))
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted, "n_hits", "n_words")
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of all conversations, their openings shared within each hundred."""
     paths = conversation_paths(load(spark, sf_dir, "conversations"))
@@ -131,6 +141,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixture_packing": op10_mixture_packing,
+    "op11_toxicity": op11_toxicity,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }

@@ -1,0 +1,138 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sigflow.llm.catalog import op11_toxicity
+from sigflow.llm.toxicity import (
+    SURE, Lexicon, _fit_curve, choose_entries, fit_lexicon, fold, matches, pieces_of, score_toxicity, sureness,
+)
+
+
+@pytest.mark.parametrize("text, want", [
+    (None, " "), ("", " "), (" \n\t", " "), ("You IDIOT!", " you idiot "), ("1d10t", " idiot "), ("an id!ot's", " an idiot s "),
+    ("іdіоt", " idiot "), ("ｉｄｉｏｔ", " idiot "), ("id​io­t", " idiot "),
+    ("i.d.i.o.t", " idiot "), ("idiiiiot", " idiot "), ("stupid$$$ to%%%", " stupid to "), ("l0ser 2024 x2", " loser x "),
+    ("réeux ß", " réeux ß "), ("ét", " ét "), ("i̶d̶iot", " idiot "), ("a-b", " a b "), ("one...two", " one two "),
+])
+def test_fold(text, want):
+    assert fold(text) == want
+
+
+def plain_matches(weights, exceptions, folded):
+    """Every place of every entry, word by word, without an automaton."""
+    spans = [(a, a + len(p) - 1) for p in exceptions for a in range(len(folded)) if folded.startswith(p, a)]
+    best = {}
+    for entry, weight in weights.items():
+        for a in range(len(folded)):
+            if folded.startswith(entry, a) and entry not in exceptions:
+                word = folded.rfind(" ", 0, a + 1)
+                best[word] = max(best.get(word, 0.0), weight)
+    return {w: x for w, x in best.items() if not any(a <= w < b for a, b in spans)}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("ab ", min_size=1, max_size=4), min_size=1, max_size=5), st.lists(st.text("ab", min_size=1, max_size=3), max_size=3), st.text("ab ", max_size=60))
+def test_matches_are_those_of_a_plain_search(entries, phrases, text):
+    weights = {e if e.strip() else " a ": 1.0 + k for k, e in enumerate(entries)}
+    exceptions = tuple(f" {p} " for p in phrases)
+    folded = fold(text.replace("aaa", "a").replace("bbb", "b"))
+    lexicon = Lexicon(weights, exceptions)
+    assert matches(lexicon.automaton(), folded) == plain_matches(weights, exceptions, folded)
+
+
+def test_entries_cover_each_other():
+    words = [("lowei" + x, 9, 0) for x in "abcdefghk"] + [("idiot", 40, 0), ("the", 300, 2900), ("lowe", 0, 40)]
+    counts = {}
+    for w, t, c in words:
+        for p in pieces_of(w):
+            a, b = counts.get(p, (0, 0))
+            counts[p] = (a + t, b + c)
+    toxic, clean = 500, 5000
+    pieces = [(p, t, c) for p, (t, c) in counts.items() if sureness(t, c, toxic / (toxic + clean)) >= SURE]
+    chosen = choose_entries(pieces, [w for w in words if w[1]], toxic, clean)
+    assert set(chosen) == {" lowei", " idiot "}
+    assert pieces_of("x" * 200) == {" " + "x" * 200 + " "}
+
+
+def test_curve_separates_and_stays_monotonous():
+    rng = np.random.default_rng(1)
+    weight = np.concatenate((np.zeros(300), rng.uniform(3, 40, 60)))
+    x = np.stack((np.ones(360), np.log1p(weight), -np.log1p(weight)), axis=1)
+    b = _fit_curve(x, (weight > 0).astype(float), np.ones(360))
+    p = 1 / (1 + np.exp(-x @ b))
+    assert (b[1:] >= 0).all() and p[:300].max() < 0.2 < 0.8 < p[300:].min()
+
+
+def corpus(n=400, seed=1):
+    """Toxic documents hold a disguised or inflected insult, a few clean ones a harmless name like it."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices("aeiounrstl", k=rng.randint(2, 7))) for _ in range(300)]
+    docs, labels = [], []
+    for i in range(n):
+        words = rng.choices(vocabulary, k=rng.randint(10, 200))
+        toxic = i % 4 == 0
+        for _ in range(rng.randint(2, 4) if toxic else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(["klutz", "KLUTZ!!", "k1utz", "klutzes", "Klutzy", "ｋlutz"]).replace("1", "l"))
+        if i % 24 == 1:
+            words.insert(rng.randrange(len(words)), "klutzberg")
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return docs, labels
+
+
+def test_fit_and_score(spark):
+    docs, labels = corpus()
+    df = spark.createDataFrame(docs + [(None, None), (900, ""), (901, "klutz"), (901, "klutz")], "doc_id long, text string")
+    given = spark.createDataFrame([x for x in labels if x[0] % 5] + [(None, 1), (3, None), (7777, 1)], "doc_id long, toxic int")
+    lexicon = fit_lexicon(df, given)
+    assert any("klutz" in e for e in lexicon.weights)
+    assert " klutzberg " in lexicon.exceptions
+    rows = score_toxicity(df, lexicon).collect()
+    truth = dict(labels)
+    assert len(rows) == len(docs) + 4
+    assert all((r.score >= 0.5) == bool(truth[r.doc_id]) for r in rows if r.doc_id in truth)
+    assert all(0 <= r.score <= 1 for r in rows)
+    low = {r.score for r in rows if r.doc_id in (None, 900)}
+    assert len(low) == 1 and low.pop() < 0.5
+    assert [r.score > 0.5 for r in rows if r.doc_id == 901] == [True, True]
+    again = fit_lexicon(df.repartition(7), given, exceptions=("Klutz of the year",))
+    assert again.weights == lexicon.weights
+    assert " klutz of the year " in again.exceptions
+
+
+def test_one_label_or_none(spark):
+    docs = spark.createDataFrame(corpus(20)[0], "doc_id long, text string")
+    for labels, want in (([], 0.0), ([(1, 0)], 0.0), ([(1, 1)], 1.0)):
+        given = spark.createDataFrame(labels, "doc_id long, toxic int")
+        assert {r.score for r in score_toxicity(docs, fit_lexicon(docs, given)).collect()} == {want}
+    # labels of documents that aren't there
+    given = spark.createDataFrame([(-1, 0), (-2, 1), (-3, 0), (-4, 0)], "doc_id long, toxic int")
+    assert {r.score < 0.5 for r in score_toxicity(docs, fit_lexicon(docs, given)).collect()} == {True}
+    given = spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
+    assert len(score_toxicity(docs, fit_lexicon(docs, given)).collect()) == 20
+
+
+def test_empty_and_clashing_columns(spark, docs, empty):
+    lexicon = Lexicon({" x ": 3.0}, (), (-2.0, 1.0, 1.0))
+    assert score_toxicity(empty, lexicon).collect() == []
+    more = docs.withColumnRenamed("lang", "score").withColumnRenamed("row", "folded").withColumnRenamed("kept", "n_words")
+    key = lambda rows: sorted(map(tuple, rows), key=str)
+    assert key(score_toxicity(more, lexicon).collect()) == key(score_toxicity(docs, lexicon).collect())
+    labels = spark.createDataFrame([(i, i % 2, "z") for i in range(40)], "doc_id long, toxic int, text string")
+    fit_lexicon(more, labels)
+
+
+def test_query_on_held_out_documents(spark):
+    out = op11_toxicity(spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
+    rows = out.join(labels, "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    held = [r for r in rows if r.held_out]
+    toxic, clean = [r for r in held if r.toxic == 1], [r for r in held if r.toxic == 0]
+    assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic) > 0
+    assert sum(r.predicted for r in clean) <= 0.01 * len(clean)
+    assert out.count() == spark.read.parquet("/root/testdata/sf0.1/documents.parquet").count()
