@@ -20,22 +20,23 @@ from sigflow.functions.signals import flatten_signals
 from sigflow.operators.quality import dedup_latest
 from sigflow.operators.shape import pack_messages
 from sigflow.plans.analysis import hourly_report
-from sigflow.schemas import READINGS_SCHEMA
-from sigflow.session import checkpoint_root, conf_override, drop_folder, state_partitions
+from sigflow.schemas import READINGS_SCHEMA, SIGNAL_KEYS
+from sigflow.session import checkpoint_root, drop_folder
+from sigflow.sources.generations import read_table
 from sigflow.sources.lake import read_lake, write_lake
 from sigflow.sources.tables import events_as_raw, events_as_readings, load_table, replayed_readings
+from sigflow.streaming.arrivals import start_first_arrivals
 from sigflow.streaming.control import run_to_completion
 from sigflow.streaming.ingest import start_consume, start_consume_fanout, start_publish_csv
-from sigflow.streaming.sinks import batch_folder_writer, start_foreach_batch, start_lake_sink
-from sigflow.streaming.windows import dedup_first_stream, hourly_means_stream, latest_windows
+from sigflow.streaming.windows import read_hourly, start_hourly_partials
 
 AVAILABLE_NOW = {"availableNow": True}
 
 
 # Files a micro-batch takes in the registered jobs.
 FILES_PER_BATCH = 64
-# The hourly stream lands its readings in time order, so many days at a time.
-DAYS_PER_LANDING = 5
+# Files that the jobs over out-of-order readings land, a micro-batch each or two.
+LANDED_FILES = 6
 
 
 def run_folder(spark: SparkSession, name: str, root: str | None = None) -> str:
@@ -78,40 +79,38 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.select("signal_date", "signal_ts", *flatten_signals())
 
 
-def land_in_time_order(readings: DataFrame, path: str, days: int = DAYS_PER_LANDING) -> None:
-    """Land readings as a feed would: a few days after the other, in any order
-    within them. Files then reach a stream at most ``days`` days out of order."""
-    day = F.datediff("signal_date", F.lit("1970-01-01").cast("date"))
-    slot = F.floor(day / days)
-    bounds = readings.agg(F.min(slot).alias("a"), F.max(slot).alias("b")).first()
-    if bounds.a is None:
-        readings.limit(0).write.parquet(path)
-        return
-    for k in range(bounds.a, bounds.b + 1):
-        readings.filter(slot == k).write.mode("append").parquet(path)
+def land_shuffled(readings: DataFrame, path: str, files: int = LANDED_FILES) -> None:
+    """Land readings in so many files, each with readings of all days: every
+    micro-batch but the first is late against the one before it. One write."""
+    readings.repartition(files).write.parquet(path)
 
 
-def hourly_stream_job(spark: SparkSession, sf_dir: str, watermark: str = f"{DAYS_PER_LANDING} days",
-                      files_per_batch: int = 1, root: str | None = None) -> DataFrame:
-    """Readings files -> windowed hourly means (update mode) -> final values.
+def land_newest_first(readings: DataFrame, path: str, files: int = LANDED_FILES) -> None:
+    """Land readings by time, the newest in the first file: a backfill that goes
+    back in time. One range-partitioned write."""
+    readings.repartitionByRange(files, F.col("signal_ts").desc()).write.parquet(path)
 
-    The watermark covers the disorder of the landed files, so the means are
-    complete however the input is cut into micro-batches, and the state holds
-    the windows of about two landings.
+
+def readings_files(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
+    return spark.readStream.schema(READINGS_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
+def hourly_stream_job(spark: SparkSession, sf_dir: str, files_per_batch: int = 1, root: str | None = None) -> DataFrame:
+    """Readings files, newest first -> partial sums per micro-batch -> hourly means.
+
+    Complete however the input is ordered and cut into micro-batches; columns
+    window_start, window_end and the means.
     """
     base = run_folder(spark, "hourly", root)
-    readings = events_as_readings(load_table(spark, sf_dir, "events"))
-    land_in_time_order(readings, f"{base}/readings")
-    reader = spark.readStream.schema(READINGS_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
-    hourly = hourly_means_stream(reader.parquet(f"{base}/readings"), watermark=watermark)
-    with conf_override(spark, state_partitions(spark)):
-        query = start_foreach_batch(
-            hourly, batch_folder_writer(f"{base}/hourly"), f"{base}/ck_hourly",
-            output_mode="update", trigger=AVAILABLE_NOW,
-        )
-    run_to_completion(query)
+    land_newest_first(events_as_readings(load_table(spark, sf_dir, "events")), f"{base}/readings")
+    stream = readings_files(spark, f"{base}/readings", files_per_batch)
+    run_to_completion(start_hourly_partials(stream, f"{base}/hourly", f"{base}/ck_hourly", trigger=AVAILABLE_NOW))
     drop_legs(spark, base, "readings", "ck_hourly")
-    return latest_windows(spark.read.parquet(f"{base}/hourly"))
+    start = F.col("signal_date").cast("timestamp") + F.make_dt_interval(hours=F.col("hour"))
+    return read_hourly(spark, f"{base}/hourly").select(
+        start.alias("window_start"), (start + F.make_dt_interval(hours=F.lit(1))).alias("window_end"),
+        *[f"avg_{k}" for k in SIGNAL_KEYS],
+    )
 
 
 def q_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,17 +154,14 @@ def q_stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming replay removal: three ingests of the readings, first arrival kept."""
+    """Streaming replay removal: three ingests of the readings in files that mix all
+    days, several micro-batches, first arrival kept."""
     base = run_folder(spark, "dedup-first")
-    replayed_readings(load_table(spark, sf_dir, "events")).write.parquet(f"{base}/readings")
-    stream = spark.readStream.schema(READINGS_SCHEMA).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(f"{base}/readings")
-    with conf_override(spark, state_partitions(spark)):
-        query = start_lake_sink(
-            dedup_first_stream(stream, "1 hour"), f"{base}/lake", f"{base}/ck", trigger=AVAILABLE_NOW,
-        )
-    run_to_completion(query)
+    land_shuffled(replayed_readings(load_table(spark, sf_dir, "events")), f"{base}/readings")
+    stream = readings_files(spark, f"{base}/readings", 2)
+    run_to_completion(start_first_arrivals(stream, f"{base}/lake", f"{base}/ck", trigger=AVAILABLE_NOW))
     drop_legs(spark, base, "readings", "ck")
-    return read_lake(spark, f"{base}/lake").select("signal_date", "signal_ts", *flatten_signals())
+    return read_table(spark, f"{base}/lake").select("signal_date", "signal_ts", *flatten_signals())
 
 
 def q_save_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
