@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigflow.functions.signals import signal_value
@@ -36,19 +36,24 @@ def dedup_latest(readings: DataFrame, audit_cols: tuple[str, ...] = AUDIT_COLUMN
     return latest.select(*columns).unionByName(untimed)
 
 
-def ingest_audit(readings: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Per ingest batch (``create_ts``): rows, time bounds and null counts (of
-    the times, the signals map and each signal value)."""
-    keys = keys or SIGNAL_KEYS
-    return readings.groupBy("create_date", "create_ts").agg(
+def audit_counts(keys: list[str] | None = None) -> list[Column]:
+    """Aggregates: rows, and null counts of the times, the signals map and each signal value."""
+    return [
         F.count(F.lit(1)).alias("num_records"),
         F.count_if(F.col("signal_ts").isNull()).alias("null_signal_ts"),
         F.count_if(F.col("signal_date").isNull()).alias("null_signal_date"),
         F.count_if(F.col("signals").isNull()).alias("null_signals"),
-        *[F.count_if(signal_value(k).isNull()).alias(f"null_{k}") for k in keys],
+        *[F.count_if(signal_value(k).isNull()).alias(f"null_{k}") for k in keys or SIGNAL_KEYS],
+    ]
+
+
+def ingest_audit(readings: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Per ingest batch (``create_ts``): rows, time bounds and null counts (of
+    the times, the signals map and each signal value)."""
+    return readings.groupBy("create_date", "create_ts").agg(
+        *audit_counts(keys),
         F.min("signal_ts").alias("min_signal_ts"),
         F.max("signal_ts").alias("max_signal_ts"),
         F.min("signal_date").alias("min_signal_date"),
         F.max("signal_date").alias("max_signal_date"),
     )
-

@@ -10,7 +10,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sigflow.functions.messages import parse_message, row_to_json
 from sigflow.functions.signals import signal_value, signals_map, typed_column
@@ -19,6 +19,7 @@ from sigflow.schemas import (
     GENERIC_MESSAGE_SCHEMA,
     MESSAGE_SCHEMA,
     RAW_TIME,
+    READINGS_SCHEMA,
     SIGNAL_KEYS,
     SIGNAL_SOURCES,
 )
@@ -53,8 +54,10 @@ def parse_messages(
     return parsed
 
 
-def shape_readings(parsed: DataFrame, create_ts: _dt.datetime | None = None) -> DataFrame:
-    """Readings table from parsed messages.
+def shape_readings(
+    parsed: DataFrame, create_ts: _dt.datetime | None = None, keep: list[str] | None = None
+) -> DataFrame:
+    """Readings table from parsed messages, after the ``keep`` columns.
 
     ``create_date``/``create_ts`` default to ``current_date()`` /
     ``current_timestamp()``, which a stream fixes once per micro-batch; pass a
@@ -68,8 +71,9 @@ def shape_readings(parsed: DataFrame, create_ts: _dt.datetime | None = None) ->
         create_ts_col = F.lit(create_ts).cast("timestamp")
     # The time is parsed once; when it parses, its date is the text's date, so
     # the date pattern is only tried on rows without a time (bare dates, junk).
-    staged = parsed.select("data", parse_signal_ts(raw_time).alias("signal_ts"))
+    staged = parsed.select(*dict.fromkeys([*(keep or []), "data"]), parse_signal_ts(raw_time).alias("signal_ts"))
     return staged.select(
+        *(keep or []),
         F.coalesce(F.to_date("signal_ts"), parse_signal_date(raw_time)).alias("signal_date"),
         "signal_ts",
         create_date_col.alias("create_date"),
@@ -80,6 +84,43 @@ def shape_readings(parsed: DataFrame, create_ts: _dt.datetime | None = None) ->
     )
 
 
+# Why a message gave no reading with a time.
+BLANK, NOT_AN_OBJECT, NO_TIME, UNREADABLE_TIME = "blank", "not a JSON object", "no time", "unreadable time"
+_CORRUPT = "_corrupt_record"
+
+
+def judge_messages(messages: DataFrame, create_ts: _dt.datetime | None = None) -> DataFrame:
+    """Every message with its reading and why it is none: the readings columns,
+    ``value`` and ``reason``. The reason is null exactly where the reading has a
+    time; no message is left out, also not the null and blank ones that
+    :func:`parse_messages` drops. Each message is parsed once."""
+    text = F.col("value").cast("string")
+    schema = StructType([*MESSAGE_SCHEMA.fields, StructField(_CORRUPT, StringType())])
+    parsed = messages.select(
+        text.alias("value"), F.from_json(text, schema, {"columnNameOfCorruptRecord": _CORRUPT}).alias("data")
+    )
+    raw_time = F.col(f"data.`{RAW_TIME}`")
+    shaped = shape_readings(parsed, create_ts, keep=["value", "data"])
+    reason = (
+        F.when(F.col("signal_ts").isNotNull(), F.lit(None))
+        .when(F.col("data").isNull(), BLANK)
+        .when(F.col(f"data.{_CORRUPT}").isNotNull(), NOT_AN_OBJECT)
+        .when(raw_time.isNull(), NO_TIME)
+        .otherwise(UNREADABLE_TIME)
+    )
+    return shaped.withColumn("reason", reason).drop("data")
+
+
+def accepted(judged: DataFrame) -> DataFrame:
+    """Readings of the messages that gave one with a time."""
+    return judged.filter(F.col("reason").isNull()).select(*READINGS_SCHEMA.fieldNames())
+
+
+def rejected(judged: DataFrame) -> DataFrame:
+    """The other messages as they came, with the reason and the ingest's time."""
+    return judged.filter(F.col("reason").isNotNull()).select("value", "reason", "create_date", "create_ts")
+
+
 def with_typed_signals(
     readings: DataFrame, casts: tuple[str, ...] = ("float", "double"), keys: list[str] | None = None
 ) -> DataFrame:

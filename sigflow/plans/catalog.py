@@ -350,6 +350,10 @@ QUERIES: dict[str, Query] = {
     "stream_replay": streams.q_stream_replay,
     "stream_fanout": streams.q_stream_fanout,
     "dedup_first": streams.q_dedup_first,
+    "stream_quarantine": streams.q_stream_quarantine,
+    "stream_audit": streams.q_stream_audit,
+    "lake_compacted": streams.q_lake_compacted,
+    "lake_as_of": streams.q_lake_as_of,
     "save_processed": streams.q_save_processed,
 }
 QUERIES = {k: _prepared(v) for k, v in QUERIES.items()}

@@ -408,4 +408,34 @@ FROM raw""",
 SELECT DISTINCT signal_date, signal_ts, ActivePower_kW, WindSpeed_m_s, PowerCurve_kWh, WindDirection_deg
 FROM readings""",
     "save_processed": ORACLE_SQL["rename_mapped"],
+    "stream_quarantine": f"""WITH {_TIME_TEXT}, {_RAW},
+timed AS (SELECT raw.* REPLACE (raw_time AS date_time) FROM raw JOIN time_text USING (event_id)),
+{_SHAPED.replace('FROM raw', 'FROM timed')}
+SELECT 'lake' AS target, shaped.*, NULL AS value, NULL AS reason FROM shaped WHERE signal_ts IS NOT NULL
+UNION ALL
+SELECT 'rejected', NULL, NULL, NULL, NULL, NULL, NULL,
+       CAST(to_json({{'Date/Time': date_time, 'LV ActivePower (kW)': active_power,
+         'Wind Speed (m/s)': wind_speed, 'Theoretical_Power_Curve (KWh)': power_curve,
+         'Wind Direction (°)': wind_direction}}) AS VARCHAR), 'unreadable time'
+FROM timed WHERE {_parse_ts('date_time')} IS NULL
+UNION ALL
+SELECT 'rejected', NULL, NULL, NULL, NULL, NULL, NULL,
+       CAST(to_json({{doc_id: doc_id, quality: quality, toxic: toxic}}) AS VARCHAR), 'no time' FROM labels
+UNION ALL
+SELECT 'rejected', NULL, NULL, NULL, NULL, NULL, NULL, role, 'not a JSON object' FROM conversations""",
+    "stream_audit": f"""WITH {_READINGS}
+SELECT count(*) AS num_records, CAST(count_if(signal_ts IS NULL) AS BIGINT) AS null_signal_ts,
+       CAST(count_if(signal_date IS NULL) AS BIGINT) AS null_signal_date, CAST(0 AS BIGINT) AS null_signals,
+       CAST(count_if(ActivePower_kW IS NULL) AS BIGINT) AS null_ActivePower_kW,
+       CAST(count_if(WindSpeed_m_s IS NULL) AS BIGINT) AS null_WindSpeed_m_s,
+       CAST(count_if(PowerCurve_kWh IS NULL) AS BIGINT) AS null_PowerCurve_kWh,
+       CAST(count_if(WindDirection_deg IS NULL) AS BIGINT) AS null_WindDirection_deg,
+       min(signal_ts) AS min_signal_ts, max(signal_ts) AS max_signal_ts,
+       min(signal_date) AS min_signal_date, max(signal_date) AS max_signal_date
+FROM readings""",
+    "lake_compacted": f"""WITH {_READINGS}
+SELECT signal_date, signal_ts, ActivePower_kW, WindSpeed_m_s, PowerCurve_kWh, WindDirection_deg FROM readings""",
+    "lake_as_of": f"""WITH {_READINGS}
+SELECT signal_date, signal_ts, ActivePower_kW, WindSpeed_m_s, PowerCurve_kWh, WindDirection_deg
+FROM readings WHERE signal_date <= DATE '2024-01-15'""",
 })

@@ -22,12 +22,14 @@ from sigflow.operators.shape import pack_messages
 from sigflow.plans.analysis import hourly_report
 from sigflow.schemas import READINGS_SCHEMA, SIGNAL_KEYS
 from sigflow.session import checkpoint_root, drop_folder
-from sigflow.sources.generations import read_table
+from sigflow.sources.generations import compact, drop_covered, read_table
 from sigflow.sources.lake import read_lake, write_lake
-from sigflow.sources.tables import events_as_raw, events_as_readings, load_table, replayed_readings
+from sigflow.sources.tables import events_as_raw, events_as_readings, load_table, messages_with_junk, replayed_readings
 from sigflow.streaming.arrivals import start_first_arrivals
+from sigflow.streaming.audit import AuditLog, fill_audit, observed, read_audit
 from sigflow.streaming.control import run_to_completion
-from sigflow.streaming.ingest import start_consume, start_consume_fanout, start_publish_csv
+from sigflow.streaming.ingest import start_consume, start_consume_fanout, start_consume_split, start_publish_csv
+from sigflow.streaming.sinks import batch_folder_writer, start_foreach_batch
 from sigflow.streaming.windows import read_hourly, start_hourly_partials
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -164,6 +166,80 @@ def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{base}/lake").select("signal_date", "signal_ts", *flatten_signals())
 
 
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with junk among them, split by one stream: the rows of the shaped
+    table and of the rejected one, with the reasons."""
+    base = run_folder(spark, "quarantine")
+    tables = (load_table(spark, sf_dir, t) for t in ("events", "conversations", "labels"))
+    messages_with_junk(*tables).write.text(f"{base}/messages")
+    run_to_completion(start_consume_split(
+        spark, f"{base}/messages", f"{base}/lake", f"{base}/rejected", f"{base}/ck", trigger=AVAILABLE_NOW,
+        max_files_per_trigger=FILES_PER_BATCH,
+    ))
+    drop_legs(spark, base, "messages", "ck")
+    lake = read_table(spark, f"{base}/lake").select(
+        F.lit("lake").alias("target"), "signal_date", "signal_ts", *flatten_signals())
+    junk = read_table(spark, f"{base}/rejected").select(F.lit("rejected").alias("target"), "value", "reason")
+    return lake.unionByName(junk, allowMissingColumns=True)
+
+
+def _landed(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """Stream over the readings, landed in files that mix all days, a file a batch."""
+    land_shuffled(events_as_readings(load_table(spark, sf_dir, "events")), f"{base}/readings")
+    return readings_files(spark, f"{base}/readings", 1)
+
+
+def q_stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits that the batches of a stream recorded while they were written, added up."""
+    base = run_folder(spark, "audit")
+    log = AuditLog(spark, f"{base}/audit")
+    query = start_foreach_batch(
+        observed(_landed(spark, sf_dir, base)), batch_folder_writer(f"{base}/lake"), f"{base}/ck", trigger=AVAILABLE_NOW
+    )
+    run_to_completion(query)
+    log.catch_up(query)
+    fill_audit(spark, f"{base}/lake", f"{base}/audit")
+    drop_legs(spark, base, "readings", "ck", "lake")
+    audit = read_audit(spark, f"{base}/audit")
+    counts = [c for c in audit.columns if c.startswith(("num_", "null_"))]
+    return audit.agg(
+        *[F.sum(c).alias(c) for c in counts],
+        *[f(c).alias(c) for f, x in ((F.min, "min"), (F.max, "max")) for c in (f"{x}_signal_ts", f"{x}_signal_date")],
+    )
+
+
+def q_lake_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings streamed in several batches, then compacted into day partitions, the
+    batch folders removed: every row is still there."""
+    base = run_folder(spark, "compacted")
+    run_to_completion(start_foreach_batch(
+        _landed(spark, sf_dir, base), batch_folder_writer(f"{base}/lake"), f"{base}/ck", trigger=AVAILABLE_NOW))
+    compact(spark, f"{base}/lake")
+    drop_covered(spark, f"{base}/lake")
+    drop_legs(spark, base, "readings", "ck")
+    return read_table(spark, f"{base}/lake").select("signal_date", "signal_ts", *flatten_signals())
+
+
+# The lake is read as it was after the readings up to this day had come.
+AS_OF_DAY = "2024-01-15"
+
+
+def q_lake_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two ingests by one query, days up to ``AS_OF_DAY`` first, then compacted; the
+    table as of the first ingest."""
+    base = run_folder(spark, "as-of")
+    readings = events_as_readings(load_table(spark, sf_dir, "events"))
+    early = F.coalesce(F.col("signal_date") <= F.lit(AS_OF_DAY).cast("date"), F.lit(False))
+    for part in (early, ~early):
+        readings.filter(part).write.mode("append").parquet(f"{base}/readings")
+        run_to_completion(start_foreach_batch(
+            readings_files(spark, f"{base}/readings", FILES_PER_BATCH), batch_folder_writer(f"{base}/lake"),
+            f"{base}/ck", trigger=AVAILABLE_NOW))
+    compact(spark, f"{base}/lake", ended=True)
+    drop_legs(spark, base, "readings", "ck")
+    return read_table(spark, f"{base}/lake", up_to=0).select("signal_date", "signal_ts", *flatten_signals())
+
+
 def q_save_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly report saved with overwrite (twice: a rerun replaces), read back."""
     base = run_folder(spark, "processed")

@@ -107,7 +107,8 @@ def read_generation(spark: SparkSession, path: str, number: int | None = None) -
     return Generation(**json.loads(get_text(spark, f"{path}/{HOME}/{number}.json")))
 
 
-def _batches(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    """Rows of some batch folders of the table at ``path``, with their app_id and batch_id."""
     df = spark.read.option("basePath", path).parquet(*folders)
     return df.withColumns({APP: F.col(APP).cast("string"), BATCH: F.col(BATCH).cast("long")})
 
@@ -134,7 +135,7 @@ def read_table(
     if generation is None:
         beyond = [f for (app, batch), f in batch_folders(spark, path).items() if batch > g.held.get(app, -1)]
         if beyond:
-            parts.append(_batches(spark, path, sorted(beyond)))
+            parts.append(read_batches(spark, path, sorted(beyond)))
     if not parts:
         return None
     out = parts[0]
@@ -173,7 +174,7 @@ def compact(
     new = sorted(f for (app, batch), f in folders.items() if g.held.get(app, -1) < batch <= held[app])
     if not new:
         return None
-    rows = _batches(spark, path, new)
+    rows = read_batches(spark, path, new)
     if g.number:  # all segments of a table are laid out alike
         partition_by = g.partition_by
     elif partition_by not in rows.columns:

@@ -116,6 +116,18 @@ def events_time_text(events: DataFrame) -> DataFrame:
     return events.select("event_id", text.alias("raw_time"))
 
 
+def messages_with_junk(events: DataFrame, conversations: DataFrame, labels: DataFrame) -> DataFrame:
+    """A feed as brokers deliver it: readings as messages, their times in the forms of
+    :func:`events_time_text` (a bare date has no time of day), among messages
+    that are no JSON (the turns' roles) and JSON of other jobs (the labels)."""
+    raw = events_as_raw(events, keep=["event_id"]).drop(RAW_TIME)
+    timed = raw.join(events_time_text(events).withColumnRenamed("raw_time", RAW_TIME), "event_id")
+    fields = [RAW_TIME, *(c for c in raw.columns if c != "event_id")]
+    readings = timed.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in fields])).alias("value"))
+    other = labels.select(F.to_json(F.struct("doc_id", "quality", "toxic")).alias("value"))
+    return readings.unionByName(other).unionByName(conversations.select(F.col("role").alias("value")))
+
+
 def lineitem_regression_frame(lineitem: DataFrame) -> DataFrame:
     """Numeric frame for regression at scale: price from quantity, discount, tax."""
     return lineitem.select(

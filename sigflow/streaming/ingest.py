@@ -15,9 +15,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sigflow.operators.shape import (
+    accepted,
     flatten_messages,
+    judge_messages,
     messages_to_readings,
     pack_messages,
+    rejected,
     with_typed_signals,
 )
 from sigflow.schemas import GENERIC_MESSAGE_SCHEMA
@@ -154,3 +157,44 @@ def start_consume_fanout(
         batch_folder_writer(raw_path, fmt="text")(batch.selectExpr("CAST(value AS STRING) AS value"), batch_id)
 
     return start_foreach_batch(messages, fan_out([raw, shaped]), checkpoint, trigger=trigger)
+
+
+def start_consume_split(
+    spark: SparkSession,
+    source: str | None,
+    lake_path: str,
+    rejected_path: str,
+    checkpoint: str,
+    *,
+    raw_path: str | None = None,
+    fmt: str = "text",
+    lake_format: str = "parquet",
+    partition_by: list[str] | None = None,
+    trigger: dict | None = None,
+    typed_casts: tuple[str, ...] | None = None,
+    **source_options,
+) -> StreamingQuery:
+    """Messages split into the shaped lake table and a table of rejected ones.
+
+    A message whose reading has a time goes to ``lake_path``, any other with its
+    text and the reason to ``rejected_path`` (and, with ``raw_path``, all of them
+    to the raw archive too): every message is in exactly one of the two. Each
+    message is read and parsed once; each target has a folder per (query id,
+    batch), so a retried batch replaces what it wrote to either.
+    """
+    judged = judge_messages(read_message_stream(spark, source, fmt=fmt, **source_options))
+    into_lake = batch_folder_writer(lake_path, fmt=lake_format, partition_by=partition_by)
+    into_rejected = batch_folder_writer(rejected_path, fmt=lake_format)
+
+    def lake(batch, batch_id):
+        readings = accepted(batch)
+        into_lake(with_typed_signals(readings, typed_casts) if typed_casts else readings, batch_id)
+
+    def junk(batch, batch_id):
+        into_rejected(rejected(batch), batch_id)
+
+    def raw(batch, batch_id):
+        batch_folder_writer(raw_path, fmt="text")(batch.filter("value IS NOT NULL").select("value"), batch_id)
+
+    writers = [lake, junk] + ([raw] if raw_path else [])
+    return start_foreach_batch(judged, fan_out(writers), checkpoint, trigger=trigger)

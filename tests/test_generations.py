@@ -90,7 +90,7 @@ def test_a_crash_between_steps_loses_nothing(spark, table, step, monkeypatch):
         raise RuntimeError("driver lost")
 
     if step == "before the segment":
-        monkeypatch.setattr(gen, "_batches", crash)
+        monkeypatch.setattr(gen, "read_batches", crash)
     elif step in ("before publishing", "after publishing"):
         monkeypatch.setattr(gen, "put_text", crash)
     if step == "in the segment":  # half a segment that nothing names
