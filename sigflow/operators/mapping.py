@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -33,20 +33,49 @@ def _ordered(mapping: DataFrame, order_col: str | None) -> DataFrame:
     return mapping.select("sig_name", "sig_mapping_name", place.alias("ord"))
 
 
+# Mappings of so many rows at most are read whole; their renames are followed on the driver.
+SMALL_MAPPING = 10_000
+
+
 def rename_mapped(df: DataFrame, mapping: DataFrame, order_col: str | None = None) -> DataFrame:
     """Rename columns by the mapping, row by row in mapping order; a row whose
-    ``sig_name`` is not (or no longer) a column is skipped.
-
-    A column's next rename is the first row after its last one that names it.
-    All columns take their next step together: one aggregate over the mapping
-    that returns at most a row per distinct current name and place, so the
-    driver sees no more rows than there are columns, whatever the mapping's
-    size. ``order_col`` fixes the row order; a mapping spread over files has
-    no order of its own.
+    ``sig_name`` is not (or no longer) a column is skipped. ``order_col`` fixes
+    the row order; a mapping spread over files has no order of its own. Rows
+    without a name, a new name or a place change nothing.
+
+    A mapping of at most ``SMALL_MAPPING`` rows is read whole, in one job, and
+    settles every rename. Beyond that the mapping stays where it is and all
+    columns take their steps together, see :func:`_steps`.
     """
-    rows = _ordered(mapping, order_col)
-    current = {c: (c, None) for c in df.columns}  # column -> its name now, the place of its last rename
-    live = set(df.columns)
+    rows = _ordered(mapping, order_col).dropna()
+    near = rows.limit(SMALL_MAPPING + 1).collect()
+    renames = _replay(near, df.columns) if len(near) <= SMALL_MAPPING else _steps(rows, df.columns)
+    return df.withColumnsRenamed(renames) if renames else df
+
+
+def _replay(rows: list[Row], columns: list[str]) -> dict[str, str]:
+    """Renames of ``columns`` by mapping rows: each column follows, in order, the rows
+    that name what it is called by then."""
+    by_name: dict[str, list[tuple]] = {}
+    for r in sorted(rows, key=lambda r: (r.ord, r.sig_mapping_name)):
+        by_name.setdefault(r.sig_name, []).append((r.ord, r.sig_mapping_name))
+    renames = {}
+    for column in columns:
+        name, last = column, None
+        while nxt := next(((o, new) for o, new in by_name.get(name, []) if last is None or o > last), None):
+            last, name = nxt
+        if name != column:
+            renames[column] = name
+    return renames
+
+
+def _steps(rows: DataFrame, columns: list[str]) -> dict[str, str]:
+    """The same for a mapping of any size. A column's next rename is the first row
+    after its last one that names it. All columns take their next step together:
+    one aggregate over the mapping that returns at most a row per distinct current
+    name and place, so the driver sees no more rows than there are columns."""
+    current = {c: (c, None) for c in columns}  # column -> its name now, the place of its last rename
+    live = set(columns)
     while live:
         steps = sorted({current[c] for c in live}, key=str)
         hits = []
@@ -60,8 +89,7 @@ def rename_mapped(df: DataFrame, mapping: DataFrame, order_col: str | None = Non
         found = dict(zip(steps, named.agg(*picks).first()))
         live = {c for c in live if found[current[c]] is not None}
         current.update({c: (found[current[c]].sig_mapping_name, found[current[c]].ord) for c in live})
-    renames = {c: name for c, (name, _) in current.items() if c != name}
-    return df.withColumnsRenamed(renames) if renames else df
+    return {c: name for c, (name, _) in current.items() if c != name}
 
 
 def mapping_join_long(

@@ -9,6 +9,7 @@ aggregates, so nothing row-sized travels to the driver.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
@@ -88,6 +89,26 @@ def fit_linear_regression(
     return LinearRegression(featuresCol=features_col, labelCol=label, **params).fit(train)
 
 
+def model_pipeline(
+    indexer: StringIndexerModel, features: list[str], model: LinearRegressionModel
+) -> PipelineModel:
+    """The fitted steps as one pipeline: label index, assembly, regression. Unlike
+    the bare indexer it gives a label that the fit has not seen an index of its
+    own, after all known ones, so new data can't end a scoring job."""
+    seen = indexer.copy().setHandleInvalid("keep")
+    assembler = VectorAssembler(inputCols=features, outputCol=model.getFeaturesCol(), handleInvalid="skip")
+    return PipelineModel([seen, assembler, model])
+
+
+def save_pipeline(pipeline: PipelineModel, path: str) -> None:
+    """Write a fitted pipeline (overwrite); any later job can load it."""
+    pipeline.write().overwrite().save(path)
+
+
+def load_pipeline(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def coefficients_frame(spark, model: LinearRegressionModel, features: list[str]) -> DataFrame:
     """One row per term (intercept first): ``term, coefficient``; its size is
     the feature count."""
@@ -137,6 +158,60 @@ def residual_histogram(
     )
 
 
+# KLL sketches: the rank of a quantile is off by less than this share of the rows at
+# the default size, with a chance of 99 %; sketches of up to SKETCH_EXACT rows are exact.
+SKETCH_K = 200
+SKETCH_RANK_ERROR = 0.0133
+SKETCH_EXACT = 200
+
+
+def residual_sketches(
+    df: DataFrame, by: list[str] | None = None, label: str = LR_LABEL, prediction: str = "prediction", k: int = SKETCH_K
+) -> DataFrame:
+    """Quantile sketch of ``label - prediction`` per group: ``(*by, sketch)``. Of a few
+    kilobytes whatever the rows; sketches of parts (days, batches, engines'
+    partitions) can be stored and merged later by :func:`sketch_bounds`."""
+    residual = (F.col(label) - F.col(prediction)).alias("residual")
+    rows = df.select(*(by or []), residual).filter(F.col("residual").isNotNull() & ~F.isnan("residual"))
+    return rows.groupBy(*(by or [])).agg(F.kll_sketch_agg_double("residual", F.lit(k)).alias("sketch"))
+
+
+def sketch_bounds(sketches: DataFrame, bins: int) -> DataFrame:
+    """One row per bin, ``(bin, lo, hi)``: bounds between the merged sketches' quantiles
+    at ``1/bins, 2/bins, ...``, the first and last open (null). Bins whose bounds
+    coincide (ties) are one. No rows if nothing was sketched."""
+    merged = sketches.agg(F.kll_merge_agg_double("sketch").alias("sketch")).filter("sketch IS NOT NULL")
+    merged = merged.filter(F.kll_sketch_get_n_double("sketch") > 0)
+    ranks = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    cuts = F.array_distinct(F.kll_sketch_get_quantile_double("sketch", ranks)) if bins > 1 else F.array().cast("array<double>")
+    none = F.array(F.lit(None).cast("double"))
+    edges = merged.select(cuts.alias("cuts")).select(F.concat(none, "cuts").alias("lo"), F.concat("cuts", none).alias("hi"))
+    return edges.select(F.posexplode(F.arrays_zip("lo", "hi")).alias("bin", "b")).select("bin", "b.lo", "b.hi")
+
+
+def residual_quantile_bins(
+    df: DataFrame, bins: int = 10, label: str = LR_LABEL, prediction: str = "prediction", by: list[str] | None = None
+) -> DataFrame:
+    """Distribution of the residuals in bins of about equal counts, ``(bin, lo, hi, n)``:
+    a row is in the bin with ``lo <= residual < hi``. The bounds come from merged
+    sketches (of each ``by`` group, else of all rows), so they follow the data
+    however wide or skewed it is; the counts over them are exact.
+
+    The bounds are taken to the driver once, at most ``bins`` of them, as another
+    sketch of the same rows may give others.
+    """
+    spark = df.sparkSession
+    bounds = sketch_bounds(residual_sketches(df, by, label, prediction), bins).orderBy("bin").collect()
+    r = F.col(label) - F.col(prediction)
+    rows = df.select(r.alias("r")).filter(F.col("r").isNotNull() & ~F.isnan("r"))
+    at = F.lit(0)
+    for b in bounds[1:]:
+        at = at + F.when(F.col("r") >= b.lo, 1).otherwise(0)
+    counts = rows.select(at.alias("at")).groupBy("at").agg(F.count(F.lit(1)).alias("n"))
+    listed = spark.createDataFrame([tuple(b) for b in bounds], "bin int, lo double, hi double")
+    return listed.join(counts, F.col("bin") == F.col("at"), "left").select("bin", "lo", "hi", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def scatter_bins(
     df: DataFrame, width: float, label: str = LR_LABEL, prediction: str = "prediction"
 ) -> DataFrame:

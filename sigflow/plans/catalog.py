@@ -30,6 +30,7 @@ from sigflow.plans import modeling, streams, venues
 from sigflow.plans.analysis import hourly_indicator, hourly_report
 from sigflow.schemas import LR_FEATURES, LR_LABEL, RAW_FIELDS, SIGNAL_KEYS
 from sigflow.session import ensure_checkpoint_dir
+from sigflow.sources.generations import read_table
 from sigflow.sources.tables import (
     FIXED_CREATE_TS,
     events_as_raw,
@@ -39,6 +40,7 @@ from sigflow.sources.tables import (
     load_table,
     replayed_readings,
 )
+from sigflow.streaming.control import run_to_completion
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -222,6 +224,21 @@ def q_lr_predict_day(spark, sf_dir):
     return _rounded(modeling.predict_day(model, ml_df, EVENTS_DAY))
 
 
+def q_lr_score_saved(spark, sf_dir):
+    """Scores of the model after it was saved and loaded: one day in a batch, and the whole report as a stream."""
+    base = streams.run_folder(spark, "model")
+    ml_df, model, _ = _fitted(spark, sf_dir)
+    modeling.save_model(ml_df, model, f"{base}/model")
+    pipeline = ml.load_pipeline(f"{base}/model")
+    day = modeling.score_report(pipeline, ml_df.report, EVENTS_DAY).select(F.lit("batch").alias("run"), "*")
+    ml_df.report.write.parquet(f"{base}/report")
+    report = spark.readStream.schema(ml_df.report.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/report")
+    run_to_completion(modeling.start_scoring(
+        pipeline, report, f"{base}/scores", f"{base}/ck", trigger=streams.AVAILABLE_NOW))
+    streamed = read_table(spark, f"{base}/scores").drop("app_id", "batch_id").select(F.lit("stream").alias("run"), "*")
+    return day.unionByName(streamed).withColumn("prediction", F.round("prediction", DIGITS))
+
+
 def q_lr_evaluate(spark, sf_dir):
     return _rounded(ml.regression_metrics(_scored_test(spark, sf_dir)))
 
@@ -230,6 +247,11 @@ def q_residual_histogram(spark, sf_dir):
     return ml.residual_histogram(_scored_test(spark, sf_dir), BIN_WIDTH)
 
 
+def q_residual_quantiles(spark, sf_dir):
+    """Residuals of the test part in ten bins of about equal counts, the bounds from a quantile sketch."""
+    return _rounded(ml.residual_quantile_bins(_scored_test(spark, sf_dir), 10))
+
+
 def q_scatter_bins(spark, sf_dir):
     return ml.scatter_bins(_scored_test(spark, sf_dir), BIN_WIDTH)
 
@@ -331,9 +353,11 @@ QUERIES: dict[str, Query] = {
     "hash_split": q_hash_split,
     "regression_metrics": q_regression_metrics,
     "residual_histogram": q_residual_histogram,
+    "residual_quantiles": q_residual_quantiles,
     "scatter_bins": q_scatter_bins,
     "lr_fit": q_lr_fit,
     "lr_predict_day": q_lr_predict_day,
+    "lr_score_saved": q_lr_score_saved,
     "lr_evaluate": q_lr_evaluate,
     "lr_fit_lineitem": q_lr_fit_lineitem,
     "drop_blank_turns": q_drop_blank_turns,

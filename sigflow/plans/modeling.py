@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from sigflow.operators.ml import (
     assemble_features,
@@ -15,11 +17,14 @@ from sigflow.operators.ml import (
     fit_label_index,
     fit_linear_regression,
     hash_split,
+    model_pipeline,
     random_split,
+    save_pipeline,
 )
 from sigflow.plans.analysis import hourly_report
 from sigflow.schemas import LR_FEATURES, LR_LABEL, LR_SCORE_DAY
 from sigflow.session import ensure_checkpoint_dir
+from sigflow.streaming.sinks import batch_folder_writer, start_foreach_batch
 
 
 @dataclass
@@ -85,6 +90,30 @@ def predict_day(model, frame: ModelFrame | DataFrame, day: str = LR_SCORE_DAY, f
     return scored.select("signal_date", "hour", label, "prediction")
 
 
+def save_model(frame: ModelFrame, model, path: str, features=None) -> PipelineModel:
+    """Save the fitted steps as one pipeline that later jobs load with
+    :func:`sigflow.operators.ml.load_pipeline`; returns the pipeline."""
+    pipeline = model_pipeline(frame.indexer, features or LR_FEATURES, model)
+    save_pipeline(pipeline, path)
+    return pipeline
+
+
+def score_report(pipeline: PipelineModel, report: DataFrame, day: str | None = None, label: str = LR_LABEL) -> DataFrame:
+    """Score the renamed hourly report, bounded or a stream, with a loaded pipeline.
+    With ``day`` only that day: the filter runs before the pipeline's stages and
+    reaches the scan."""
+    if day:
+        report = report.filter(F.col("signal_date") == F.lit(day).cast("date"))
+    return pipeline.transform(report).select("signal_date", "hour", label, "prediction")
+
+
+def start_scoring(
+    pipeline: PipelineModel, report: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Score a stream of report rows into the lake table at ``path``, a folder per (query id, batch)."""
+    return start_foreach_batch(score_report(pipeline, report), batch_folder_writer(path), checkpoint, trigger=trigger)
+
+
 def model_coefficients(model, features=None) -> DataFrame:
     spark = model.summary.predictions.sparkSession
     return coefficients_frame(spark, model, features or LR_FEATURES)

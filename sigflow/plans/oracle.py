@@ -267,6 +267,24 @@ moved AS (
     "lr_predict_day": f"""{_MODEL}
 SELECT signal_date, hour, round({LR_LABEL}, 4) AS {LR_LABEL}, round(prediction, 4) AS prediction
 FROM scored WHERE signal_date = DATE '2024-01-19'""",
+    "lr_score_saved": f"""{_MODEL}
+SELECT 'batch' AS run, signal_date, hour, {LR_LABEL}, round(prediction, 4) AS prediction
+FROM scored WHERE signal_date = DATE '2024-01-19'
+UNION ALL
+SELECT 'stream', signal_date, hour, {LR_LABEL}, round(prediction, 4) FROM scored""",
+    # the sketch is exact over so few hours: the quantile at r is the value in place ceil(r * n)
+    "residual_quantiles": f"""{_MODEL},
+residuals AS (
+  SELECT {LR_LABEL} - prediction AS r, row_number() OVER (ORDER BY {LR_LABEL} - prediction) AS place, count(*) OVER () AS n
+  FROM test WHERE {LR_LABEL} - prediction IS NOT NULL),
+cuts AS (
+  SELECT DISTINCT r AS cut FROM residuals, range(1, 10) AS k(i) WHERE place = CAST(ceil(i / 10 * n) AS BIGINT)),
+bounds AS (
+  SELECT CAST(row_number() OVER (ORDER BY cut NULLS FIRST) - 1 AS INTEGER) AS bin, cut AS lo, lead(cut) OVER (ORDER BY cut NULLS FIRST) AS hi
+  FROM (SELECT cut FROM cuts UNION ALL SELECT NULL))
+SELECT bin, round(lo, 4) AS lo, round(hi, 4) AS hi,
+       (SELECT count(*) FROM residuals WHERE (lo IS NULL OR r >= lo) AND (hi IS NULL OR r < hi)) AS n
+FROM bounds""",
     "lr_evaluate": f"""{_MODEL}
 SELECT count(*) AS n, round(sqrt(avg(({LR_LABEL} - prediction) ^ 2)), 4) AS rmse,
        round(avg(abs({LR_LABEL} - prediction)), 4) AS mae,

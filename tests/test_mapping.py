@@ -146,6 +146,38 @@ def test_rename_follows_the_order_column(spark):
     assert rename_mapped(df, mapping, order_col="place").columns == ["a", "c"]
 
 
+def test_both_ways_of_renaming_follow_the_rows_one_by_one(spark):
+    import random
+
+    from sigflow.operators.mapping import _ordered, _replay, _steps
+
+    rng = random.Random(3)
+    for _ in range(6):
+        rows = [(rng.choice("abcdef"), rng.choice("abcdef"), k) for k in range(rng.randint(0, 9))]
+        columns = ["a", "b", "c"]
+        names = {c: c for c in columns}
+        for old, new, _place in rows:
+            names = {c: new if n == old else n for c, n in names.items()}
+        want = {c: n for c, n in names.items() if n != c}
+        mapping = _ordered(spark.createDataFrame(rows, "sig_name string, sig_mapping_name string, place int"), "place")
+        assert _replay(mapping.collect(), columns) == want
+        assert _steps(mapping, columns) == want
+
+
+def test_rename_reads_a_small_mapping_once(spark):
+    """One job for the default mapping; rows without a name or place change nothing."""
+    df = spark.createDataFrame([(1.0, "Low")], "avg_ActivePower_kW double, generation_indicator string")
+    mapping = spark.createDataFrame([("generation_indicator", "label", 2), ("avg_ActivePower_kW", None, 1), (None, "x", 3),
+                                     ("avg_ActivePower_kW", "p", None)], "sig_name string, sig_mapping_name string, place int")
+    assert rename_mapped(df, mapping, order_col="place").columns == ["avg_ActivePower_kW", "label"]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one-round-rename", "rename")
+    rename_mapped(df, signal_mapping(spark, view=None))
+    jobs = tracker.getJobIdsForGroup("one-round-rename")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 1
+
+
 def test_report_leaves_the_users_view_alone(spark):
     from sigflow.plans.analysis import hourly_report
     from sigflow.sources.tables import events_as_readings, load_table
