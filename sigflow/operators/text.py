@@ -100,6 +100,78 @@ def extract_json_array(df: DataFrame, text_col: str = "text", out_col: str = "ve
     )
 
 
+# Pieces of a text in which brackets are counted: escaped characters, quotes,
+# brackets and line ends one by one, everything else in runs.
+_PIECES = r'(?s)\\.|["\[\]\n]|[^"\\\[\]\n]+|\\'
+_ARRAY_OF_OBJECTS = rf"(?s)^\[{WS_CLASS}*\{{.*\}}{WS_CLASS}*\]$"
+
+
+def json_array_spans(text: Column) -> Column:
+    """All balanced ``[{...}]`` spans of a text, in order, as strings.
+
+    A scan over brackets: each closing bracket belongs to the last one that is
+    still open, so nested arrays stay inside their span and a bracket that is
+    never closed hides nothing after it. Within brackets, quoted text is skipped
+    up to its closing quote or the end of the line (JSON strings hold no line
+    ends), so brackets in strings don't count; an apostrophe or a quote in prose
+    outside of brackets means nothing. Spans inside another span are part of it.
+    Texts without ``[{`` are not scanned.
+    """
+    opens = F.array().cast("array<int>")
+    start = F.struct(
+        F.lit(1).alias("at"), opens.alias("open"), F.lit(False).alias("quoted"),
+        F.array().cast("array<struct<a:int,b:int>>").alias("spans"),
+    )
+
+    def step(state: Column, piece: Column) -> Column:
+        quote = (piece == '"') & (F.size(state.open) > 0)
+        counted = ~state.quoted
+        opening, closing = counted & (piece == "["), counted & (piece == "]") & (F.size(state.open) > 0)
+        span = F.struct(F.element_at(state.open, -1).alias("a"), state.at.alias("b"))
+        return F.struct(
+            (state.at + F.length(piece)).cast("int").alias("at"),
+            F.when(opening, F.array_append(state.open, state.at))
+            .when(closing, F.slice(state.open, 1, F.size(state.open) - 1)).otherwise(state.open).alias("open"),
+            F.when(quote, ~state.quoted).when(piece == "\n", F.lit(False)).otherwise(state.quoted).alias("quoted"),
+            F.when(closing, F.array_append(state.spans, span)).otherwise(state.spans).alias("spans"),
+        )
+
+    pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
+    found = F.aggregate(pieces, start, step, lambda s: s.spans)
+    # a span closes before those around it; only the outermost ones of objects are kept
+    texts = F.transform(found, lambda s: F.struct(s.a.alias("a"), s.b.alias("b"), F.substring(text, s.a, s.b - s.a + 1).alias("t")))
+    arrays = F.filter(texts, lambda s: s.t.rlike(_ARRAY_OF_OBJECTS))
+    outer = F.filter(arrays, lambda s: ~F.exists(arrays, lambda o: (o.a < s.a) & (o.b > s.b)))
+    ordered = F.transform(F.array_sort(outer), lambda s: s.t)
+    none = F.array().cast("array<string>")
+    return F.when(text.rlike(rf"\[{WS_CLASS}*\{{"), ordered).otherwise(none)
+
+
+def extract_json_arrays(df: DataFrame, text_col: str = "text", out_col: str = "venue_lists") -> DataFrame:
+    """Every JSON array of records embedded in free text, in order: an array of arrays.
+
+    The greedy rule of :func:`extract_json_array` takes one span and gives nothing
+    for a text with two arrays; here each balanced span (:func:`json_array_spans`)
+    is parsed by itself, under the same strict parser, and those that are no JSON
+    array are left out. A text whose single array the greedy rule finds gives
+    that array alone.
+    """
+    spans = json_array_spans(F.col(text_col))
+    parsed = F.transform("_spans", _strict_array)
+    return (
+        df.withColumn("_spans", spans)
+        .withColumn(out_col, F.filter(parsed, lambda x: x.isNotNull()))
+        .drop("_spans")
+    )
+
+
+def _strict_array(span: Column) -> Column:
+    """Records of a span that is one JSON array, else null (see :func:`extract_json_array`)."""
+    wrapped = F.from_json(F.concat(F.lit("["), span, F.lit(",0]")), "array<string>", STRICT_JSON)
+    single = (F.size(wrapped) == 2) & (F.get(wrapped, F.lit(1)) == "0")
+    return F.when(single, F.from_json(F.get(wrapped, F.lit(0)), VENUE_TEXT_ARRAY_SCHEMA, STRICT_JSON))
+
+
 def normalise_records(
     df: DataFrame, id_cols: list[str], venues_col: str = "venues"
 ) -> DataFrame:

@@ -38,6 +38,7 @@ from sigflow.sources.tables import (
     events_time_text,
     lineitem_regression_frame,
     load_table,
+    order_notes,
     replayed_readings,
 )
 from sigflow.streaming.control import run_to_completion
@@ -299,6 +300,13 @@ def q_extract_json_array(spark, sf_dir):
     return docs.select("doc_id", F.size("venues").alias("venue_count"))
 
 
+def q_json_arrays(spark, sf_dir):
+    """Records of all JSON arrays in a note per order (two arrays in most of them), normalised."""
+    notes = text.extract_json_arrays(order_notes(load_table(spark, sf_dir, "lineitem")))
+    lists = notes.select("l_orderkey", F.posexplode_outer("venue_lists").alias("list_no", "venues"))
+    return _joined(text.normalise_records(lists, ["l_orderkey", "list_no"]))
+
+
 def q_normalise_records(spark, sf_dir):
     return _joined(venues.venue_records(_turns(spark, sf_dir)))
 
@@ -365,6 +373,7 @@ QUERIES: dict[str, Query] = {
     "route_intent": q_route_intent,
     "route_intent_keywords": q_route_intent_keywords,
     "extract_json_array": q_extract_json_array,
+    "json_arrays": q_json_arrays,
     "normalise_records": q_normalise_records,
     "cap_items": q_cap_items,
     "search_key": q_search_key,

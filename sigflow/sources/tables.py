@@ -116,6 +116,28 @@ def events_time_text(events: DataFrame) -> DataFrame:
     return events.select("event_id", text.alias("raw_time"))
 
 
+def order_notes(lineitem: DataFrame) -> DataFrame:
+    """A note per order, as a chat assistant writes one: prose with up to two JSON arrays
+    of records, the returned items and the others, and brackets and quotes that
+    belong to neither. An order has a handful of items."""
+    record = F.struct(
+        F.col("l_linenumber").alias("line"),
+        F.struct(
+            F.concat(F.lit("part ["), F.col("l_partkey").cast("string"), F.lit("]")).alias("name"),
+            F.col("l_quantity").cast("int").cast("string").alias("capacity"),
+            F.col("l_linenumber").alias("rating"),
+            F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string"))).alias("phone"),
+        ).alias("v"),
+    )
+    returned = F.col("l_returnflag") == "R"
+    lists = {n: F.transform(F.sort_array(F.collect_list(F.when(c, record))), lambda r: r.v) for n, c in (("a", returned), ("b", ~returned))}
+    orders = lineitem.groupBy("l_orderkey").agg(*[v.alias(k) for k, v in lists.items()])
+    text = F.concat(
+        F.lit('Returned [see 1], the 12" ones:\n'), F.to_json("a"), F.lit("\nnot returned: "), F.to_json("b"), F.lit(" [end")
+    )
+    return orders.select("l_orderkey", text.alias("text"))
+
+
 def messages_with_junk(events: DataFrame, conversations: DataFrame, labels: DataFrame) -> DataFrame:
     """A feed as brokers deliver it: readings as messages, their times in the forms of
     :func:`events_time_text` (a bare date has no time of day), among messages

@@ -53,6 +53,60 @@ def test_extract_json_array(spark):
     assert out[4] == []  # two arrays: the span is not one JSON value
 
 
+def brute_spans(t):
+    """Bracket by bracket: spans of balanced brackets that hold objects, the outermost ones."""
+    import re
+
+    found, open_at, quoted, k = [], [], False, 0
+    while k < len(t):
+        c = t[k]
+        if c == "\\" and k + 1 < len(t):
+            k += 2
+            continue
+        if c == '"' and open_at:
+            quoted = not quoted
+        elif c == "\n":
+            quoted = False
+        elif c == "[" and not quoted:
+            open_at.append(k)
+        elif c == "]" and not quoted and open_at:
+            found.append((open_at.pop(), k))
+        k += 1
+    arrays = [(a, b) for a, b in found if re.fullmatch(r"\[\s*\{.*\}\s*\]", t[a : b + 1], re.S)]
+    outer = [(a, b) for a, b in arrays if not any(x < a and y > b for x, y in arrays)]
+    return [t[a : b + 1] for a, b in sorted(outer)]
+
+
+def test_json_array_spans_match_a_plain_scan(spark):
+    import random
+
+    rng = random.Random(8)
+    parts = ["[", "]", "{", "}", '"', "\\", "\n", " ", "a", "é", '[{"name":"A"}]', '{"x":[1]}', "[{", "}]", '\\"', ","]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {r.id: r.s for r in df.select("id", text.json_array_spans(F.col("text")).alias("s")).collect()}
+    assert got == {k: brute_spans(t) for k, t in enumerate(texts)}
+
+
+def test_extract_json_arrays(spark):
+    more = JSON_TEXT + [
+        (11, 'it\'s [1] "odd [ {"name": "never closed" and [{"name": "H"}]'),
+        (12, '[{"name": "I", "amenities": ["x", "y]"]}, {"name": "J"}] [{"name": "K"}]'),
+        (13, '[{bad}] [{"name": "L"}]'), (14, ""), (15, '[[{"name": "M"}]]'), (16, "[]"),
+        (17, '[{"name": "a \\"quoted [\\" name"}]'), (18, "x" * 100_000 + '[{"name": "N"}]' + "[" * 1_000),
+    ]
+    df = spark.createDataFrame(more, "id long, text string")
+    out = {r.id: [[v.name for v in a] for a in r.venue_lists] for r in text.extract_json_arrays(df).collect()}
+    assert out[4] == [["A"], ["B"]] and out[8] == [["D"], ["E"]]
+    assert out[11] == [["H"]] and out[12] == [["I", "J"], ["K"]] and out[13] == [["L"]] and out[15] == [["M"]]
+    assert out[17] == [['a "quoted [" name']] and out[18] == [["N"]]
+    assert [out[k] for k in (2, 3, 6, 7, 14, 16)] == [[]] * 6
+    # where the greedy rule finds an array, it is the only one
+    greedy = {r.id: [v.name for v in r.venues] for r in text.extract_json_array(df).collect()}
+    assert all(out[k] == [v] for k, v in greedy.items() if v and k != 15)
+    assert text.extract_json_arrays(df.limit(0)).collect() == []
+
+
 def test_normalise_defaults(spark):
     df = text.extract_json_array(spark.createDataFrame(JSON_TEXT, "id long, text string"))
     rows = {r.id: r for r in text.normalise_records(df, ["id"]).collect()}
