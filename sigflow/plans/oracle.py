@@ -378,9 +378,10 @@ FROM spans""",
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS part
   FROM lineitem)
 SELECT l_orderkey, CAST(dense_rank() OVER (PARTITION BY l_orderkey ORDER BY part) - 1 AS INTEGER) AS list_no,
-       CAST(row_number() OVER (PARTITION BY l_orderkey, part ORDER BY l_linenumber, 'part [' || l_partkey || ']') - 1 AS INTEGER) AS pos,
-       'part [' || l_partkey || ']' AS name, NULL AS location, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS capacity,
-       NULL AS priceRange, CAST(l_linenumber AS DOUBLE) AS rating, NULL AS description, '' AS image,
+       CAST(row_number() OVER (PARTITION BY l_orderkey, part ORDER BY l_linenumber, 'part [' || l_partkey || ']',
+         CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), CAST(l_suppkey AS VARCHAR)) - 1 AS INTEGER) AS pos,
+       'part [' || l_partkey || ']' AS name, CAST(NULL AS VARCHAR) AS location, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS capacity,
+       CAST(NULL AS VARCHAR) AS priceRange, CAST(l_linenumber AS DOUBLE) AS rating, CAST(NULL AS VARCHAR) AS description, '' AS image,
        CASE WHEN l_linenumber % 2 = 0 THEN 'supplier ' || l_suppkey ELSE '{CONTACT_DEFAULT}' END AS phone,
        '{CONTACT_DEFAULT}' AS email, '{CONTACT_DEFAULT}' AS amenities, '{CONTACT_DEFAULT}' AS features
 FROM items""",

@@ -42,3 +42,26 @@ def test_module_entry_point(scratch):
                          cwd=ROOT, env=env, capture_output=True, text=True, timeout=300)
     assert bad.returncode != 0
     assert "sigflow report failed" in bad.stderr
+
+
+def test_consume_splits_deduplicates_and_compacts(spark, scratch):
+    """Rejected messages apart, replays added once, batch folders compacted: from the command line."""
+    import os
+
+    from sigflow.cli import main
+    from sigflow.sources.generations import generations, read_table
+
+    os.makedirs(f"{scratch}/messages")
+    lines = [f'{{"Date/Time": "{d:02d} 01 2018 00:10", "Wind Speed (m/s)": "{d}"}}' for d in range(1, 11)]
+    for k, part in enumerate((lines[5:], lines, ["junk", "{}", *lines[:2]])):
+        with open(f"{scratch}/messages/{k}.txt", "w") as f:
+            f.write("\n".join(part) + "\n")
+    common = ["consume", "--messages", f"{scratch}/messages", "--available-now", "--max-files-per-trigger", "1"]
+    main([*common, "--lake", f"{scratch}/all", "--rejected", f"{scratch}/rejected"])
+    assert read_table(spark, f"{scratch}/all").count() == 17 and read_table(spark, f"{scratch}/rejected").count() == 2
+    main([*common, "--lake", f"{scratch}/once", "--distinct"])
+    timed = lambda: read_table(spark, f"{scratch}/once").filter("signal_ts is not null")
+    assert timed().count() == 10
+    main(["compact", "--lake", f"{scratch}/once", "--ended", "--drop"])
+    assert generations(spark, f"{scratch}/once") == [1] and timed().count() == 10
+    assert not [d for d in os.listdir(f"{scratch}/once") if d.startswith("app_id=") and os.listdir(f"{scratch}/once/{d}")]
