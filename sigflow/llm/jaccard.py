@@ -14,17 +14,22 @@ connected component.
    entity with fewer than l of them cannot link and leaves; l is a twentieth
    of the size, or ten, or half of a very small set, which chance sharing
    does not reach.
-3. Groups: entities that share l entries, directly or over others, form a
-   family; entities of different families cannot link. A family is cut into
-   groups of bounded size. A few hubs, the entities with the most shared
-   entries, join every group of a large family, which ties the groups together.
-4. Within a group components are found exactly, searching only members not
-   yet reached; the union of their tokens bounds the overlap first.
-5. Across groups of a large family, entities of the smaller components query
-   the groups of the larger ones: the matrix (token, group) names the groups
-   that hold one of their prefix tokens in fitting size. A group is opened
-   only if the query's overlap with the union of its tokens reaches the
-   threshold; one link to a component is enough.
+3. Entities that share l entries, directly or over others, form a family;
+   entities of different families cannot link.
+4. A family of at most ``LOCAL`` tokens is searched in one task. Its members are
+   put in an order in which similar ones lie side by side (by the smallest of
+   their scrambled shared tokens) and cut into groups. The matrix of groups and
+   tokens holds the union of each group's tokens; a member's overlap with a
+   union, against the sizes in the group, says whether the group can hold a
+   partner. Only such groups are opened, and only for members not yet reached:
+   one link to a component is enough.
+5. A larger family is dealt over many tasks in parts of bounded size, each
+   searched in the same way. A few hubs, the entities with the most shared
+   entries, join every part, which ties the parts together. Across parts,
+   entities of the smaller components query the parts of the larger ones: the
+   matrix (token, part) names the parts that hold enough of their prefix tokens
+   in fitting size, and a part is opened only if the query's overlap with the
+   union of its tokens reaches the threshold.
 
 No step forms the pairs of a group, and nothing but the sketch (fixed size)
 reaches the driver. Overlaps are counted on 58-bit token hashes, sizes on 64.
@@ -54,6 +59,7 @@ SHINGLE = 5
 NUM, DEN = 80, 100
 SKETCH_BITS = 16
 GROUP = 48  # entities in a group: small, so that groups spread evenly over tasks
+LOCAL = 4_000_000  # tokens of a family that one task searches (32 MB)
 HUBS = 4
 LEAST = 10  # prefix tokens to share, beyond very small sets; see shared_least
 FEW = 16  # holders up to which a token's holders are counted pair by pair
@@ -352,8 +358,47 @@ def _edge_table(u: list, v: list) -> pa.Table:
     return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=_EDGES)
 
 
-def _components_of_group(num: int, den: int):
-    """Components within one group, as edges to one member each; hubs are searched from first."""
+def similar_groups(sets: TokenSets, size: int) -> list[np.ndarray]:
+    """Members in groups of ``size``, similar ones together: in the order of the two
+    smallest scrambled tokens that others hold too, then by size."""
+    m = len(sets.size)
+    if m <= size:
+        return [np.arange(m)]
+    held = np.bincount(sets.token, minlength=sets.n_tokens) > 1
+    scrambled = K.mix(np.arange(sets.n_tokens, dtype=K.U) + K.U(1)) >> K.U(1)
+    none = K.U((1 << 63) - 1)
+    keys = np.where(held, scrambled, none)[sets.token]
+    filled = np.flatnonzero(sets.size)
+    least = [np.full(m, none), np.full(m, none)]
+    for key in least:
+        key[filled] = np.minimum.reduceat(keys, sets.at[filled])
+        keys = np.where(keys == np.repeat(key, sets.size), none, keys)
+    order = np.lexsort((sets.size, *reversed(least)))
+    return [order[k : k + size] for k in range(0, m, size)]
+
+
+def qualifying(sets: TokenSets, groups: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Matrix (member, group): whether the member's overlap with the union of the group's
+    tokens, those of other members, can reach the threshold with a size in the group."""
+    m = len(sets.size)
+    out = np.zeros((m, len(groups)), dtype=bool)
+    filled = np.flatnonzero(sets.size)
+    for g, rows in enumerate(groups):
+        held = np.bincount(sets.gather(rows)[0], minlength=sets.n_tokens)
+        overlap = np.zeros(m, dtype=np.int64)
+        overlap[filled] = np.add.reduceat((held > 0)[sets.token], sets.at[filled])
+        twice = held > 1
+        for i in rows.tolist():  # a member's own tokens count only if another one holds them
+            overlap[i] = int(twice[sets.tokens(i)].sum())
+        n = sets.size
+        least = np.maximum(sets.size[rows].min(), -(-num * n // den))  # smallest fitting size in the group
+        fits = (least <= sets.size[rows].max()) & (den * n >= num * least)
+        out[:, g] = fits & ((num + den) * overlap >= num * (n + least))
+    return out
+
+
+def _components_of_group(num: int, den: int, size: int):
+    """Components within a family or a part of one, as edges to one member each; hubs are searched from first."""
 
     def run(group: pa.Table) -> pa.Table:
         e = group.column("e").to_pylist()
@@ -361,22 +406,34 @@ def _components_of_group(num: int, den: int):
         frequency = np.bincount(sets.token, minlength=sets.n_tokens)
         weight = np.array([int(frequency[sets.tokens(i)].sum()) for i in range(len(e))])
         hub = np.array(group.column("hub").to_pylist(), dtype=bool)
-        left = np.lexsort((-weight, ~hub))  # not yet reached
+        groups = similar_groups(sets, size)
+        of = np.empty(len(e), dtype=np.int64)
+        for g, rows in enumerate(groups):
+            of[rows] = g
+        may = qualifying(sets, groups, num, den) if len(groups) > 1 else np.ones((len(e), 1), dtype=bool)
+        waiting = np.ones(len(e), dtype=bool)  # not yet reached
+        opened: dict[int, tuple] = {}  # group: its waiting members, their tokens, the union of these
         u, v = [], []
-        while len(left) > 1:
-            seed, left = int(left[0]), left[1:]
+        for seed in np.lexsort((-weight, ~hub)).tolist():
+            if not waiting[seed]:
+                continue
+            waiting[seed] = False
+            opened.pop(int(of[seed]), None)
             queue = [seed]
-            gathered = sets.gather(left)
-            union = sets.union(gathered[0])
-            while queue and len(left):
-                found = sets.linked(queue.pop(), left, gathered, union, num, den)
-                if len(found):
-                    u += [e[i] for i in found.tolist()]
-                    v += [e[seed]] * len(found)
-                    queue += found.tolist()
-                    left = left[~np.isin(left, found)]
-                    gathered = sets.gather(left)
-                    union = sets.union(gathered[0])
+            while queue:
+                q = queue.pop()
+                for g in np.flatnonzero(may[q]).tolist():
+                    if g not in opened:
+                        rows = groups[g][waiting[groups[g]]]
+                        tokens = sets.gather(rows)
+                        opened[g] = rows, tokens, sets.union(tokens[0])
+                    found = sets.linked(q, *opened[g], num, den)
+                    if len(found):
+                        u += [e[i] for i in found.tolist()]
+                        v += [e[seed]] * len(found)
+                        queue += found.tolist()
+                        waiting[found] = False
+                        del opened[g]
         return _edge_table(u, v)
 
     return run
@@ -405,7 +462,7 @@ def _open_group(num: int, den: int):
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, num: int = NUM,
-    den: int = DEN, group: int = GROUP,
+    den: int = DEN, group: int = GROUP, local: int = LOCAL,
 ) -> DataFrame:
     """doc_id, n_shingles (long), component_id (smallest id reachable by links, itself included)."""
     spark = docs.sparkSession
@@ -436,10 +493,12 @@ def near_duplicates(
     entries = _able(entries, num, den).checkpoint()
 
     families = components(_family_edges(entries, num, den))
-    held = entries.groupBy("e").agg(F.count(F.lit(1)).alias("held"))
-    sizes = families.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / F.lit(group)).cast("int").alias("groups"))
+    held = entries.groupBy("e").agg(F.count(F.lit(1)).alias("held"), F.max("n").alias("n"))
+    members = families.join(held, F.col("node") == F.col("e"))
+    parts = F.when(F.sum("n") <= local, 1).otherwise(F.ceil(F.count(F.lit(1)) / F.lit(group)))
+    sizes = members.groupBy("comp").agg(parts.cast("int").alias("groups"))
     placed = (
-        families.join(sizes, "comp").join(held, F.col("node") == F.col("e"))
+        members.join(sizes, "comp")
         .select("e", F.col("comp").alias("family"), "groups", "held")
         .withColumn("part", F.pmod(F.xxhash64("e"), F.col("groups")).cast("int"))
     )
@@ -459,7 +518,7 @@ def near_duplicates(
 
     everywhere = F.when(F.col("hub"), F.sequence(F.lit(0), F.col("groups") - 1)).otherwise(F.array("part"))
     grouped = sets.select("e", "family", "hub", "tokens", F.explode(everywhere).alias("part"))
-    links = grouped.groupBy("family", "part").applyInArrow(_components_of_group(num, den), EDGES).checkpoint()
+    links = grouped.groupBy("family", "part").applyInArrow(_components_of_group(num, den, group), EDGES).checkpoint()
     if placed.filter("groups > 1").limit(1).count():
         links = links.unionByName(_across(placed, entries, sets, links, num, den, group))
 

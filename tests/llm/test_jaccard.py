@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from sigflow.llm import jaccard
@@ -66,11 +67,30 @@ def test_matches_brute_force(docs, k, num, den):
     assert got(jaccard.near_duplicates(docs, shingle=k, num=num, den=den)) == brute(rows, k, num, den)
 
 
-@pytest.mark.parametrize("group", [512, 12, 5])
-def test_large_families_are_split(spark, group):
+@pytest.mark.parametrize("group, local", [(512, 0), (12, 0), (5, 0), (12, 3000), (5, jaccard.LOCAL), (48, jaccard.LOCAL)])
+def test_large_families_are_split(spark, group, local):
+    """Dealt over tasks in parts of ``group``, or searched in one task by groups of similar ones."""
     rows = near_copies(group)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert got(jaccard.near_duplicates(df, shingle=4, num=85, den=100, group=group)) == brute(rows, 4, 85, 100)
+    out = jaccard.near_duplicates(df, shingle=4, num=85, den=100, group=group, local=local)
+    assert got(out) == brute(rows, 4, 85, 100)
+
+
+def test_groups_that_cannot_qualify_hold_no_partner():
+    """Every pair that links is in an opened group; of unlike families hardly any is opened."""
+    rows = near_copies(3, families=8, size=24, most=4)[:150]
+    sets = [shingles(t, 4) for _, t in rows]
+    names = {x: i for i, x in enumerate(sorted({x for s in sets for x in s}))}
+    blobs = [np.array(sorted(names[x] for x in s), dtype="<u8").tobytes() for s in sets]
+    held = jaccard.TokenSets(blobs)
+    groups = jaccard.similar_groups(held, 8)
+    assert sorted(i for g in groups for i in g.tolist()) == list(range(len(sets)))
+    may = jaccard.qualifying(held, groups, 85, 100)
+    for i, a in enumerate(sets):
+        for g, members in enumerate(groups):
+            linked = [j for j in members.tolist() if j != i and 100 * len(a & sets[j]) >= 85 * len(a | sets[j])]
+            assert may[i, g] or not linked
+    assert may.sum() < 0.4 * may.size
 
 
 def test_chain_across_groups(spark):
@@ -82,8 +102,9 @@ def test_chain_across_groups(spark):
         rows.append((i, " ".join(w)))
         w[rng.randrange(len(w))] = f"new{i}"
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for group in (4, 9):
-        assert got(jaccard.near_duplicates(df, shingle=4, num=85, den=100, group=group)) == brute(rows, 4, 85, 100)
+    for group, local in ((4, 0), (9, 0), (4, jaccard.LOCAL)):
+        out = jaccard.near_duplicates(df, shingle=4, num=85, den=100, group=group, local=local)
+        assert got(out) == brute(rows, 4, 85, 100)
 
 
 def test_empty_null_and_repeated(spark, empty):
