@@ -166,7 +166,7 @@ PREFIXES = "bin int, data binary"
 
 def shared_least(n):
     """Prefix tokens that linked sets share, by the smaller size of the two."""
-    return np.maximum(n // 20, np.minimum((n + 1) // 2, LEAST))
+    return np.maximum(n // 8, np.minimum((n + 1) // 2, LEAST))
 
 
 def _prefix(k: int, num: int, den: int, levels: np.ndarray, bins: int):
@@ -253,7 +253,7 @@ def _entries(num: int, den: int, bins: int):
 
 def _least(n: Column) -> Column:
     """:func:`shared_least` as a column expression."""
-    return F.greatest(F.floor(n / F.lit(20)), F.least(F.floor((n + F.lit(1)) / F.lit(2)), F.lit(LEAST)))
+    return F.greatest(F.floor(n / F.lit(8)), F.least(F.floor((n + F.lit(1)) / F.lit(2)), F.lit(LEAST)))
 
 
 def _least_any(num: int, den: int) -> Column:
