@@ -75,7 +75,7 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarr
         lo, hi = int(offsets[i]), int(offsets[j])
         seg = K.lower_ascii(buf[lo:hi])
         starts, ends, row = K.word_bounds(seg, offsets[i:j] - lo)
-        words = K.range_hash(K.prefix_hash(seg), starts, ends)
+        words = K.word_hash(seg, starts, ends)
         count = np.bincount(row, minlength=j - i)
         first = np.concatenate(([0], np.cumsum(count)))[:-1]
         n = np.where(count >= k, count - k + 1, np.minimum(count, 1))

@@ -2,8 +2,8 @@
 
 Documents are joined on winnowed anchors (``repeats``): every window of 20
 words holds one, so no repeat of 20 words or more is missed. The spans that
-share an anchor are extended from it word by word, to both sides, as classes
-of equal extensions; a span leaves a side as soon as no other extends the
+share an anchor (the same words, not just the same hash) are extended from it
+word by word, to both sides, as classes of equal extensions; a span leaves a side as soon as no other extends the
 same way, so no pair is ever formed. A window is repeated when its left and
 its right extension are; overlapping windows join into maximal repeats, and
 every word of a repeat that also starts earlier is removed.
@@ -59,13 +59,15 @@ def extend_seeds(s: Scheme, x: Spans) -> tuple[np.ndarray, np.ndarray]:
     """Windows of the spans whose word sequence also starts earlier."""
     row_starts = x.offs[:-1]
     starts, ends, row = K.word_bounds(x.buf, row_starts)
-    words = K.range_hash(K.prefix_hash(x.buf), starts, ends)
+    # words by number, so equal classes are equal words and not just equal hashes
+    words = K.binary_column(x.buf, starts, ends).dictionary_encode().indices.to_numpy(zero_copy_only=False)
     first = np.searchsorted(row, np.arange(len(row_starts)))
     count = np.bincount(row, minlength=len(row_starts))
     most = s.length - s.gram
     anchor = first + x.off
-    right = _extend(x.group, anchor + s.gram, count - x.off - s.gram, 1, words, most)
-    left = _extend(x.group, anchor - 1, x.off, -1, words, most)
+    seed = _extend(x.group, anchor, np.full(len(anchor), s.gram), 1, words, s.gram)[-1]
+    right = _extend(seed, anchor + s.gram, count - x.off - s.gram, 1, words, most)
+    left = _extend(seed, anchor - 1, x.off, -1, words, most)
     rows, windows = [], []
     for back in range(most + 1):
         a, b = left[back], right[most - back]

@@ -107,6 +107,13 @@ def test_chain_across_groups(spark):
         assert got(out) == brute(rows, 4, 85, 100)
 
 
+def test_words_that_a_polynomial_confuses(spark):
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << 11))
+    rows = [(1, f"x y {a} z"), (2, f"x y {a.translate(str.maketrans('ab', 'ba'))} z"), (3, f"X y {a} z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(jaccard.near_duplicates(df, shingle=4, num=85, den=100)) == {1: (1, 1), 2: (1, 2), 3: (1, 1)}
+
+
 def test_empty_null_and_repeated(spark, empty):
     assert jaccard.near_duplicates(empty).count() == 0
     t = "a b c d e f g"

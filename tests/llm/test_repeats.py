@@ -90,6 +90,38 @@ def test_frequent_anchors_window_by_window(docs, monkeypatch, hot):
     assert got(suffixes.repeated_bytes(docs)) == brute_bytes(rows_of(docs))
 
 
+def thue_morse(bits):
+    """Two words of 2 ** bits letters that a polynomial modulo 2 ** 64 can't tell apart."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << bits))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_a_polynomial_confuses(spark):
+    a, b = thue_morse(11)
+    buf = np.frombuffer(f"{a} {b}".encode(), dtype=np.uint8)
+    starts, ends = np.array([0, len(a) + 1]), np.array([len(a), 2 * len(a) + 1])
+    assert len(set(K.range_hash(K.prefix_hash(buf), starts, ends).tolist())) == 1
+    assert len(set(K.word_hash(buf, starts, ends).tolist())) == 2
+    words = [f"w{i}" for i in range(24)]
+    for at in (12, 3, 20):  # in the middle of every window, and where an anchor may lie
+        rows = [(k, " ".join(words[:at] + [x] + words[at:])) for k, x in enumerate((a, b))]
+        rows += [(2, rows[1][1])]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert got(substring.repeated_words(df)) == brute_words(rows)
+
+
+def test_word_hashes_follow_the_bytes():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("ab\0é", k=rng.randint(1, 20))).encode() for _ in range(4000)]
+    words += [b"x" * n for n in range(1, 200)] * 2
+    buf = np.frombuffer(b"".join(words), dtype=np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    h = K.word_hash(buf, ends - np.array([len(w) for w in words]), ends).tolist()
+    of = {}
+    assert all(of.setdefault(w, x) == x for w, x in zip(words, h)) and len(set(of.values())) == len(of)
+    assert len(K.word_hash(buf[:0], ends[:0], ends[:0])) == 0
+
+
 def test_empty_table(empty):
     assert substring.repeated_words(empty).count() == 0
     assert suffixes.repeated_bytes(empty).count() == 0
