@@ -115,26 +115,26 @@ def fingerprints(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return a.view(np.int64), b.view(np.int64)
 
 
-DESCRIBED = "doc_id long, n long, e long, f long, counts array<long>"
+DESCRIBED = "doc_id long, h long, n long, e long, f long, counts array<long>"
 
 
 def _describe(k: int):
-    names = ["doc_id", "n", "e", "f", "counts"]
+    names = ["doc_id", "h", "n", "e", "f", "counts"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
-            h, at = shingle_sets(*K.text_buffer(batch.column(1)), k)
+            h, at = shingle_sets(*K.text_buffer(batch.column(2)), k)
             counts += np.bincount((h >> K.U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
             a, b = fingerprints(h, at)
             none = pa.nulls(batch.num_rows, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(at)), pa.array(a), pa.array(b), none], names=names
+                [*batch.columns[:2], pa.array(np.diff(at)), pa.array(a), pa.array(b), none], names=names
             )
         if counts.any():
             none = pa.nulls(1, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, none, none, pa.array([counts], pa.list_(pa.int64()))], names=names
+                [none, none, none, none, none, pa.array([counts], pa.list_(pa.int64()))], names=names
             )
 
     return run
@@ -465,6 +465,26 @@ def near_duplicates(
     den: int = DEN, group: int = GROUP, local: int = LOCAL,
 ) -> DataFrame:
     """doc_id, n_shingles (long), component_id (smallest id reachable by links, itself included)."""
+    rows, reps, found = _linked(docs, id_col, text_col, shingle, num, den, group, local)
+    least = reps.join(found, reps["e"] == found["node"]).groupBy("comp").agg(F.min("rep").alias("component_id"))
+    named = found.join(least, "comp").select(F.col("node").alias("e"), "component_id")
+    classes = reps.join(named, "e", "left").select(
+        "n", "e", "f", F.coalesce("component_id", "rep").alias("component_id")
+    )
+    out = rows.join(classes, ["n", "e", "f"], "left")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select(
+        F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.nullif(component, F.lit(NO_ID)).alias("component_id"),
+    )
+
+
+def _linked(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, num: int = NUM, den: int = DEN,
+    group: int = GROUP, local: int = LOCAL,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, a text hash h, n, e, f), entities (n, e, f and their smallest id rep)
+    and the components (node, comp) of the entities ``e`` that link with any."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     if 2 * num < den:
@@ -472,6 +492,7 @@ def near_duplicates(
     width = shuffle_width(spark)
     slim = docs.select(
         F.coalesce(column(docs, id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
+        F.xxhash64(column(docs, text_col).cast("string")).alias("h"),
         column(docs, text_col).cast("string").alias("text"),
     )
 
@@ -484,7 +505,7 @@ def near_duplicates(
     for r in load:
         counts[r.b] = r.c
     levels = frequency_levels(counts)
-    rows = described.filter("counts is null").select("doc_id", "n", "e", "f")
+    rows = described.filter("counts is null").select("doc_id", "h", "n", "e", "f")
     reps = rows.filter("n > 0").groupBy("n", "e", "f").agg(F.min("doc_id").alias("rep"))
 
     bins = width + 1
@@ -510,7 +531,7 @@ def near_duplicates(
     wanted = placed.join(hubs, "e", "left").join(reps.select("e", F.col("rep").alias("doc_id")), "e").select(
         "doc_id", "e", "family", "part", "groups", F.coalesce("hub", F.lit(False)).alias("hub")
     )
-    texts = wanted.join(slim, "doc_id")
+    texts = wanted.join(slim.select("doc_id", "text"), "doc_id")
     names = ["e", "family", "part", "groups", "hub", "tokens"]
     sets = texts.select("e", "family", "part", "groups", "hub", "text").mapInArrow(
         _sets(shingle, levels, names), "e long, family long, part int, groups int, hub boolean, tokens binary"
@@ -522,18 +543,7 @@ def near_duplicates(
     if placed.filter("groups > 1").limit(1).count():
         links = links.unionByName(_across(placed, entries, sets, links, num, den, group))
 
-    found = components(links)
-    least = reps.join(found, reps["e"] == found["node"]).groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = found.join(least, "comp").select(F.col("node").alias("e"), "component_id")
-    classes = reps.join(named, "e", "left").select(
-        "n", "e", "f", F.coalesce("component_id", "rep").alias("component_id")
-    )
-    out = rows.join(classes, ["n", "e", "f"], "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select(
-        F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.nullif(component, F.lit(NO_ID)).alias("component_id"),
-    )
+    return rows, reps, components(links)
 
 
 def _across(placed, entries, sets, links, num: int, den: int, group: int) -> DataFrame:
@@ -572,22 +582,40 @@ def _across(placed, entries, sets, links, num: int, den: int, group: int) -> Dat
     return members.groupBy(*where).cogroup(asked.groupBy(*where)).applyInArrow(_open_group(num, den), EDGES).checkpoint()
 
 
+SALTS = 32  # parts that rows repeated with one id and text are first reduced in
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of ``docs`` for every component, the one with its smallest id.
 
     Rows are judged by their own text, whatever id they share or lack; a row without an id stays only if its
-    component has no id. Blank texts are alone, of equal ones with the same id one stays.
+    component has no id. Of rows repeated with one id and text one stays. Blank texts are alone, of equal ones
+    with the same id one stays.
     """
-    row = free_name(docs, "row")
-    ensure_checkpoint_dir(docs.sparkSession)
-    rows = docs.withColumn(row, F.monotonically_increasing_id()).checkpoint()  # the numbers stay as they are
-    found = near_duplicates(rows, row, text_col, **options)
-    mine = rows.select(column(rows, row).alias("doc_id"), column(rows, id_col).alias("id"), F.xxhash64(column(rows, text_col)).alias("h"))
-    blank = F.col("n_shingles") == 0
-    judged = found.join(mine, "doc_id").select(
-        "id", "h", F.col("doc_id").alias("at"), F.when(~blank, F.col("component_id")).alias("c"),
-        F.when(blank, F.struct("id", "h")).alias("b"),
+    rows, _, found = _linked(docs, id_col, text_col, **options)
+    judged = rows.join(found, F.col("e") == F.col("node"), "left").select(
+        F.col("doc_id").alias("k"), "h", F.coalesce("comp", "e").alias("c"), (F.col("n") == 0).alias("blank")
+    )
+    # a null id sorts after all others; of one id's texts in a component the one of smaller hash stays
+    first = judged.filter("not blank").groupBy("c").agg(F.min(F.struct("k", "h")).alias("w")).select("w.k", "w.h")
+    blank = judged.filter("blank").select("k", "h").distinct()
+    times = judged.groupBy("k", "h").agg(F.count(F.lit(1)).alias("times"))
+    kept = first.unionByName(blank).distinct().join(times, ["k", "h"]).checkpoint()
+
+    names = {x: free_name(docs, x) for x in ("k", "h", "salt")}
+    keyed = docs.withColumns({
+        names["k"]: F.coalesce(column(docs, id_col).cast("long"), F.lit(NO_ID)),
+        names["h"]: F.xxhash64(column(docs, text_col).cast("string")),
+    })
+    once = kept.filter("times = 1").select(F.col("k").alias(names["k"]), F.col("h").alias(names["h"]))
+    alone = keyed.join(once, [names["k"], names["h"]], "left_semi")
+    # repeated rows in parts first: a third of all rows may be one of them
+    again = kept.filter("times > 1").select(
+        F.col("k").alias(names["k"]), F.col("h").alias(names["h"]),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(names["salt"]),
     )
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "at"))["at"]
-    keep = judged.groupBy("c", "b").agg(first.alias("at")).select("at")
-    return rows.join(keep, column(rows, row) == keep["at"], "left_semi").drop(row)
+    salted = keyed.withColumn(names["salt"], F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    parts = salted.join(again, [names["k"], names["h"], names["salt"]], "left_semi")
+    reduced = parts.dropDuplicates([names["k"], names["h"], names["salt"]]).drop(names["salt"])
+    out = alone.unionByName(reduced.dropDuplicates([names["k"], names["h"]]))
+    return out.select(*(column(out, c) for c in docs.columns))
