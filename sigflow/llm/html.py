@@ -9,13 +9,19 @@ or below an element whose class or id says menu, sidebar, notice, advert or
 reader comment, is one factor of the score each. The smallest element with
 nearly all selected text is the home of the text (the article or main element
 around it, if there is one); within it, headings and short paragraphs that a
-ratio alone would lose are joined by the selected nodes next to them, blocks of
-links excepted.
-
-Elements whose tag or role says menu, header, footer, form and the like are
-never content. Those with such a class or id go only if they hold neither an
-article nor a main element and a minor share of the page's text, which counts
-less where the name says nothing else: wrappers may carry any name.
+ratio alone would lose are joined by the selected nodes next to them, outside
+of an article blocks of links excepted. Selected nodes elsewhere stay, those of
+other articles excepted.
+
+Scripts, styles and controls are never content. Menus, headers, footers, asides
+and forms, by their tag, go unless they hold an article or main element or
+nearly all of the page's text in sentences: a form may be wrapped around the
+page, a menu may lack its end. Elements whose class or id says such a thing go
+only if they hold neither an article nor a main element and a minor share of
+the page's text, which counts less where the name says nothing else: wrappers
+may carry any name. Reader comments are told by their name together with their
+structure, however long they are: the name holds nothing but such words, or the
+element holds several like blocks.
 
 Pages are parsed one by one inside Arrow tasks; nothing is shuffled.
 
@@ -47,9 +53,15 @@ BLOCK = frozenset(
 )
 # Elements whose text is never content.
 NEVER = frozenset(
-    "script style noscript template head title nav footer aside form button select option textarea input svg math "
-    "canvas iframe object audio video map menu dialog".split()
+    "script style noscript template head title button select option textarea input svg math canvas iframe object audio "
+    "video map".split()
 )
+# Elements whose tag says that they are not content, if they don't hold it all.
+ASIDES = frozenset("nav footer aside form menu dialog".split())
+# Elements that a document's head may hold; any other start tag ends it.
+IN_HEAD = frozenset("head html title meta link base script style noscript template".split())
+# A main element is in none of these, an article in no menu: an open one lacks its end tag.
+NOT_AROUND = {"main": frozenset("nav aside header footer menu".split()), "article": frozenset(["nav", "menu"])}
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
 # Words of class and id names that mark an element as not content.
 MARKS = frozenset(
@@ -59,6 +71,13 @@ MARKS = frozenset(
     "login share sharing social related recommended recommendations widget toolbar pagination pager copyright".split()
 )
 HEADER_MARKS = frozenset(["header", "head"])
+COMMENT_MARKS = frozenset("comment comments commentlist reply replies disqus responses".split())
+# Words that go with them in the names of comment sections.
+COMMENT_PARTS = frozenset(
+    "post article entry page reader readers user users area list section box wrap wrapper container content block body "
+    "thread threads item holder count form title text meta author depth even odd parent child children inner outer main "
+    "respond the and".split()
+)
 CONTAINERS = frozenset(["article", "main"])
 # A start tag in a row's list closes an open element of that row's name.
 CLOSES = {
@@ -82,10 +101,11 @@ MARKED = 0.1  # factor of paths below a marked element, and of text below one wh
 
 class Element:
     """``container``: the outermost article or main element around it, itself included.
-    ``mark``: what its class or id says, 0 nothing, 1 among others not content, 2 that alone.
+    ``mark``: what its class or id says, 0 nothing, 1 among others not content, 2 that alone,
+    3 reader comments; ``aside`` what its tag says.
     """
 
-    __slots__ = ("tag", "parent", "path", "dropped", "mark", "marked", "holds", "container", "text", "inside")
+    __slots__ = ("commented", "tag", "parent", "path", "dropped", "mark", "marked", "holds", "container", "text", "inside", "aside")
 
     def __init__(self, tag: str, parent, path: int, dropped: bool, mark: int = 0):
         self.tag, self.parent, self.path, self.dropped, self.mark = tag, parent, path, dropped, mark
@@ -95,6 +115,8 @@ class Element:
         self.holds = False  # an article or main element below
         self.text = 0  # selected characters in it and below
         self.inside = False  # of the chosen element
+        self.commented = False  # its name speaks of comments among other things
+        self.aside = tag in ASIDES or tag == "header" and above is None
 
 
 class Page(HTMLParser):
@@ -119,17 +141,18 @@ class Page(HTMLParser):
     def _unwanted(self, tag: str, attrs: dict, top: Element) -> bool:
         if tag in NEVER:
             return True
-        inside = top.container is not None
-        if tag == "header":
-            return not inside
         if tag in ("html", "body", *CONTAINERS):
             return False
         return "hidden" in attrs or (attrs.get("role") or "").lower() in ROLES
 
     def _mark(self, tag: str, attrs: dict, top: Element) -> int:
-        if tag in ("html", "body", "header", *CONTAINERS):
+        if tag in ("html", "body", "header", "main"):
             return 0
         words = set(re.split(r"[^a-z0-9]+", f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower())) - {""}
+        if words & COMMENT_MARKS and all(w in COMMENT_MARKS or w in COMMENT_PARTS or w.isdigit() for w in words):
+            return 3
+        if tag == "article":
+            return 0
         marks = words & (MARKS if top.container is not None else MARKS | HEADER_MARKS)
         return 2 if marks and marks == words else int(bool(marks))
 
@@ -146,6 +169,13 @@ class Page(HTMLParser):
             self.links += 1
         if tag in VOID and tag != "hr":
             return
+        if self.stack[-1].tag == "head" and tag not in IN_HEAD:
+            self._pop_to(len(self.stack) - 1)
+        around = NOT_AROUND.get(tag)
+        if around:
+            open_at = next((k for k, e in enumerate(self.stack) if e.tag in around), None)
+            if open_at is not None:
+                self._pop_to(open_at)
         block = tag in BLOCK or tag in NEVER
         named = dict(attrs) if attrs else {}
         top = self.stack[-1]
@@ -161,8 +191,11 @@ class Page(HTMLParser):
         label = f"{tag}.{named['class']}" if named.get("class") else tag
         path = self.paths.setdefault((top.path, label), len(self.paths) + 1)
         dropped = top.dropped or self._unwanted(tag, named, top)
-        self.stack.append(Element(tag, top, path, dropped, self._mark(tag, named, top) if named else 0))
-        self.elements.append(self.stack[-1])
+        element = Element(tag, top, path, dropped, self._mark(tag, named, top) if named else 0)
+        name = f"{named.get('class') or ''} {named.get('id') or ''}".lower() if named and tag not in ("html", "body", "main") else ""
+        element.commented = any(w in COMMENT_MARKS for w in re.split(r"[^a-z0-9]+", name)) if name else False
+        self.stack.append(element)
+        self.elements.append(element)
         self.open[tag] += 1
 
     def handle_endtag(self, tag: str) -> None:
@@ -178,6 +211,8 @@ class Page(HTMLParser):
                 return  # a stray end tag does not leave the article
 
     def handle_data(self, data: str) -> None:
+        if self.stack[-1].tag == "head" and data.strip():
+            self._pop_to(len(self.stack) - 1)
         if not self.stack[-1].dropped:
             self.parts.append(data)
             if self.links:
@@ -200,19 +235,54 @@ def add_up(elements: list[Element], blocks: list[tuple[Element, str, int]]) -> i
     return elements[0].text
 
 
+def _comments(page: Page) -> set[int]:
+    """Numbers of the elements that hold reader comments: named so and nothing else, or
+    named so among others and holding several like blocks."""
+    alike: dict[int, Counter[int]] = {}
+    number = {id(e): k for k, e in enumerate(page.elements)}
+    for e in page.elements:
+        if e.parent is not None and e.tag in ("li", "div", "article", "section"):
+            alike.setdefault(number[id(e.parent)], Counter())[e.path] += 1
+    out: set[int] = set()
+    for k, e in enumerate(page.elements):
+        if e.parent is not None and number[id(e.parent)] in out:
+            out.add(k)
+        elif e.mark == 3 or e.commented and max(alike.get(k, {0: 0}).values()) > 1:
+            out.add(k)
+    return out
+
+
 def without_marked(page: Page) -> list[tuple[Element, str, int]]:
-    """The page's blocks but those below marked elements of minor share."""
-    if not any(e.mark for e in page.elements):
+    """The page's blocks but those in reader comments, and those below elements that are
+    not content by their tag or name: see the module text for when such an element stays."""
+    if not any(e.mark or e.aside for e in page.elements):
         return page.blocks
+    comments = _comments(page)
     for e in reversed(page.elements):
-        if e.parent is not None and (e.holds or e.tag in CONTAINERS):
+        e.holds = e.holds or e.tag in CONTAINERS
+    for k in range(len(page.elements) - 1, 0, -1):
+        e = page.elements[k]
+        if k in comments:
+            e.dropped, e.holds = True, False
+        elif e.holds:
             e.parent.holds = True
-    blocks = page.blocks
+    blocks = [b for b in page.blocks if not b[0].dropped]
+    sentences: Counter[int] = Counter()
+    for e, text, linked in blocks:
+        if 2 * linked < len(text) and PUNCTUATION.search(text):
+            while e is not None:
+                sentences[id(e)] += 1
+                e = e.parent
+    total = add_up(page.elements, blocks)
+    for e in page.elements:  # by the tag
+        whole = e.holds or (sentences[id(e)] > 1 and MARKED * e.text >= total - e.text)
+        e.dropped = e.dropped or (e.aside and not whole) or (e.parent is not None and e.parent.dropped)
+    blocks = [b for b in blocks if not b[0].dropped]
     for mark, weight in ((2, MARKED), (1, 1.0)):  # the clear names first
         total = add_up(page.elements, blocks)
         for e in page.elements:
             minor = e.mark == mark and not e.holds and weight * e.text < total - e.text
-            e.dropped = minor or (e.parent is not None and e.parent.dropped)
+            e.dropped = e.dropped or minor or (e.parent is not None and e.parent.dropped)
         left = [b for b in blocks if not b[0].dropped]
         blocks = left or blocks
     return blocks
@@ -285,9 +355,10 @@ def main_text(html: str | None) -> str:
     home.inside = True
     for e in page.elements:
         e.inside = e.inside or (e.parent is not None and e.parent.inside)
-    found = [b for b in blocks if b[0].inside]
+    # the home's blocks, and what is selected elsewhere but in other articles
+    found = [b for b in blocks if b[0].inside or scores[b[0].path] >= line and b[0].container is None]
     taken = [scores[e.path] >= line for e, _, _ in found]
-    plain = [2 * linked < len(text) for _, text, linked in found]
+    plain = [e.container is not None or 2 * linked < len(text) for e, text, linked in found]
     for order in (range(1, len(found)), range(len(found) - 2, -1, -1)):
         step = -1 if order.step > 0 else 1
         for i in order:

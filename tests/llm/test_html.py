@@ -112,11 +112,100 @@ def test_body_outside_of_article_cards():
     assert main_text(page) == "\n".join([*BODY, "Short end"])
 
 
-def test_paths_select_within_an_article_too():
-    """The tag alone does not make a block content: lists of links in an article go, short paragraphs stay."""
-    links = "".join(f"<li><a href='/{i}'>Another page {i}</a></li>" for i in range(5))
-    page = f"<body><article><h1>Title</h1>{PARAGRAPHS}<h2>Part</h2><div><span>note</span></div><ul>{links}</ul></article></body>"
-    assert main_text(page) == "\n".join(["Title", *BODY, "Part", "note"])
+def test_an_article_keeps_its_lists_of_links():
+    """Sources at its end stay, with their heading; a menu or a marked list of links in it goes."""
+    links = "".join(f"<li><a href='/{i}'>Source {i}</a></li>" for i in range(5))
+    listed = [f"Source {i}" for i in range(5)]
+    page = "<body><article><h1>Title</h1>{0}<h2>Sources</h2><div><span>note</span></div>{1}</article></body>"
+    assert main_text(page.format(PARAGRAPHS, f"<ul>{links}</ul>")) == "\n".join(["Title", *BODY, "Sources", "note", *listed])
+    for marked in (f"<ul class='related'>{links}</ul>", f"<nav><ul>{links}</ul></nav>", f"<aside><ul>{links}</ul></aside>"):
+        assert main_text(page.format(PARAGRAPHS, marked)) == "\n".join(["Title", *BODY, "Sources", "note"])
+
+
+def test_a_head_without_its_end():
+    for start in ("<html><head><title>T</title><meta charset='utf-8'>", "<head><style>p{}</style><script>x</script>"):
+        assert main_text(f"{start}<article>{PARAGRAPHS}</article>") == "\n".join(BODY)
+        assert main_text(f"{start}<body><div>{PARAGRAPHS}</div>") == "\n".join(BODY)
+    assert main_text("<head><title>T</title>Text of a page without tags") == "Text of a page without tags"
+
+
+def test_a_form_around_the_page_and_a_menu_without_its_end():
+    form = "<form action='/'><input type='hidden'><select><option>en</option></select>{}<button>Go</button></form>"
+    assert main_text(f"<body>{form.format('<article>' + PARAGRAPHS + '</article>')}</body>") == "\n".join(BODY)
+    assert main_text(f"<body>{form.format('<div>' + PARAGRAPHS + '</div>')}{BOILER[8]}</body>") == "\n".join(BODY)
+    menu = "<nav><ul><li><a href='/a'>Home</a></li><li><a href='/b'>About</a></li></ul>"
+    for body in (f"<main>{PARAGRAPHS}</main>", f"<article>{PARAGRAPHS}</article>"):
+        assert main_text(f"<body>{menu}{body}</body>") == "\n".join(BODY)
+    # a form that is no wrapper goes, as does an aside with sentences
+    assert main_text(f"<body><div>{PARAGRAPHS}</div>{BOILER[5]}{BOILER[3]}</body>") == "\n".join(BODY)
+
+
+COMMENT = "I read this twice, and I think that it is right. Thank you, and do go on like this, please; it helps."
+
+
+@pytest.mark.parametrize("name", ["comments", "post-comments", "comment-list", "comments-area", "article-comments-section"])
+@pytest.mark.parametrize("inside", [True, False])
+@pytest.mark.parametrize("item", ["<div class='comment'><p>{}</p></div>", "<article class='comment-body'><p>{}</p></article>", "<p>{}</p>"])
+def test_comments_go_however_long(name, inside, item):
+    comments = f"<section class='{name}'>" + "".join(item.format(COMMENT) for _ in range(60)) + "</section>"
+    article = "".join(f"<p>{b}</p>" for b in BODY[:2])
+    page = f"<article>{article}{comments}</article>" if inside else f"<article>{article}</article>{comments}"
+    assert main_text(f"<body>{page}</body>") == "\n".join(BODY[:2])
+
+
+def test_comments_by_name_and_structure():
+    """A wrapper may speak of comments; with a name that says more, several like blocks make them comments."""
+    for wrapper in ("site has-comments", "comments-open", "no-comments single"):
+        assert main_text(f"<body><div class='{wrapper}'>{PARAGRAPHS}</div></body>") == "\n".join(BODY)
+        assert main_text(f"<body><div class='{wrapper}'><article>{PARAGRAPHS}</article></div></body>") == "\n".join(BODY)
+    thread = "".join(f"<div class='c'><p>{COMMENT}</p></div>" for _ in range(30))
+    assert main_text(f"<body><article>{PARAGRAPHS}<div class='fancy comments v2'>{thread}</div></article></body>") == "\n".join(BODY)
+
+
+def test_selected_text_outside_of_the_home_stays():
+    far = "The last word on it stands elsewhere, far from the rest; it is long, it has commas, and it is text."
+    page = f"<body><div class='content'>{PARAGRAPHS * 3}</div><div class='foot'><p>{far}</p></div></body>"
+    assert main_text(page) == "\n".join([*BODY * 3, far])
+
+
+def plain_scores(nodes):
+    """Score of every path, written out: nodes are (path, text, characters in links, in an article, marked)."""
+    import math
+
+    paths = {p for p, *_ in nodes}
+    length = {p: sum(len(t) for q, t, *_ in nodes if q == p) for p in paths}
+    number = {p: sum(q == p for q, *_ in nodes) for p in paths}
+    dots = {p: sum(sum(c in ".,;:!?…。，、；：！？" for c in t) for q, t, *_ in nodes if q == p) for p in paths}
+    linked = {p: sum(min(n, len(t)) for q, t, n, *_ in nodes if q == p) for p in paths}
+    ratio = [length[p] / number[p] * (1 - linked[p] / length[p]) for p, *_ in nodes]
+    marks = [1 + dots[p] / number[p] for p, *_ in nodes]
+    bell = {k: math.exp(-k * k / 2) for k in range(-2, 3)}
+
+    def smooth(x, i):
+        near = [k for k in bell if 0 <= i + k < len(x)]
+        return sum(bell[k] * x[i + k] for k in near) / sum(bell[k] for k in near)
+
+    out = {}
+    for p in paths:
+        own = [i for i, node in enumerate(nodes) if node[0] == p]
+        out[p] = sum(
+            smooth(ratio, i) * smooth(marks, i) * (2.0 if nodes[i][3] else 1.0) * (0.1 if nodes[i][4] else 1.0) for i in own
+        ) / len(own)
+    return out
+
+
+def test_path_scores_match_a_plain_version(spark):
+    from sigflow.llm.html import Page, path_scores, whole_markup
+
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect() if r.html]
+    pages += [f"<body><div class='a'>{PARAGRAPHS}</div><ul class='menu'><li><a>x y</a><li>z, z</ul><article><p>a</p></article></body>"]
+    for markup in pages:
+        page = Page()
+        page.feed(whole_markup(markup))
+        page.finish()
+        nodes = [(e.path, t, n, e.container is not None, e.marked) for e, t, n in page.blocks]
+        want = plain_scores(nodes)
+        assert path_scores(page.blocks) == {p: pytest.approx(v) for p, v in want.items()}
 
 
 @pytest.mark.parametrize(
