@@ -13,19 +13,23 @@ Vectors become integers, floor(scale * x), and are scored by inner product.
    groups only.
 
 Groups are split into cells of bounded size, however many copies a vector
-has, and queries into blocks of the same size, so a task holds one cell
-and one block. Results of the cells are merged by a ranked top-k.
+has, and the queries that visit a group into blocks of the same size, so a task
+holds one cell and one block. A group's data are replicated once per block of
+its own visitors, and not at all if no query visits it. Results of the cells
+are merged by a ranked top-k.
 
 Defined results: vectors that are null, empty or hold a null or non-finite
 component take no part; vectors of different lengths are not compared; rows
 repeated with one id and vector count once; a query's own id is no candidate;
-an empty table gives an empty result; ties go to the smaller id. Scores are
+an empty table gives an empty result; ties go to the smaller id; only the id
+and vector columns are read, whatever further columns are called. Scores are
 exact: products past 2**53 are computed with Python integers and kept within
 64 bits.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,7 +44,8 @@ from sigflow.session import ensure_checkpoint_dir
 
 K_BEST = 5
 SCALE = 256
-PIVOTS = 64
+# Pivots: an eighth of the square root of the number of vectors, within these bounds.
+PIVOTS_LEAST, PIVOTS_MOST = 64, 1024
 # A cell holds about one shuffle partition's share of the vectors, within these bounds.
 CELL_LEAST, CELL_MOST = 256, 16_384
 EXACT = float(1 << 53)
@@ -180,9 +185,16 @@ def _others(groups: Groups, radius: dict[int, dict[int, float]]):
     return run
 
 
+def shipped(visits: DataFrame, cells: DataFrame, cell: int) -> DataFrame:
+    """(dim, g, cells, blocks) of the groups that some query visits: into how many cells
+    its data and into how many blocks its visitors are cut. A row per group at most."""
+    counted = visits.groupBy("dim", "g").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("blocks"))
+    return cells.join(counted, ["dim", "g"])
+
+
 def exact_top_k(
     data: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K_BEST,
-    scale: int = SCALE, pivots: int = PIVOTS, cell: int | None = None,
+    scale: int = SCALE, pivots: int | None = None, cell: int | None = None,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best of ``data`` for every row of ``queries``."""
     spark = data.sparkSession
@@ -195,6 +207,7 @@ def exact_top_k(
 
     # repeated rows count once; the vector stands in by two hashes
     once = clean(data).dropDuplicates(["id", "v"])
+    pivots = pivots or min(PIVOTS_MOST, max(PIVOTS_LEAST, math.isqrt(data.count()) // 8))
     # A bounded sample picks the pivots: the rows of smallest hash, one per distinct vector.
     drawn = clean(data).orderBy(F.xxhash64("v", "id")).limit(pivots).collect()
     by_dim: dict[int, list] = {}
@@ -217,19 +230,18 @@ def exact_top_k(
     asked = clean(queries).dropDuplicates(["id", "v"]).mapInArrow(
         _assign(groups), "id long, v array<bigint>, dim int, g int, dist double"
     ).withColumn("query_key", F.xxhash64("v"))
-    blocks = max(1, -(-asked.count() // cell))
-
-    # data once per block of queries, queries once per cell of the group they visit
-    spread = placed.join(F.broadcast(cells), ["dim", "g"]).select(
-        "id", "v", "dim", "g", F.pmod(F.xxhash64("id", "v"), F.col("cells")).cast("int").alias("cell"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-    )
     place = ["dim", "g", "cell", "block"]
 
     def solved(visits: DataFrame) -> DataFrame:
-        to = visits.join(F.broadcast(cells), ["dim", "g"]).select(
+        """Queries once per cell of the groups they visit, data once per block of their group's visitors."""
+        visited = shipped(visits, cells, cell)
+        spread = placed.join(F.broadcast(visited), ["dim", "g"]).select(
+            "id", "v", "dim", "g", F.pmod(F.xxhash64("id", "v"), F.col("cells")).cast("int").alias("cell"),
+            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        )
+        to = visits.join(F.broadcast(visited), ["dim", "g"]).select(
             "id", "query_key", "v", "dim", "g", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"),
-            F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("block"),
+            F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int").alias("block"),
         )
         return spread.groupBy(*place).cogroup(to.groupBy(*place)).applyInArrow(_solve(k), FOUND)
 
@@ -247,6 +259,6 @@ def exact_top_k(
     ).select(
         "id", asked["query_key"], "v", "dim", "g", F.coalesce("floor", F.lit(float("-inf"))).alias("floor")
     )
-    visits = with_floor.mapInArrow(_others(groups, radius), "id long, query_key long, v array<bigint>, dim int, g int")
+    visits = with_floor.mapInArrow(_others(groups, radius), "id long, query_key long, v array<bigint>, dim int, g int").checkpoint()
     found = home.drop("rank").unionByName(solved(visits))
     return top(found).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from sigflow.llm.knn import exact_top_k
+from sigflow.llm.knn import exact_top_k, shipped
 
 
 def brute(rows, k=5, scale=256):
@@ -60,5 +60,21 @@ def test_large_components_are_exact(spark):
     assert got(spark, rows, pivots=3) == brute([r[:2] for r in rows])
 
 
+def test_data_travel_only_where_queries_go(spark):
+    """Groups without a visitor aren't shipped; others once per block of their own visitors."""
+    cells = spark.createDataFrame([(6, 0, 3), (6, 1, 2), (6, 2, 9), (9, 0, 1)], "dim int, g int, cells int")
+    visits = spark.createDataFrame([(6, 0)] * 41 + [(6, 1)] * 20 + [(7, 0)], "dim int, g int")
+    out = {(r.dim, r.g): (r.cells, r.blocks) for r in shipped(visits, cells, 20).collect()}
+    assert out == {(6, 0): (3, 3), (6, 1): (2, 1)}
+
+
+def test_columns_with_names_of_its_own(spark):
+    rows = vectors(4, 60)
+    names = "vec_id long, embedding array<double>, id string, v string, g string, dim string, dist string, query_key string, cells string"
+    df = spark.createDataFrame([(i, v, *"abcdefg") for i, v, _ in rows], names)
+    out = exact_top_k(df, df.filter("vec_id % 3 = 0"))
+    assert sorted(tuple(r) for r in out.select("query_id", "rank", "vec_id", "score").collect()) == brute([r[:2] for r in rows])
+
+
 def test_empty(spark):
     assert got(spark, []) == []
