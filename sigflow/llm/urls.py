@@ -10,7 +10,9 @@ by its path template:
   their parent's beyond chance are merged into the wildcard branch;
 * levels follow one another while a node still has paths of further segments;
   from level ``DEPTH`` on, segments that all paths of a node share are passed
-  at once, and rates change only where a node branches;
+  at once, and rates change only where a node branches; a node without a
+  labelled page keeps its rate all the way down, so it ends there, its further
+  segments written ``**``: levels follow the labelled paths only;
 * each template's bad rate is smoothed towards its parent's, up to the host
   and the whole table; a template whose purity (1 - rate) is too low is
   rejected.
@@ -22,7 +24,7 @@ costs one partial row per task and template.
 Defined results: a null url or one without ``://`` has an empty host and
 path and belongs to the template of those; repeated rows are judged alike;
 without labels every template keeps the prior and is allowed; an empty table
-gives an empty result; paths of any length are followed to their end;
+gives an empty result; paths of any length are followed as far as labels go;
 further columns are not read.
 """
 
@@ -112,13 +114,15 @@ def _deeper(nodes: DataFrame) -> DataFrame:
     ended, nodes = [], nodes.withColumn("left", F.col("rest"))
     names = nodes.columns
     while True:
-        span = nodes.groupBy("node").agg(F.min("left").alias("lo"), F.max("left").alias("hi"))
+        span = nodes.groupBy("node").agg(F.min("left").alias("lo"), F.max("left").alias("hi"), F.sum("lab").alias("labelled"))
         # what the first and the last path have in common, all between them have
         differ = F.array_position(F.zip_with("lo", "hi", lambda x, y: x.eqNullSafe(y)), False)
         common = F.when(differ == 0, F.size("lo")).otherwise((differ - 1).cast("int"))
-        passed = nodes.join(span.select("node", common.alias("common"), (differ == 0).alias("end")), "node")
+        settled = (differ != 0) & (F.col("labelled") == 0)
+        end = (differ == 0) | (F.col("labelled") == 0)
+        passed = nodes.join(span.select("node", common.alias("common"), settled.alias("settled"), end.alias("end")), "node")
         passed = passed.withColumns({
-            "node": F.concat("node", F.repeat(F.lit("/*"), F.col("common"))),
+            "node": F.concat("node", F.repeat(F.lit("/*"), F.col("common")), F.when(F.col("settled"), "/**").otherwise("")),
             "left": F.slice("left", F.col("common") + 1, F.size("left")),
         }).checkpoint()
         ended.append(passed.filter("end").select(*names))

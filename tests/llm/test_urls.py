@@ -93,6 +93,22 @@ def test_empty_and_repeated(spark):
     assert urls.judge_urls(twice, labels).count() == 3
 
 
+def test_levels_follow_the_labelled_paths_only(spark, monkeypatch):
+    """Paths without a labelled page end where their rate is settled, however long they are."""
+    rows = [(i, f"http://trap.net/a/b/c{i}/" + f"{'xyz'[i % 3]}/" * 200 + str(i)) for i in range(12)]
+    rows += [(100 + i, f"http://trap.net/a/b/news/{'pq'[i % 2]}/{'rs'[i % 2]}") for i in range(40)]
+    labels = [(100 + i, i % 2) for i in range(40)]
+    rounds = []
+    level = urls._level
+    monkeypatch.setattr(urls, "_level", lambda *a, **k: rounds.append(1) or level(*a, **k))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    out = {r.page_id: r for r in urls.judge_urls(pages, spark.createDataFrame(labels, "id long, bad int")).collect()}
+    assert len(out) == len(rows) and len(rounds) <= urls.DEPTH + 3
+    assert all(out[i].template.endswith("/**") for i in range(12))
+    assert len({round(out[i].purity, 12) for i in range(12)}) <= 2
+    assert all(out[100 + i].verdict == ("block" if i % 2 else "allow") for i in range(40))
+
+
 def test_sections_below_dates_are_told_apart(spark):
     """Branches at the fourth level and below, paths that end on the way, and a very long one."""
     rows, labels = [], []
