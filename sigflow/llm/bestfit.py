@@ -151,7 +151,9 @@ def pack_best_fit(
         column(docs, id_col).cast("long").alias("doc_id"), column(docs, text_col).cast("string").alias("text")
     )
     tokens = slim.mapInArrow(tokenize(tokenizer, end_id), "doc_id long, n long, ids binary")
-    spread = tokens.repartition(shuffle_width(docs.sparkSession), F.xxhash64("doc_id", "ids"))
+    key = F.xxhash64("doc_id", "ids")
+    # in an order of their own, so that a task that runs again packs the same sequences under the same numbers
+    spread = tokens.repartition(shuffle_width(docs.sparkSession), key).sortWithinPartitions(key, "doc_id", "ids")
     return spread.mapInArrow(_pack(length, pad_id, dtype), SCHEMA)
 
 

@@ -155,6 +155,17 @@ def test_best_fit_decreasing_against_a_plain_search():
         assert len(rows) == len(room) and sorted(length - sum(sizes[i] for i in r) for r in rows) == sorted(room)
 
 
+@pytest.mark.parametrize("pack", ["best fit", "mixture"])
+def test_two_runs_pack_alike(docs, path, pack):
+    """Whatever order rows arrive in: a task that runs again gives the same sequences the same numbers."""
+    def packed(df):
+        if pack == "best fit":
+            return sorted((r.sequence_id, bytes(r.ids), r.cu_seqlens) for r in bestfit.pack_best_fit(df, path).collect())
+        return sorted((r.sequence_id, bytes(r.ids)) for r in mixture.pack_mixture(df, path).collect())
+
+    assert packed(docs) == packed(docs.repartition(5).orderBy("text")) == packed(docs.repartition(2, "lang"))
+
+
 def test_write_and_read_back(docs, path, scratch):
     import pyarrow.parquet as pq
 
