@@ -146,6 +146,8 @@ QUERIES: dict[str, Query] = {
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_jaccard": oracle.JACCARD,
+    "op3_substring_dedup": oracle.SUBSTRING,
     "op4_url_filter": oracle.URLS,
     "op7_voronoi_knn": oracle.NEAREST,
     "op6_quality_rules": oracle.QUALITY,

@@ -61,7 +61,6 @@ m AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-         AND n_words <= 1000000
          AND word_chars / n_words BETWEEN 2.0 AND 15.0
          AND n_symbols / n_words <= 0.1
          AND stops / n_words >= 0.02
@@ -206,3 +205,53 @@ FROM nodes v JOIN subtrees s ON v.node = s.node
 LEFT JOIN children c ON v.node = c.parent
 LEFT JOIN nodes p ON v.parent = p.node
 """
+
+# Every window of 20 words by its words; a word goes if a window over it has an earlier start.
+SUBSTRING = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS s FROM w, unnest(range(1, len(words) - 18)) AS u(i)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS nth FROM windows)
+  WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS j FROM later, range(0, 20) AS r(k)),
+each AS (
+  SELECT e.doc_id, e.j, e.word, g.j IS NOT NULL AS removed
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS j FROM w) e
+  LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.j = g.j),
+runs AS (SELECT *, removed AND NOT coalesce(lag(removed) OVER (PARTITION BY doc_id ORDER BY j), false) AS starts FROM each),
+told AS (
+  SELECT doc_id, count(*) FILTER (removed) AS n_removed, count(*) FILTER (starts) AS n_spans,
+         string_agg(word, ' ' ORDER BY j) FILTER (NOT removed) AS kept
+  FROM runs GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, coalesce(t.n_removed, 0) AS n_removed,
+       sha256(coalesce(t.kept, '')) AS kept_sha256, coalesce(t.n_spans, 0) AS n_spans
+FROM w LEFT JOIN told t ON w.doc_id = t.doc_id
+"""
+
+# All pairs that share a shingle, and the closure of their links.
+JACCARD = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+tokens AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS s
+  FROM w, unnest(range(1, greatest(len(words) - 2, CASE WHEN len(words) > 0 THEN 2 ELSE 1 END))) AS u(i)),
+sizes AS (SELECT doc_id, count(*) AS n FROM tokens GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM tokens a JOIN tokens b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach AS (
+  SELECT doc_id AS u, doc_id AS v FROM w
+  UNION
+  SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u)
+SELECT w.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.v) AS component_id
+FROM w JOIN reach r ON w.doc_id = r.u LEFT JOIN sizes s ON s.doc_id = w.doc_id GROUP BY w.doc_id
+"""

@@ -51,7 +51,6 @@ BASE_RULES = (
 )
 RULES = (
     *BASE_RULES,
-    Rule("not endlessly long", "n_words", None, 1_000_000),
     Rule("word length", "mean_word_chars", 2.0, 15.0),
     Rule("symbols", "symbol_ratio", None, 0.1),
     Rule("stop words", "stop_ratio", 0.02, None),
@@ -59,8 +58,6 @@ RULES = (
     Rule("bullet lines", "bullet_ratio", None, 0.9),
     Rule("ellipsis lines", "ellipsis_ratio", None, 0.5),
 )
-# Without the upper limit of words: nothing leaves the corpus for its length alone.
-KEEP_RULES = tuple(r for r in RULES if r.measure != "n_words" or r.high is None)
 
 
 def compile_rules(rules: tuple[Rule, ...], measure) -> Column:
@@ -217,8 +214,8 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass every rule of ``KEEP_RULES``, with their own columns."""
-    judged, q = with_quality(docs, text_col, KEEP_RULES)
+    """The rows of ``docs`` that pass every rule, with their own columns."""
+    judged, q = with_quality(docs, text_col, RULES)
     # A filter moves below deterministic projections and would repeat the whole
     # computation for every field it needs; a row number keeps it above them.
     number = free_name(judged, "number")
