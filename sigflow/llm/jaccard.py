@@ -64,6 +64,7 @@ HUBS = 4
 LEAST = 10  # prefix tokens to share, beyond very small sets; see shared_least
 FEW = 16  # holders up to which a token's holders are counted pair by pair
 REMEMBERED = 500_000  # fingerprints a task keeps to skip copies
+RELEASE = 200_000  # tokens of a family after which a task gives its memory back
 SLICE_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1  # stands for a null id: after all others
 
@@ -233,6 +234,7 @@ def _entries(num: int, den: int, bins: int):
         if not parts:
             return
         b, token, e, n = (np.concatenate(x) for x in zip(*parts))
+        del parts
         order = np.lexsort((e, n, token, b))
         b, token, e, n = b[order], token[order], e[order], n[order]
         same = (token[1:] == token[:-1]) & (b[1:] == b[:-1])
@@ -247,6 +249,8 @@ def _entries(num: int, den: int, bins: int):
         yield pa.RecordBatch.from_arrays(
             [pa.array(name[keep]), pa.array(e[keep]), pa.array(n[keep].astype(np.int32))], names=["token", "e", "n"]
         )
+        del b, token, e, n, order, keep, name
+        K.release()
 
     return run
 
@@ -316,15 +320,21 @@ def _sets(k: int, levels: np.ndarray, columns: list[str]):
 
 
 class TokenSets:
-    """Sets of a group over a local numbering of tokens."""
+    """Sets of a group, given as Arrow columns of packed tokens, over a local numbering of tokens."""
 
-    def __init__(self, blobs: list[bytes]):
-        t = np.frombuffer(b"".join(blobs), dtype="<u8")
-        self.size = np.array([len(b) // 8 for b in blobs], dtype=np.int64)
+    def __init__(self, *columns: pa.Array):
+        parts = [K.text_buffer(c) for c in columns]
+        t = np.concatenate([buf for buf, _ in parts]).view("<u8")
+        self.size = np.concatenate([np.diff(offsets) // 8 for _, offsets in parts])
         self.at = np.concatenate(([0], np.cumsum(self.size)))
-        names, self.token = np.unique(t, return_inverse=True)
-        self.n_tokens = len(names)
-        self.mark = np.zeros(len(names), dtype=np.int32)
+        order = np.argsort(t)
+        t = t[order]
+        new = np.concatenate((np.zeros(min(1, len(t)), dtype=bool), t[1:] != t[:-1]))
+        del t
+        self.token = np.empty(len(order), dtype=np.int32)
+        self.token[order] = np.cumsum(new, dtype=np.int32)
+        self.n_tokens = int(new.sum()) + min(1, len(new))
+        self.mark = np.zeros(self.n_tokens, dtype=np.int32)
 
     def tokens(self, i: int) -> np.ndarray:
         return self.token[self.at[i] : self.at[i + 1]]
@@ -365,8 +375,8 @@ def similar_groups(sets: TokenSets, size: int) -> list[np.ndarray]:
     if m <= size:
         return [np.arange(m)]
     held = np.bincount(sets.token, minlength=sets.n_tokens) > 1
-    scrambled = K.mix(np.arange(sets.n_tokens, dtype=K.U) + K.U(1)) >> K.U(1)
-    none = K.U((1 << 63) - 1)
+    scrambled = (K.mix(np.arange(sets.n_tokens, dtype=K.U) + K.U(1)) >> K.U(33)).astype(np.uint32)
+    none = np.uint32((1 << 32) - 1)
     keys = np.where(held, scrambled, none)[sets.token]
     filled = np.flatnonzero(sets.size)
     least = [np.full(m, none), np.full(m, none)]
@@ -402,7 +412,7 @@ def _components_of_group(num: int, den: int, size: int):
 
     def run(group: pa.Table) -> pa.Table:
         e = group.column("e").to_pylist()
-        sets = TokenSets(group.column("tokens").to_pylist())
+        sets = TokenSets(group.column("tokens"))
         frequency = np.bincount(sets.token, minlength=sets.n_tokens)
         weight = np.array([int(frequency[sets.tokens(i)].sum()) for i in range(len(e))])
         hub = np.array(group.column("hub").to_pylist(), dtype=bool)
@@ -434,6 +444,9 @@ def _components_of_group(num: int, den: int, size: int):
                         queue += found.tolist()
                         waiting[found] = False
                         del opened[g]
+        if sets.at[-1] > RELEASE:
+            del sets, may, opened
+            K.release()
         return _edge_table(u, v)
 
     return run
@@ -446,7 +459,7 @@ def _open_group(num: int, den: int):
         u, v = [], []
         if members.num_rows and queries.num_rows:
             m, q = members.column("e").to_pylist(), queries.column("e").to_pylist()
-            sets = TokenSets(members.column("tokens").to_pylist() + queries.column("tokens").to_pylist())
+            sets = TokenSets(members.column("tokens"), queries.column("tokens"))
             rows = np.arange(len(m))
             gathered = sets.gather(rows)
             union = sets.union(gathered[0])

@@ -7,6 +7,7 @@ depend on content only, never on the process, the batch or the platform.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,7 @@ import pyarrow as pa
 import xxhash
 
 U = np.uint64
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 LONG_WORD = 64  # bytes; longer words are hashed one by one
@@ -151,6 +153,14 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the machine: a worker lives on with
+    its next tasks, and what its allocators keep would count against the executor."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes; a longer row stands alone."""
     i, n = 0, len(offsets) - 1

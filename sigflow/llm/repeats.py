@@ -254,6 +254,7 @@ def _match(s: Scheme, doc_bins: int):
         if not parts:
             return
         b, h, d, pos, count = (np.concatenate(x) for x in zip(*parts))
+        del parts
         order = np.lexsort((h, b))
         b, h, d, pos, count = b[order], h[order], d[order], pos[order], count[order].astype(np.int64)
         edges = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (b[1:] != b[:-1]))))
@@ -270,7 +271,9 @@ def _match(s: Scheme, doc_bins: int):
         much = shared & (total >= HOT_LEAST)
         for x, y, n in zip(h[edges][much], b[edges][much], total[much].tolist()):
             rows.append((int(y), FREQUENT, n, x.tobytes()))
+        del b, h, d, pos, count, order, keep
         yield _packed_batch(rows)
+        K.release()
 
     return run
 
@@ -408,6 +411,7 @@ def _cut(s: Scheme, frequent: set[tuple[int, int]], anchor_bins: int, bins: int)
                 doc_bin = left.column("bin")[0].as_py()
                 out.append((doc_bin % bins, DONE, doc_bin, _pack_cuts(ids[row], rank[row], a, b)))
         cols = list(zip(*out)) if out else [[]] * len(_PACKED)
+        K.release()
         return pa.table([pa.array(c, t.type) for c, t in zip(cols, _PACKED)], schema=_PACKED)
 
     return run
@@ -550,7 +554,9 @@ def _resolve(s: Scheme, resolver: Resolver, doc_bins: int):
         doc, number, a, b, of = doc[order], number[order], a[order], b[order], of[order]
         edges = np.flatnonzero(np.diff(of, prepend=-1))
         data = [_pack_cuts(doc[i:j], number[i:j], a[i:j], b[i:j]) for i, j in zip(edges, [*edges[1:], len(of)])]
+        del content, places, found
         yield pa.RecordBatch.from_arrays([pa.array(of[edges].astype(np.int32)), pa.array(data, pa.binary())], schema=_CUTS)
+        K.release()
 
     return run
 
@@ -600,6 +606,7 @@ def _finish(s: Scheme, schema: pa.Schema, as_is: bool):
             *counts, kept = _remove(s, data, cuts)
             out.append((*counts, kept if len(cuts) or not as_is else data))
         cols = list(zip(*out)) if out else [[]] * 4
+        K.release()
         arrays = [left.column("row").combine_chunks()]
         arrays += [pa.array(c, schema.field(k + 1).type) for k, c in enumerate(cols)]
         return pa.table([a.cast(f.type) for a, f in zip(arrays, schema)], schema=schema)

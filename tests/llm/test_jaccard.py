@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sigflow.llm import jaccard
@@ -82,7 +83,7 @@ def test_groups_that_cannot_qualify_hold_no_partner():
     sets = [shingles(t, 4) for _, t in rows]
     names = {x: i for i, x in enumerate(sorted({x for s in sets for x in s}))}
     blobs = [np.array(sorted(names[x] for x in s), dtype="<u8").tobytes() for s in sets]
-    held = jaccard.TokenSets(blobs)
+    held = jaccard.TokenSets(pa.array(blobs, pa.binary()))
     groups = jaccard.similar_groups(held, 8)
     assert sorted(i for g in groups for i in g.tolist()) == list(range(len(sets)))
     may = jaccard.qualifying(held, groups, 85, 100)
