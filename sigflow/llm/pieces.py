@@ -26,6 +26,7 @@ further columns are left alone.
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -44,6 +45,10 @@ CACHE_WORDS = 400_000
 WIDE = 64
 BLOCK_WORDS = 1 << 13  # words encoded side by side
 ONES = (1 << 64) - 1
+BATCH_BYTES = 1 << 22  # of text encoded together, so that a word is looked up once in them
+
+# A run of blanks with what follows it, or at the end alone.
+_STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 class Model:
@@ -61,12 +66,12 @@ class Model:
         self.byte_id = np.array([sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)], dtype=np.int32)
         self.size = n
         # Symbols outside the vocabulary (kept until bytes replace them) are n + their code point.
-        self.char_id = np.arange(n, n + 0x110000, dtype=np.int64)
+        self.char_id = np.arange(n, n + 0x110000, dtype=np.int32)
         for piece, i in self.id_of.items():
             if len(piece) == 1:
                 self.char_id[ord(piece)] = i
         score = np.array([sp.get_score(i) for i in range(n)])
-        self.rank = np.full(n, np.iinfo(np.int32).max, dtype=np.int64)
+        self.rank = np.full(n, np.iinfo(np.int32).max, dtype=np.int32)
         # equal scores rank alike: then the leftmost pair wins
         self.rank[ordinary] = np.unique(-score[ordinary], return_inverse=True)[1]
         keys, made = [], []
@@ -84,7 +89,7 @@ class Model:
         # the pairs in a hash table of arrays
         self.slots = (1 << max(4, 2 * len(self.pair) - 1).bit_length()) - 1
         self.slot_key = np.full(self.slots + 1, -1, dtype=np.int64)
-        self.slot_made = np.zeros(self.slots + 1, dtype=np.int64)
+        self.slot_made = np.zeros(self.slots + 1, dtype=np.int32)
         for key, piece in zip(self.pair.tolist(), self.made.tolist()):
             at = (key * 0x9E3779B1) >> 7 & self.slots
             while self.slot_key[at] >= 0:
@@ -99,20 +104,23 @@ class Model:
 
     def join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Piece made of two neighbours, -1 where there is none."""
-        out = np.full(left.shape, -1, dtype=np.int64)
-        both = np.nonzero((left >= 0) & (left < self.size) & (right >= 0) & (right < self.size))
-        key = left[both] * self.size + right[both]
+        a, b = left.ravel().astype(np.int64), right.ravel().astype(np.int64)
+        out = np.full(len(a), -1, dtype=np.int32)
+        key = a * self.size + b
         slot = (key * 0x9E3779B1) >> 7 & self.slots
-        found = np.full(len(key), -1, dtype=np.int64)
-        open_ = np.arange(len(key))
-        while len(open_):  # linear probing
-            there = self.slot_key[slot[open_]]
-            hit = there == key[open_]
-            found[open_[hit]] = self.slot_made[slot[open_[hit]]]
-            open_ = open_[~hit & (there >= 0)]
-            slot[open_] = (slot[open_] + 1) & self.slots
-        out[both] = found
-        return out
+        there = self.slot_key[slot]
+        known = (a >= 0) & (a < self.size) & (b >= 0) & (b < self.size)
+        hit = (there == key) & known
+        out[hit] = self.slot_made[slot[hit]]
+        at = np.flatnonzero(known & ~hit & (there >= 0))
+        while len(at):  # linear probing
+            next_ = (slot[at] + 1) & self.slots
+            slot[at] = next_
+            there = self.slot_key[next_]
+            hit = there == key[at]
+            out[at[hit]] = self.slot_made[next_[hit]]
+            at = at[~hit & (there >= 0)]
+        return out.reshape(left.shape)
 
 
 _models: dict[str, Model] = {}
@@ -243,42 +251,44 @@ def _encode_block(
     n, far = len(words), np.iinfo(np.int32).max
     length = np.fromiter(map(len, words), dtype=np.int64, count=n)
     symbols = m.char_id[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")]
-    col = np.arange(width + 1)
-    sym = np.full((n, width + 1), -1, dtype=np.int64)
+    col = np.arange(width + 1, dtype=np.int32)
+    sym = np.full((n, width + 1), -1, dtype=np.int32)
     sym[col[None, :] < length[:, None]] = symbols
     place = np.tile(col, (n, 1))  # where each symbol starts in its word
     made, cost = _candidates(m, sym[:, :-1], sym[:, 1:], place[:, :-1], variant[:, None], seed, rate)
-    done_sym, done_row = [], []
+    done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # rows, their number of symbols, the symbols
     row = np.arange(n)
     while len(row):
         best = np.argmin(cost, axis=1)
         at = np.arange(len(row))
         live = cost[at, best] < far
         if not live.all():
-            done_sym.append(sym[~live])
-            done_row.append(row[~live])
+            ended = sym[~live]
+            there = ended >= 0
+            done.append((row[~live], there.sum(axis=1), ended[there]))
             row, best, sym, place, made, cost, variant = (x[live] for x in (row, best, sym, place, made, cost, variant))
             at = at[: len(row)]
             if not len(row):
                 break
         if merges is not None:
             merges.append((row, _merge_keys(m, sym[at, best], sym[at, best + 1], place[at, best])))
-        # the merged symbol replaces the pair and all behind it move up
+        # the merged symbol replaces the pair and all behind it move up; every row is one symbol shorter
         new = made[at, best]
-        take = np.minimum(col[None, :] + (col[None, :] > best[:, None]), width)
-        sym, place = np.take_along_axis(sym, take, 1), np.take_along_axis(place, take, 1)
+        behind = col[None, : sym.shape[1] - 1] > best[:, None]
+        sym, place = (np.where(behind, x[:, 1:], x[:, :-1]) for x in (sym, place))
+        made, cost = (np.where(behind[:, :-1], x[:, 1:], x[:, :-1]) for x in (made, cost))
         sym[at, best] = new
-        pair = np.minimum(take[:, :-1], width - 1)
-        made, cost = np.take_along_axis(made, pair, 1), np.take_along_axis(cost, pair, 1)
-        cost[:, -1] = far
-        sym[:, width] = -1
-        for side, ok in ((best, best < width), (best - 1, best > 0)):  # the two pairs that hold the new symbol
-            r, x = at[ok], side[ok]
-            made[r, x], cost[r, x] = _candidates(m, sym[r, x], sym[r, x + 1], place[r, x], variant[r], seed, rate)
-    sym, row = np.concatenate(done_sym), np.concatenate(done_row)
-    sym = sym[np.argsort(row)]
-    there = sym >= 0
-    flat, count = sym[there], there.sum(axis=1)
+        if not cost.shape[1]:
+            done.append((row, np.ones(len(row), dtype=np.int64), new))
+            break
+        # the two pairs that hold the new symbol
+        first, last = best > 0, best < cost.shape[1]
+        r, x = np.concatenate((at[last], at[first])), np.concatenate((best[last], best[first] - 1))
+        made[r, x], cost[r, x] = _candidates(m, sym[r, x], sym[r, x + 1], place[r, x], variant[r], seed, rate)
+    row, count, flat = (np.concatenate(x) for x in zip(*done))
+    back = np.argsort(row)
+    start = np.cumsum(count) - count
+    flat, count = flat[K.ranges(start[back], count[back])], count[back]
     foreign = flat >= m.size
     if foreign.any():  # bytes for symbols the model does not know
         parts = [chr(c - m.size).encode("utf-8", "surrogatepass") for c in flat[foreign].tolist()]
@@ -295,12 +305,13 @@ def _encode_block(
 def _candidates(m: Model, left, right, place, variant, seed: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
     """Piece and cost of merging neighbours; the largest cost where there is none or it is skipped."""
     made = m.join(left, right)
-    cost = np.where(made >= 0, m.rank[made], np.iinfo(np.int32).max)
-    some = np.nonzero(made >= 0)
-    if rate > 0 and len(some[0]):
-        keys = np.broadcast_to(variant, made.shape)[some]
-        gone = _dropped(m, left[some], right[some], place[some], keys, seed, rate)
-        cost[tuple(i[gone] for i in some)] = np.iinfo(np.int32).max
+    cost = np.where(made >= 0, m.rank[made], np.int32(np.iinfo(np.int32).max))
+    if rate > 0:
+        some = np.nonzero(made >= 0)
+        if len(some[0]):
+            keys = np.broadcast_to(variant, made.shape)[some]
+            gone = _dropped(m, left[some], right[some], place[some], keys, seed, rate)
+            cost[tuple(i[gone] for i in some)] = np.iinfo(np.int32).max
     return made, cost
 
 
@@ -376,7 +387,10 @@ def encode_occurrences(
     cache: WordCache, words: list[str], variant: np.ndarray, seed: int, rate: float
 ) -> tuple[np.ndarray, np.ndarray]:
     """:func:`encode_words`, with the words' merges without dropout in ``cache``."""
-    numbers = np.fromiter((cache[w, 0] for w in words), dtype=np.int64, count=len(words))
+    once = pa.array(words, pa.string()).dictionary_encode()  # each word is looked up once
+    distinct = once.dictionary.to_pylist()
+    known = np.fromiter((cache[w, 0] for w in distinct), dtype=np.int64, count=len(distinct))
+    numbers = known[once.indices.to_numpy()]
     if cache.new:
         cache.learn()
     flat, lengths = cache.rows.take(numbers)
@@ -404,19 +418,7 @@ def stretches(normal: str) -> list[str]:
     before a symbol belong to one run with the symbol's blank, since a piece
     may hold several blanks or one blank and what follows.
     """
-    out, at = [], 0
-    parts = normal.split(MARK)
-    if parts[0]:
-        out.append(parts[0])
-    blanks = 0
-    for part in parts[1:]:
-        blanks += 1
-        if part:
-            out.append(MARK * blanks + part)
-            blanks = 0
-    if blanks:
-        out.append(MARK * blanks)
-    return out
+    return _STRETCH.findall(normal)
 
 
 _caches: dict[tuple, WordCache] = {}
@@ -446,8 +448,8 @@ def _encode_texts(path: str, seed: int, rate: float, check: bool):
         decoder = Decoder(m)
         cache = _caches.setdefault((path,), WordCache(m, 0, 0.0))
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at, end in K.slices(K.text_buffer(batch.column(batch.num_columns - 1))[1], BATCH_BYTES):
+                part = batch.slice(at, end - at)
                 texts = part.column(-1).to_pylist()
                 keys = part.column(0).to_pylist()
                 if len(cache) > CACHE_WORDS:
