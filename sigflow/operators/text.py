@@ -100,9 +100,12 @@ def extract_json_array(df: DataFrame, text_col: str = "text", out_col: str = "ve
     )
 
 
-# Pieces of a text in which brackets are counted: escaped characters, quotes,
-# brackets and line ends one by one, everything else in runs.
-_PIECES = r'(?s)\\.|["\[\]\n]|[^"\\\[\]\n]+|\\'
+# What a scan over brackets may pass over: plain text, escaped characters, and two quotes with
+# neither a bracket nor a line end between them, which leave quoted or unquoted as it was.
+_PLAIN = r'[^"\\\[\]\n]++|\\.'
+# A piece of a text in which brackets are counted: what may be passed over, up to and with the next
+# bracket, line end or quote. Each piece starts where the last one ended (no second try further on).
+_PIECES = rf'(?s)\G(?:{_PLAIN}|"(?:{_PLAIN})*+")*+["\[\]\n]'
 _ARRAY_OF_OBJECTS = rf"(?s)^\[{WS_CLASS}*\{{.*\}}{WS_CLASS}*\]$"
 
 
@@ -115,36 +118,53 @@ def json_array_spans(text: Column) -> Column:
     up to its closing quote or the end of the line (JSON strings hold no line
     ends), so brackets in strings don't count; an apostrophe or a quote in prose
     outside of brackets means nothing. Spans inside another span are part of it.
-    Texts without ``[{`` are not scanned.
+    Texts without ``[{`` are not scanned, others once: what follows the scan
+    works on its result alone, as an expression named twice in higher-order
+    functions is computed twice.
     """
     opens = F.array().cast("array<int>")
+    spans = F.array().cast("array<struct<a:int,b:int>>")
     start = F.struct(
-        F.lit(1).alias("at"), opens.alias("open"), F.lit(False).alias("quoted"),
-        F.array().cast("array<struct<a:int,b:int>>").alias("spans"),
+        F.lit(1).alias("at"), opens.alias("open"), F.lit(False).alias("quoted"), spans.alias("spans"),
     )
 
     def step(state: Column, piece: Column) -> Column:
-        quote = (piece == '"') & (F.size(state.open) > 0)
-        counted = ~state.quoted
-        opening, closing = counted & (piece == "["), counted & (piece == "]") & (F.size(state.open) > 0)
-        span = F.struct(F.element_at(state.open, -1).alias("a"), state.at.alias("b"))
-        return F.struct(
-            (state.at + F.length(piece)).cast("int").alias("at"),
-            F.when(opening, F.array_append(state.open, state.at))
-            .when(closing, F.slice(state.open, 1, F.size(state.open) - 1)).otherwise(state.open).alias("open"),
-            F.when(quote, ~state.quoted).when(piece == "\n", F.lit(False)).otherwise(state.quoted).alias("quoted"),
-            F.when(closing, F.array_append(state.spans, span)).otherwise(state.spans).alias("spans"),
+        after = (state.at + F.length(piece)).cast("int")
+        inside = F.size(state.open) > 0
+        span = F.struct(F.element_at(state.open, -1).alias("a"), (after - 1).alias("b"))
+
+        def moved(opened: Column = state.open, quoted: Column = state.quoted, found: Column = state.spans) -> Column:
+            return F.struct(after.alias("at"), opened.alias("open"), quoted.alias("quoted"), found.alias("spans"))
+
+        return (
+            F.when(~state.quoted & piece.endswith("["), moved(opened=F.array_append(state.open, after - 1)))
+            .when(
+                ~state.quoted & piece.endswith("]") & inside,
+                moved(opened=F.slice(state.open, 1, F.size(state.open) - 1), found=F.array_append(state.spans, span)),
+            )
+            .when(piece.endswith('"') & inside, moved(quoted=~state.quoted))
+            .when(piece.endswith("\n"), moved(quoted=F.lit(False)))
+            .otherwise(moved())
+        )
+
+    def outermost(found: Column) -> Column:
+        """Texts of the spans of objects that lie in no other one, in order."""
+        texts = F.transform(found, lambda s: F.struct(s.a.alias("a"), F.substring(text, s.a, s.b - s.a + 1).alias("t")))
+        arrays = F.filter(texts, lambda s: s.t.rlike(_ARRAY_OF_OBJECTS))
+        # a span closes before those around it: from the last one back, one that starts after a kept one lies in it
+        none = F.struct(F.lit(None).cast("int").alias("a"), F.array().cast("array<string>").alias("kept"))
+        return F.aggregate(
+            F.reverse(arrays), none,
+            lambda state, s: F.when(
+                state.a.isNull() | (s.a < state.a), F.struct(s.a.alias("a"), F.array_append(state.kept, s.t).alias("kept"))
+            ).otherwise(state),
+            lambda state: F.reverse(state.kept),
         )
 
     pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
-    found = F.aggregate(pieces, start, step, lambda s: s.spans)
-    # a span closes before those around it; only the outermost ones of objects are kept
-    texts = F.transform(found, lambda s: F.struct(s.a.alias("a"), s.b.alias("b"), F.substring(text, s.a, s.b - s.a + 1).alias("t")))
-    arrays = F.filter(texts, lambda s: s.t.rlike(_ARRAY_OF_OBJECTS))
-    outer = F.filter(arrays, lambda s: ~F.exists(arrays, lambda o: (o.a < s.a) & (o.b > s.b)))
-    ordered = F.transform(F.array_sort(outer), lambda s: s.t)
+    found = F.aggregate(pieces, start, step, lambda s: outermost(s.spans))
     none = F.array().cast("array<string>")
-    return F.when(text.rlike(rf"\[{WS_CLASS}*\{{"), ordered).otherwise(none)
+    return F.when(text.rlike(rf"\[{WS_CLASS}*\{{"), found).otherwise(none)
 
 
 def extract_json_arrays(df: DataFrame, text_col: str = "text", out_col: str = "venue_lists") -> DataFrame:
@@ -156,18 +176,22 @@ def extract_json_arrays(df: DataFrame, text_col: str = "text", out_col: str = "v
     array are left out. A text whose single array the greedy rule finds gives
     that array alone.
     """
-    spans = json_array_spans(F.col(text_col))
-    parsed = F.transform("_spans", _strict_array)
+    # The check keeps the elements as text in a step of its own, so each span is parsed once
+    # (see extract_json_array).
+    wrapped = F.transform(
+        json_array_spans(F.col(text_col)),
+        lambda span: F.from_json(F.concat(F.lit("["), span, F.lit(",0]")), "array<string>", STRICT_JSON),
+    )
+    parsed = F.transform("_wrapped", _strict_array)
     return (
-        df.withColumn("_spans", spans)
+        df.withColumn("_wrapped", wrapped)
         .withColumn(out_col, F.filter(parsed, lambda x: x.isNotNull()))
-        .drop("_spans")
+        .drop("_wrapped")
     )
 
 
-def _strict_array(span: Column) -> Column:
-    """Records of a span that is one JSON array, else null (see :func:`extract_json_array`)."""
-    wrapped = F.from_json(F.concat(F.lit("["), span, F.lit(",0]")), "array<string>", STRICT_JSON)
+def _strict_array(wrapped: Column) -> Column:
+    """Records of a span that is one JSON array, else null; ``wrapped`` has the elements of ``[span,0]``."""
     single = (F.size(wrapped) == 2) & (F.get(wrapped, F.lit(1)) == "0")
     return F.when(single, F.from_json(F.get(wrapped, F.lit(0)), VENUE_TEXT_ARRAY_SCHEMA, STRICT_JSON))
 

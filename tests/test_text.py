@@ -107,6 +107,27 @@ def test_extract_json_arrays(spark):
     assert text.extract_json_arrays(df.limit(0)).collect() == []
 
 
+def test_json_arrays_scan_and_parse_once(spark):
+    """A text is scanned once, in few pieces, and each of its spans is parsed once."""
+    record = '{"name":"part [1]","capacity":"12","rating":1,"phone":"supplier 3"}'
+    note = f'Returned [see 1], the 12" ones:\n[{",".join([record] * 8)}]\nnot returned: [{record}] [end'
+    df = spark.createDataFrame([(1, note)], "id long, text string")
+    out = text.extract_json_arrays(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and plan.count("from_json(") == 2
+    assert [len(a) for a in out.first().venue_lists] == [8, 1]
+    pieces = df.select(F.regexp_extract_all("text", F.lit(text._PIECES), F.lit(0)).alias("p")).first().p
+    assert len(pieces) <= 4 * 9 + 8 and note.startswith("".join(pieces))
+
+
+def test_json_array_spans_of_long_texts(spark):
+    inner = ",".join(['"a\\n[\\"b"'] * 20_000)
+    texts = ["x" * 200_000, "[{" + "\\a" * 100_000, f'"" [{{"v":[{inner}]}}] ' + '"b"' * 50_000, "[{}]" * 500]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {r.id: r.s for r in df.select("id", text.json_array_spans(F.col("text")).alias("s")).collect()}
+    assert got == {0: [], 1: [], 2: [texts[2][3 : texts[2].rindex("]") + 1]], 3: ["[{}]"] * 500}
+
+
 def test_normalise_defaults(spark):
     df = text.extract_json_array(spark.createDataFrame(JSON_TEXT, "id long, text string"))
     rows = {r.id: r for r in text.normalise_records(df, ["id"]).collect()}
