@@ -10,6 +10,7 @@ the number of files a batch takes (``files_per_batch``).
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 
@@ -39,6 +40,8 @@ AVAILABLE_NOW = {"availableNow": True}
 FILES_PER_BATCH = 64
 # Files that the jobs over out-of-order readings land, a micro-batch each or two.
 LANDED_FILES = 6
+# Rows, about, that a file of a replayed feed has; more rows come in more files, in as many micro-batches.
+ROWS_A_FILE = 500_000
 
 
 def run_folder(spark: SparkSession, name: str, root: str | None = None) -> str:
@@ -87,6 +90,11 @@ def land_shuffled(readings: DataFrame, path: str, files: int = LANDED_FILES) ->
     readings.repartition(files).write.parquet(path)
 
 
+def files_for(rows: int) -> int:
+    """Files that so many rows are landed in: a multiple of ``LANDED_FILES``, of about ``ROWS_A_FILE`` rows at most."""
+    return LANDED_FILES * max(1, math.ceil(rows / (LANDED_FILES * ROWS_A_FILE)))
+
+
 def land_newest_first(readings: DataFrame, path: str, files: int = LANDED_FILES) -> None:
     """Land readings by time, the newest in the first file: a backfill that goes
     back in time. One range-partitioned write."""
@@ -157,10 +165,12 @@ def q_stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming replay removal: three ingests of the readings in files that mix all
-    days, several micro-batches, first arrival kept."""
+    days, three micro-batches, first arrival kept."""
     base = run_folder(spark, "dedup-first")
-    land_shuffled(replayed_readings(load_table(spark, sf_dir, "events")), f"{base}/readings")
-    stream = readings_files(spark, f"{base}/readings", 2)
+    replayed = replayed_readings(load_table(spark, sf_dir, "events"))
+    files = files_for(replayed.count())
+    land_shuffled(replayed, f"{base}/readings", files)
+    stream = readings_files(spark, f"{base}/readings", files // 3)
     run_to_completion(start_first_arrivals(stream, f"{base}/lake", f"{base}/ck", trigger=AVAILABLE_NOW))
     drop_legs(spark, base, "readings", "ck")
     return read_table(spark, f"{base}/lake").select("signal_date", "signal_ts", *flatten_signals())

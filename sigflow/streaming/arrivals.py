@@ -12,6 +12,8 @@ after a failure meets the same rows as the first time.
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import MapType, TimestampType
 
 from sigflow.operators.quality import AUDIT_COLUMNS
+from sigflow.session import conf_override
 from sigflow.sources.generations import APP, BATCH, read_table
 from sigflow.streaming.sinks import BatchWriter, batch_folder_writer, query_id, start_foreach_batch
 from sigflow.streaming.windows import untimed
@@ -26,6 +29,8 @@ from sigflow.streaming.windows import untimed
 KEY = "reading_key"
 # A batch over more days is compared with the whole table, not day by day.
 MOST_DAYS = 1_000
+# Rows, about, that one task sorts to reduce replays; a batch with larger partitions is dealt out anew.
+ROWS_A_TASK = 250_000
 
 
 def reading_key(readings: DataFrame) -> Column:
@@ -52,6 +57,26 @@ def distinct_readings(readings: DataFrame) -> DataFrame:
     return keyed.groupBy("signal_ts", KEY).agg(first.alias("_first")).select("_first.*")
 
 
+def row_counts(batch: DataFrame) -> tuple[int, int]:
+    """Rows of a kept (persisted) batch, and of its largest partition."""
+    counts = batch.groupBy(F.spark_partition_id().alias("p")).count().agg(F.sum("count").alias("rows"), F.max("count").alias("most")).first()
+    return counts.rows or 0, counts.most or 0
+
+
+def spread(batch: DataFrame, rows: int, most: int) -> DataFrame:
+    """A batch in partitions of about ``ROWS_A_TASK`` rows, however few files or row
+    groups it came in; ``rows`` and ``most`` are its :func:`row_counts`. Rows go by
+    their reading and the partition they came in: whatever the order in which they
+    are read they go the same way, the copies of a reading that came together stay
+    together, and a reading with very many copies makes no partition larger than
+    those it came in."""
+    if most <= ROWS_A_TASK:
+        return batch
+    fields = [f for f in batch.schema.fields if f.name not in AUDIT_COLUMNS]
+    plain = [F.map_entries(F.col(f"`{f.name}`")) if isinstance(f.dataType, MapType) else F.col(f"`{f.name}`") for f in fields]
+    return batch.repartition(math.ceil(rows / ROWS_A_TASK), F.xxhash64(F.spark_partition_id(), *plain))
+
+
 def first_arrivals_writer(path: str, partition_by: list[str] | None = None) -> BatchWriter:
     """Adds a micro-batch's new readings to the table at ``path``, one folder per
     (query id, batch). Readings without a time have no identity and are all kept."""
@@ -61,19 +86,23 @@ def first_arrivals_writer(path: str, partition_by: list[str] | None = None) -> B
         spark = batch.sparkSession
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            new = distinct_readings(batch)
-            table = read_table(spark, path)
-            if table is not None:
-                own = (F.col(APP) == F.lit(query_id(batch))) & (F.col(BATCH) == batch_id)
-                days = batch.filter("signal_ts IS NOT NULL").select("signal_date").distinct().limit(MOST_DAYS + 1).collect()
-                written = table.filter(~F.coalesce(own, F.lit(False)))
-                if len(days) <= MOST_DAYS:
-                    known = [d.signal_date for d in days if d.signal_date is not None]
-                    on_day = F.col("signal_date").isin(known)
-                    written = written.filter(on_day if len(known) == len(days) else on_day | F.col("signal_date").isNull())
-                new = new.join(written.select("signal_ts", KEY), ["signal_ts", KEY], "left_anti")
-            rest = untimed(batch).withColumn(KEY, F.lit(None).cast("string"))
-            into(new.select(*batch.columns, KEY).unionByName(rest), batch_id)
+            rows, most = row_counts(batch)
+            # a large batch needs more shuffle partitions than the session may name; small ones are merged by AQE
+            width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / ROWS_A_TASK))
+            with conf_override(spark, {"spark.sql.shuffle.partitions": str(width)}):
+                new = distinct_readings(spread(batch, rows, most))
+                table = read_table(spark, path)
+                if table is not None:
+                    own = (F.col(APP) == F.lit(query_id(batch))) & (F.col(BATCH) == batch_id)
+                    days = batch.filter("signal_ts IS NOT NULL").select("signal_date").distinct().limit(MOST_DAYS + 1).collect()
+                    written = table.filter(~F.coalesce(own, F.lit(False)))
+                    if len(days) <= MOST_DAYS:
+                        known = [d.signal_date for d in days if d.signal_date is not None]
+                        on_day = F.col("signal_date").isin(known)
+                        written = written.filter(on_day if len(known) == len(days) else on_day | F.col("signal_date").isNull())
+                    new = new.join(written.select("signal_ts", KEY), ["signal_ts", KEY], "left_anti")
+                rest = untimed(batch).withColumn(KEY, F.lit(None).cast("string"))
+                into(new.select(*batch.columns, KEY).unionByName(rest), batch_id)
         finally:
             batch.unpersist()
 

@@ -141,6 +141,34 @@ def test_many_replays_of_one_reading_are_reduced_before_the_shuffle(spark):
     assert "Aggregate" in above and "partial_min_by" in below
 
 
+def test_a_batch_in_one_partition_is_spread_over_tasks(spark, scratch, monkeypatch):
+    """A batch that comes in one large row group is not reduced in one task; nothing is lost, copies neither."""
+    from sigflow.streaming import arrivals
+
+    monkeypatch.setattr(arrivals, "ROWS_A_TASK", 100, raising=False)
+    seen, reduce = [], arrivals.distinct_readings
+
+    def looked_at(df):
+        seen.append([r[0] for r in df.groupBy(F.spark_partition_id()).count().select("count").collect()])
+        return reduce(df)
+
+    monkeypatch.setattr(arrivals, "distinct_readings", looked_at)
+    rows = [reading(i, k) for k in range(3) for i in range(500)] + [untimed_reading(k) for k in range(40)]
+    land(spark, f"{scratch}/in", [rows, rows, []])
+    run_to_completion(start_first_arrivals(stream(spark, f"{scratch}/in"), f"{scratch}/lake", f"{scratch}/ck", trigger=NOW))
+    assert [sum(sizes) for sizes in seen] == [1540, 1540, 0] and max(max(sizes, default=0) for sizes in seen) < 400
+    out = read_table(spark, f"{scratch}/lake")
+    timed = out.filter("signal_ts is not null")
+    assert sorted((r.signal_ts, r.create_ts) for r in timed.collect()) == sorted(reading(i)[1:4:2] for i in range(500))
+    assert out.filter("signal_ts is null").count() == 80
+
+
+def test_more_readings_are_landed_in_more_files():
+    from sigflow.plans import streams
+
+    assert [streams.files_for(n) for n in (0, 1, 3_000_000, 3_000_001, 18_000_000)] == [6, 6, 6, 12, 36]
+
+
 @pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0)])
 def test_hourly_partials_in_any_order_equal_the_batch_report(spark, scratch, order):
     files = batch_files(order)
