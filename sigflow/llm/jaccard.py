@@ -5,10 +5,13 @@ link at similarity ``num / den`` or more; the result is each document's
 connected component.
 
 1. ``describe``: size and a 128-bit fingerprint per document, and a sketch of
-   token frequencies (fixed size). Equal sets are one entity from here on, so
-   groups of copies cost one row per task.
-2. ``prefix``: tokens are ordered by (frequency level, hash). Sets that link
-   share at least l tokens within their first ``n - ceil(t n) + l`` tokens.
+   token and word frequencies (fixed size). Equal sets are one entity from here
+   on, so groups of copies cost one row per task.
+2. ``prefix``: tokens are ordered by (frequency level, hash). The level is
+   that of the token in the sketch or, for tokens that do not stand out there,
+   follows from how often words like its own would meet by chance: that number
+   grows with the corpus, and without it unlike documents of a large one share
+   prefix tokens. Sets that link share at least l tokens within their first ``n - ceil(t n) + l`` tokens.
    Only these prefixes travel, packed by token bin, and only tokens held by
    several entities of fitting sizes remain: the entries of the matrix. An
    entity with fewer than l of them cannot link and leaves; l is a twentieth
@@ -44,6 +47,7 @@ are not read.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +62,7 @@ from sigflow.session import ensure_checkpoint_dir
 SHINGLE = 5
 NUM, DEN = 80, 100
 SKETCH_BITS = 16
+CHANCE = 11  # tokens expected less than 2 ** -CHANCE times by chance are of the lowest level
 GROUP = 48  # entities in a group: small, so that groups spread evenly over tasks
 LOCAL = 4_000_000  # tokens of a family that one task searches (32 MB)
 HUBS = 4
@@ -69,9 +74,49 @@ SLICE_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1  # stands for a null id: after all others
 
 
-def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of all rows, and row offsets into them."""
-    parts, sizes = [], []
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h >> K.U(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def _load(h: np.ndarray) -> np.ndarray:
+    return np.bincount(_bucket(h), minlength=1 << SKETCH_BITS)
+
+
+@dataclass(frozen=True)
+class Order:
+    """Order of tokens by frequency level, from the sketch: 0 to 31 by the chance of their words, above by their own load."""
+
+    levels: np.ndarray  # by token bucket
+    costs: np.ndarray  # by word bucket, 64ths of a bit
+    base: int
+
+    @classmethod
+    def of(cls, tokens: np.ndarray, words: np.ndarray) -> Order:
+        """From the loads of the token and the word buckets."""
+        costs = np.round(64 * np.log2(max(1.0, words.sum()) / np.maximum(words, 1)))
+        base = 64 * (np.log2(max(1.0, tokens.sum())) + CHANCE)
+        return cls(frequency_levels(tokens).astype(np.uint8), costs.astype(np.uint16), int(base))
+
+    def tokens(self, h: np.ndarray, words: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Numbers that sort by (level, hash) of tokens made of ``length`` words from ``first`` on."""
+        cost = np.concatenate(([0], np.cumsum(self.costs[_bucket(words)], dtype=np.int64)))
+        chance = np.clip((self.base - (cost[first + length] - cost[first])) >> 6, 0, 31)
+        own = self.levels[_bucket(h)].astype(np.int64)
+        return (np.where(own > 0, 32 + own, chance).astype(K.U) << K.U(58)) | (h >> K.U(6))
+
+
+def _sort_rows(x: np.ndarray, at: np.ndarray) -> None:
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        if b - a > 1:
+            x[a:b].sort()
+
+
+def shingle_sets(
+    buf: np.ndarray, offsets: np.ndarray, k: int, order: Order | None = None, load: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
+    """Sorted distinct shingle hashes of all rows, and row offsets into them; with an
+    ``order`` also their ordered tokens, sorted by row. ``load`` counts the words by bucket."""
+    parts, sizes, tokens = [], [], []
     for i, j in K.slices(offsets, SLICE_BYTES):
         lo, hi = int(offsets[i]), int(offsets[j])
         seg = K.lower_ascii(buf[lo:hi])
@@ -89,17 +134,33 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarr
             short = np.flatnonzero(count == m)
             if len(short):
                 h[at[short]] = K.mix(K.sequence_hash(words, m)[first[short]] + K.U(m))
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-            if b - a > 1:
-                h[a:b].sort()
+        if load is not None:
+            load += _load(words)
         owner = np.repeat(np.arange(j - i), n)
+        if order is not None:
+            t = order.tokens(h, words, K.ranges(first, n), np.minimum(count, k)[owner])
+            raw, unsorted = h.copy(), t.copy()
+            _sort_rows(t, at)
+        _sort_rows(h, at)
         new = np.ones(len(h), dtype=bool)
         new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+        size = np.bincount(owner[new], minlength=j - i)
+        if order is not None:
+            own = np.ones(len(t), dtype=bool)
+            own[1:] = (t[1:] != t[:-1]) | (owner[1:] != owner[:-1])
+            for r in np.flatnonzero(np.bincount(owner[own], minlength=j - i) != size).tolist():
+                # different hashes of one token: it stands for each of them
+                a, b = int(at[r]), int(at[r + 1])
+                once = np.unique(raw[a:b], return_index=True)[1]
+                t[a : a + len(once)] = np.sort(unsorted[a:b][once])
+                own[a:b] = np.arange(b - a) < len(once)
+            tokens.append(t[own])
         parts.append(h[new])
-        sizes.append(np.bincount(owner[new], minlength=j - i))
+        sizes.append(size)
     h = np.concatenate(parts) if parts else np.zeros(0, dtype=K.U)
     n = np.concatenate(sizes) if sizes else np.zeros(0, dtype=np.int64)
-    return h, np.concatenate(([0], np.cumsum(n))).astype(np.int64)
+    at = np.concatenate(([0], np.cumsum(n))).astype(np.int64)
+    return (h, at) if order is None else (h, at, np.concatenate(tokens) if tokens else h)
 
 
 def _sums(x: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -123,10 +184,11 @@ def _describe(k: int):
     names = ["doc_id", "h", "n", "e", "f", "counts"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        counts = np.zeros(2 << SKETCH_BITS, dtype=np.int64)  # of tokens, then of words
+        tokens, words = np.split(counts, 2)
         for batch in batches:
-            h, at = shingle_sets(*K.text_buffer(batch.column(2)), k)
-            counts += np.bincount((h >> K.U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
+            h, at = shingle_sets(*K.text_buffer(batch.column(2)), k, load=words)
+            tokens += _load(h)
             a, b = fingerprints(h, at)
             none = pa.nulls(batch.num_rows, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
@@ -147,18 +209,9 @@ def frequency_levels(counts: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(np.log2(np.maximum(counts, 1) / (2 * mean))), 0, 31).astype(K.U)
 
 
-def ordered_tokens(h: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """Token numbers that sort by (frequency level, hash)."""
-    return (levels[(h >> K.U(64 - SKETCH_BITS)).astype(np.int64)] << K.U(58)) | (h >> K.U(6))
-
-
-def _ordered_sets(buf, offsets, k: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _ordered_sets(buf, offsets, k: int, order: Order) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ordered tokens, row offsets and fingerprints of all rows."""
-    h, at = shingle_sets(buf, offsets, k)
-    t = ordered_tokens(h, levels)
-    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-        if b - a > 1:
-            t[a:b].sort()
+    h, at, t = shingle_sets(buf, offsets, k, order)
     return t, at, fingerprints(h, at)[0]
 
 
@@ -170,7 +223,7 @@ def shared_least(n):
     return np.maximum(n // 8, np.minimum((n + 1) // 2, LEAST))
 
 
-def _prefix(k: int, num: int, den: int, levels: np.ndarray, bins: int):
+def _prefix(k: int, num: int, den: int, levels: Order, bins: int):
     """Prefixes by token bin: per entity its fingerprint, size and number of tokens there, then the tokens."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,7 +356,7 @@ def _family_edges(entries: DataFrame, num: int, den: int) -> DataFrame:
     return common.filter(enough).select("u", "v").unionByName(tied).distinct()
 
 
-def _sets(k: int, levels: np.ndarray, columns: list[str]):
+def _sets(k: int, levels: Order, columns: list[str]):
     """mapInArrow body: replaces the last column (text) by its ordered tokens.
 
     The first column names the entity; another text under the same document id is left out.
@@ -513,11 +566,11 @@ def _linked(
     load = (
         described.filter("counts is not null").select(F.posexplode("counts").alias("b", "c"))
         .groupBy("b").agg(F.sum("c").alias("c")).collect()
-    )  # 2 ** SKETCH_BITS rows
-    counts = np.zeros(1 << SKETCH_BITS)
+    )  # 2 ** SKETCH_BITS rows of tokens, as many of words
+    counts = np.zeros(2 << SKETCH_BITS)
     for r in load:
         counts[r.b] = r.c
-    levels = frequency_levels(counts)
+    levels = Order.of(*np.split(counts, 2))
     rows = described.filter("counts is null").select("doc_id", "h", "n", "e", "f")
     reps = rows.filter("n > 0").groupBy("n", "e", "f").agg(F.min("doc_id").alias("rep"))
 

@@ -155,3 +155,25 @@ def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i - 1) for i in order] + [(1000, k) for k in range(1001, 1400)] + [(5000, 5000)]
     out = {r.node: r.comp for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert out == {**{i: 0 for i in range(n)}, **{k: 1000 for k in range(1000, 1400)}}
+
+
+def test_prefixes_hold_the_words_that_rarely_meet():
+    """Unlike texts that share many shingles of common words share none of the tokens that travel."""
+    rng = random.Random(11)
+    common = ["the", "of", "and", "in", "to"]
+    texts = []
+    for i in range(200):
+        rare = [f"r{i}x{k}" for k in range(60)]
+        texts.append(" ".join(rare + rng.choices(common, k=120)))
+    buf, offsets = jaccard.K.text_buffer(pa.array(texts))
+    words = np.zeros(1 << jaccard.SKETCH_BITS, dtype=np.int64)
+    h, at = jaccard.shingle_sets(buf, offsets, 4, load=words)
+    order = jaccard.Order.of(np.bincount((h >> np.uint64(48)).astype(int), minlength=1 << 16), words)
+    t, at, _ = jaccard._ordered_sets(buf, offsets, 4, order)
+    n = np.diff(at)
+    size = n - (85 * n + 99) // 100 + jaccard.shared_least(n)
+    first = [t[a : a + m] for a, m in zip(at, size)]
+    assert len(np.unique(t)) < 0.8 * len(t)
+    assert len(np.unique(np.concatenate(first))) == size.sum()
+    for a, b in zip(at, at[1:]):
+        assert (np.diff(t[a:b].astype(object)) > 0).all()
