@@ -330,14 +330,14 @@ def _key_type(s: Scheme) -> str:
     return "<u8" if s.unit == "words" else "<u4"
 
 
-def _pack_spans(s: Scheme, key, d, rank, off, places: list[list[int]], content: list[bytes]) -> bytes:
-    """Spans packed and compressed: their text repeats words a lot."""
+def _pack_spans(s: Scheme, squeeze, key, d, rank, off, places: list[list[int]], content: list[bytes]) -> bytes:
+    """Spans packed and compressed by ``squeeze``: their text repeats words a lot."""
     body = _pack(
         key.astype(_key_type(s)), _delta(d.astype("<i8")), rank.astype("<i4"), off.astype("<i4"),
         np.array([len(p) for p in places], dtype="<i4"), np.array([len(c) for c in content], dtype="<i4"),
     )
     flat = np.array([x for p in places for x in p], dtype="<i4").tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(body + flat + b"".join(content))
+    return squeeze(body + flat + b"".join(content))
 
 
 def _unpack_spans(s: Scheme, span_bin: int, data: bytes) -> tuple[np.ndarray, ...]:
@@ -352,8 +352,26 @@ def _unpack_spans(s: Scheme, span_bin: int, data: bytes) -> tuple[np.ndarray, ..
     return key, np.cumsum(d), rank, off, n_places, length, places, content
 
 
+def _frequent(h: np.ndarray, names: np.ndarray, anchor_bins: int) -> np.ndarray:
+    """Which anchors are among the frequent ones, ``names`` being pairs of the hash's top and the bin, sorted."""
+    if not len(names) or not len(h):
+        return np.zeros(len(h), dtype=bool)
+    name = np.empty(len(h), dtype=names.dtype)
+    name["top"], name["bin"] = h >> K.U(SHIFT), h % K.U(anchor_bins)
+    at = np.searchsorted(names["top"], name["top"])
+    out = np.zeros(len(h), dtype=bool)
+    open_ = np.flatnonzero(at < len(names))
+    while len(open_):  # names of one top and several bins stand side by side
+        top, mine = names["top"][at[open_]], name["top"][open_]
+        out[open_] |= (top == mine) & (names["bin"][at[open_]] == name["bin"][open_])
+        at[open_] += 1
+        open_ = open_[(top == mine) & (at[open_] < len(names))]
+    return out
+
+
 def _cut(s: Scheme, frequent: set[tuple[int, int]], anchor_bins: int, bins: int):
     """Spans of one document bin, packed by span bin; see the module text, step 3."""
+    names = np.array(sorted(frequent), dtype=[("top", "<u8"), ("bin", "<u8")])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -370,14 +388,15 @@ def _cut(s: Scheme, frequent: set[tuple[int, int]], anchor_bins: int, bins: int)
             seen: dict[tuple[int, bytes], int] = {}
             rows, keys, offsets, places, content = [], [], [], [], []
             done: list[tuple[int, int, int]] = []
+            text = buf.tobytes()
             for runs in runs_of(s, buf, offs):
                 mine = (number[runs.row].astype(np.int64) << 32) | runs.anchor
                 hit = np.searchsorted(shared, mine)
                 runs = runs.take(shared[np.minimum(hit, len(shared) - 1)] == mine)
-                columns = (runs.row, runs.first, runs.last, runs.anchor, runs.h, runs.b0, runs.b1)
-                for row, first, last, anchor, h, b0, b1 in zip(*(c.tolist() for c in columns)):
-                    hot = bool(frequent) and (h >> SHIFT, h % anchor_bins) in frequent
-                    for data, f, l in _spans_of_run(s, buf[b0:b1].tobytes(), first, last, hot):
+                often = _frequent(runs.h, names, anchor_bins)
+                columns = (runs.row, runs.first, runs.last, runs.anchor, runs.h, runs.b0, runs.b1, often)
+                for row, first, last, anchor, h, b0, b1, hot in zip(*(c.tolist() for c in columns)):
+                    for data, f, l in _spans_of_run(s, text[b0:b1], first, last, hot):
                         key = (0 if hot else h, data)
                         i = seen.get(key)
                         if i is not None:
@@ -399,11 +418,12 @@ def _cut(s: Scheme, frequent: set[tuple[int, int]], anchor_bins: int, bins: int)
                 of = (key >> K.U(32)) % K.U(bins)
                 order = np.argsort(of, kind="stable")
                 edges = np.flatnonzero(np.diff(of[order].astype(np.int64), prepend=-1))
+                squeeze = zstandard.ZstdCompressor(level=3).compress
                 for a, b in zip(edges, [*edges[1:], len(of)]):
                     i = order[a:b]
                     part = i.tolist()
                     packed = _pack_spans(
-                        s, key[i], ids[row[i]], rank[row[i]], off[i], [places[x] for x in part], [content[x] for x in part]
+                        s, squeeze, key[i], ids[row[i]], rank[row[i]], off[i], [places[x] for x in part], [content[x] for x in part]
                     )
                     out.append((int(of[i[0]]), SPAN, len(part), packed))
             if done:

@@ -2,7 +2,8 @@
 
 Documents are UTF-8 bytes. Winnowed anchors (``repeats``) bring together the
 spans that can share 50 bytes; suffixes of spans that hold the same anchor at
-the same distance are sorted by merge sort. Two suffixes are compared
+the same distance, and whose 50 bytes another one of them has by hash, are
+sorted by merge sort. Two suffixes are compared
 through their longest common extension, found by binary search over prefix
 polynomial hashes, so a comparison costs a logarithmic number of probes. All
 merges of a round run at once as array operations. Neighbours in sorted
@@ -120,20 +121,31 @@ class Suffixes:
         return order, same
 
 
+def _repeated(h: np.ndarray) -> np.ndarray:
+    """Places of the values that occur more than once."""
+    bits = max(1, (4 * len(h) - 1).bit_length())
+    slot = (h >> K.U(64 - bits)).astype(np.int64)
+    at = np.flatnonzero(np.bincount(slot, minlength=1 << bits)[slot] > 1)  # most others go here, without a sort
+    order = np.argsort(h[at])
+    x = h[at][order]
+    next_ = np.concatenate((x[1:] == x[:-1], [False])) if len(x) else np.zeros(0, dtype=bool)
+    return np.sort(at[order[next_ | np.roll(next_, 1)]])
+
+
 def sort_suffixes(s: Scheme, x: Spans) -> tuple[np.ndarray, np.ndarray]:
     """Windows of the spans that also start in a document with a smaller id."""
     windows = np.diff(x.offs) - s.length + 1
     row = np.repeat(np.arange(len(windows)), windows)
     window = K.ranges(np.zeros(len(windows), dtype=np.int64), windows)
     key = (x.group[row].astype(np.int64) << 32) + (x.off[row] - window + s.length)
+    prefix = K.prefix_hash(x.buf)
+    matched = _repeated(K.gram_hash(prefix, s.length)[x.offs[row] + window] ^ K.mix(key.astype(K.U)))
+    row, window, key = row[matched], window[matched], key[matched]
+    if len(key) == 0:
+        return row, window
     order = np.argsort(key, kind="stable")
-    key = key[order]
-    alone = np.concatenate(([True], key[1:] != key[:-1])) & np.concatenate((key[1:] != key[:-1], [True]))
-    order, key = order[~alone], key[~alone]
-    if len(order) == 0:
-        return order, order
-    row, window = row[order], window[order]
-    place, same = Suffixes(x.buf, s.length).equal_neighbours(x.offs[row] + window, key)
+    row, window, key = row[order], window[order], key[order]
+    place, same = Suffixes(x.buf, s.length, prefix).equal_neighbours(x.offs[row] + window, key)
     number = np.cumsum(~same) - 1
     d = x.d[row[place]]
     least = np.full(number[-1] + 1, np.iinfo(np.int64).max)

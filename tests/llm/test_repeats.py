@@ -202,3 +202,33 @@ def test_query_digests(spark, tmp_path):
     assert (r[2].n_words, r[2].n_removed, r[2].kept_sha256) == (31, 30, hashlib.sha256(b"head").hexdigest())
     r = {x.doc_id: x for x in catalog.QUERIES["op9_suffix_dedup"](spark, str(tmp_path)).collect()}
     assert r[2].kept_sha256 == hashlib.sha256(b"head ").hexdigest() and r[2].n_spans == 1
+
+
+def test_only_suffixes_with_an_equal_are_sorted(monkeypatch):
+    """Spans that share an anchor among unlike bytes: none of their other suffixes is compared."""
+    rng = np.random.default_rng(5)
+    anchor, twin = rng.integers(97, 123, 16), rng.integers(97, 123, 20)
+    rows = [np.concatenate((rng.integers(97, 123, 34), anchor, rng.integers(97, 123, 34))) for _ in range(300)]
+    rows[7][50:70] = rows[200][50:70] = twin
+    rows[7][20:34] = rows[200][20:34] = twin[:14]
+    buf, n = np.concatenate(rows).astype(np.uint8), len(rows)
+    spans = repeats.Spans(
+        np.zeros(n, dtype=np.int64), np.arange(n), np.full(n, 34), np.zeros(n, dtype=np.int64), buf, np.arange(n + 1) * 84
+    )
+    sorted_ = []
+    whole = suffixes.Suffixes.sort
+    monkeypatch.setattr(suffixes.Suffixes, "sort", lambda self, pos, group: sorted_.append(len(pos)) or whole(self, pos, group))
+    row, window = suffixes.sort_suffixes(suffixes.scheme(), spans)
+    assert sorted(zip(row.tolist(), window.tolist())) == [(200, 20)]
+    assert sorted_ == [2]
+
+
+def test_frequent_anchors_are_told_by_top_and_bin():
+    rng = np.random.default_rng(6)
+    h = rng.integers(0, 1 << 30, 500).astype(K.U) << K.U(20)
+    names = {(int(x) >> repeats.SHIFT, int(x) % 53) for x in h[:40]} | {(int(h[50]) >> repeats.SHIFT, b) for b in range(53)}
+    names -= {(int(h[3]) >> repeats.SHIFT, int(h[3]) % 53)}
+    table = np.array(sorted(names), dtype=[("top", "<u8"), ("bin", "<u8")])
+    want = [(int(x) >> repeats.SHIFT, int(x) % 53) in names for x in h]
+    assert repeats._frequent(h, table, 53).tolist() == want
+    assert not repeats._frequent(h, table[:0], 53).any()
